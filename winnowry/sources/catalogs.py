@@ -47,7 +47,10 @@ KAGGLE_ITEMS = """
 FALSY_JSON = ("", "0", "0.0", "false", "[]", "{}", "null")
 # ---------------------------------------------------------------------------------
 
-NO_TAGS = F.array().cast("array<string>")
+
+
+def no_tags() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _catalog(df: DataFrame, **fields: Column) -> DataFrame:
@@ -80,7 +83,7 @@ def zenodo_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
         size_category=size_in_megabytes(_total_size(F.col("files"))),
         license=F.coalesce(meta["license"]["id"], F.lit(UNKNOWN)),
         description_raw=truncate(F.coalesce(meta["description"], F.lit(""))),
-        tags=F.coalesce(meta["keywords"], NO_TAGS),
+        tags=F.coalesce(meta["keywords"], no_tags()),
     )
 
 
@@ -102,14 +105,14 @@ def uci_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
         size_category=F.concat(F.coalesce(F.col("numInstances"), F.lit("?")), F.lit(" rows")),
         license=F.coalesce(F.col("license"), F.lit(UNKNOWN)),
         description_raw=truncate(F.coalesce(F.col("abstract"), F.lit(""))),
-        tags=F.coalesce(F.col("tasks"), NO_TAGS),
+        tags=F.coalesce(F.col("tasks"), no_tags()),
     )
 
 
 def hf_catalog(records: DataFrame, json_col: str = "value") -> DataFrame:
     """One hub record per row; size and license come from files and tags."""
     rows = records.select(F.from_json(json_col, HUB_RECORD).alias("r")).select("r.*")
-    tags = F.coalesce(F.col("tags"), NO_TAGS)
+    tags = F.coalesce(F.col("tags"), no_tags())
     size = F.concat_ws(
         " | ", size_on_disk(_total_size(F.col("siblings"))),
         F.nullif(tag_value(tags, "size_categories:", anywhere=True), F.lit("")),
@@ -145,7 +148,7 @@ def kaggle_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
         likes=F.coalesce("voteCount", "totalVotes", F.lit(0)),
         size_category=size_in_megabytes(F.coalesce("totalBytes", F.lit(0))),
         license=F.coalesce("licenseName", F.lit(UNKNOWN)),
-        tags=F.coalesce(F.transform("tags", lambda t: t["name"]), NO_TAGS),
+        tags=F.coalesce(F.transform("tags", lambda t: t["name"]), no_tags()),
     )
 
 
@@ -177,7 +180,7 @@ def generic_catalog(
     )
     defaults = {
         "id": synthetic, "source": F.lit(name), "downloads": F.lit(0), "likes": F.lit(0),
-        "size_category": F.lit(UNKNOWN), "license": F.lit(UNKNOWN), "tags": NO_TAGS,
+        "size_category": F.lit(UNKNOWN), "license": F.lit(UNKNOWN), "tags": no_tags(),
     }
     fields = {
         f.name: F.coalesce(*[s[f.name] for s in (mapped, defaults) if f.name in s])
