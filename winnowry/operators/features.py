@@ -67,21 +67,35 @@ def tfidf_fit(labeled: DataFrame, key: str, text_col: str, max_terms: int = MAX_
     return TfidfModel(vocabulary, vocabulary.count(), rows)
 
 
-def tfidf_weights(
-    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = ()
+def _weighted_terms(
+    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str]
 ) -> DataFrame:
-    """``(key, keep…, idx, term, weight)``, rows L2-normalised; unknown terms drop out.
+    """``(key, keep…, cells, norm)``: the weighted known terms of each text, by index.
 
-    The vocabulary is at most ``MAX_TERMS`` rows, so it travels to the texts.
+    The vocabulary is at most ``MAX_TERMS`` rows, so it travels to the texts; a
+    text gathers only its own distinct terms.
     """
-    known = term_counts(df, key, text_col, keep).join(F.broadcast(model.vocabulary), "term")
-    raw = known.withColumn("w", (1.0 + F.ln("tf")) * F.col("idf"))
-    norms = raw.groupBy(col(key)).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, key).select(
-        *[col(c) for c in (key, *keep)], "idx", "term", (F.col("w") / F.col("norm")).alias("weight")
+    names = [key, *keep]
+    counts = term_counts(df, key, text_col, keep)
+    known = counts.join(F.broadcast(model.vocabulary.select("term", "idx", "idf")), "term", "left")
+    weight = (1.0 + F.ln("tf")) * F.col("idf")
+    cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "term", weight.alias("w")))
+    return known.groupBy(*[col(c) for c in names]).agg(
+        F.array_sort(F.collect_list(cell)).alias("cells"),
+        F.sqrt(F.sum(weight * weight)).alias("norm"),
     )
 
 
+def tfidf_weights(
+    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(key, keep…, idx, term, weight)``, rows L2-normalised; unknown terms drop out."""
+    names = [col(c) for c in (key, *keep)]
+    rows = _weighted_terms(df, model, key, text_col, keep)
+    cells = rows.select(*names, "norm", F.explode("cells").alias("c"))
+    return cells.select(*names, "c.idx", "c.term", (F.col("c.w") / F.col("norm")).alias("weight"))
+
+
 def sparse_vector(size: int, indices: Column, values: Column) -> Column:
     """A Spark ML sparse vector from two arrays, without leaving the JVM."""
     body = F.struct(F.struct(
@@ -95,24 +109,12 @@ def tfidf_transform(
     df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = ()
 ) -> DataFrame:
     """``(key, keep…, features)``; a text without known terms gets the zero vector."""
-    counts = term_counts(df, key, text_col, keep)
-    known = counts.join(F.broadcast(model.vocabulary.select("term", "idx", "idf")), "term", "left")
-    cell = F.when(
-        F.col("idx").isNotNull(),
-        F.struct("idx", ((1.0 + F.ln("tf")) * F.col("idf")).alias("w")),
-    )
-    rows = known.groupBy(*[col(c) for c in (key, *keep)]).agg(
-        F.array_sort(F.collect_list(cell)).alias("cells")
-    )
-    square = F.aggregate("cells", F.lit(0.0), lambda acc, c: acc + c["w"] * c["w"])
-    norm = F.sqrt(square)
+    rows = _weighted_terms(df, model, key, text_col, keep)
     vector = sparse_vector(
         model.size, F.transform("cells", lambda c: c["idx"]),
         F.transform("cells", lambda c: c["w"] / F.col("norm")),
     )
-    return rows.withColumn("norm", norm).select(
-        *[col(c) for c in (key, *keep)], vector.alias("features")
-    )
+    return rows.select(*[col(c) for c in (key, *keep)], vector.alias("features"))
 
 
 def encode_distinct(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from winnowry.functions.text import norm_label
 from winnowry.operators.features import TfidfModel, tfidf_fit, tfidf_transform
@@ -19,6 +21,7 @@ from winnowry.staging import stage
 # --- fixed values -------------------------------------------------------------
 MAX_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
+SVM_TOLERANCE = 1e-4
 INVERSE_PENALTY = 1.0
 TREES = 100
 FOLDS = 5
@@ -26,6 +29,7 @@ SEED = 42
 # ------------------------------------------------------------------------------
 
 MAX_DEPTH = 30
+ROWS_PER_PARTITION = 5_000
 MAX_MODEL_CLASSES = 1000
 MODELS = ("logreg", "svm", "rf", "embedding")
 
@@ -98,8 +102,10 @@ def fit(
             lookup(F.col("__y"), weight).alias("weight"),
         ),
         "train",
-    ).cache()
+    )
     n = sum(counts.values())
+    # a few hundred labeled rows are not worth a task per core in each iteration
+    train = train.coalesce(max(1, n // ROWS_PER_PARTITION)).cache()
     try:
         if kind in ("logreg", "embedding"):
             model.score = _fit_logreg(train, n)
@@ -137,19 +143,22 @@ def _fit_calibrated_svm(train: DataFrame, n: int, k: int) -> Callable[[DataFrame
     folds = train.withColumn(
         "fold", F.pmod(F.conv(F.substring(seeded_hash("k", SEED), 1, 8), 16, 10).cast("bigint"), F.lit(FOLDS))
     )
-    lines: list[tuple] = []
-    for fold in range(FOLDS):
+
+    def fit_fold(fold: int) -> list[tuple]:
         seen, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
         per_class = []
         for c in ([1] if k == 2 else range(k)):
             is_c = F.when(F.col("label") == c, 1.0).otherwise(0.0)
-            binary = seen.withColumn("label", is_c)
             svm = LinearSVC(
                 weightCol="weight", regParam=1.0 / (INVERSE_PENALTY * n), standardization=False,
-                maxIter=SVM_ITERATIONS,
-            ).fit(binary)
+                maxIter=SVM_ITERATIONS, tol=SVM_TOLERANCE,
+            ).fit(seen.withColumn("label", is_c))
             per_class.append((svm, *_sigmoid(svm, held.withColumn("label", is_c))))
-        lines.append(tuple(per_class))
+        return per_class
+
+    # the folds do not depend on each other, so their jobs may overlap
+    with ThreadPool(FOLDS) as pool:
+        lines = pool.map(inheritable_thread_target(train.sparkSession)(fit_fold), range(FOLDS))
 
     def score(df: DataFrame) -> DataFrame:
         shares = []
