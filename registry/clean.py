@@ -214,15 +214,21 @@ def fix_mild(spark, d):
     return c.fix(docs(spark, d), STRATEGIES["mild"], order_col="doc_id")
 
 
-@BOOK.add("""SELECT label, missing, duplicates, outliers, (SELECT count(*) FROM documents) AS rows
-FROM (VALUES ('strict', 'drop', 'drop', 'drop'), ('medium', 'median', 'drop', 'clip_iqr'), ('mild', 'ffill', 'none', 'none'))
-AS v(label, missing, duplicates, outliers)""")
+@BOOK.add(f"""WITH {DOCS}, {STRICT}, {MEDIUM[len(UNIQUE) + 2:]}, {MILD}
+SELECT 'strict' AS label, 'drop' AS missing, 'drop' AS duplicates, 'drop' AS outliers, (SELECT count(*) FROM strict) AS rows
+UNION ALL SELECT 'medium', 'median', 'drop', 'clip_iqr', (SELECT count(*) FROM medium)
+UNION ALL SELECT 'mild', 'ffill', 'none', 'none', (SELECT count(*) FROM mild)""")
 def default_strategies(spark, d):
-    rows = table(spark, d, "documents").count()
-    return spark.createDataFrame(
-        [(k, v["missing"], v["duplicates"], v["outliers"], rows) for k, v in STRATEGIES.items()],
-        "label string, missing string, duplicates string, outliers string, rows bigint",
-    )
+    """Each default strategy and the rows it leaves."""
+    left = []
+    for name, strategy in STRATEGIES.items():
+        df = docs(spark, d)
+        body = df if strategy["missing"] == "ffill" else df.drop("doc_id")
+        left.append(c.fix(body, strategy, order_col="doc_id").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("label"), *[F.lit(strategy[k]).alias(k) for k in ("missing", "duplicates", "outliers")],
+            "rows",
+        ))
+    return left[0].unionByName(left[1]).unionByName(left[2])
 
 
 def _versus(after: str) -> str:

@@ -199,9 +199,14 @@ def schema_profile(spark, d):
     return p.schema_profile(table(spark, d, "documents"), "documents").drop("sample")
 
 
-@BOOK.add(f"""WITH {DOCS} SELECT c AS "column", (SELECT count(*) FROM docs) AS rows
-FROM (VALUES ('_source'), ('toxic')) AS v(c)""")
+@BOOK.add(f"""WITH {DOCS} SELECT '_source' AS "column", count(_source) AS present FROM docs
+UNION ALL SELECT 'toxic', count(toxic) FROM docs""")
 def protected_columns(spark, d):
+    """The columns cleaning leaves alone, with their present values."""
     df = docs(spark, d)
-    names = spark.createDataFrame([(c,) for c in sorted(protected_of(df))], "column string")
-    return names.withColumn("rows", F.lit(df.count()).cast("bigint"))
+    names = sorted(protected_of(df))
+    counts = df.agg(*[F.count(c).alias(c) for c in names])
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("present")) for c in names
+    ]))
+    return counts.select(cells.alias("c")).select("c.*")

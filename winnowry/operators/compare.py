@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from winnowry.functions.text import pct_change
 from winnowry.operators.clean import DEFAULT_STRATEGIES, fix
-from winnowry.operators.profile import duplicate_count, missing_counts, outlier_bounds, outside
-from winnowry.schema import numeric_columns, user_cols
+from winnowry.operators.profile import outlier_bounds, outside, row_fingerprint
+from winnowry.schema import col, is_missing, numeric_columns, user_cols
 
 # --- fixed values -------------------------------------------------------------
 METRICS = ("Rows", "Missing values", "Duplicates", "Outliers (IQR)")
@@ -19,18 +19,29 @@ METRICS = ("Rows", "Missing values", "Duplicates", "Outliers (IQR)")
 
 
 def quality_totals(df: DataFrame, key: Iterable[str] = ()) -> dict[str, int]:
-    """The four metrics of one frame; key columns take no part."""
-    df = df.select(user_cols(df, key))
-    rows, missing = missing_counts(df)
+    """The four metrics of one frame; key columns take no part.
+
+    Rows, missing cells and duplicates come from one pass: equal rows have
+    equally many missing cells, so a group counts for all of its copies.
+    """
+    df = df.select([col(c) for c in user_cols(df, key)])
+    holes = sum(
+        (F.when(is_missing(df, c), 1).otherwise(0) for c in df.columns), F.lit(0)
+    ).cast("bigint")
+    groups = df.select(*row_fingerprint(df), holes.alias("holes")).groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.max("holes").alias("holes")
+    )
+    whole = groups.agg(*[
+        F.coalesce(F.sum(e), F.lit(0)).cast("bigint")
+        for e in (F.col("n"), F.col("n") * F.col("holes"), F.col("n") - 1)
+    ]).first()
     bounds = outlier_bounds(df, "iqr", numeric_columns(df))
     outliers = 0
     if bounds:
-        row = df.agg(*[
+        outliers = sum(df.agg(*[
             F.count_if(outside(df, c, b)).alias(f"o{i}") for i, (c, b) in enumerate(bounds.items())
-        ]).first()
-        outliers = sum(row)
-    copies = duplicate_count(df).first()[0]
-    return dict(zip(METRICS, (rows, sum(missing.values()), copies, outliers)))
+        ]).first())
+    return dict(zip(METRICS, (*whole, outliers)))
 
 
 def compare_totals(spark, before: Mapping[str, int], after: Mapping[str, int]) -> DataFrame:
@@ -68,7 +79,7 @@ def compare_strategies(
     before = quality_totals(df, key)
     tables = []
     for name, strategy in strategies.items():
-        body = df if strategy.get("missing") == "ffill" else df.select(user_cols(df, key))
+        body = df if strategy.get("missing") == "ffill" else df.select([col(c) for c in user_cols(df, key)])
         after = quality_totals(fix(body, strategy, protected_cols, order_col), key)
         tables.append(
             compare_totals(df.sparkSession, before, after).withColumn("strategy", F.lit(name))

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from winnowry.schema import col, is_missing
 
 BOUNDED_ROWS = 1_000_000
-SAMPLE_ROWS = 100_000
-COLUMNS_PER_PASS = 100
+ONE_TASK_VALUES = 300_000
+SAMPLE_ROWS = 20_000
+COLUMNS_PER_PASS = 25
 SAMPLE_SEED = 42
 
 
@@ -92,6 +93,8 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
                 known = whole.low if whole.low == whole.high else None
                 targets.setdefault((v, rank), Target(rank, whole, known))
 
+    if bounded_rows == BOUNDED_ROWS and sum(facts[f"n_{v}"] for v in names) <= ONE_TASK_VALUES:
+        _read_off(values, [t for t in targets.values() if t.value is None], facts)
     while True:
         wide = [t for t in targets.values() if t.value is None and t.bracket.inside > bounded_rows]
         if not wide:
@@ -110,11 +113,32 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
             at = (n - 1) * p
             low = targets[v, math.floor(at)].value
             high = targets[v, math.ceil(at)].value
-            quantiles.append(low + (high - low) * (at - math.floor(at)))
+            quantiles.append(interpolate(low, high, at - math.floor(at)))
         result[name] = (n, quantiles)
     return result
 
 
+def interpolate(low: float, high: float, share: float) -> float:
+    """Linear interpolation measured from the nearer end, which rounds evenly."""
+    gap = high - low
+    return low + gap * share if share < 0.5 else high - gap * (1 - share)
+
+
+def _read_off(values: DataFrame, targets: list[Target], facts) -> None:
+    """Few values in all: the built-in value map may hold them in one task."""
+    if not targets:
+        return
+    row = values.agg(*[
+        F.expr(
+            f"percentile_disc({(t.rank + 0.5) / facts['n_' + t.bracket.column]!r}D) "
+            f"WITHIN GROUP (ORDER BY {t.bracket.column})"
+        ).alias(f"t{i}")
+        for i, t in enumerate(targets)
+    ]).first()
+    for i, t in enumerate(targets):
+        t.value = row[f"t{i}"]
+
+
 def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
     """One sampling and one counting pass over all brackets still too wide."""
     slack = 3.0 / math.sqrt(sample_rows)
@@ -123,10 +147,10 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
         b = t.bracket
         share = min(1.0, sample_rows / b.inside)
         at = (t.rank - b.below) / max(b.inside - 1, 1)
-        drawn = F.when(b.holds(F.col(b.column)) & (F.rand(SAMPLE_SEED) < share), F.col(b.column))
+        drawn = F.when(b.holds(F.col(b.column)) & (F.col("draw") < share), F.col(b.column))
         ends = F.array(F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack)))
         proposals.append(F.percentile(drawn, ends).alias(f"t{i}"))
-    ends = values.agg(*proposals).first()
+    ends = values.withColumn("draw", F.rand(SAMPLE_SEED)).agg(*proposals).first()
 
     counts, cuts = [], []
     for i, t in enumerate(targets):
