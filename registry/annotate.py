@@ -146,22 +146,25 @@ def auto_label(spark, d):
     return done.select("doc_id", "_label", "_confidence", "_reason")
 
 
-def length_labeler(request: str) -> str:
+def length_labeler():
     """A stand-in labeler: long texts are 1, short ones 0."""
     import json
 
-    texts = json.loads(request)["texts"]
-    return json.dumps([
-        {"id": t["id"], "label": str(int(len(t["text"]) > 300)), "confidence": 0.9, "reason": "length"}
-        for t in texts
-    ])
+    def label(request: str) -> str:
+        texts = json.loads(request)["texts"]
+        return json.dumps([
+            {"id": t["id"], "label": str(int(len(t["text"]) > 300)), "confidence": 0.9, "reason": "length"}
+            for t in texts
+        ])
+
+    return label  # a closure, so that executors need not import this module
 
 
 @BOOK.add("""SELECT doc_id, CASE WHEN length(substring(text, 1, 500)) > 300 THEN '1' ELSE '0' END AS _label,
 CAST(0.9 AS DOUBLE) AS _confidence, 'length' AS _reason FROM documents""")
 def auto_label_callable(spark, d):
     done = ann.auto_label(
-        table(spark, d, "documents"), "doc_id", length_labeler, task="length", classes=["0", "1"]
+        table(spark, d, "documents"), "doc_id", length_labeler(), task="length", classes=["0", "1"]
     )
     return done.select("doc_id", "_label", "_confidence", "_reason")
 
@@ -356,8 +359,8 @@ FROM (SELECT * FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 30), (
 def consistency_passes(spark, d):
     """A sampling operator: 30 rows, labeled three times by a steady labeler."""
     labeled = ann.auto_label(
-        table(spark, d, "documents"), "doc_id", length_labeler, task="length", classes=["0", "1"]
+        table(spark, d, "documents"), "doc_id", length_labeler(), task="length", classes=["0", "1"]
     )
     return ann.consistency_passes(
-        labeled, "doc_id", length_labeler, "text", task="length", classes=["0", "1"]
+        labeled, "doc_id", length_labeler(), "text", task="length", classes=["0", "1"]
     )

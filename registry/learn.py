@@ -138,14 +138,17 @@ def tfidf_weights(spark, d):
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
-def shape_encoder(texts: list[str]) -> np.ndarray:
+def shape_encoder():
     """A stand-in encoder: characters and spaces of a text."""
-    return np.array([[len(t), t.count(" ")] for t in texts], dtype="float32")
+    def encode(texts: list[str]) -> np.ndarray:
+        return np.array([[len(t), t.count(" ")] for t in texts], dtype="float32")
+
+    return encode  # a closure, so that executors need not import this module
 
 
 @BOOK.add("""SELECT doc_id, CAST(length(text) AS FLOAT) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS FLOAT) AS spaces FROM documents""")
 def encode_distinct(spark, d):
-    done = feat.encode_distinct(table(spark, d, "documents").select("doc_id", "text"), "text", shape_encoder)
+    done = feat.encode_distinct(table(spark, d, "documents").select("doc_id", "text"), "text", shape_encoder())
     return done.select("doc_id", F.col("embedding")[0].alias("chars"), F.col("embedding")[1].alias("spaces"))
 
 

@@ -38,7 +38,12 @@ def class_marginals(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> Da
 
 def _labels_as_text(df: DataFrame, a: str, b: str, normalize: bool, by: Sequence[str] = ()) -> DataFrame:
     if not normalize:
-        return df
+        if df.schema[a].dataType == df.schema[b].dataType:
+            return df
+        # unlike types are compared as written: the number 1 is not the text " 1"
+        return df.select(
+            *[col(c) for c in by], col(a).cast("string").alias(a), col(b).cast("string").alias(b)
+        )
     return df.select(
         *[col(c) for c in by], norm_label(col(a)).alias(a), norm_label(col(b)).alias(b)
     )

@@ -21,7 +21,7 @@ from winnowry.staging import stage
 # --- fixed values -------------------------------------------------------------
 MAX_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
-SVM_TOLERANCE = 1e-4
+SVM_TOLERANCE = 1e-3
 INVERSE_PENALTY = 1.0
 TREES = 100
 FOLDS = 5
