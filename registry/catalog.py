@@ -393,9 +393,9 @@ def json_path(spark, d):
   CAST(len(t) + greatest(len(t) - 1, 0) AS BIGINT) AS n_grams
 FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM documents)""")
 def tokenize_ngrams(spark, d):
-    t = tx.tokens(F.col("text"))
-    return table(spark, d, "documents").select(
+    words = table(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    t = F.col("t")
+    return words.select(
         "doc_id", F.array_join(F.slice(t, 1, 3), " ").alias("first_tokens"),
-        F.size(t).cast("bigint").alias("n_tokens"),
-        F.size(tx.ngrams(F.col("text"))).cast("bigint").alias("n_grams"),
+        F.size(t).cast("bigint").alias("n_tokens"), F.size(tx.ngrams(t)).cast("bigint").alias("n_grams"),
     )

@@ -69,12 +69,14 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), F.lit(0))
 
 
-def ngrams(c: Column) -> Column:
-    """Unigrams and bigrams of the tokens of a text."""
-    words = tokens(c)
+def ngrams(words: Column) -> Column:
+    """Unigrams and bigrams of a token array.
+
+    The array is read several times: pass a column, not the ``tokens`` expression.
+    """
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
     pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
+        F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
     return F.concat(words, pairs)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnowry import jobs
 from winnowry.functions.text import pct_change
 from winnowry.operators.clean import DEFAULT_STRATEGIES, fix
 from winnowry.operators.profile import outlier_bounds, outside, row_fingerprint
@@ -59,8 +60,9 @@ def compare(
 ) -> DataFrame:
     """``(metric, before, after, delta, change)``; ``label`` prefixes the value columns."""
     key = list(key)
+    spark = before.sparkSession
     table = compare_totals(
-        before.sparkSession, quality_totals(before, key), quality_totals(after, key)
+        spark, *jobs.side_by_side(spark, [partial(quality_totals, df, key) for df in (before, after)])
     )
     if not label:
         return table
@@ -76,15 +78,19 @@ def compare_strategies(
 ) -> DataFrame:
     """One Before/After table per strategy; the Before side is measured once."""
     key = list(key)
-    before = quality_totals(df, key)
-    tables = []
-    for name, strategy in strategies.items():
+
+    def after(strategy: Mapping[str, str]) -> dict[str, int]:
         body = df if strategy.get("missing") == "ffill" else df.select([col(c) for c in user_cols(df, key)])
-        after = quality_totals(fix(body, strategy, protected_cols, order_col), key)
-        tables.append(
-            compare_totals(df.sparkSession, before, after).withColumn("strategy", F.lit(name))
-        )
-    return reduce(DataFrame.unionByName, tables)
+        return quality_totals(fix(body, strategy, protected_cols, order_col), key)
+
+    first, *others = jobs.side_by_side(
+        df.sparkSession,
+        [partial(quality_totals, df, key)] + [partial(after, s) for s in strategies.values()],
+    )
+    return reduce(DataFrame.unionByName, [
+        compare_totals(df.sparkSession, first, totals).withColumn("strategy", F.lit(name))
+        for name, totals in zip(strategies, others)
+    ])
 
 
 def side_by_side(first: DataFrame, second: DataFrame, labels: Sequence[str]) -> DataFrame:

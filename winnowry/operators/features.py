@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnowry.functions.text import ngrams
+from winnowry.functions.text import ngrams, tokens
 from winnowry.operators.joins import left_join_hot
 from winnowry.schema import col
 from winnowry.staging import stage
@@ -32,13 +32,16 @@ def min_df(rows: int) -> int:
 
 
 def term_counts(df: DataFrame, key: str, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``(key, keep…, term, tf)``; a text without terms keeps one row with a NULL term."""
-    names = [key, *keep]
-    terms = df.select(
-        *[col(c) for c in names],
-        F.explode_outer(ngrams(F.coalesce(col(text_col), F.lit("")))).alias("term"),
-    )
-    return terms.groupBy(*[col(c) for c in names], "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(key, keep…, term, tf)``; a text without terms keeps one row with a NULL term.
+
+    Texts are spread by key before they are cut into terms: the texts are
+    smaller than their terms, and counting per text then needs no shuffle.
+    """
+    names = [col(c) for c in (key, *keep)]
+    spread = df.select(*names, F.coalesce(col(text_col), F.lit("")).alias("__text")).repartition(col(key))
+    words = spread.select(*names, tokens(F.col("__text")).alias("__words"))
+    terms = words.select(*names, F.explode_outer(ngrams(F.col("__words"))).alias("term"))
+    return terms.groupBy(*names, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 @dataclass

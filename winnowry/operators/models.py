@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from winnowry.functions.text import norm_label
+from winnowry.jobs import side_by_side
 from winnowry.operators.features import TfidfModel, tfidf_fit, tfidf_transform
 from winnowry.operators.ranking import seeded_hash
 from winnowry.schema import col
@@ -157,8 +157,7 @@ def _fit_calibrated_svm(train: DataFrame, n: int, k: int) -> Callable[[DataFrame
         return per_class
 
     # the folds do not depend on each other, so their jobs may overlap
-    with ThreadPool(FOLDS) as pool:
-        lines = pool.map(inheritable_thread_target(train.sparkSession)(fit_fold), range(FOLDS))
+    lines = side_by_side(train.sparkSession, [partial(fit_fold, f) for f in range(FOLDS)])
 
     def score(df: DataFrame) -> DataFrame:
         shares = []

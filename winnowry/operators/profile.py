@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from winnowry.jobs import side_by_side
 from winnowry.operators.quantiles import exact_quantiles
 from winnowry.schema import (
     PROVENANCE, col, is_float, is_missing, numeric_columns, string_columns, stringify,
 )
+from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
 IQR_FACTOR = 1.5
@@ -229,45 +231,50 @@ def imbalance(df: DataFrame, label_col: str | None = None) -> DataFrame:
 # --- report -------------------------------------------------------------------
 
 def quality_report(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    """All four detections as one long table ``(section, column, metric, value)``."""
-    missing = missing_profile(df)
-    outliers = outlier_profile(df)
-    name = label_col or imbalance_column(df)
-
-    def rows(section: str, frame: DataFrame, metrics: Sequence[str]) -> DataFrame:
-        cells = F.explode(F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-            for m in metrics
-        ]))
-        return frame.select(F.lit(section).alias("section"), "column", cells.alias("c")).select(
-            "section", "column", "c.metric", "c.value"
-        )
+    """All four detections as one long table ``(section, column, metric, value)``.
 
-    def totals(frame: DataFrame, prefix: str) -> DataFrame:
-        both = frame.agg(
-            F.coalesce(F.sum("count"), F.lit(0)).alias(f"{prefix}_cells"),
-            F.count(F.lit(1)).alias(f"{prefix}_cols"),
-        ).withColumn("column", F.lit(""))
-        return rows("summary", both, [f"{prefix}_cells", f"{prefix}_cols"])
-
-    report = (
-        rows("missing", missing, ["count", "pct"])
-        .unionByName(rows(
-            "duplicates", duplicate_count(df).withColumn("column", F.lit("")), ["duplicates"]
-        ))
-        .unionByName(rows("outliers", outliers, ["count", "pct", "lower_bound", "upper_bound"]))
-        .unionByName(totals(missing, "missing"))
-        .unionByName(totals(outliers, "outlier"))
+    The parts run side by side and each reads the data once; what they return
+    is a few numbers per column.
+    """
+    spark = df.sparkSession
+    (rows, counts), copies, outliers, name = side_by_side(spark, [
+        lambda: missing_counts(df), lambda: duplicate_count(df).first()[0],
+        lambda: outlier_profile(df).collect(), lambda: label_col or imbalance_column(df),
+    ])
+    missing = {c: n for c, n in counts.items() if n}
+    report = [("duplicates", "", "duplicates", copies)]
+    for c, n in missing.items():
+        report.append(("missing", c, "count", n))
+    for o in outliers:
+        report += [("outliers", o["column"], m, o[m]) for m in ("count", "pct", "lower_bound", "upper_bound")]
+    report += [
+        ("summary", "", "missing_cells", sum(missing.values())),
+        ("summary", "", "missing_cols", len(missing)),
+        ("summary", "", "outlier_cells", sum(o["count"] for o in outliers)),
+        ("summary", "", "outlier_cols", len(outliers)),
+    ]
+    table = spark.createDataFrame(
+        [(s, c, m, float(v)) for s, c, m, v in report],
+        "section string, column string, metric string, value double",
     )
+    shares = table.where("section = 'missing'").select(
+        "section", "column", F.lit("pct").alias("metric"), pct(F.col("value"), rows).alias("value")
+    )
+    table = table.unionByName(shares)
     if name is not None:
-        classes = class_counts(df, name).select(
-            F.lit("imbalance").alias("section"), F.lit(name).alias("column"),
+        # one row per class: written once, read for the counts and for the ratio
+        classes = stage(class_counts(df, name), "classes")
+        lines = classes.select(
             F.concat(F.lit("class "), F.col("value")).alias("metric"),
             F.col("count").cast("double").alias("value"),
         )
-        ratio = imbalance(df, name).withColumnRenamed("col", "column")
-        report = report.unionByName(classes).unionByName(rows("imbalance", ratio, ["ratio"]))
-    return report
+        ratio = classes.agg(
+            F.lit("ratio").alias("metric"), F.round(F.max("count") / F.min("count"), 2).alias("value")
+        ).where("value is not null")
+        table = table.unionByName(lines.unionByName(ratio).select(
+            F.lit("imbalance").alias("section"), F.lit(name).alias("column"), "metric", "value"
+        ))
+    return table
 
 
 # --- distributions ------------------------------------------------------------

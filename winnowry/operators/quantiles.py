@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from winnowry.schema import col, is_missing
 
-BOUNDED_ROWS = 1_000_000
+BOUNDED_ROWS = 100_000
 ONE_TASK_VALUES = 300_000
 SAMPLE_ROWS = 20_000
 COLUMNS_PER_PASS = 25
@@ -139,22 +139,36 @@ def _read_off(values: DataFrame, targets: list[Target], facts) -> None:
         t.value = row[f"t{i}"]
 
 
+def _neighbours(targets: list[Target]) -> list[list[Target]]:
+    """Adjacent ranks of one bracket share their sample and their counts."""
+    groups: list[list[Target]] = []
+    for t in sorted(targets, key=lambda t: (t.bracket.key(), t.rank)):
+        last = groups[-1][0] if groups else None
+        if last and last.bracket.key() == t.bracket.key() and t.rank - last.rank <= 1:
+            groups[-1].append(t)
+        else:
+            groups.append([t])
+    return groups
+
+
 def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
     """One sampling and one counting pass over all brackets still too wide."""
     slack = 3.0 / math.sqrt(sample_rows)
+    groups = _neighbours(targets)
     proposals = []
-    for i, t in enumerate(targets):
-        b = t.bracket
+    for i, group in enumerate(groups):
+        b = group[0].bracket
         share = min(1.0, sample_rows / b.inside)
-        at = (t.rank - b.below) / max(b.inside - 1, 1)
+        at = (group[0].rank - b.below) / max(b.inside - 1, 1)
         drawn = F.when(b.holds(F.col(b.column)) & (F.col("draw") < share), F.col(b.column))
         ends = F.array(F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack)))
         proposals.append(F.percentile(drawn, ends).alias(f"t{i}"))
     ends = values.withColumn("draw", F.rand(SAMPLE_SEED)).agg(*proposals).first()
 
     counts, cuts = [], []
-    for i, t in enumerate(targets):
-        b, value = t.bracket, F.col(t.bracket.column)
+    for i, group in enumerate(groups):
+        b = group[0].bracket
+        value = F.col(b.column)
         low, high = ends[f"t{i}"] or (b.low, b.high)
         cuts.append((low, high))
         inside = b.holds(value)
@@ -166,23 +180,23 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
         ]
     seen = values.agg(*counts).first()
 
-    for i, (t, (low, high)) in enumerate(zip(targets, cuts)):
-        b = t.bracket
+    for i, (group, (low, high)) in enumerate(zip(groups, cuts)):
         lt, eq, mid, end = (seen[f"{k}{i}"] for k in ("lt", "at", "mid", "end"))
-        local = t.rank - b.below
-        if local < lt:
-            t.bracket = Bracket(b.column, b.low, low, b.low_in, False, b.below, lt)
-        elif local < lt + eq:
-            t.value = low
-        elif local < lt + eq + mid:
-            t.bracket = Bracket(b.column, low, high, False, False, b.below + lt + eq, mid)
-        elif local < lt + eq + mid + end:
-            t.value = high
-        else:
-            done = lt + eq + mid + end
-            t.bracket = Bracket(
-                b.column, high, b.high, False, b.high_in, b.below + done, b.inside - done
-            )
+        for t in group:
+            b, local = t.bracket, t.rank - t.bracket.below
+            if local < lt:
+                t.bracket = Bracket(b.column, b.low, low, b.low_in, False, b.below, lt)
+            elif local < lt + eq:
+                t.value = low
+            elif local < lt + eq + mid:
+                t.bracket = Bracket(b.column, low, high, False, False, b.below + lt + eq, mid)
+            elif local < lt + eq + mid + end:
+                t.value = high
+            else:
+                done = lt + eq + mid + end
+                t.bracket = Bracket(
+                    b.column, high, b.high, False, b.high_in, b.below + done, b.inside - done
+                )
 
 
 def _pick(values: DataFrame, targets: list[Target]) -> None:
