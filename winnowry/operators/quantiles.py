@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,8 +38,11 @@ class Bracket:
     high_in: bool = True
     below: int = 0
     inside: int = 0
+    whole: bool = False
 
     def holds(self, value: Column) -> Column:
+        if self.whole:
+            return value.isNotNull()
         left = value >= self.low if self.low_in else value > self.low
         right = value <= self.high if self.high_in else value < self.high
         return left & right
@@ -86,11 +91,11 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
         n = facts[f"n_{v}"]
         if n == 0:
             continue
-        whole = Bracket(v, facts[f"lo_{v}"], facts[f"hi_{v}"], inside=n)
+        whole = Bracket(v, facts[f"lo_{v}"], facts[f"hi_{v}"], inside=n, whole=True)
         for p in probs:
             at = (n - 1) * p
             for rank in {math.floor(at), math.ceil(at)}:
-                known = whole.low if whole.low == whole.high else None
+                known = {0: whole.low, n - 1: whole.high}.get(rank)
                 targets.setdefault((v, rank), Target(rank, whole, known))
 
     if bounded_rows == BOUNDED_ROWS and sum(facts[f"n_{v}"] for v in names) <= ONE_TASK_VALUES:
@@ -155,15 +160,17 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
     """One sampling and one counting pass over all brackets still too wide."""
     slack = 3.0 / math.sqrt(sample_rows)
     groups = _neighbours(targets)
-    proposals = []
+    drawn, proposals = [], []
     for i, group in enumerate(groups):
         b = group[0].bracket
         share = min(1.0, sample_rows / b.inside)
         at = (group[0].rank - b.below) / max(b.inside - 1, 1)
-        drawn = F.when(b.holds(F.col(b.column)) & (F.col("draw") < share), F.col(b.column))
+        drawn.append(b.holds(F.col(b.column)) & (F.col("draw") < share))
         ends = F.array(F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack)))
-        proposals.append(F.percentile(drawn, ends).alias(f"t{i}"))
-    ends = values.withColumn("draw", F.rand(SAMPLE_SEED)).agg(*proposals).first()
+        proposals.append(F.percentile(F.when(drawn[-1], F.col(b.column)), ends).alias(f"t{i}"))
+    # rows no bracket draws are gone before they reach the aggregation
+    sampled = values.withColumn("draw", F.rand(SAMPLE_SEED)).where(reduce(or_, drawn))
+    ends = sampled.agg(*proposals).first()
 
     counts, cuts = [], []
     for i, group in enumerate(groups):
@@ -171,32 +178,28 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
         value = F.col(b.column)
         low, high = ends[f"t{i}"] or (b.low, b.high)
         cuts.append((low, high))
-        inside = b.holds(value)
         counts += [
-            F.count_if(inside & (value < low)).alias(f"lt{i}"),
-            F.count_if(inside & (value == low)).alias(f"at{i}"),
-            F.count_if(inside & (value > low) & (value < high)).alias(f"mid{i}"),
-            F.count_if(inside & (value == high) & (value > low)).alias(f"end{i}"),
+            F.count_if(test).alias(f"{name}_{i}") for name, test in (
+                ("lt", value < low), ("le", value <= low), ("lth", value < high), ("leh", value <= high),
+            )
         ]
     seen = values.agg(*counts).first()
 
     for i, (group, (low, high)) in enumerate(zip(groups, cuts)):
-        lt, eq, mid, end = (seen[f"{k}{i}"] for k in ("lt", "at", "mid", "end"))
+        lt, le, lt_high, le_high = (seen[f"{k}_{i}"] for k in ("lt", "le", "lth", "leh"))
         for t in group:
-            b, local = t.bracket, t.rank - t.bracket.below
-            if local < lt:
-                t.bracket = Bracket(b.column, b.low, low, b.low_in, False, b.below, lt)
-            elif local < lt + eq:
+            b = t.bracket
+            if t.rank < lt:
+                t.bracket = Bracket(b.column, b.low, low, b.low_in, False, b.below, lt - b.below)
+            elif t.rank < le:
                 t.value = low
-            elif local < lt + eq + mid:
-                t.bracket = Bracket(b.column, low, high, False, False, b.below + lt + eq, mid)
-            elif local < lt + eq + mid + end:
+            elif t.rank < lt_high:
+                t.bracket = Bracket(b.column, low, high, False, False, le, lt_high - le)
+            elif t.rank < le_high:
                 t.value = high
             else:
-                done = lt + eq + mid + end
-                t.bracket = Bracket(
-                    b.column, high, b.high, False, b.high_in, b.below + done, b.inside - done
-                )
+                left = b.below + b.inside - le_high
+                t.bracket = Bracket(b.column, high, b.high, False, b.high_in, le_high, left)
 
 
 def _pick(values: DataFrame, targets: list[Target]) -> None:
@@ -205,17 +208,24 @@ def _pick(values: DataFrame, targets: list[Target]) -> None:
         return
     brackets = {t.bracket.key(): t.bracket for t in targets}
     number = {k: i for i, k in enumerate(brackets)}
-    cells = F.explode(F.array(*[
-        F.when(
-            b.holds(F.col(b.column)),
-            F.struct(F.lit(number[k]).alias("b"), F.col(b.column).alias("v")),
-        )
-        for k, b in brackets.items()
-    ]))
-    counted = (
-        values.select(cells.alias("cell")).where("cell is not null")
-        .groupBy(F.col("cell.b").alias("b"), F.col("cell.v").alias("v")).count()
+    names = sorted({b.column for b in brackets.values()})
+
+    def held(name: str, value: Column) -> Column:
+        return reduce(or_, [b.holds(value) for b in brackets.values() if b.column == name])
+
+    cells = F.explode(F.array_compact(F.array(*[
+        F.when(held(c, F.col(c)), F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in names
+    ])))
+    distinct = (
+        values.where(reduce(or_, [held(c, F.col(c)) for c in names])).select(cells.alias("cell"))
+        .groupBy(F.col("cell.c").alias("c"), F.col("cell.v").alias("v")).count()
     )
+    # from here on there are counted values only, at most bounded_rows per bracket
+    homes = F.explode(F.array_compact(F.array(*[
+        F.when((F.col("c") == b.column) & b.holds(F.col("v")), F.lit(number[k]))
+        for k, b in brackets.items()
+    ])))
+    counted = distinct.select("v", "count", homes.alias("b"))
     running = F.sum("count").over(Window.partitionBy("b").orderBy("v"))
     row = counted.withColumn("upto", running).agg(*[
         F.min(F.when(
