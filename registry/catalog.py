@@ -328,6 +328,18 @@ def write_stage(spark, d):
     return files.scan(spark, path)
 
 
+@BOOK.add("""SELECT 'combined_clean.parquet' AS annotation, 'combined.parquet' AS quality, count(*) AS rows FROM conversations""")
+def resolve_stage_input(spark, d):
+    """Raw and clean stages written, then found again in the order of each stage."""
+    base = f"{shared_folder(spark)}/winnowry/topic-{crc32(d.encode())}"
+    df = table(spark, d, "conversations")
+    files.write_stage(df, f"{base}/{files.RAW}")
+    files.write_stage(df, f"{base}/{files.CLEAN}")
+    found = {s: files.resolve_input(spark, base, s) for s in ("annotation", "quality")}
+    last = {s: F.lit(p.rsplit("/", 1)[1]).alias(s) for s, p in found.items()}
+    return files.scan(spark, found["annotation"]).agg(F.count(F.lit(1)).alias("rows")).select(*last.values(), "rows")
+
+
 @BOOK.add(f"WITH {RANKED} SELECT id, name, source, downloads, relevance_score, t1 || '|' || t2 AS ml_tasks FROM ranked")
 def catalog_json_io(spark, d):
     path = f"{shared_folder(spark)}/winnowry/found-{crc32(d.encode())}.json"

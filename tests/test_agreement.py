@@ -81,7 +81,7 @@ def test_scores(spark):
 
 def test_alignment_of_odd_responses(spark):
     batched = spark.createDataFrame(
-        [(k, k // 3, k % 3) for k in range(12)], "k int, batch_id bigint, id int"
+        [(k, k // 3, k % 3, 3) for k in range(12)], "k int, batch_id bigint, id int, asked int"
     )
     responses = spark.createDataFrame([
         (0, '```json\n[{"id":2,"label":"a","confidence":0.1,"reason":"r"},{"label":1},{"id":0}]\n```'),
@@ -144,3 +144,9 @@ def test_unknown_labels_get_no_prediction(spark):
     assert result["value"] == {"choices": ["x"]} and result["score"] == 0.5
     ner = json.loads(ann.to_labelstudio(df.where("k = 5"), "k", task_type="ner").first()["task"])
     assert ner["predictions"][0]["result"][0]["value"] == {"start": 0, "end": 2, "labels": ["x"]}
+
+
+def test_the_last_batch_is_short(spark):
+    rows = ann.assign_batches(spark.range(0, 45).withColumnRenamed("id", "k"), "k").collect()
+    assert sorted({(r["batch_id"], r["asked"]) for r in rows}) == [(0, 20), (1, 20), (2, 5)]
+    assert all(r["k"] == r["batch_id"] * 20 + r["id"] for r in rows)

@@ -99,6 +99,14 @@ def test_stage_inputs_in_order(spark, folder):
     assert files.resolve_input(spark, folder, "quality", "x.parquet") == "x.parquet"
 
 
+def test_staged_tables_are_dropped(spark):
+    from winnowry import staging
+
+    staging.drop_staged(spark)
+    path = staging.stage(spark.range(3)).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path) and staging.drop_staged(spark) == 1 and not os.path.isdir(path)
+
+
 def test_column_finders(spark):
     df = spark.createDataFrame([("aaaa", "b" * 9, 1), ("aaaaa", "b", 2)], "s string, t string, n int")
     assert cols.find_text_col(df) == "t"

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.functions.scores import interpret_kappa
 from winnowry.functions.text import norm_label
 from winnowry.schema import col
 
@@ -49,13 +48,9 @@ def _labels_as_text(df: DataFrame, a: str, b: str, normalize: bool, by: Sequence
     )
 
 
-def cohens_kappa(
-    df: DataFrame, a: str, b: str, by: Sequence[str] = (), normalize: bool = True
-) -> DataFrame:
-    """``(by…, n, kappa, agreement_pct)``; no rows give kappa 0, one shared class gives 1."""
-    pairs = _labels_as_text(df, a, b, normalize, by)
-    marginals = class_marginals(pairs, a, b, by)
-    sums = marginals.groupBy(*by).agg(
+def _kappa(pairs: DataFrame, a: str, b: str, by: Sequence[str]) -> DataFrame:
+    """``(by…, n, kappa, observed)`` with the share of equal pairs unrounded."""
+    sums = class_marginals(pairs, a, b, by).groupBy(*by).agg(
         F.coalesce(F.sum("n_a"), F.lit(0)).cast("bigint").alias("n"),
         F.sum("n_both").alias("same"),
         F.sum(F.col("n_a").cast("double") * F.col("n_b").cast("double")).alias("cross"),
@@ -68,8 +63,18 @@ def cohens_kappa(
         .when(F.col("cross") == n * n, F.lit(1.0))
         .otherwise(F.round((observed - expected) / (1 - expected), 4))
     )
-    share = F.when(F.col("n") == 0, F.lit(0.0)).otherwise(F.round(observed * 100, 1))
-    return sums.select(*by, "n", kappa.alias("kappa"), share.alias("agreement_pct"))
+    share = F.when(F.col("n") == 0, F.lit(0.0)).otherwise(observed)
+    return sums.select(*by, "n", kappa.alias("kappa"), share.alias("observed"))
+
+
+def cohens_kappa(
+    df: DataFrame, a: str, b: str, by: Sequence[str] = (), normalize: bool = True
+) -> DataFrame:
+    """``(by…, n, kappa, agreement_pct)``; no rows give kappa 0, one shared class gives 1."""
+    found = _kappa(_labels_as_text(df, a, b, normalize, by), a, b, by)
+    return found.select(
+        *by, "n", "kappa", F.round(F.col("observed") * 100, 1).alias("agreement_pct")
+    )
 
 
 def agreement(df: DataFrame, a: str, b: str, by: Sequence[str] = (), normalize: bool = True) -> DataFrame:
@@ -139,14 +144,11 @@ def self_consistency(
 ) -> DataFrame:
     """One row: mean and spread of pairwise kappa, agreements, consensus, paradox flag."""
     pairs = pass_pairs(passes, key_col, pass_col, label_col)
-    kappas = cohens_kappa(pairs, "label_a", "label_b", ["pass_a", "pass_b"], normalize=False)
-    same = F.avg(F.when(F.col("label_a").eqNullSafe(F.col("label_b")), 1.0).otherwise(0.0)) * 100
-    shares = pairs.groupBy("pass_a", "pass_b").agg(same.alias("share"))
-    pairwise = kappas.join(shares, ["pass_a", "pass_b"]).agg(
+    pairwise = _kappa(pairs, "label_a", "label_b", ["pass_a", "pass_b"]).agg(
         F.count(F.lit(1)).alias("pairs"),
         F.round(F.avg("kappa"), 4).alias("kappa"),
         F.round(F.stddev_pop("kappa"), 4).alias("kappa_std"),
-        F.round(F.avg("share"), 1).alias("pairwise_agreement"),
+        F.round(F.avg("observed") * 100, 1).alias("pairwise_agreement"),
     ).withColumn("one", F.lit(1))
     rows = row_agreement(passes, key_col, label_col).withColumn("one", F.lit(1))
     paradox = (F.col("kappa") == 0) & (F.col("row_agreement") > 50)
@@ -174,7 +176,3 @@ def evaluate(df: DataFrame, y: str, y_pred: str) -> DataFrame:
         F.round(F.avg(f1), 4).alias("f1"),
         F.sum("n_a").alias("n"),
     )
-
-
-def kappa_words(kappa: Column) -> Column:
-    return interpret_kappa(kappa)

@@ -37,11 +37,18 @@ RESPONSE_ITEMS = "array<struct<id: int, label: string, confidence: double, reaso
 # --- requests and responses ---------------------------------------------------
 
 def assign_batches(df: DataFrame, key: str, size: int = BATCH_SIZE) -> DataFrame:
-    """Consecutive batches in key order: ``batch_id`` and the place ``id`` within it."""
+    """Consecutive batches in key order.
+
+    Adds ``batch_id``, the place ``id`` within the batch and its length
+    ``asked``: ``size`` rows, fewer only in the last batch.
+    """
+    rows = df.count()
     ranked = global_rank(df, [key], "__rank")
     at = F.col("__rank") - 1
+    batch = F.floor(at / size).cast("bigint")
     return ranked.withColumns({
-        "batch_id": F.floor(at / size).cast("bigint"), "id": F.pmod(at, F.lit(size)).cast("int"),
+        "batch_id": batch, "id": F.pmod(at, F.lit(size)).cast("int"),
+        "asked": F.least(F.lit(size), F.lit(rows) - batch * size).cast("int"),
     }).drop("__rank")
 
 
@@ -84,21 +91,19 @@ def align_responses(
     batched: DataFrame, responses: DataFrame, response_col: str = "response",
     classes: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every batched row with ``_label``, ``_confidence`` and ``_reason``.
+    """Every row of ``assign_batches`` with ``_label``, ``_confidence`` and ``_reason``.
 
     A response with exactly one item per text is trusted by position; otherwise
     items are matched by id (the position where it is missing), the last one
     wins, and a text nobody answered gets ("unknown", 0.0, "").
     """
-    parsed = responses.select("batch_id", parse_items(F.col(response_col)).alias("items"))
-    sizes = batched.groupBy("batch_id").agg(F.count(F.lit(1)).alias("asked"))
-    answers = sizes.join(parsed, "batch_id", "left")
+    items = parse_items(F.col(response_col))
+    parsed = responses.select("batch_id", items.alias("items"))
     numbered = F.transform("items", lambda x, i: F.struct(F.coalesce(x["id"], i).alias("n"), x.alias("x")))
-    answers = answers.select(
-        "batch_id", (F.size("items") == F.col("asked")).alias("in_order"), "items",
-        numbered.alias("numbered"),
+    answers = parsed.select("batch_id", "items", numbered.alias("numbered"))
+    rows = batched.join(answers, "batch_id", "left").withColumn(
+        "in_order", F.size("items") == F.col("asked")
     )
-    rows = batched.join(answers, "batch_id", "left")
     by_id = F.filter("numbered", lambda e: e["n"] == F.col("id"))
     hit = F.when(F.col("in_order"), F.get("items", F.col("id"))).otherwise(
         F.try_element_at(by_id, F.lit(-1))["x"]
@@ -156,7 +161,7 @@ def auto_label(
         if classes is None:
             classes = [r["class"] for r in infer_classes(df, text).collect()]
         responses = run_labeler(label_requests(batched, text, task, classes), labeler)
-    return align_responses(batched, responses).drop("batch_id", "id")
+    return align_responses(batched, responses).drop("batch_id", "id", "asked")
 
 
 def consistency_passes(

@@ -24,9 +24,15 @@ MIN_DF_LARGE = 3
 ENCODER_BATCH = 128
 # ------------------------------------------------------------------------------
 
+BROADCAST_TERMS = 1_000_000
+
 VECTOR = T.StructType([T.StructField("v", VectorUDT())])
 
 
+def _fingerprint(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("__h1"), F.xxhash64(F.lit(71), text).alias("__h2")]
+
+
 def min_df(rows: int) -> int:
     return next((df for below, df in MIN_DF_STEPS if rows < below), MIN_DF_LARGE)
 
@@ -75,12 +81,16 @@ def _weighted_terms(
 ) -> DataFrame:
     """``(key, keep…, cells, norm)``: the weighted known terms of each text, by index.
 
-    The vocabulary is at most ``MAX_TERMS`` rows, so it travels to the texts; a
+    The vocabulary travels to the texts. It is keyed by fingerprint, so a term
+    takes the same few bytes however long it is, and its size is checked. A
     text gathers only its own distinct terms.
     """
     names = [key, *keep]
-    counts = term_counts(df, key, text_col, keep)
-    known = counts.join(F.broadcast(model.vocabulary.select("term", "idx", "idf")), "term", "left")
+    vocabulary = model.vocabulary.select(*_fingerprint(F.col("term")), "idx", "idf")
+    if model.size <= BROADCAST_TERMS:
+        vocabulary = F.broadcast(vocabulary)
+    counts = term_counts(df, key, text_col, keep).select("*", *_fingerprint(F.col("term")))
+    known = counts.join(vocabulary, ["__h1", "__h2"], "left")
     weight = (1.0 + F.ln("tf")) * F.col("idf")
     cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "term", weight.alias("w")))
     return known.groupBy(*[col(c) for c in names]).agg(
@@ -129,8 +139,7 @@ def encode_distinct(
     ``encoder`` maps a list of texts to a matrix. Distinct texts are keyed by
     fingerprint, so copies cost one call and the join back shuffles no text twice.
     """
-    marks = [F.xxhash64(col(text_col)).alias("__h1"), F.xxhash64(F.lit(71), col(text_col)).alias("__h2")]
-    marked = df.select("*", *marks)
+    marked = df.select("*", *_fingerprint(col(text_col)))
     texts = marked.where(col(text_col).isNotNull()).groupBy("__h1", "__h2").agg(
         F.min(col(text_col)).alias("text"), F.count(F.lit(1)).alias("copies")
     )

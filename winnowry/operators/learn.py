@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from winnowry.functions.scores import entropy, margin
 from winnowry.functions.text import norm_label
 from winnowry.operators.agreement import evaluate
+from winnowry.operators.clean import BROADCAST_ROWS
 from winnowry.operators.models import Classifier, fit
 from winnowry.operators.ranking import MAX_CLASSES, hash_cutoffs, sample_n, seeded_hash
 from winnowry.schema import col
@@ -160,8 +161,8 @@ def run_cycle(
         if moved is None:
             known, rest = labeled, pool
         else:
-            # batch_size x iterations keys at most
-            keys = F.broadcast(moved)
+            asked = iteration * batch_size
+            keys = F.broadcast(moved) if asked <= BROADCAST_ROWS else moved
             known = labeled.select(shared).unionByName(
                 pool.join(keys, key, "left_semi").select(shared)
             )

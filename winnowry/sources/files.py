@@ -33,12 +33,14 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_any(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None,
+    multi_line: bool = True, json_arrays: bool = False,
 ) -> DataFrame:
     """CSV, JSON and Parquet files of one dataset as one table, columns united.
 
-    Files of one format are read together; pass ``schema`` to spare large text
-    files the extra pass that infers one.
+    Pass ``schema`` to spare large text files the extra pass that infers one, and
+    ``multi_line=False`` where no quoted CSV value holds a line break: Spark can
+    then split the file. ``json_arrays`` reads files that hold one JSON array.
     """
     by_format: dict[str, list[str]] = {}
     for path in paths:
@@ -51,12 +53,12 @@ def scan_any(
         elif kind == "csv":
             # one reader per file: headers may differ in order
             for path in group:
-                reader = spark.read.option("header", "true").option("multiLine", "true")
+                reader = spark.read.option("header", "true").option("multiLine", multi_line)
                 reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
                 frames.append(reader.csv(path))
         elif kind == "json":
             reader = spark.read.schema(schema) if schema else spark.read
-            frames.append(reader.json(group))
+            frames.append(reader.option("multiLine", json_arrays).json(group))
         else:
             raise ValueError(f"unknown file type: {group[0]}")
     return merge(frames)

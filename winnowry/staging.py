@@ -8,14 +8,30 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from winnowry.session import shared_folder
 
+_written: list[str] = []
+
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/winnowry/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables staged by this driver; returns their number.
+
+    For the end of a job: frames returned earlier may still read them.
+    """
+    configuration = spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(path.getFileSystem(configuration).delete(path, True))
+    return dropped
