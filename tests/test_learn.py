@@ -112,6 +112,11 @@ def test_split_is_disjoint_complete_and_proportional(spark):
     assert abs(count("test", "1.0") - 140) <= 1 and abs(count("labeled", "1.0") - 63) <= 1
 
 
+def test_nan_labels_are_no_class(spark):
+    df = spark.createDataFrame([(i, float(i % 2) if i < 20 else float("nan")) for i in range(30)], "k int, label double")
+    assert learn.stratified_split(df, "label", "k", n_start=4).count() == 20
+
+
 def test_split_with_a_class_of_one_row(spark):
     df = spark.createDataFrame([(i, "a") for i in range(20)] + [(20, "b")], "k int, label string")
     parts = learn.stratified_split(df, "label", "k", n_start=5).collect()

@@ -14,7 +14,7 @@ from winnowry.operators.agreement import evaluate
 from winnowry.operators.clean import BROADCAST_ROWS
 from winnowry.operators.models import Classifier, fit
 from winnowry.operators.ranking import MAX_CLASSES, hash_cutoffs, sample_n, seeded_hash
-from winnowry.schema import col
+from winnowry.schema import col, nan_to_null
 from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
@@ -55,7 +55,7 @@ def stratified_split(
     which test and labeled end are found by counting, so a class of any size is
     cut without ever being sorted as a whole. Rows without a label stay out.
     """
-    rows = df.withColumn("__y", norm_label(col(label_col))).where("__y is not null")
+    rows = nan_to_null(df).withColumn("__y", norm_label(col(label_col))).where("__y is not null")
     sizes = rows.groupBy("__y").count().limit(MAX_CLASSES + 1).collect()
     if len(sizes) > MAX_CLASSES:
         raise ValueError("too many classes: is this a label column?")
@@ -168,7 +168,7 @@ def run_cycle(
             )
             rest = pool.join(keys, key, "left_anti")
         fitted = fit(known, model, key, label_col, text_col, embedding_col, **fit_options)
-        truth = test.withColumn("y", norm_label(col(label_col))).where("y is not null")
+        truth = nan_to_null(test).withColumn("y", norm_label(col(label_col))).where("y is not null")
         scores = evaluate(fitted.predict(truth, ["y"]), "y", "y_pred").first()
         queried: list = []
         if iteration < iterations and n_pool > 0:

@@ -15,7 +15,7 @@ from winnowry.functions.text import norm_label
 from winnowry.jobs import side_by_side
 from winnowry.operators.features import TfidfModel, tfidf_fit, tfidf_transform
 from winnowry.operators.ranking import seeded_hash
-from winnowry.schema import col
+from winnowry.schema import col, nan_to_null
 from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
@@ -83,7 +83,7 @@ def fit(
     """Train on the labeled rows; rows without a label take no part."""
     if kind not in MODELS:
         raise ValueError(f"unknown model: {kind}")
-    rows = labeled.withColumn("__y", norm_label(col(label_col))).where("__y is not null")
+    rows = nan_to_null(labeled).withColumn("__y", norm_label(col(label_col))).where("__y is not null")
     sizes = rows.groupBy("__y").count().limit(MAX_MODEL_CLASSES + 1).collect()
     counts = {r["__y"]: r["count"] for r in sorted(sizes, key=lambda r: r["__y"])}
     if len(counts) < 2:

@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,11 +101,11 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
 
     if bounded_rows == BOUNDED_ROWS and sum(facts[f"n_{v}"] for v in names) <= ONE_TASK_VALUES:
         _read_off(values, [t for t in targets.values() if t.value is None], facts)
-    while True:
+    for attempt in count():
         wide = [t for t in targets.values() if t.value is None and t.bracket.inside > bounded_rows]
         if not wide:
             break
-        _narrow(values, wide, sample_rows)
+        _narrow(values, wide, sample_rows, SAMPLE_SEED + attempt)
     _pick(values, [t for t in targets.values() if t.value is None])
 
     result = {}
@@ -156,7 +157,7 @@ def _neighbours(targets: list[Target]) -> list[list[Target]]:
     return groups
 
 
-def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
+def _narrow(values: DataFrame, targets: list[Target], sample_rows: int, seed: int) -> None:
     """One sampling and one counting pass over all brackets still too wide."""
     slack = 3.0 / math.sqrt(sample_rows)
     groups = _neighbours(targets)
@@ -169,7 +170,7 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int) -> None:
         ends = F.array(F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack)))
         proposals.append(F.percentile(F.when(drawn[-1], F.col(b.column)), ends).alias(f"t{i}"))
     # rows no bracket draws are gone before they reach the aggregation
-    sampled = values.withColumn("draw", F.rand(SAMPLE_SEED)).where(reduce(or_, drawn))
+    sampled = values.withColumn("draw", F.rand(seed)).where(reduce(or_, drawn))
     ends = sampled.agg(*proposals).first()
 
     counts, cuts = [], []

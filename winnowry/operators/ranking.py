@@ -25,8 +25,7 @@ def _cut_points(df: DataFrame, order: Sequence[str], buckets: int, rows: int) ->
     wanted = buckets * BOUNDS_PER_BUCKET
     drawn = (
         df.select([col(c) for c in order]).dropna()
-        .sample(fraction=min(1.0, 1.2 * wanted / rows), seed=42)
-        .limit(2 * wanted).collect()
+        .sample(fraction=min(1.0, wanted / rows), seed=42).collect()
     )
     drawn = sorted(tuple(r) for r in drawn)
     step = max(1, len(drawn) // buckets)

@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cpus: int | str = 8, app: str = "winnowry") -> SparkSession:
     """A local session with AQE on, UTC time and one shuffle partition per core."""
@@ -40,6 +42,6 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="winnowry-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="winnowry-")
+    return _local_folders[context.applicationId]

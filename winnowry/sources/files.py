@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from winnowry.functions.text import norm_label
 from winnowry.operators.columns import find_label_col
-from winnowry.schema import RANKED_CATALOG, col
+from winnowry.schema import RANKED_CATALOG, col, nan_to_null
 
 # --- fixed values: where each stage looks for its input, in order ---------------
 RAW = "data/raw/combined.parquet"
@@ -130,7 +130,7 @@ def class_count(df: DataFrame, label_col: str | None = None) -> int:
     """Number of distinct normalised labels; 0 if there is no label column."""
     try:
         name = label_col or find_label_col(df)
-        labels = df.select(norm_label(col(name)).alias("label"))
+        labels = nan_to_null(df.select(col(name))).select(norm_label(col(name)).alias("label"))
     except Exception:
         return 0
     return labels.where("label is not null").distinct().count()
