@@ -91,6 +91,15 @@ def test_tfidf_vectors(spark):
     assert sorted(r["term"] for r in top.vocabulary.collect()) == ["cat", "dog"]
 
 
+@pytest.mark.parametrize("wanted", [1, 3, 4, 100])
+def test_large_vocabularies_are_cut_before_they_are_sorted(spark, monkeypatch, wanted):
+    rows = [(i, " ".join(f"w{j}" for j in range(1, 12) if i % j == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    plain = feat.tfidf_fit(df, "k", "text", wanted).vocabulary.collect()
+    monkeypatch.setattr(feat, "LARGE_ROWS", 0)
+    assert feat.tfidf_fit(df, "k", "text", wanted).vocabulary.collect() == plain
+
+
 def test_encoder_sees_each_text_once(spark):
     df = spark.createDataFrame([(i, "hot" if i % 3 else f"t{i}") for i in range(30)] + [(99, None)], "k int, text string")
 

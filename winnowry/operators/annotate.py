@@ -156,12 +156,20 @@ def auto_label(
     if (labeler is None) == (responses is None):
         raise ValueError("give a labeler or landed responses")
     text = text_col or find_text_col(df)
-    batched = assign_batches(df, key, batch_size)
     if responses is None:
         if classes is None:
             classes = [r["class"] for r in infer_classes(df, text).collect()]
-        responses = run_labeler(label_requests(batched, text, task, classes), labeler)
-    return align_responses(batched, responses).drop("batch_id", "id", "asked")
+        # only what a request shows is moved into batches
+        shown = df.select(col(key), F.substring(col(text), 1, REQUEST_CHARS).alias(text))
+        requests = label_requests(assign_batches(shown, key, batch_size), text, task, classes)
+        responses = run_labeler(requests, labeler)
+    # batches are rebuilt from the keys alone; the rows themselves move once, by key
+    answered = align_responses(assign_batches(df.select(col(key)), key, batch_size), responses)
+    given = ("_label", "_confidence", "_reason")
+    rows = df.drop(*given)
+    return rows.join(answered.select(col(key), *given), key, "left").select(
+        *[col(c) for c in rows.columns], *given
+    )
 
 
 def consistency_passes(

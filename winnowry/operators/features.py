@@ -25,6 +25,7 @@ ENCODER_BATCH = 128
 # ------------------------------------------------------------------------------
 
 BROADCAST_TERMS = 1_000_000
+LARGE_ROWS = 100_000
 
 VECTOR = T.StructType([T.StructField("v", VectorUDT())])
 
@@ -50,6 +51,18 @@ def term_counts(df: DataFrame, key: str, text_col: str, keep: Sequence[str] = ()
     return terms.groupBy(*names, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _frequent(terms: DataFrame, wanted: int) -> DataFrame:
+    """Terms that may be among the ``wanted`` most frequent: the rest is never sorted.
+
+    The table of frequencies has one row per distinct frequency, few however
+    many terms there are.
+    """
+    upto = F.sum("count").over(Window.orderBy(F.desc("cf")))
+    sizes = terms.groupBy("cf").count().withColumn("upto", upto)
+    least = sizes.where(F.col("upto") >= wanted).agg(F.max("cf")).first()[0]
+    return terms if least is None else terms.where(F.col("cf") >= least)
+
+
 @dataclass
 class TfidfModel:
     """Vocabulary ``(term, idx, df, idf)`` of at most ``MAX_TERMS`` rows."""
@@ -66,6 +79,8 @@ def tfidf_fit(labeled: DataFrame, key: str, text_col: str, max_terms: int = MAX_
     terms = counts.groupBy("term").agg(
         F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df")
     ).where(F.col("df") >= min_df(rows))
+    if rows > LARGE_ROWS:
+        terms = _frequent(stage(terms, "terms"), max_terms)
     top = terms.orderBy(F.desc("cf"), F.asc("term")).limit(max_terms)
     # at most max_terms rows are numbered in one task
     index = F.row_number().over(Window.orderBy("term")) - 1
@@ -140,9 +155,9 @@ def encode_distinct(
     fingerprint, so copies cost one call and the join back shuffles no text twice.
     """
     marked = df.select("*", *_fingerprint(col(text_col)))
-    texts = marked.where(col(text_col).isNotNull()).groupBy("__h1", "__h2").agg(
-        F.min(col(text_col)).alias("text"), F.count(F.lit(1)).alias("copies")
-    )
+    texts = marked.where(col(text_col).isNotNull()).groupBy(
+        "__h1", "__h2", col(text_col).alias("text")
+    ).agg(F.count(F.lit(1)).alias("copies"))
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
