@@ -209,6 +209,24 @@ def strategy_summary(spark, d):
     return learn.strategy_summary(history(spark, d), by=["strategy"])
 
 
+@BOOK.add("""WITH n AS (SELECT count(*) AS total, count(*) - CAST(ceil(0.2 * count(*)) AS BIGINT) - 50 AS pool FROM embeddings)
+SELECT 'random' AS strategy, CAST(it AS INTEGER) AS iteration, 50 + least(20 * it, pool) AS n_labeled,
+  CASE WHEN it < 2 THEN least(20, pool - least(20 * it, pool)) ELSE 0 END AS n_queried
+FROM n, (VALUES (0), (1), (2)) AS v(it)""")
+def run_cycle_sizes(spark, d):
+    """What a cycle moves; its scores depend on the solver and have no SQL."""
+    rows = table(spark, d, "embeddings")
+    parts = stage(learn.stratified_split(rows, "label", "vec_id", n_start=50), "split")
+    labeled, pool, test = (parts.where(F.col("split") == s).drop("split") for s in ("labeled", "pool", "test"))
+    cycle = learn.run_cycle(
+        labeled, pool, test, "random", "vec_id", "label", embedding_col="embedding",
+        model="embedding", iterations=2, batch_size=20,
+    )
+    return cycle.select(
+        "strategy", "iteration", "n_labeled", F.size("queried_keys").cast("bigint").alias("n_queried")
+    )
+
+
 # --- training: no SQL can say these ------------------------------------------------------------
 
 def _split(spark, d, n_start=100):
