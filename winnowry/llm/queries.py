@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import simhash_dedup
+from winnowry.llm import mixing, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +27,11 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=3, radius=2)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@_register
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+SQL["op4_mix_sources"] = mixing.SQL
