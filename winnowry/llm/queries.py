@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import mixing, simhash_dedup
+from winnowry.llm import mixing, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +35,8 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_mix_sources"] = mixing.SQL
+
+
+@_register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_words(_table(spark, sf_dir, "documents"))
