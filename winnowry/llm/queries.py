@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import mixing, simhash_dedup, substring_dedup
+from winnowry.llm import mixing, quality_gam, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +40,18 @@ SQL["op4_mix_sources"] = mixing.SQL
 @_register
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_words(_table(spark, sf_dir, "documents"))
+
+
+def labels_to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels outside the held-out part."""
+    return _table(spark, sf_dir, "labels").where(quality_gam.fold() != 1)
+
+
+@_register
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_gam.fit_quality(docs, labels_to_learn(spark, sf_dir))
+    return quality_gam.score_quality(docs, model).select(
+        "doc_id", (quality_gam.fold() == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
