@@ -64,4 +64,7 @@ def test_edge_rows(spark):
     found = gam.score_quality(docs, model).collect()
     assert len(found) == 5 and all(0 <= r["score"] <= 1 for r in found)
     assert found[0]["score"] == found[1]["score"]
+    kept = gam.accepted(docs, model, 0.0)
+    assert kept.schema == docs.schema and sorted(kept.collect(), key=str) == sorted(docs.collect(), key=str)
+    assert gam.accepted(docs, model, 1.1).count() == 0
     assert gam.score_quality(docs.limit(0), gam.fit_quality(docs.limit(0), labels.limit(0))).count() == 0

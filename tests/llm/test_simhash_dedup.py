@@ -81,3 +81,58 @@ def test_edge_rows(spark):
     assert groups[9] == groups[8] and groups[9][1] == 8
     assert groups[7][1] == 7 and groups[None][1] is None and groups[6][1] == 6
     assert simhash_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def shingle_set(text, words=5):
+    found = (text or "").encode().lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def test_near_copies_against_all_pairs(spark):
+    """Links may be missed only by the fingerprints, which is rare; none is made up."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r["doc_id"]: shingle_set(r["text"]) for r in docs.collect()}
+    places = {}
+    for i, s in sets.items():
+        for x in s or {None}:
+            places.setdefault(x, []).append(i)
+    shared = {}
+    for ids in places.values():
+        for n, j in enumerate(ids):
+            for i in ids[:n]:
+                shared[i, j] = shared.get((i, j), 0) + 1
+    links = [p for p, n in shared.items() if n >= 0.8 * len(sets[p[0]] | sets[p[1]])]
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    exact = {i: find(i) for i in sets}
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    assert set(found) == set(exact) and len(links) > 20
+    assert all(exact[i] == exact[c] for i, c in found.items())
+    grouped = [i for i in exact if exact[i] != i]
+    assert sum(found[i] == exact[i] for i in grouped) >= 0.98 * len(grouped)
+    kept = {r["doc_id"] for r in simhash_dedup.one_of_each(docs).collect()}
+    assert kept == {i for i, c in found.items() if i == c}
+
+
+def test_one_of_each_edge_rows(spark):
+    base = [f"w{i}" for i in range(300)]
+    changed = " ".join(base[:150] + ["x"] + base[151:])
+    far = " ".join(base[:150] + [f"y{i}" for i in range(150)])
+    rows = [
+        (9, " ".join(base), "a", 1), (4, changed.upper(), "b", 2), (5, far, None, 3), (6, None, "c", 4), (7, "", "d", 5),
+        (8, "two words", "e", 6), (8, "two words", "e", 6), (10, "two  WORDS", "f", None), (None, changed, "g", 7),
+        (11, "long " * 200_000, "h", 8),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id string, component_id int")
+    kept = simhash_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([4, 5, 6, 8, 8, None, 11], key=str)
+    assert simhash_dedup.one_of_each(docs.limit(0)).count() == 0

@@ -287,6 +287,17 @@ def score_quality(docs: DataFrame, model: Additive) -> DataFrame:
     return docs.select("doc_id", text_bytes()).mapInArrow(per_batch, "doc_id bigint, score double")
 
 
+def accepted(docs: DataFrame, model: Additive, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``least`` or more, with the same columns."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, x in _feature_batches(batches):
+            kept = batch.select(range(batch.num_columns - 1))
+            yield kept.filter(pa.array(model.score(x) >= least, pa.bool_()))
+
+    return docs.withColumn("__text", text_bytes()).mapInArrow(per_batch, docs.schema)
+
+
 def fold(doc_id: str = "doc_id", parts: int = 3):
     """The part a document falls in: crc32 of its id as text; a null id falls in none."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(parts))

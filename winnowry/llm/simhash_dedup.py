@@ -15,16 +15,23 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnowry.llm.common import (
-    buffers, checked_broadcast, join_hashes, mix, row_groups, text_bytes, word_hashes, word_spans,
+    buffers, checked_broadcast, join_hashes, row_groups, text_bytes,
 )
 from winnowry.llm.components import connected_components
+from winnowry.llm.substring_dedup import Words, distinct_in_rows, run_hashes
 from winnowry.staging import stage
 
 SEED = 42
+SHINGLE = 5
+SIMILARITY = 0.8
+BITS, TABLES = 40, 5  # of the fingerprints that propose near copies
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -76,9 +83,10 @@ def ball(bits: int, radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def variants(fp: Column, bits: int, radius: int) -> Column:
-    """One row per value within ``radius`` bits of ``fp``."""
-    return F.explode(F.lit(ball(bits, radius))).bitwiseXOR(fp)
+def with_variants(prints: DataFrame, fp: str, bits: int, radius: int) -> DataFrame:
+    """One row per value within ``radius`` bits of ``fp``, as ``variant``."""
+    masked = prints.withColumn("__mask", F.explode(F.lit(ball(bits, radius))))
+    return masked.withColumn("variant", F.col(fp).bitwiseXOR(F.col("__mask"))).drop("__mask")
 
 
 def fingerprint_links(classes: DataFrame, radius: int = 2) -> DataFrame:
@@ -90,9 +98,8 @@ def fingerprint_links(classes: DataFrame, radius: int = 2) -> DataFrame:
     """
     if radius % 2:
         raise ValueError("the radius must be even: balls of half the radius meet in the middle")
-    mask = F.explode(F.lit(ball(64, radius // 2))).alias("mask")
-    emitted = classes.select("fp", "first", mask).select(
-        F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), F.struct("first", "fp").alias("node")
+    emitted = with_variants(classes.select("fp", "first"), "fp", 64, radius // 2).select(
+        "variant", F.struct("first", "fp").alias("node")
     )
     head = F.min("node").over(Window.partitionBy("variant"))
     return (
@@ -119,3 +126,138 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
         "fp", F.coalesce("component_id", "first").alias("component_id")
     )
     return printed.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def table_prints(words: Words, rows: int) -> np.ndarray:
+    """``(rows, TABLES)`` fingerprints of ``BITS`` bits: votes of each text's distinct words."""
+    kept = distinct_in_rows(words.rows, words.h)
+    terms, row = words.h[kept], words.rows[kept]
+    size = BITS * TABLES
+    ones = np.zeros((rows, size), np.int64)
+    for first in range(0, len(terms), 1 << 15):
+        part, owner = terms[first : first + (1 << 15)], row[first : first + (1 << 15)]
+        salted = [join_hashes(part, part, i) for i in range(-(-size // 64))]
+        bits = np.unpackbits(np.column_stack(salted).view(np.uint8), axis=1)[:, :size]
+        begins = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        ones[owner[begins]] += np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
+    voted = 2 * ones > np.bincount(row, minlength=rows)[:, None]
+    weights = np.int64(1) << np.arange(BITS, dtype=np.int64)
+    return voted.reshape(rows, TABLES, BITS) @ weights
+
+
+def _copy_prints(docs: DataFrame) -> DataFrame:
+    """``(id, a, b, words, prints)``: 128 bits of the lower-cased word sequence, and table fingerprints."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(1))
+            for first, last in row_groups(offsets, 1 << 20):
+                low, high = offsets[first], offsets[last]
+                words = Words(_LOWER[data[low:high]], offsets[first : last + 1] - low, 1)
+                a, b = words.sequence_hashes()
+                prints = table_prints(words, last - first)
+                ends = pa.array(np.arange(last - first + 1, dtype=np.int32) * TABLES)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first), pa.array(a.view(np.int64)),
+                        pa.array(b.view(np.int64)), pa.array(np.diff(words.first)),
+                        pa.ListArray.from_arrays(ends, pa.array(prints.reshape(-1))),
+                    ],
+                    names=["id", "a", "b", "words", "prints"],
+                )
+
+    return docs.select(F.col("doc_id").cast("bigint"), text_bytes()).mapInArrow(
+        per_batch, "id bigint, a bigint, b bigint, words bigint, prints array<bigint>"
+    )
+
+
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """``(id, shingles)``: sorted distinct 32-bit hashes of runs of ``SHINGLE`` words, as bytes.
+
+    A text with fewer words has its whole sequence as its one shingle. Two of n
+    shingles share a hash with a chance of n * n / 2**33.
+    """
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(1))
+            found = []
+            for first, last in row_groups(offsets):
+                low = offsets[first]
+                words = Words(_LOWER[data[low : offsets[last]]], offsets[first : last + 1] - low, SHINGLE)
+                for s, e in zip(words.first, words.first[1:]):
+                    runs = run_hashes(words.h[s:e], min(SHINGLE, e - s)) if e > s else words.h[:0]
+                    found.append(np.unique(runs.astype(np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+
+    return texts.mapInArrow(per_batch, "id bigint, shingles binary")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose shingle sets overlap enough."""
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            close = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                close.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.filter(pa.array(close, pa.bool_())).select([0, 1])
+
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return joined.mapInArrow(per_batch, "a bigint, b bigint")
+
+
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(id, component_id)`` per row of ``docs`` with a ``doc_id``: groups of equal or similar texts.
+
+    Texts with the same lower-cased words are one class. Of each class one
+    document emits, in ``TABLES`` tables, all variants within one bit of a
+    fingerprint of its distinct words; on each variant a document is paired with
+    the first and with the one before it. Pairs whose sets of ``SHINGLE``-word
+    shingles have a Jaccard similarity of ``similarity`` or more are linked.
+    Texts without words are copies of each other. A null ``doc_id`` takes no part.
+    """
+    printed = stage(_copy_prints(docs.where("doc_id IS NOT NULL")), "prints")
+    sequence = ["a", "b", "words"]
+    classes = stage(
+        printed.groupBy(*sequence).agg(F.min(F.struct("id", "prints")).alias("head"))
+        .select(*sequence, F.col("head.id").alias("first"), F.col("head.prints").alias("prints")), "classes",
+    )
+    tables = classes.where("words > 0").select("first", F.posexplode("prints").alias("table", "fp"))
+    keyed = tables.select("first", (F.shiftleft(F.col("table").cast("bigint"), BITS) + F.col("fp")).alias("key"))
+    equal = keyed.groupBy("key").agg(F.min("first").alias("first"))
+    emitted = with_variants(equal, "key", BITS, 1).select("variant", "first")
+    on = Window.partitionBy("variant")
+    met = emitted.select(
+        F.col("first").alias("a"), F.min("first").over(on).alias("b"),
+        F.lag("first").over(on.orderBy("first")).alias("c"),
+    ).where("a != b")
+    pair = F.explode(F.array_distinct(F.array("b", "c"))).alias("b")
+    same = keyed.join(equal.withColumnRenamed("first", "b"), "key").where("first != b")
+    pairs = stage(
+        met.select("a", pair).where("a != b").union(same.select(F.col("first").alias("a"), "b")).distinct(), "pairs"
+    )
+    named = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes().alias("text"))
+    sets = _shingle_sets(texts.join(checked_broadcast(named), "id")).groupBy("id").agg(F.min("shingles").alias("shingles"))
+    links = _similar(pairs, stage(sets, "shingles"), similarity)
+    grouped = connected_components(links).withColumnRenamed("id", "member")
+    found = classes.join(grouped, F.col("first") == F.col("member"), "left").select(
+        *sequence, F.coalesce("component_id", "first").alias("component_id")
+    )
+    return printed.join(found, sequence).select("id", "component_id")
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` without near copies: of each group the smallest ``doc_id`` stays.
+
+    Rows that repeat a ``doc_id`` stay or go together; a null ``doc_id`` stays.
+    """
+    groups = stage(near_copies(docs, similarity), "groups")
+    gone = groups.groupBy(F.col("id").alias("__id")).agg(F.min("component_id").alias("least")).where("__id != least")
+    gone = stage(gone.select("__id"), "gone")
+    return docs.join(checked_broadcast(gone), F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
