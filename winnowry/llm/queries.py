@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import byte_bpe, mixing, quality_gam, simhash_dedup, substring_dedup
+from winnowry.llm import byte_bpe, mixing, quality_gam, simhash_dedup, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +62,9 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@_register
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.id_digests(token_files.write_ids(_table(spark, sf_dir, "documents"), path, end_id=2))
