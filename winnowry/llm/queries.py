@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import byte_bpe, mixing, quality_gam, simhash_dedup, substring_dedup, token_files
+from winnowry.llm import byte_bpe, mixing, ppm, quality_gam, simhash_dedup, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,3 +68,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.id_digests(token_files.write_ids(_table(spark, sf_dir, "documents"), path, end_id=2))
+
+
+@_register
+def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.language_scores(_table(spark, sf_dir, "documents"), "crc32(CAST(doc_id AS STRING)) % 7 = 2")
