@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowry.llm import byte_bpe, mixing, ppm, quality_gam, simhash_dedup, substring_dedup, token_files
+from winnowry.llm import (
+    byte_bpe, fingerprints, mixing, ppm, quality_gam, simhash_dedup, substring_dedup, token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,3 +75,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.language_scores(_table(spark, sf_dir, "documents"), "crc32(CAST(doc_id AS STRING)) % 7 = 2")
+
+
+@_register
+def op6_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.hex_digits("fp").alias("fingerprint"),
+        fingerprints.hex_digits("edited_fp").alias("edited_fingerprint"),
+        fingerprints.likeness("fp", "edited_fp").alias("near_edited"),
+        fingerprints.likeness("fp", "next_fp").alias("near_next"),
+    )
