@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry.llm import (
-    byte_bpe, fingerprints, mixing, ppm, quality_gam, simhash_dedup, substring_dedup, token_files,
+    byte_bpe, embedding_dedup, fingerprints, mixing, ppm, quality_gam, simhash_dedup, substring_dedup,
+    token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,29 @@ def op6_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness("fp", "edited_fp").alias("near_edited"),
         fingerprints.likeness("fp", "next_fp").alias("near_next"),
     )
+
+
+@_register
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+SQL["op5_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT a AS vec_id, b AS other FROM links
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), component AS (
+  SELECT e.vec_id, least(e.vec_id, min(r.other)) AS component_id
+  FROM embeddings e LEFT JOIN reach r ON e.vec_id = r.vec_id GROUP BY e.vec_id
+), counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM component c LEFT JOIN counted ON c.vec_id = counted.vec_id
+"""
