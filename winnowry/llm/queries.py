@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry.llm import (
-    byte_bpe, embedding_dedup, fingerprints, mixing, ppm, quality_gam, simhash_dedup, substring_dedup,
-    token_files,
+    byte_bpe, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam, simhash_dedup,
+    substring_dedup, token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ WITH RECURSIVE v AS (
 SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
 FROM component c LEFT JOIN counted ON c.vec_id = counted.vec_id
 """
+
+
+@_register
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.train_labeller(pages))
