@@ -217,7 +217,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, first: int = FIRST,
     seen = stage(_summaries(known, length, first), "windows")
     long = seen.where(F.col("words") >= length)
     owners = long.groupBy("a", "b", "words").agg(F.min("id").alias("owner"), F.count("*").alias("n"))
-    same = long.select("id", "a", "b", "words").join(owners.where("n > 1"), ["a", "b", "words"], "left")
+    several = checked_broadcast(stage(owners.where("n > 1").drop("n"), "owners"), rows)
+    same = long.select("id", "a", "b", "words").join(several, ["a", "b", "words"], "left")
     copies = stage(
         same.groupBy("id").agg(F.bool_and(F.coalesce(F.col("id") > F.col("owner"), F.lit(False))).alias("copy"))
         .where("copy").select("id"), "copies",
