@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: dict[str, str] = {}
+FOLDER = "winnowry.folder"
 
 
 def local_session(cpus: int | str = 8, app: str = "winnowry") -> SparkSession:
@@ -28,20 +28,28 @@ def local_session(cpus: int | str = 8, app: str = "winnowry") -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can see, as named by ``spark.checkpoint.dir``.
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Name the folder for intermediate tables; one that ``spark.checkpoint.dir`` names goes first."""
+    spark.conf.set(FOLDER, path)
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """For tests and registered queries: name a folder of this machine if none is named.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would be invisible to the other executors.
+    Only a local session gets one; on a cluster other executors would not see it.
     """
-    context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="winnowry-")
-    return _local_folders[context.applicationId]
+    if folder_of(spark) is None and spark.sparkContext.master.split("[")[0] == "local":
+        use_folder(spark, f"/tmp/winnowry-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}")
+
+
+def folder_of(spark: SparkSession) -> str | None:
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return configured or spark.conf.get(FOLDER, None)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can see, as named by ``spark.checkpoint.dir`` or ``use_folder``."""
+    folder = folder_of(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir, or call use_folder, to name a folder shared by all executors")
+    return folder

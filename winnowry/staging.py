@@ -7,6 +7,7 @@ folder; the jobs then read only the columns they need.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,17 +22,28 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/winnowry/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables staged by this driver; returns their number.
+def staged_so_far() -> int:
+    """A mark for ``drop_staged``: what was staged before it stays."""
+    return len(_written)
 
-    For the end of a job: frames returned earlier may still read them.
+
+def drop_staged(spark: SparkSession, since: int = 0, keep: Iterable[DataFrame] = ()) -> int:
+    """Delete the tables staged by this driver after a mark; returns their number.
+
+    For the end of a job: frames that still read a staged table must be written,
+    held by the driver, or named in ``keep``.
     """
     configuration = spark._jsc.hadoopConfiguration()
+    kept = {getattr(df, "staged_path", None) for df in keep}
     dropped = 0
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        dropped += bool(path.getFileSystem(configuration).delete(path, True))
+    for name in _written[since:]:
+        if name not in kept:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            dropped += bool(path.getFileSystem(configuration).delete(path, True))
+            _written.remove(name)
     return dropped
