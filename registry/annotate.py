@@ -79,10 +79,24 @@ def assign_batches(spark, d):
     return batched(spark, d).select("doc_id", "batch_id", "id")
 
 
-@BOOK.add(f"""WITH {NUMBERED} SELECT batch_id, id, substring(text, 1, 500) AS text, CAST(asked AS INTEGER) AS size
-FROM batched JOIN sizes USING (batch_id)""")
+def requests_sql(text: str) -> str:
+    return f"""WITH {NUMBERED} SELECT batch_id, id, {text} AS text, CAST(asked AS INTEGER) AS size
+    FROM batched JOIN sizes USING (batch_id)"""
+
+
+@BOOK.add(requests_sql("text"))
 def label_requests(spark, d):
-    requests = ann.label_requests(batched(spark, d), "text", "language", ["en", "de"])
+    return _requests(spark, d, None)
+
+
+@BOOK.add(requests_sql("substring(text, 1, 500)"))
+def label_requests_500(spark, d):
+    """A caller's limit of 500 characters a text."""
+    return _requests(spark, d, 500)
+
+
+def _requests(spark, d, chars):
+    requests = ann.label_requests(batched(spark, d), "text", "language", ["en", "de"], chars)
     texts = F.from_json(F.get_json_object("request", "$.texts"), "array<struct<id: int, text: string>>")
     return requests.select("batch_id", "size", F.explode(texts).alias("t")).select(
         "batch_id", "t.id", "t.text", "size"
@@ -139,6 +153,31 @@ def align_responses(spark, d):
     return done.select("doc_id", "_label", "_confidence", "_reason")
 
 
+@BOOK.add(ALIGNED)
+def align_repeated(spark, d):
+    """Every batch answered three times: unreadably, readably, and unreadably again later."""
+    good = responses(spark, d).withColumn("attempt", F.lit(2))
+    bad = good.select("batch_id", F.explode(F.array(
+        F.struct(F.lit("none yet").alias("response"), F.lit(1).alias("attempt")),
+        F.struct(F.lit("").alias("response"), F.lit(3).alias("attempt")),
+    )).alias("r")).select("batch_id", "r.response", "r.attempt")
+    done = ann.align_responses(batched(spark, d), good.unionByName(bad))
+    return done.select("doc_id", "_label", "_confidence", "_reason")
+
+
+@BOOK.add(f"""WITH {NUMBERED} SELECT doc_id, lang AS _label, CASE WHEN n_chars % 3 = 0 THEN 0.5 ELSE (n_chars % 100) / 100.0::DOUBLE END AS _confidence,
+'' AS _reason FROM batched""")
+def text_confidences(spark, d):
+    """Confidences given as texts, some of which hold no number."""
+    rows = batched(spark, d)
+    number = ((F.col("n_chars") % 100) / 100.0).cast("string")
+    said = F.when(F.col("n_chars") % 6 == 0, F.lit("high")).when(F.col("n_chars") % 3 == 0, F.lit("NaN")).otherwise(number)
+    item = F.struct("id", F.col("lang").alias("label"), said.alias("confidence"))
+    landed = rows.groupBy("batch_id").agg(F.to_json(F.array_sort(F.collect_list(item))).alias("response"))
+    done = ann.align_responses(rows, landed)
+    return done.select("doc_id", "_label", "_confidence", "_reason")
+
+
 @BOOK.add(ALIGNED)
 def auto_label(spark, d):
     """The whole labeling step over landed responses."""
@@ -153,22 +192,55 @@ def length_labeler():
     def label(request: str) -> str:
         texts = json.loads(request)["texts"]
         return json.dumps([
-            {"id": t["id"], "label": str(int(len(t["text"]) > 300)), "confidence": 0.9, "reason": "length"}
+            {"id": t["id"], "label": str(int(len(t["text"]) > 1000)), "confidence": 0.9, "reason": "length"}
             for t in texts
         ])
 
     return label  # a closure, so that executors need not import this module
 
 
-@BOOK.add("""SELECT doc_id, CASE WHEN length(substring(text, 1, 500)) > 300 THEN '1' ELSE '0' END AS _label,
-CAST(0.9 AS DOUBLE) AS _confidence, 'length' AS _reason FROM documents""")
-def auto_label_callable(spark, d):
+def flaky_labeler():
+    """The stand-in labeler, but the first answer to every request is no JSON."""
+    steady, asked = length_labeler(), set()
+
+    def label(request: str) -> str:
+        if request in asked:
+            return steady(request)
+        asked.add(request)
+        return "Sure, here you go:"
+
+    return label
+
+
+def by_length_sql(text: str, over: int) -> str:
+    return f"""SELECT doc_id, CASE WHEN length({text}) > {over} THEN '1' ELSE '0' END AS _label,
+    CAST(0.9 AS DOUBLE) AS _confidence, 'length' AS _reason FROM documents"""
+
+
+def _by_length(spark, d, labeler, **how):
     done = ann.auto_label(
-        table(spark, d, "documents"), "doc_id", length_labeler(), task="length", classes=["0", "1"]
+        table(spark, d, "documents"), "doc_id", labeler, task="length", classes=["0", "1"], **how
     )
     return done.select("doc_id", "_label", "_confidence", "_reason")
 
 
+@BOOK.add(by_length_sql("text", 1000))
+def auto_label_callable(spark, d):
+    return _by_length(spark, d, length_labeler())
+
+
+@BOOK.add(by_length_sql("substring(text, 1, 500)", 1000))
+def auto_label_500(spark, d):
+    """A caller's limit of 500 characters: no text is long any more."""
+    return _by_length(spark, d, length_labeler(), chars=500)
+
+
+@BOOK.add(by_length_sql("text", 1000))
+def auto_label_flaky(spark, d):
+    """Each request is answered unreadably first; the second attempt counts."""
+    return _by_length(spark, d, flaky_labeler(), parallelism=3)
+
+
 # --- label statistics -----------------------------------------------------------------
 
 @BOOK.add("""SELECT CAST(toxic AS VARCHAR) AS label, count(*) AS "count",
@@ -177,21 +249,39 @@ def label_distribution(spark, d):
     return ann.label_distribution(table(spark, d, "labels"), "toxic")
 
 
-@BOOK.add(f"""WITH {AUTO} SELECT count(*) AS total, round(avg(_confidence), 4) AS mean, round(stddev_samp(_confidence), 4) AS std,
-round(quantile_cont(_confidence, 0.5), 6) AS median, min(_confidence) AS min, max(_confidence) AS max,
-count(*) FILTER (WHERE _confidence < 0.6) AS low_0_6, round(count(*) FILTER (WHERE _confidence < 0.6) / count(*) * 100, 1) AS low_0_6_pct,
-count(*) FILTER (WHERE _confidence < 0.7) AS low_0_7, round(count(*) FILTER (WHERE _confidence < 0.7) / count(*) * 100, 1) AS low_0_7_pct,
-max(_confidence) = 0 AS all_zero FROM auto""")
+STATS = """count(*) AS total, round(avg(c), 4) AS mean, round(stddev_samp(c), 4) AS std,
+round(quantile_cont(c, 0.5), 6) AS median, min(c) AS min, max(c) AS max,
+count(*) FILTER (WHERE c < 0.6) AS low_0_6, round(count(*) FILTER (WHERE c < 0.6) / count(*) * 100, 1) AS low_0_6_pct,
+count(*) FILTER (WHERE c < 0.7) AS low_0_7, round(count(*) FILTER (WHERE c < 0.7) / count(*) * 100, 1) AS low_0_7_pct,
+max(c) = 0 AS all_zero"""
+
+
+@BOOK.add(f"WITH {AUTO}, given AS (SELECT _confidence AS c FROM auto) SELECT {STATS} FROM given")
 def confidence_stats(spark, d):
     stats = ann.confidence_stats(auto_labeled(spark, d))
     return stats.withColumn("median", F.round("median", 6))
 
 
-@BOOK.add(f"""WITH {AUTO} SELECT doc_id, text, _label, _confidence, _reason FROM auto WHERE _confidence < 0.6 ORDER BY doc_id LIMIT 20""")
+@BOOK.add(f"WITH {AUTO}, gaps AS (SELECT CASE WHEN doc_id % 7 > 0 THEN _confidence END AS c FROM auto) SELECT {STATS} FROM gaps")
+def confidence_stats_nan(spark, d):
+    """Every seventh confidence is NaN, which is missing."""
+    rows = auto_labeled(spark, d).withColumn(
+        "_confidence", F.when(F.col("doc_id") % 7 > 0, F.col("_confidence")).otherwise(F.lit(float("nan")))
+    )
+    return ann.confidence_stats(rows).withColumn("median", F.round("median", 6))
+
+
+@BOOK.add(f"""WITH {AUTO} SELECT doc_id, text, _label, _confidence, _reason FROM auto WHERE _confidence < 0.6""")
 def low_confidence(spark, d):
     return ann.low_confidence(auto_labeled(spark, d), key="doc_id")
 
 
+@BOOK.add(f"""WITH {AUTO} SELECT doc_id, text, _label, _confidence, _reason FROM auto WHERE _confidence < 0.6 ORDER BY doc_id LIMIT 20""")
+def low_confidence_20(spark, d):
+    """The first 20 rows, as a caller may ask."""
+    return ann.low_confidence(auto_labeled(spark, d), n=20, key="doc_id")
+
+
 # --- agreement -------------------------------------------------------------------------
 
 @BOOK.add("""SELECT CAST(quality AS VARCHAR) AS a, CAST(toxic AS VARCHAR) AS b, count(*) AS "count" FROM labels GROUP BY 1, 2""")
@@ -233,6 +323,28 @@ def percent_agreement(spark, d):
     return agr.agreement(table(spark, d, "labels"), "quality", "toxic")
 
 
+GAPS = """gaps AS (SELECT CASE WHEN doc_id % 3 > 0 THEN quality END AS a, CASE WHEN doc_id % 5 > 0 THEN toxic END AS b FROM labels),
+judged AS (SELECT * FROM gaps WHERE a IS NOT NULL AND b IS NOT NULL)"""
+
+
+def _gaps(spark, d):
+    """Pairs of which either side, or both, may lack a label."""
+    return table(spark, d, "labels").select(
+        F.when(F.col("doc_id") % 3 > 0, F.col("quality")).alias("a"),
+        F.when(F.col("doc_id") % 5 > 0, F.col("toxic").cast("double")).otherwise(F.lit(float("nan"))).alias("b"),
+    )
+
+
+@BOOK.add(f"WITH {GAPS} SELECT count(*) AS n, round(avg(CASE WHEN a = b THEN 1.0 ELSE 0.0 END) * 100, 1) AS agreement_pct FROM judged")
+def percent_agreement_gaps(spark, d):
+    return agr.agreement(_gaps(spark, d), "a", "b")
+
+
+@BOOK.add(f"WITH {GAPS} SELECT * FROM {kappa_sql('judged', 'a', 'b')}")
+def cohens_kappa_gaps(spark, d):
+    return agr.cohens_kappa(_gaps(spark, d), "a", "b")
+
+
 @BOOK.add("""SELECT event_id, CASE WHEN value / 100 - 0.5 < 0 THEN 'poor (worse than chance)' WHEN value / 100 - 0.5 < 0.2 THEN 'slight'
 WHEN value / 100 - 0.5 < 0.4 THEN 'fair' WHEN value / 100 - 0.5 < 0.6 THEN 'moderate' WHEN value / 100 - 0.5 < 0.8 THEN 'substantial'
 ELSE 'almost perfect' END AS words FROM events""")
@@ -295,14 +407,14 @@ k AS (SELECT kappa, agreement_pct FROM {kappa_sql('both_labels', 'a', 'b')}), m
 SELECT m.*, k.*, {WORDS}, {LABELS_JSON} FROM m, k""")
 def check_quality(spark, d):
     human = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
-    return flat_metrics(ann.check_quality(auto_labeled(spark, d), human, key_col="doc_id"))
+    return flat_metrics(ann.check_quality(auto_labeled(spark, d), human, key_col="doc_id", label_maps=True))
 
 
 @BOOK.add(f"""WITH {AUTO}, {CONSISTENT}, m AS (SELECT {METRICS} FROM auto)
 SELECT m.*, kappa, row_agreement AS agreement_pct, {WORDS}, {LABELS_JSON} FROM m, consistent""")
 def check_quality_consistency(spark, d):
     runs = agr.self_consistency(passes(spark, d))
-    return flat_metrics(ann.check_quality(auto_labeled(spark, d), consistency=runs))
+    return flat_metrics(ann.check_quality(auto_labeled(spark, d), consistency=runs, label_maps=True))
 
 
 @BOOK.add(f"""WITH {AUTO} SELECT doc_id, _label AS auto, labels.quality AS human FROM auto JOIN labels USING (doc_id)""")
@@ -354,13 +466,27 @@ def labelstudio_ner(spark, d):
 
 # --- consistency run -------------------------------------------------------------------
 
-@BOOK.add("""SELECT doc_id AS key, p AS pass, CASE WHEN length(substring(text, 1, 500)) > 300 THEN '1' ELSE '0' END AS label
-FROM (SELECT * FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 30), (VALUES (1), (2), (3)) AS v(p)""")
-def consistency_passes(spark, d):
-    """A sampling operator: 30 rows, labeled three times by a steady labeler."""
+def passes_sql(rows: str) -> str:
+    return f"""SELECT doc_id AS key, p AS pass, CASE WHEN length(text) > 1000 THEN '1' ELSE '0' END AS label
+    FROM {rows}, (VALUES (1), (2), (3)) AS v(p)"""
+
+
+def _passes(spark, d, n):
     labeled = ann.auto_label(
         table(spark, d, "documents"), "doc_id", length_labeler(), task="length", classes=["0", "1"]
     )
     return ann.consistency_passes(
-        labeled, "doc_id", length_labeler(), "text", task="length", classes=["0", "1"]
+        labeled, "doc_id", length_labeler(), "text", n, task="length", classes=["0", "1"]
     )
+
+
+@BOOK.add(passes_sql("documents"))
+def consistency_passes(spark, d):
+    """All rows, labeled three times by a steady labeler."""
+    return _passes(spark, d, None)
+
+
+@BOOK.add(passes_sql("(SELECT * FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 30)"))
+def consistency_sample(spark, d):
+    """A sampling operator: 30 rows."""
+    return _passes(spark, d, 30)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from zlib import crc32
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -19,6 +19,11 @@ BOOK = Book()
 CATALOG_COLUMNS = "id, name, source, url, downloads, likes, size_category, license, description_raw, tags"
 
 
+def fresh(spark, name):
+    """A path that no other call or session writes to."""
+    return f"{shared_folder(spark)}/winnowry/{name}-{uuid.uuid4().hex}"
+
+
 def flat(df):
     """Tags as one text, so that both engines print them alike."""
     return df.withColumn("tags", F.array_join("tags", "|"))
@@ -51,7 +56,7 @@ zenodo AS (SELECT 'zenodo:' || doc_id AS id, lang || ' corpus ' || doc_id AS nam
   'https://zenodo.example/' || doc_id AS url, n_chars AS downloads, n_chars * 2 AS likes,
   ((n_chars * 1000 + 500000) // 1000000) || ' MB' AS size_category,
   CASE WHEN lang = 'fr' THEN 'unknown' ELSE 'cc-' || lang END AS license,
-  substring(text, 1, 200) AS description_raw,
+  text AS description_raw,
   CASE WHEN lang = 'de' THEN '' ELSE lang || '|' || source END AS tags FROM documents)"""
 
 
@@ -60,6 +65,12 @@ def zenodo_catalog(spark, d):
     return flat(src.zenodo_catalog(zenodo_pages(spark, d)))
 
 
+@BOOK.add(f"WITH {ZENODO} SELECT id, substring(description_raw, 1, 200) AS description_raw FROM zenodo")
+def zenodo_catalog_200(spark, d):
+    """Descriptions of 200 characters, as a caller may ask."""
+    return src.zenodo_catalog(zenodo_pages(spark, d), description_chars=200).select("id", "description_raw")
+
+
 def uci_pages(spark, d):
     """Small parts come as a bare list with the second id field, the rest as an object."""
     size = F.col("p_size")
@@ -285,7 +296,7 @@ UNION ALL SELECT CAST(c_custkey AS VARCHAR), NULL, c_mktsegment, NULL FROM custo
 UNION ALL SELECT CAST(r_regionkey AS VARCHAR), NULL, NULL, r_name FROM region""")
 def scan_any(spark, d):
     """The same tables written as three formats, read back as one dataset."""
-    base = f"{shared_folder(spark)}/winnowry/landed-{crc32(d.encode())}"
+    base = fresh(spark, "landed")
     key = lambda c: F.col(c).cast("string").alias("item_id")
     table(spark, d, "benchmark").select(key("item_id"), "text").write.mode("overwrite").parquet(f"{base}/a.parquet")
     table(spark, d, "customer").select(key("c_custkey"), "c_mktsegment").write.mode("overwrite").option("header", True).csv(f"{base}/b.csv")
@@ -323,7 +334,7 @@ def preview(spark, d):
 
 @BOOK.add("SELECT * FROM events")
 def write_stage(spark, d):
-    path = f"{shared_folder(spark)}/winnowry/stage-{crc32(d.encode())}.parquet"
+    path = fresh(spark, "stage") + ".parquet"
     files.write_stage(table(spark, d, "events"), path)
     return files.scan(spark, path)
 
@@ -331,7 +342,7 @@ def write_stage(spark, d):
 @BOOK.add("""SELECT 'combined_clean.parquet' AS annotation, 'combined.parquet' AS quality, count(*) AS rows FROM conversations""")
 def resolve_stage_input(spark, d):
     """Raw and clean stages written, then found again in the order of each stage."""
-    base = f"{shared_folder(spark)}/winnowry/topic-{crc32(d.encode())}"
+    base = fresh(spark, "topic")
     df = table(spark, d, "conversations")
     files.write_stage(df, f"{base}/{files.RAW}")
     files.write_stage(df, f"{base}/{files.CLEAN}")
@@ -342,7 +353,7 @@ def resolve_stage_input(spark, d):
 
 @BOOK.add(f"WITH {RANKED} SELECT id, name, source, downloads, relevance_score, t1 || '|' || t2 AS ml_tasks FROM ranked")
 def catalog_json_io(spark, d):
-    path = f"{shared_folder(spark)}/winnowry/found-{crc32(d.encode())}.json"
+    path = fresh(spark, "found") + ".json"
     files.write_catalog(ranked(spark, d), path)
     back = files.read_catalog(spark, path)
     return back.select(

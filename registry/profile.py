@@ -9,6 +9,7 @@ from registry.base import (
     zscore_bounds_sql,
 )
 from winnowry.operators import profile as p
+from winnowry.operators.quantiles import exact_quantiles
 from winnowry.schema import null_mask as null_mask_of
 from winnowry.schema import protected_columns as protected_of
 from winnowry.schema import stringify as stringify_of
@@ -99,9 +100,14 @@ def outliers_zscore_events(spark, d):
     return p.outlier_profile(table(spark, d, "events"), "zscore")
 
 
-@BOOK.add(outliers_sql("lineitem", LINEITEM_NUMBERS))
+PRICES = """(SELECT *, l_extendedprice / 10000 * (l_extendedprice / 10000) * (l_extendedprice / 10000) * (l_extendedprice / 10000) AS steep FROM lineitem)"""
+
+
+@BOOK.add(outliers_sql(PRICES, (*LINEITEM_NUMBERS, "steep")))
 def outliers_iqr_lineitem(spark, d):
-    return p.outlier_profile(table(spark, d, "lineitem"), "iqr")
+    """Numbers without outliers and one, a fourth power, with many."""
+    x = F.col("l_extendedprice") / 10000
+    return p.outlier_profile(table(spark, d, "lineitem").withColumn("steep", x * x * x * x), "iqr")
 
 
 @BOOK.add(f"""WITH {DOCS}
@@ -157,11 +163,45 @@ def box_sql(source, columns) -> str:
     )
 
 
-@BOOK.add(box_sql("lineitem", LINEITEM_NUMBERS[:6]))
+@BOOK.add(box_sql("lineitem", LINEITEM_NUMBERS))
 def box_stats(spark, d):
     return p.box_stats(table(spark, d, "lineitem"))
 
 
+@BOOK.add(box_sql("lineitem", LINEITEM_NUMBERS[:6]))
+def box_stats_6(spark, d):
+    """The first six numeric columns, as a caller may ask."""
+    return p.box_stats(table(spark, d, "lineitem"), 6)
+
+
+@BOOK.add(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.999) AS q999
+    FROM (SELECT CAST({c} AS DOUBLE) AS x FROM lineitem)""" for c in LINEITEM_NUMBERS
+))
+def quantiles_narrowed(spark, d):
+    """The way of large tables: brackets of at most 50 rows, found from small samples."""
+    found = exact_quantiles(
+        table(spark, d, "lineitem"), LINEITEM_NUMBERS, [0.25, 0.5, 0.999], bounded_rows=50, sample_rows=400
+    )
+    return spark.createDataFrame(
+        [(c, *q) for c, (_, q) in found.items()], "column string, q1 double, median double, q999 double"
+    )
+
+
+@BOOK.add("""SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT source, lang, n_chars // 500 FROM documents)) AS BIGINT) AS duplicates
+FROM documents""")
+def duplicates_map(spark, d):
+    """Rows that hold maps, alone and inside an array: equal maps are equal whatever their order."""
+    pairs = [F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")]
+    ordered, turned = F.create_map(*pairs), F.create_map(*pairs[2:], *pairs[:2])
+    even = F.col("doc_id") % 2 == 0
+    rows = table(spark, d, "documents").select(
+        F.when(even, ordered).otherwise(turned).alias("tags"), F.array(F.when(even, turned).otherwise(ordered)).alias("sets"),
+        F.floor(F.col("n_chars") / 500).alias("n"),
+    )
+    return p.duplicate_count(rows)
+
+
 def histogram_sql(source: str, x: str, bins: int = 20) -> str:
     return f"""WITH v AS (SELECT CAST({x} AS DOUBLE) AS x FROM {source} WHERE {x} IS NOT NULL),
     e AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,

@@ -126,7 +126,8 @@ def test_distribution_counts_unlabeled_rows_in_the_total(spark):
 
 def test_check_quality_without_human_or_consistency(spark):
     df = spark.createDataFrame([("a", 0.9), ("b", 0.3)], "_label string, _confidence double")
-    row = ann.check_quality(df).first()
+    row = ann.check_quality(df, label_maps=True).first()
+    assert "label_distribution" not in ann.check_quality(df).columns
     assert row["kappa"] == 0.0 and row["kappa_interpretation"] == "slight"
     assert row["label_distribution"] == {"a": 1, "b": 1} and row["label_distribution_pct"]["a"] == 50.0
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: patterns and lengths --------------------------------------
+# --- fixed values: patterns ---------------------------------------------------
 FENCE = "```"
 FENCED_BLOCK = r"(?s)```\w*\n?(.*?)```"
 FENCE_MARK = r"```\w*"
@@ -13,8 +13,6 @@ JSON_ARRAY = r"(?s)\[.*\]"
 CLASSES_SECTION = r"(?si)##\s*Classes(.*?)(##|\z)"
 BOLD_NAME = r"\*\*([^*]+)\*\*"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-DESCRIPTION_CHARS = 200
-REQUEST_CHARS = 500
 # ------------------------------------------------------------------------------
 
 EDGE_SPACE = r"^\s+|\s+$"
@@ -52,8 +50,9 @@ def json_array_slice(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, JSON_ARRAY, 0), F.lit(""))
 
 
-def truncate(c: Column, chars: int = DESCRIPTION_CHARS) -> Column:
-    return F.substring(c, 1, chars)
+def truncate(c: Column, chars: int | None = None) -> Column:
+    """The first ``chars`` characters; everything by default."""
+    return c if chars is None else F.substring(c, 1, chars)
 
 
 def spec_classes(c: Column) -> Column:

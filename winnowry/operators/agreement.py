@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.functions.text import norm_label
-from winnowry.schema import col
+from winnowry.schema import col, nan_to_null
 
 
 def confusion(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
@@ -36,6 +36,9 @@ def class_marginals(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> Da
 
 
 def _labels_as_text(df: DataFrame, a: str, b: str, normalize: bool, by: Sequence[str] = ()) -> DataFrame:
+    """Pairs with both labels; a side without a label (NULL or NaN) is no judgement to compare."""
+    df = nan_to_null(df)
+    df = df.where(col(a).isNotNull() & col(b).isNotNull())
     if not normalize:
         if df.schema[a].dataType == df.schema[b].dataType:
             return df
@@ -78,9 +81,9 @@ def cohens_kappa(
 
 
 def agreement(df: DataFrame, a: str, b: str, by: Sequence[str] = (), normalize: bool = True) -> DataFrame:
-    """Share of equal pairs in percent."""
+    """Share of equal pairs in percent; ``n`` counts the pairs with both labels."""
     pairs = _labels_as_text(df, a, b, normalize, by)
-    same = F.avg(F.when(col(a).eqNullSafe(col(b)), 1.0).otherwise(0.0))
+    same = F.avg(F.when(col(a) == col(b), 1.0).otherwise(0.0))
     return pairs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.round(same * 100, 1).alias("agreement_pct")
     )
@@ -157,21 +160,26 @@ def self_consistency(
 
 # --- predictions --------------------------------------------------------------
 
+def _judged(df: DataFrame, y: str, y_pred: str) -> DataFrame:
+    """Rows with both a true and a predicted class."""
+    return nan_to_null(df).where(col(y).isNotNull() & col(y_pred).isNotNull())
+
+
 def accuracy(df: DataFrame, y: str, y_pred: str) -> DataFrame:
     same = F.avg(F.when(col(y) == col(y_pred), 1.0).otherwise(0.0))
-    return df.agg(F.round(same, 4).alias("accuracy"))
+    return _judged(df, y, y_pred).agg(F.round(same, 4).alias("accuracy"))
 
 
 def macro_f1(df: DataFrame, y: str, y_pred: str) -> DataFrame:
     """Unweighted mean F1 over all true and predicted classes."""
     f1 = 2 * F.col("n_both") / (F.col("n_a") + F.col("n_b"))
-    return class_marginals(df, y, y_pred).agg(F.round(F.avg(f1), 4).alias("f1"))
+    return class_marginals(_judged(df, y, y_pred), y, y_pred).agg(F.round(F.avg(f1), 4).alias("f1"))
 
 
 def evaluate(df: DataFrame, y: str, y_pred: str) -> DataFrame:
     """Accuracy and macro F1 from a single pass over the predictions."""
     f1 = 2 * F.col("n_both") / (F.col("n_a") + F.col("n_b"))
-    return class_marginals(df, y, y_pred).agg(
+    return class_marginals(_judged(df, y, y_pred), y, y_pred).agg(
         F.round(F.sum("n_both") / F.sum("n_a"), 4).alias("accuracy"),
         F.round(F.avg(f1), 4).alias("f1"),
         F.sum("n_a").alias("n"),

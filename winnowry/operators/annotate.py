@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -9,17 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.functions.scores import interpret_kappa
-from winnowry.functions.text import REQUEST_CHARS, strip_fences
+from winnowry.functions.text import FENCE, FENCED_BLOCK, FENCE_MARK, strip_fences, truncate
 from winnowry.operators.agreement import cohens_kappa, self_consistency
 from winnowry.operators.columns import find_text_col, infer_classes
 from winnowry.operators.quantiles import exact_quantiles
 from winnowry.operators.ranking import global_rank, sample_n
-from winnowry.schema import col
+from winnowry.schema import col, nan_to_null
 from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
 BATCH_SIZE = 20
-CONSISTENCY_ROWS = 30
 CONSISTENCY_PASSES = 3
 ATTEMPTS = 2
 UNKNOWN = "unknown"
@@ -27,10 +28,9 @@ UNMATCHED_CONFIDENCE = 0.0
 DEFAULT_CONFIDENCE = 0.5
 LOW_CONFIDENCE = 0.6
 REPORT_LOW_CONFIDENCE = 0.7
-LOW_CONFIDENCE_ROWS = 20
 NO_LABEL = ("", "unknown", "nan")
 MODEL_VERSION = "AnnotationAgent-v1"
-RESPONSE_ITEMS = "array<struct<id: int, label: string, confidence: double, reason: string>>"
+RESPONSE_ITEMS = "array<struct<id: int, label: string, confidence: string, reason: string>>"
 # ------------------------------------------------------------------------------
 
 
@@ -53,11 +53,15 @@ def assign_batches(df: DataFrame, key: str, size: int = BATCH_SIZE) -> DataFrame
 
 
 def label_requests(
-    batched: DataFrame, text_col: str, task: str = "", classes: Sequence[str] = ()
+    batched: DataFrame, text_col: str, task: str = "", classes: Sequence[str] = (),
+    chars: int | None = None,
 ) -> DataFrame:
-    """One request per batch: ``(batch_id, size, request)``, the request as JSON text."""
+    """One request per batch: ``(batch_id, size, request)``, the request as JSON text.
+
+    Texts go in whole; ``chars`` sends only so many characters of each.
+    """
     item = F.struct(
-        F.col("id"), F.substring(F.coalesce(col(text_col), F.lit("")), 1, REQUEST_CHARS).alias("text")
+        F.col("id"), truncate(F.coalesce(col(text_col), F.lit("")), chars).alias("text")
     )
     grouped = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(item)).alias("texts"))
     body = F.struct(
@@ -70,9 +74,32 @@ def label_requests(
 
 
 def parse_items(response: Column) -> Column:
-    """Items of a response text, NULL unless it holds a JSON array."""
+    """Items of a response text, NULL unless it holds a JSON array.
+
+    A confidence may be a number or a text that holds one; anything else is missing.
+    """
     body = F.ltrim(strip_fences(response))
-    return F.when(F.startswith(body, F.lit("[")), F.from_json(body, RESPONSE_ITEMS))
+    items = F.when(F.startswith(body, F.lit("[")), F.from_json(body, RESPONSE_ITEMS))
+
+    def typed(x: Column) -> Column:
+        number = x["confidence"].try_cast("double")
+        return F.when(x.isNotNull(), F.struct(
+            x["id"].alias("id"), x["label"].alias("label"),
+            F.when(~F.isnan(number), number).alias("confidence"), x["reason"].alias("reason"),
+        ))
+
+    return F.transform(items, typed)
+
+
+def readable(response: str) -> bool:
+    """Whether a response holds a JSON array, bare or in a Markdown code block."""
+    if FENCE in response:
+        block = re.search(FENCED_BLOCK, response)
+        response = block[1] if block else re.sub(FENCE_MARK, "", response)
+    try:
+        return isinstance(json.loads(response), list)
+    except ValueError:
+        return False
 
 
 def parse_responses(responses: DataFrame, response_col: str = "response") -> DataFrame:
@@ -95,10 +122,15 @@ def align_responses(
 
     A response with exactly one item per text is trusted by position; otherwise
     items are matched by id (the position where it is missing), the last one
-    wins, and a text nobody answered gets ("unknown", 0.0, "").
+    wins, and a text nobody answered gets ("unknown", 0.0, ""). Of several
+    responses to one batch a readable one counts before an unreadable one, then
+    the latest ``attempt`` if there is such a column, then the last in text order.
     """
-    items = parse_items(F.col(response_col))
-    parsed = responses.select("batch_id", items.alias("items"))
+    items = parse_items(F.col("response"))
+    attempt = F.col("attempt") if "attempt" in responses.columns else F.lit(0)
+    given = responses.select("batch_id", attempt.alias("attempt"), col(response_col).alias("response"))
+    best = F.max_by("response", F.struct(items.isNotNull().alias("readable"), "attempt", "response"))
+    parsed = given.groupBy("batch_id").agg(best.alias("response")).select("batch_id", items.alias("items"))
     numbered = F.transform("items", lambda x, i: F.struct(F.coalesce(x["id"], i).alias("n"), x.alias("x")))
     answers = parsed.select("batch_id", "items", numbered.alias("numbered"))
     rows = batched.join(answers, "batch_id", "left").withColumn(
@@ -121,19 +153,28 @@ def align_responses(
     }).drop("__hit", "items", "numbered", "in_order")
 
 
-def run_labeler(requests: DataFrame, labeler: Callable[[str], str], pass_no: int = 0) -> DataFrame:
-    """Ask ``labeler`` (request text in, response text out) once per batch.
+def run_labeler(
+    requests: DataFrame, labeler: Callable[[str], str], pass_no: int = 0, parallelism: int | None = None
+) -> DataFrame:
+    """Ask ``labeler`` (request text in, response text out) for every batch.
 
     Answers are written down at once: a lost executor never pays for them again.
-    A call that fails twice leaves an empty response.
+    A call that fails, or answers with no JSON array, is made a second time; after
+    that the last answer stays, empty if there was none. Requests are dealt out
+    to ``parallelism`` tasks (one per core by default), however few bytes they are.
     """
+    tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
+
     def ask(request: str) -> str:
+        answer = ""
         for _ in range(ATTEMPTS):
             try:
-                return labeler(request) or ""
+                answer = labeler(request) or ""
             except Exception:
                 continue
-        return ""
+            if readable(answer):
+                break
+        return answer
 
     def ask_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -141,7 +182,7 @@ def run_labeler(requests: DataFrame, labeler: Callable[[str], str], pass_no: int
                 "batch_id": batch["batch_id"], "response": [ask(r) for r in batch["request"]]
             })
 
-    answered = requests.select("batch_id", "request").mapInPandas(
+    answered = requests.select("batch_id", "request").repartition(tasks).mapInPandas(
         ask_all, "batch_id bigint, response string"
     )
     return stage(answered, f"responses-{pass_no}")
@@ -150,9 +191,13 @@ def run_labeler(requests: DataFrame, labeler: Callable[[str], str], pass_no: int
 def auto_label(
     df: DataFrame, key: str, labeler: Callable[[str], str] | None = None,
     responses: DataFrame | None = None, task: str = "", classes: Sequence[str] | None = None,
-    text_col: str | None = None, batch_size: int = BATCH_SIZE,
+    text_col: str | None = None, batch_size: int = BATCH_SIZE, chars: int | None = None,
+    parallelism: int | None = None,
 ) -> DataFrame:
-    """Label every row by a callable or from landed responses ``(batch_id, response)``."""
+    """Label every row by a callable or from landed responses ``(batch_id, response)``.
+
+    Requests show whole texts, or ``chars`` characters of each.
+    """
     if (labeler is None) == (responses is None):
         raise ValueError("give a labeler or landed responses")
     text = text_col or find_text_col(df)
@@ -160,9 +205,9 @@ def auto_label(
         if classes is None:
             classes = [r["class"] for r in infer_classes(df, text).collect()]
         # only what a request shows is moved into batches
-        shown = df.select(col(key), F.substring(col(text), 1, REQUEST_CHARS).alias(text))
+        shown = df.select(col(key), truncate(col(text), chars).alias(text))
         requests = label_requests(assign_batches(shown, key, batch_size), text, task, classes)
-        responses = run_labeler(requests, labeler)
+        responses = run_labeler(requests, labeler, parallelism=parallelism)
     # batches are rebuilt from the keys alone; the rows themselves move once, by key
     answered = align_responses(assign_batches(df.select(col(key)), key, batch_size), responses)
     given = ("_label", "_confidence", "_reason")
@@ -174,16 +219,20 @@ def auto_label(
 
 def consistency_passes(
     labeled: DataFrame, key: str, labeler: Callable[[str], str], text_col: str,
-    n: int = CONSISTENCY_ROWS, passes: int = CONSISTENCY_PASSES, seed: int = 42,
+    n: int | None = None, passes: int = CONSISTENCY_PASSES, seed: int = 42,
     task: str = "", classes: Sequence[str] = (), batch_size: int = BATCH_SIZE,
+    chars: int | None = None, parallelism: int | None = None,
 ) -> DataFrame:
-    """Long table ``(key, pass, label)``: pass 1 is the main run on a sample, the rest is new."""
-    sample = stage(sample_n(labeled, n, key, seed), "consistency")
+    """Long table ``(key, pass, label)``: pass 1 is the main run, the rest is new.
+
+    All rows are labeled again, or a random sample of ``n``.
+    """
+    sample = stage(labeled if n is None else sample_n(labeled, n, key, seed), "consistency")
     out = sample.select(col(key).alias("key"), F.lit(1).alias("pass"), F.col("_label").alias("label"))
     batched = assign_batches(sample.drop("_label", "_confidence", "_reason"), key, batch_size)
-    requests = label_requests(batched, text_col, task, classes)
+    requests = label_requests(batched, text_col, task, classes, chars)
     for number in range(2, passes + 1):
-        again = align_responses(batched, run_labeler(requests, labeler, number))
+        again = align_responses(batched, run_labeler(requests, labeler, number, parallelism))
         out = out.unionByName(again.select(
             col(key).alias("key"), F.lit(number).alias("pass"), F.col("_label").alias("label")
         ))
@@ -213,12 +262,12 @@ def confidence_stats(
 ) -> DataFrame:
     """One row: mean, std, median, min, max and the rows below each threshold.
 
-    Without the column every row counts as 0.5; ``all_zero`` flags a run that
-    failed silently.
+    Without the column every row counts as 0.5; NaN is missing like NULL;
+    ``all_zero`` flags a run that failed silently.
     """
     if confidence_col not in df.columns:
         df = df.withColumn(confidence_col, F.lit(DEFAULT_CONFIDENCE))
-    scores = df.select(col(confidence_col).cast("double").alias("c"))
+    scores = nan_to_null(df.select(col(confidence_col).cast("double").alias("c")))
     median = exact_quantiles(scores, ["c"], [0.5])["c"][1]
     below = []
     for t in thresholds:
@@ -236,15 +285,17 @@ def confidence_stats(
 
 
 def low_confidence(
-    df: DataFrame, threshold: float = LOW_CONFIDENCE, n: int = LOW_CONFIDENCE_ROWS,
+    df: DataFrame, threshold: float = LOW_CONFIDENCE, n: int | None = None,
     text_col: str = "text", key: str | None = None,
 ) -> DataFrame:
-    """The first rows whose confidence is below the threshold, for review."""
+    """Rows whose confidence is below the threshold, for review: all, or the first ``n`` by ``key``."""
+    if n is not None and key is None:
+        raise ValueError("the first rows need a key to be ordered by")
     rows = df.where(F.col("_confidence") < threshold)
     names = ([key] if key else []) + [text_col, "_label", "_confidence", "_reason"]
-    if key:
-        rows = rows.orderBy(col(key))
-    return rows.limit(n).select([col(c) for c in names])
+    if n is not None:
+        rows = rows.orderBy(col(key)).limit(n)
+    return rows.select([col(c) for c in names])
 
 
 def auto_vs_human(
@@ -260,12 +311,13 @@ def auto_vs_human(
 def check_quality(
     auto: DataFrame, human: DataFrame | None = None, consistency: DataFrame | None = None,
     key_col: str | None = None, label_col: str = "_label", human_col: str = "label",
-    confidence_col: str = "_confidence", threshold: float = LOW_CONFIDENCE,
+    confidence_col: str = "_confidence", threshold: float = LOW_CONFIDENCE, label_maps: bool = False,
 ) -> DataFrame:
-    """One row of ten annotation metrics.
+    """One row of annotation metrics.
 
     Kappa and agreement come from human labels if given, else from a
-    consistency run.
+    consistency run. ``label_maps`` adds the label distribution as two maps, for
+    label sets known to be small; ``label_distribution`` is the table for any.
     """
     low = f"low_{str(threshold).replace('.', '_')}"
     facts = confidence_stats(auto, confidence_col, [threshold]).select(
@@ -273,10 +325,6 @@ def check_quality(
         F.col("std").alias("confidence_std"), F.col(low).alias("low_confidence_count"),
         F.col(f"{low}_pct").alias("low_confidence_pct"), F.col("total").alias("total_labeled"),
     )
-    labels = label_distribution(auto, label_col).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "count")))).alias("label_distribution"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "pct")))).alias("label_distribution_pct"),
-    ).withColumn("one", F.lit(1))
     if human is not None:
         pairs = auto_vs_human(auto, human, key_col, label_col, human_col)
         kappa = cohens_kappa(pairs, "auto", "human").select("kappa", "agreement_pct")
@@ -285,7 +333,13 @@ def check_quality(
     else:
         kappa = auto.sparkSession.createDataFrame([(0.0, 0.0)], "kappa double, agreement_pct double")
     kappa = kappa.withColumn("one", F.lit(1))
-    joined = facts.join(labels, "one").join(kappa, "one").drop("one")
+    joined = facts.join(kappa, "one")
+    if label_maps:
+        joined = joined.join(label_distribution(auto, label_col).agg(
+            F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "count")))).alias("label_distribution"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "pct")))).alias("label_distribution_pct"),
+        ).withColumn("one", F.lit(1)), "one")
+    joined = joined.drop("one")
     return joined.withColumn("kappa_interpretation", interpret_kappa(F.col("kappa")))
 
 

@@ -21,7 +21,6 @@ SIGMA_FACTOR = 3
 MIN_VALUES = 4
 STRING_CLASSES = 20
 NUMERIC_CLASSES = 10
-BOX_COLUMNS = 6
 HISTOGRAM_BINS = 20
 # ------------------------------------------------------------------------------
 
@@ -73,6 +72,21 @@ def missing_sorted(df: DataFrame) -> DataFrame:
 
 # --- duplicates ---------------------------------------------------------------
 
+def hashable(value: Column, kind: T.DataType) -> Column:
+    """The value with every map in it as its sorted entries: maps cannot be hashed or compared."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(value), lambda e: F.struct(e["key"], hashable(e["value"], kind.valueType).alias("value"))
+        )
+        return F.array_sort(entries)
+    if isinstance(kind, T.ArrayType) and "map<" in kind.simpleString():
+        return F.transform(value, lambda x: hashable(x, kind.elementType))
+    if isinstance(kind, T.StructType) and "map<" in kind.simpleString():
+        parts = [hashable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    return value
+
+
 def row_fingerprint(df: DataFrame, subset: Sequence[str] | None = None) -> list[Column]:
     """Two 64-bit hashes of the row: shuffling them is far cheaper than whole rows.
 
@@ -82,7 +96,7 @@ def row_fingerprint(df: DataFrame, subset: Sequence[str] | None = None) -> list[
     names = list(subset or df.columns)
     parts, gaps = [], []
     for c in names:
-        value = col(c)
+        value = hashable(col(c), df.schema[c].dataType)
         if is_float(df.schema[c]):
             value = F.when(~F.isnan(value), value + F.lit(0.0).cast(df.schema[c].dataType))
         parts.append(value)
@@ -192,8 +206,9 @@ def few_distinct(df: DataFrame, columns: Sequence[str], at_most: int) -> dict[st
     narrow = [c for i, c in enumerate(names) if sketch[f"d{i}"] <= limit]
     if not narrow:
         return {}
+    # the sketch has shown that these columns have few values: their sets are small
     exact = df.agg(*[
-        F.count_distinct(present[c]).alias(f"d{i}") for i, c in enumerate(narrow)
+        F.size(F.collect_set(present[c])).alias(f"d{i}") for i, c in enumerate(narrow)
     ]).first()
     return {c: exact[f"d{i}"] for i, c in enumerate(narrow) if exact[f"d{i}"] <= at_most}
 
@@ -279,8 +294,8 @@ def quality_report(df: DataFrame, label_col: str | None = None) -> DataFrame:
 
 # --- distributions ------------------------------------------------------------
 
-def box_stats(df: DataFrame, limit: int = BOX_COLUMNS) -> DataFrame:
-    """Five-number summary of the first numeric columns."""
+def box_stats(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Five-number summary of the numeric columns, or of the first ``limit``."""
     names = numeric_columns(df)[:limit]
     spread = exact_quantiles(df, names, [0.0, 0.25, 0.5, 0.75, 1.0])
     rows = [(c, n, *(q or [None] * 5)) for c, (n, q) in spread.items()]

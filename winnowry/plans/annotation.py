@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from winnowry.operators.annotate import (
-    BATCH_SIZE, CONSISTENCY_PASSES, CONSISTENCY_ROWS, auto_label, check_quality,
+    BATCH_SIZE, CONSISTENCY_PASSES, auto_label, check_quality,
     consistency, to_labelstudio, write_labelstudio,
 )
 from winnowry.operators.columns import find_text_col, infer_classes
@@ -20,7 +20,7 @@ TASKS = "data/labeled/labelstudio_import.jsonl"
 def annotate(
     spark: SparkSession, base: str, key: str, labeler: Callable[[str], str], task: str = "",
     classes: Sequence[str] | None = None, rows: int | None = None, batch_size: int = BATCH_SIZE,
-    passes: int = CONSISTENCY_PASSES, consistency_rows: int = CONSISTENCY_ROWS,
+    passes: int = CONSISTENCY_PASSES, consistency_rows: int | None = None,
     human: DataFrame | None = None, human_col: str = "label", path: str | None = None,
 ) -> DataFrame:
     """Label, write the labeled stage and the export, return the quality metrics."""

@@ -19,7 +19,6 @@ UNKNOWN = "unknown"
 UCI_URL = "https://archive.ics.uci.edu/dataset/"
 HUB_URL = "https://huggingface.co/datasets/"
 KAGGLE_URL = "https://www.kaggle.com/datasets/"
-SYNTHETIC_IDS = 100_000
 
 ZENODO_PAGE = """
     hits struct<hits: array<struct<
@@ -67,7 +66,9 @@ def _total_size(files: Column) -> Column:
     )
 
 
-def zenodo_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
+def zenodo_catalog(
+    pages: DataFrame, json_col: str = "value", description_chars: int | None = None
+) -> DataFrame:
     """Search pages ``hits.hits[]``; views count as likes, size is the sum of the files."""
     page = F.from_json(json_col, ZENODO_PAGE)
     records = pages.select(F.explode(page["hits"]["hits"]).alias("r")).select("r.*")
@@ -82,12 +83,14 @@ def zenodo_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
         likes=F.coalesce(F.col("stats.views"), F.lit(0)),
         size_category=size_in_megabytes(_total_size(F.col("files"))),
         license=F.coalesce(meta["license"]["id"], F.lit(UNKNOWN)),
-        description_raw=truncate(F.coalesce(meta["description"], F.lit(""))),
+        description_raw=truncate(F.coalesce(meta["description"], F.lit("")), description_chars),
         tags=F.coalesce(meta["keywords"], no_tags()),
     )
 
 
-def uci_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
+def uci_catalog(
+    pages: DataFrame, json_col: str = "value", description_chars: int | None = None
+) -> DataFrame:
     """Pages that are a list of datasets, or an object holding one under ``datasets``."""
     items = F.coalesce(
         F.from_json(F.get_json_object(json_col, "$.datasets"), UCI_ITEMS),
@@ -104,7 +107,7 @@ def uci_catalog(pages: DataFrame, json_col: str = "value") -> DataFrame:
         likes=F.lit(0),
         size_category=F.concat(F.coalesce(F.col("numInstances"), F.lit("?")), F.lit(" rows")),
         license=F.coalesce(F.col("license"), F.lit(UNKNOWN)),
-        description_raw=truncate(F.coalesce(F.col("abstract"), F.lit(""))),
+        description_raw=truncate(F.coalesce(F.col("abstract"), F.lit("")), description_chars),
         tags=F.coalesce(F.col("tasks"), no_tags()),
     )
 
@@ -175,9 +178,7 @@ def generic_catalog(
     for counter in ("downloads", "likes"):
         if counter in mapped:
             mapped[counter] = mapped[counter].try_cast("bigint")
-    synthetic = F.concat(
-        F.lit(f"{name}:"), F.pmod(F.xxhash64("item"), F.lit(SYNTHETIC_IDS)).cast("string")
-    )
+    synthetic = F.concat(F.lit(f"{name}:"), F.md5("item"))  # 128 bits: different items stay apart
     defaults = {
         "id": synthetic, "source": F.lit(name), "downloads": F.lit(0), "likes": F.lit(0),
         "size_category": F.lit(UNKNOWN), "license": F.lit(UNKNOWN), "tags": no_tags(),
