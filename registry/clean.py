@@ -79,6 +79,19 @@ def ffill_events(spark, d):
     )
 
 
+@BOOK.add("""WITH holes AS (SELECT event_id, CASE WHEN event_id % 10 > 0 THEN date_trunc('hour', ts) END AS ts, user_id,
+  CASE WHEN value > 60 THEN value END AS value FROM events)
+SELECT event_id, ts, user_id,
+  last_value(value IGNORE NULLS) OVER (ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS value FROM holes""")
+def ffill_small_buckets(spark, d):
+    """Many buckets, an order key with NULLs and long ties, and carries from bucket to bucket."""
+    events = table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_id") % 10 > 0, F.date_trunc("hour", "ts")).alias("ts"), "user_id",
+        F.when(F.col("value") > 60, F.col("value")).alias("value"),
+    )
+    return c.forward_fill(events, ["ts", "event_id"], rows_per_bucket=150)
+
+
 @BOOK.add(f"""WITH {GAPPY} SELECT doc_id, coalesce(text, '0') AS text, coalesce(lang, '0') AS lang, _source,
 coalesce(n_chars, 0) AS n_chars, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic FROM gappy""")
 def fix_missing_constant(spark, d):

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from winnowry.operators.profile import missing_counts, outlier_bounds, outside, row_fingerprint
 from winnowry.operators.quantiles import exact_quantiles
-from winnowry.operators.ranking import BUCKET, ROWS_PER_BUCKET, order_bucket
+from winnowry.operators.ranking import BUCKET, ROWS_PER_BUCKET, order_bucket, tie_breaker
 from winnowry.schema import (
     col, is_missing, nan_to_null, numeric_columns, protected_columns, string_columns,
 )
@@ -72,10 +72,14 @@ def dedup(
 # --- missing values -----------------------------------------------------------
 
 def forward_fill(
-    df: DataFrame, order_cols: Sequence[str] | str, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order_cols: Sequence[str] | str, rows_per_bucket: int = ROWS_PER_BUCKET,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Every column takes the last present value above it, in the order given.
 
+    NULL order keys come first. Rows tied in the order may be put in one by the
+    hash of the ``ties`` columns, so that a value held by very many rows is cut too.
+
     Rows are cut into consecutive buckets; a bucket is filled on its own, and
     what is still empty at its top takes the last present value of the buckets
     before it. Only that carry table, one row per bucket, is ordered globally.
@@ -86,14 +90,14 @@ def forward_fill(
     gaps = [c for c in df.columns if missing[c] and c not in order]
     if not gaps:
         return df
-    bucketed, buckets = order_bucket(df, order, rows_per_bucket)
-    keys = [col(c) for c in order]
+    bucketed, buckets = order_bucket(df, order, rows_per_bucket, ties)
+    keys = [col(c) for c in order] + ([tie_breaker(ties)] if ties else [])
     within = Window.partitionBy(BUCKET).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     filled = bucketed.withColumns({c: F.last(col(c), True).over(within) for c in gaps})
     if buckets == 1:
         return filled.drop(BUCKET)
 
-    key = F.struct(*keys) if len(keys) > 1 else keys[0]
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     lasts = bucketed.groupBy(BUCKET).agg(*[
         F.max_by(col(c), F.when(col(c).isNotNull(), key)).alias(f"carry{i}")
         for i, c in enumerate(gaps)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 2_000
+HOT_KEYS = 100_000  # keys that each hold 1/HOT_KEYS of the rows: never more than so many
 
 
 def left_join_hot(
@@ -16,14 +16,15 @@ def left_join_hot(
 ) -> DataFrame:
     """Left join whose right side (one row per key) knows how often the left side has the key.
 
-    The few keys above ``hot_rows`` are sent to the rows; all others meet by
-    shuffle. At most rows / ``hot_rows`` keys can be hot, and their number is
-    checked before they are sent.
+    Hot keys are sent to the rows; all others meet by shuffle. Hot is a key with
+    more than ``hot_rows`` rows and more than 1/``HOT_KEYS`` of all: there cannot be
+    more than ``HOT_KEYS`` of them, however large the tables.
     """
     keys = list(keys)
+    total = right.agg(F.sum(copies)).first()[0] or 0
+    hot_rows = max(hot_rows, total // HOT_KEYS)
     hot = right.where(F.col(copies) > hot_rows)
-    count = hot.limit(HOT_KEYS + 1).count()
-    if count == 0 or count > HOT_KEYS:
+    if hot.isEmpty():
         return left.join(right, keys, "left")
     columns = list(dict.fromkeys(left.columns + right.columns))
     meets_hot = left.join(F.broadcast(hot), keys).select(columns)

@@ -2,52 +2,73 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnowry.schema import col
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 10_000
+MAX_BUCKETS = 100_000
 BOUNDS_PER_BUCKET = 20
+MOST_BOUNDS = 400_000
+PREFIX_ROWS = 50_000
 TAKE_ROWS = 100_000
 SALTS = 64
 MAX_CLASSES = 10_000
 BUCKET = "__bucket"
 
 
-def _cut_points(df: DataFrame, order: Sequence[str], buckets: int, rows: int) -> list[tuple]:
+def _nulls_first(values: tuple) -> tuple:
+    return tuple((v is not None, v) for v in values)
+
+
+def _cut_points(keys: DataFrame, buckets: int, rows: int) -> list[tuple]:
     """Order keys that split the rows into about equal ranges, from a bounded sample."""
-    wanted = buckets * BOUNDS_PER_BUCKET
-    drawn = (
-        df.select([col(c) for c in order]).dropna()
-        .sample(fraction=min(1.0, wanted / rows), seed=42).collect()
-    )
-    drawn = sorted(tuple(r) for r in drawn)
+    wanted = min(buckets * BOUNDS_PER_BUCKET, max(MOST_BOUNDS, 3 * buckets))
+    drawn = keys.sample(fraction=min(1.0, wanted / rows), seed=42).collect()
+    drawn = sorted({tuple(r) for r in drawn}, key=_nulls_first)
     step = max(1, len(drawn) // buckets)
-    return sorted(set(drawn[step::step]))[: buckets - 1]
+    return drawn[step::step][: buckets - 1]
+
+
+def _literals(values: Sequence, kind: T.DataType) -> Column:
+    """Many values as one literal array."""
+    if isinstance(kind, (T.IntegralType, T.StringType)):
+        return F.from_json(F.lit(json.dumps(list(values))), T.ArrayType(kind))
+    return F.array(*[F.lit(v) for v in values]).cast(T.ArrayType(kind))
 
 
 def order_bucket(
-    df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
+    spread: Sequence[str] = (),
 ) -> tuple[DataFrame, int]:
-    """Add ``__bucket``: consecutive ranges of the order key of bounded size.
+    """Add ``__bucket``: consecutive ranges of the order key of about ``rows_per_bucket`` rows.
 
     Cut points become literals, so the bucket of a row depends on its key alone
     and stays the same however often, or wherever, the plan is evaluated again.
-    The lookup is a native binary search over the literal cut points.
+    The lookup is a native binary search over the literal cut points. NULL comes
+    first and is cut like any value; rows tied in ``order``, NULLs too, are cut
+    by a hash of the ``spread`` columns, which must then order them everywhere.
+    Beyond ``MAX_BUCKETS`` buckets (25 billion rows at the default size) buckets
+    grow with the rows, and a window over one spills.
     """
     rows = df.count()
     buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    cuts = _cut_points(df, order, buckets, rows) if buckets > 1 else []
+    parts = [col(c).alias(f"k{i}") for i, c in enumerate(order)]
+    if spread:
+        parts.append(tie_breaker(spread).alias(f"k{len(order)}"))
+    keys = df.select(*parts)
+    cuts = _cut_points(keys, buckets, rows) if buckets > 1 else []
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0)), 1
-    bounds = [F.lit(list(part)) for part in zip(*cuts)]
-    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    bounds = [_literals(part, f.dataType) for part, f in zip(zip(*cuts), keys.schema.fields)]
+    key = F.struct(*parts)
 
     def halve(state: Column, _: Column) -> Column:
         middle = F.shiftright(state["lo"] + state["hi"], 1)
@@ -78,26 +99,33 @@ def global_rank(
     return bucketed.withColumn(name, offset + place).drop(BUCKET)
 
 
+def tie_breaker(columns: Sequence[str]) -> Column:
+    """What orders rows that are tied otherwise: a hash of the given columns."""
+    return F.xxhash64(*[col(c) for c in columns])
+
+
 def seeded_hash(key: str, seed: int) -> Column:
     """Uniform, portable order: md5 of ``seed:key``."""
     return F.md5(F.concat(F.lit(f"{seed}:"), col(key).cast("string")))
 
 
 def hash_cutoffs(
-    df: DataFrame, group: str, key: str, seed: int, ranks: dict[object, list[int]]
+    df: DataFrame, group: str, key: str, seed: int, ranks: dict[object, list[int]],
+    prefix_rows: int = PREFIX_ROWS,
 ) -> DataFrame:
     """Per group and wanted rank, the ``(hash, key)`` of the row holding that rank.
 
     Counts per hash prefix locate the prefix of each rank; only the rows of that
-    prefix, a bounded slice of even a dominating group, are then ordered.
+    prefix are then ordered. Prefixes are as long as the largest group needs for
+    about ``PREFIX_ROWS`` rows each, so a slice is bounded whatever rank is wanted.
     """
     spark = df.sparkSession
     wanted_rows = [(g, int(r)) for g, rs in ranks.items() for r in rs if r > 0]
     kind = df.schema[group].dataType.simpleString()
     wanted = spark.createDataFrame(wanted_rows, f"g {kind}, rank bigint")
     narrow = df.select(col(group).alias("g"), col(key).alias("k"), seeded_hash(key, seed).alias("h"))
-    largest = max((r for _, r in wanted_rows), default=1)
-    digits = min(5, max(1, math.ceil(math.log(max(largest / 50_000, 1.0001), 16))))
+    largest = narrow.groupBy("g").count().agg(F.max("count")).first()[0] or 1
+    digits = max(1, math.ceil(math.log(max(largest / prefix_rows, 1.0001), 16)))
     keyed = narrow.withColumn("prefix", F.substring("h", 1, digits))
     upto = F.sum("count").over(Window.partitionBy("g").orderBy("prefix"))
     homes = (
@@ -126,7 +154,7 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, take_rows: int = T
     if n <= 0:
         return df.limit(0)
     h = seeded_hash(key, seed)
-    rows = df.count()
+    whole, rows = df, df.count()
     if rows <= n:
         return df
     if n <= take_rows:
@@ -135,21 +163,26 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, take_rows: int = T
             near = df.where(h < F.lit(f"{math.ceil(share * 16**8):08x}"))
             if near.count() >= n:
                 df = near
-        return df.orderBy(h, col(key)).limit(n)
+        # only hashes and keys meet in one task; the rows stay where they are
+        keys = df.select(col(key)).orderBy(h, col(key)).limit(n)
+        return whole.join(F.broadcast(keys), key, "left_semi")
     grouped = df.withColumn("__all", F.lit(0))
     cut = hash_cutoffs(grouped, "__all", key, seed, {0: [n]}).first()
     return df.where((h < cut["h"]) | ((h == cut["h"]) & (col(key) <= F.lit(cut["k"]))))
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], salt_key: str, k: int, name: str = "rank"
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], salt_key: str, k: int,
+    name: str = "rank", rows_per_slice: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The first ``k`` rows of each group with their rank.
 
     A hot group is first cut down inside salted slices, so the last ranking sees
-    at most ``k`` rows per slice.
+    at most ``k`` rows per slice. There are slices enough that one holds about
+    ``rows_per_slice`` rows even if all rows are one group.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(col(salt_key)), F.lit(SALTS)))
+    salts = max(SALTS, math.ceil(df.count() / rows_per_slice))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(col(salt_key)), F.lit(salts)))
     inner = Window.partitionBy(*[col(g) for g in group], "__salt").orderBy(*order)
     outer = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
     return (
