@@ -91,13 +91,38 @@ def test_tfidf_vectors(spark):
     assert sorted(r["term"] for r in top.vocabulary.collect()) == ["cat", "dog"]
 
 
-@pytest.mark.parametrize("wanted", [1, 3, 4, 100])
-def test_large_vocabularies_are_cut_before_they_are_sorted(spark, monkeypatch, wanted):
-    rows = [(i, " ".join(f"w{j}" for j in range(1, 12) if i % j == 0)) for i in range(60)]
+def test_joined_vocabularies_give_the_same_vectors(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(1, 12) if i % j == 0)) for i in range(60)] + [(99, None), (100, "new words")]
     df = spark.createDataFrame(rows, "k int, text string")
-    plain = feat.tfidf_fit(df, "k", "text", wanted).vocabulary.collect()
-    monkeypatch.setattr(feat, "LARGE_ROWS", 0)
-    assert feat.tfidf_fit(df, "k", "text", wanted).vocabulary.collect() == plain
+    model = feat.tfidf_fit(df.where("k < 60"), "k", "text", min_df=2)
+    vectors = lambda most: {r["k"]: r["features"] for r in feat.tfidf_transform(df, model, "k", "text", [], most).collect()}
+    sent, joined = vectors(10_000), vectors(0)
+    assert set(sent) == set(joined) == {r[0] for r in rows} and not sent[99].toArray().any()
+    assert all(np.allclose(sent[k].toArray(), joined[k].toArray()) for k in sent)
+
+
+def test_prediction_shuffles_no_texts(spark):
+    df = spark.createDataFrame([(i, f"good {i}" if i % 2 else f"bad {i}", i % 2) for i in range(40)], "k int, text string, label int")
+    model = models.fit(df, "logreg", "k", "label", "text")
+    plan = model.predict(df)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "from_json" not in plan
+
+
+def test_a_fit_reads_no_pool(spark, monkeypatch):
+    """From the second iteration on the labeled rows come from staged tables alone, by iterations few jobs."""
+    seen = []
+    plain = learn.fit
+    monkeypatch.setattr(learn, "fit", lambda known, *a, **b: (seen.append(known.inputFiles()), plain(known, *a, **b))[1])
+    staged = []
+    prepared = learn.prepare
+    monkeypatch.setattr(learn, "prepare", lambda *a, **b: (staged.append(prepared(*a, **b)), staged[-1])[1])
+    df = points(spark, 60)
+    learn.run_cycle(
+        df.where("k < 10"), df.where("k >= 10 and k < 40"), df.where("k >= 40"), "entropy", "k", "label",
+        embedding_col="v", model="embedding", iterations=2, batch_size=5,
+    ).collect()
+    pool = set(staged[1].inputFiles())
+    assert len(seen) == 3 and all(not pool & set(files) for files in seen)
 
 
 def test_encoder_sees_each_text_once(spark):

@@ -156,9 +156,11 @@ def test_the_four_stages(spark, folder):
     assert metrics["total_labeled"] == 60 and metrics["kappa"] == 1.0
     tasks = spark.read.text(f"{folder}/{annotation.TASKS}")
     assert tasks.count() == 60
-    history = active_learning.experiment(
-        spark, folder, "k", n_start=10, strategies=["random"], iterations=1, batch_size=5
+    found = active_learning.experiment(
+        spark, folder, "k", n_start=10, strategies=["random", "entropy"], iterations=1, batch_size=5
     )
+    history = found["history"].where("strategy = 'random'")
+    assert found["curve"].count() == 4 and [r["strategy"] for r in found["savings"].collect()] == ["entropy"]
     assert [r["n_labeled"] for r in history.orderBy("iteration").collect()] == [10, 15]
 
 

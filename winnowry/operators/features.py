@@ -2,155 +2,222 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from math import log, sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnowry.functions.text import ngrams, tokens
+from winnowry.functions.text import tokens
 from winnowry.operators.joins import left_join_hot
+from winnowry.operators.ranking import global_rank
 from winnowry.schema import col
 from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
-MAX_TERMS = 50_000
-MIN_DF_STEPS = ((500, 1), (5000, 2))
-MIN_DF_LARGE = 3
 ENCODER_BATCH = 128
 # ------------------------------------------------------------------------------
 
-BROADCAST_TERMS = 1_000_000
-LARGE_ROWS = 100_000
-
-VECTOR = T.StructType([T.StructField("v", VectorUDT())])
+BROADCAST_TERMS = 200_000
+TERMS, COUNTS = "__terms", "__counts"
 
 
 def _fingerprint(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("__h1"), F.xxhash64(F.lit(71), text).alias("__h2")]
 
 
-def min_df(rows: int) -> int:
-    return next((df for below, df in MIN_DF_STEPS if rows < below), MIN_DF_LARGE)
+def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
+    return [df.schema[n] for n in names]
 
 
 def term_counts(df: DataFrame, key: str, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``(key, keep…, term, tf)``; a text without terms keeps one row with a NULL term.
+    """``(key, keep…, __terms, __counts)``: the distinct uni- and bigrams of each text.
 
-    Texts are spread by key before they are cut into terms: the texts are
-    smaller than their terms, and counting per text then needs no shuffle.
+    A text is one row, so its terms are counted within the row and nothing is
+    shuffled. A frame that has the two columns already is used as it is.
     """
-    names = [col(c) for c in (key, *keep)]
-    spread = df.select(*names, F.coalesce(col(text_col), F.lit("")).alias("__text")).repartition(col(key))
-    words = spread.select(*names, tokens(F.col("__text")).alias("__words"))
-    terms = words.select(*names, F.explode_outer(ngrams(F.col("__words"))).alias("term"))
-    return terms.groupBy(*names, "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def _frequent(terms: DataFrame, wanted: int) -> DataFrame:
-    """Terms that may be among the ``wanted`` most frequent: the rest is never sorted.
-
-    The table of frequencies has one row per distinct frequency, few however
-    many terms there are.
-    """
-    upto = F.sum("count").over(Window.orderBy(F.desc("cf")))
-    sizes = terms.groupBy("cf").count().withColumn("upto", upto)
-    least = sizes.where(F.col("upto") >= wanted).agg(F.max("cf")).first()[0]
-    return terms if least is None else terms.where(F.col("cf") >= least)
+    names = [key, *keep]
+    if TERMS in df.columns:
+        return df.select(*[col(c) for c in names], TERMS, COUNTS)
+    words = df.select(*[col(c) for c in names], tokens(F.coalesce(col(text_col), F.lit(""))).alias("__words"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.column(len(names)).to_pylist():
+                counted = Counter(row)
+                counted.update(map(" ".join, zip(row, row[1:])))
+                found.append(counted)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:-1], pa.array([list(c) for c in found], pa.list_(pa.string())),
+                    pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
+                ],
+                names=[*names, TERMS, COUNTS],
+            )
+
+    counted = [T.StructField(TERMS, T.ArrayType(T.StringType())), T.StructField(COUNTS, T.ArrayType(T.LongType()))]
+    return words.mapInArrow(count, T.StructType(_fields(df, names) + counted))
 
 
 @dataclass
 class TfidfModel:
-    """Vocabulary ``(term, idx, df, idf)`` of at most ``MAX_TERMS`` rows."""
+    """Vocabulary ``(term, idx, cf, df, idf)``, numbered in term order."""
 
     vocabulary: DataFrame
     size: int
     rows: int
 
 
-def tfidf_fit(labeled: DataFrame, key: str, text_col: str, max_terms: int = MAX_TERMS) -> TfidfModel:
-    """Vocabulary and idf of the labeled texts: the most frequent terms, rare ones out."""
+def tfidf_fit(
+    labeled: DataFrame, key: str, text_col: str, max_terms: int | None = None, min_df: int = 1
+) -> TfidfModel:
+    """Vocabulary and idf of the labeled texts: terms in ``min_df`` texts or more.
+
+    All of them, or the ``max_terms`` most frequent. Terms are summed before they
+    are shuffled and numbered in ranges, so no task sorts a whole vocabulary.
+    """
     rows = labeled.count()
-    counts = term_counts(labeled, key, text_col).where("term is not null")
-    terms = counts.groupBy("term").agg(
-        F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df")
-    ).where(F.col("df") >= min_df(rows))
-    if rows > LARGE_ROWS:
-        terms = _frequent(stage(terms, "terms"), max_terms)
-    top = terms.orderBy(F.desc("cf"), F.asc("term")).limit(max_terms)
-    # at most max_terms rows are numbered in one task
-    index = F.row_number().over(Window.orderBy("term")) - 1
+    counts = term_counts(labeled, key, text_col)
+    terms = counts.select(F.explode(F.arrays_zip(TERMS, COUNTS)).alias("t")).groupBy(
+        F.col(f"t.{TERMS}").alias("term")
+    ).agg(F.sum(f"t.{COUNTS}").alias("cf"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
+    if max_terms is not None:
+        terms = terms.orderBy(F.desc("cf"), F.asc("term")).limit(max_terms)
+    numbered = global_rank(stage(terms, "terms"), ["term"], "__place")
     idf = F.ln((1.0 + rows) / (1.0 + F.col("df"))) + 1.0
     vocabulary = stage(
-        top.select("term", index.alias("idx"), "cf", "df", idf.alias("idf")), "vocabulary"
+        numbered.select("term", (F.col("__place") - 1).cast("int").alias("idx"), "cf", "df", idf.alias("idf")),
+        "vocabulary",
     )
     return TfidfModel(vocabulary, vocabulary.count(), rows)
 
 
-def _weighted_terms(
-    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str]
-) -> DataFrame:
-    """``(key, keep…, cells, norm)``: the weighted known terms of each text, by index.
-
-    The vocabulary travels to the texts. It is keyed by fingerprint, so a term
-    takes the same few bytes however long it is, and its size is checked. A
-    text gathers only its own distinct terms.
-    """
-    names = [key, *keep]
-    vocabulary = model.vocabulary.select(*_fingerprint(F.col("term")), "idx", "idf")
-    if model.size <= BROADCAST_TERMS:
-        vocabulary = F.broadcast(vocabulary)
-    counts = term_counts(df, key, text_col, keep).select("*", *_fingerprint(F.col("term")))
-    known = counts.join(vocabulary, ["__h1", "__h2"], "left")
-    weight = (1.0 + F.ln("tf")) * F.col("idf")
-    cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "term", weight.alias("w")))
-    return known.groupBy(*[col(c) for c in names]).agg(
-        F.array_sort(F.collect_list(cell)).alias("cells"),
-        F.sqrt(F.sum(weight * weight)).alias("norm"),
+WEIGHTED = [
+    T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("term", T.ArrayType(T.StringType())),
+    T.StructField("weight", T.ArrayType(T.DoubleType())),
+]
+
+
+def _weighted_here(counts: DataFrame, model: TfidfModel, names: list[str]) -> DataFrame:
+    """Weights from a vocabulary small enough to be sent to every task."""
+    table = model.vocabulary.select("term", "idx", "idf").toArrow()
+    known = dict(zip(
+        table.column("term").to_pylist(), zip(table.column("idx").to_pylist(), table.column("idf").to_pylist())
+    ))
+    sent = counts.sparkSession.sparkContext.broadcast(known)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = sent.value
+        for batch in batches:
+            indices, terms, weights = [], [], []
+            for row, times in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()):
+                cells = sorted(
+                    (vocabulary[t][0], t, (1.0 + log(n)) * vocabulary[t][1]) for t, n in zip(row, times) if t in vocabulary
+                )
+                norm = sqrt(sum(c[2] * c[2] for c in cells))
+                indices.append([c[0] for c in cells])
+                terms.append([c[1] for c in cells])
+                weights.append([c[2] / norm for c in cells])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[: len(names)], pa.array(indices, pa.list_(pa.int32())),
+                    pa.array(terms, pa.list_(pa.string())), pa.array(weights, pa.list_(pa.float64())),
+                ],
+                names=[*names, "idx", "term", "weight"],
+            )
+
+    return counts.mapInArrow(weigh, T.StructType(_fields(counts, names) + WEIGHTED))
+
+
+def _weighted_by_join(counts: DataFrame, model: TfidfModel, names: list[str]) -> DataFrame:
+    """Weights from a vocabulary of any size, met by fingerprint; texts stay where they are."""
+    numbered = stage(counts.withColumn("__row", F.monotonically_increasing_id()), "counts")
+    cells = numbered.select("__row", F.explode(F.arrays_zip(TERMS, COUNTS)).alias("t")).select(
+        "__row", *_fingerprint(F.col(f"t.{TERMS}")), F.col(f"t.{COUNTS}").alias("n")
     )
+    vocabulary = model.vocabulary.select(*_fingerprint(F.col("term")), "term", "idx", "idf")
+    weight = (1.0 + F.ln("n")) * F.col("idf")
+    known = cells.join(vocabulary, ["__h1", "__h2"]).select("__row", F.struct("idx", "term", weight.alias("w")).alias("c"))
+    gathered = known.groupBy("__row").agg(
+        F.array_sort(F.collect_list("c")).alias("cells"), F.sqrt(F.sum(F.col("c.w") * F.col("c.w"))).alias("norm")
+    )
+    none = F.array().cast("array<struct<idx:int,term:string,w:double>>")
+    rows = numbered.select("__row", *[col(c) for c in names]).join(gathered, "__row", "left").withColumn(
+        "cells", F.coalesce("cells", none)
+    )
+    return rows.select(
+        *[col(c) for c in names], F.transform("cells", lambda c: c["idx"]).alias("idx"),
+        F.transform("cells", lambda c: c["term"]).alias("term"),
+        F.transform("cells", lambda c: c["w"] / F.col("norm")).alias("weight"),
+    )
+
+
+def _weighted(
+    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str], broadcast_terms: int
+) -> DataFrame:
+    """``(key, keep…, idx, term, weight)``: arrays over the known terms of each text, by index."""
+    keep = [c for c in keep if c not in (TERMS, COUNTS)]
+    counts = term_counts(df, key, text_col, keep)
+    weigh = _weighted_here if model.size <= broadcast_terms else _weighted_by_join
+    return weigh(counts, model, [key, *keep])
 
 
 def tfidf_weights(
-    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = ()
+    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = (),
+    broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
-    """``(key, keep…, idx, term, weight)``, rows L2-normalised; unknown terms drop out."""
+    """``(key, keep…, idx, term, weight)``, rows L2-normalised; unknown terms drop out.
+
+    A vocabulary of more than ``broadcast_terms`` terms is joined instead of sent.
+    """
     names = [col(c) for c in (key, *keep)]
-    rows = _weighted_terms(df, model, key, text_col, keep)
-    cells = rows.select(*names, "norm", F.explode("cells").alias("c"))
-    return cells.select(*names, "c.idx", "c.term", (F.col("c.w") / F.col("norm")).alias("weight"))
+    rows = _weighted(df, model, key, text_col, keep, broadcast_terms)
+    cells = rows.select(*names, F.explode(F.arrays_zip("idx", "term", "weight")).alias("c"))
+    return cells.select(*names, "c.idx", "c.term", "c.weight")
+
 
+def as_vectors(df: DataFrame, size: int, names: Sequence[str], indices: str = "idx", values: str = "weight") -> DataFrame:
+    """``(names…, features)``: Spark ML sparse vectors from two array columns, passed as Arrow buffers."""
+    names = list(names)
 
-def sparse_vector(size: int, indices: Column, values: Column) -> Column:
-    """A Spark ML sparse vector from two arrays, without leaving the JVM."""
-    body = F.struct(F.struct(
-        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-        indices.alias("indices"), values.alias("values"),
-    ).alias("v"))
-    return F.from_json(F.to_json(body), VECTOR)["v"]
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            vectors = pa.StructArray.from_arrays(
+                [pa.array([0] * n, pa.int8()), pa.array([size] * n, pa.int32()), *batch.columns[-2:]],
+                names=["type", "size", "indices", "values"],
+            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], vectors], names=[*names, "features"])
+
+    schema = T.StructType(_fields(df, names) + [T.StructField("features", VectorUDT())])
+    return df.select(*[col(c) for c in names], indices, values).mapInArrow(build, schema)
 
 
 def tfidf_transform(
-    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = ()
+    df: DataFrame, model: TfidfModel, key: str, text_col: str, keep: Sequence[str] = (),
+    broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
     """``(key, keep…, features)``; a text without known terms gets the zero vector."""
-    rows = _weighted_terms(df, model, key, text_col, keep)
-    vector = sparse_vector(
-        model.size, F.transform("cells", lambda c: c["idx"]),
-        F.transform("cells", lambda c: c["w"] / F.col("norm")),
-    )
-    return rows.select(*[col(c) for c in (key, *keep)], vector.alias("features"))
+    rows = _weighted(df, model, key, text_col, keep, broadcast_terms)
+    return as_vectors(rows, model.size, [key, *keep])
 
 
 def encode_distinct(
     df: DataFrame, text_col: str, encoder: Callable[[list[str]], np.ndarray],
-    name: str = "embedding", batch: int = ENCODER_BATCH,
+    name: str = "embedding", batch: int = ENCODER_BATCH, parallelism: int | None = None,
 ) -> DataFrame:
     """Encode each distinct text once and join the vectors back.
 
+    Distinct texts are dealt out to ``parallelism`` tasks, one per core by default.
+
     ``encoder`` maps a list of texts to a matrix. Distinct texts are keyed by
     fingerprint, so copies cost one call and the join back shuffles no text twice.
     """
@@ -169,8 +236,9 @@ def encode_distinct(
                     name: list(matrix), "copies": rows["copies"].to_numpy(),
                 })
 
+    tasks = parallelism or df.sparkSession.sparkContext.defaultParallelism
     vectors = stage(
-        texts.mapInPandas(
+        texts.repartition(tasks).mapInPandas(
             encode, f"__h1 bigint, __h2 bigint, {name} array<float>, copies bigint"
         ),
         "vectors",

@@ -12,6 +12,7 @@ from winnowry.functions.scores import entropy, margin
 from winnowry.functions.text import norm_label
 from winnowry.operators.agreement import evaluate
 from winnowry.operators.clean import BROADCAST_ROWS
+from winnowry.operators.features import term_counts
 from winnowry.operators.models import Classifier, fit
 from winnowry.operators.ranking import MAX_CLASSES, hash_cutoffs, sample_n, seeded_hash
 from winnowry.schema import col, nan_to_null
@@ -22,13 +23,9 @@ TEST_SIZE = 0.2
 SEED = 42
 ITERATIONS = 5
 BATCH = 20
-EMBEDDING_CANDIDATES = 10_000
 BASELINE = "random"
 STRATEGIES = ("entropy", "margin", "random")
-HISTORY = (
-    "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double, "
-    "queried_keys array<{key}>"
-)
+HISTORY = "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double"
 # ------------------------------------------------------------------------------
 
 
@@ -47,17 +44,18 @@ def largest_remainder(counts: Mapping[str, int], wanted: int) -> dict[str, int]:
 
 def stratified_split(
     df: DataFrame, label_col: str, key: str, n_start: int, test_size: float = TEST_SIZE,
-    seed: int = SEED,
+    seed: int = SEED, max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """Add ``split``: test, labeled or pool, each class in proportion.
 
     Rows of a class are ordered by a seeded hash of their key. The hashes at
     which test and labeled end are found by counting, so a class of any size is
     cut without ever being sorted as a whole. Rows without a label stay out.
+    More than ``max_classes`` classes are an error: sizes are kept on the driver.
     """
     rows = nan_to_null(df).withColumn("__y", norm_label(col(label_col))).where("__y is not null")
-    sizes = rows.groupBy("__y").count().limit(MAX_CLASSES + 1).collect()
-    if len(sizes) > MAX_CLASSES:
+    sizes = rows.groupBy("__y").count().limit(max_classes + 1).collect()
+    if len(sizes) > max_classes:
         raise ValueError("too many classes: is this a label column?")
     counts = {r["__y"]: r["count"] for r in sizes}
     total = sum(counts.values())
@@ -84,7 +82,7 @@ def stratified_split(
         return (h < F.col(hash_col)) | ((h == F.col(hash_col)) & (col(key) <= F.col(key_col)))
 
     split = F.when(upto("h_test", "k_test"), "test").when(upto("h_lab", "k_lab"), "labeled")
-    # one row per class, at most MAX_CLASSES
+    # one row per class, at most max_classes
     return rows.join(F.broadcast(ends), "__y").select(
         *[col(c) for c in df.columns], split.otherwise("pool").alias("split")
     )
@@ -124,6 +122,18 @@ def append_batch(labeled: DataFrame, batch: DataFrame) -> DataFrame:
 
 # --- loop ---------------------------------------------------------------------
 
+def prepare(
+    df: DataFrame, key: str, label_col: str, text_col: str | None = None, embedding_col: str | None = None
+) -> DataFrame:
+    """What an experiment reads of a table, written once: key, label, and terms or vector.
+
+    Texts are cut into terms here and never read again, by whatever strategy.
+    """
+    if text_col is not None:
+        return stage(term_counts(df, key, text_col, [label_col]), "terms")
+    return stage(df.select(col(key), col(label_col), col(embedding_col)), "vectors")
+
+
 def _score_and_query(
     model: Classifier, pool: DataFrame, strategy: str, n: int, key: str, seed: int,
     candidate_sample: int | None,
@@ -137,64 +147,73 @@ def _score_and_query(
     return query(model.predict(pool), strategy, n, key, seed=seed).select(col(key))
 
 
+def _cycle(
+    labeled: DataFrame, pool: DataFrame, test: DataFrame, strategy: str, key: str, label_col: str,
+    text_col: str | None = None, embedding_col: str | None = None, model: str = "logreg",
+    iterations: int = ITERATIONS, batch_size: int = BATCH, seed: int = SEED,
+    candidate_sample: int | None = None, **fit_options,
+) -> DataFrame:
+    """``run_cycle`` on prepared tables."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy: {strategy}")
+    spark, kind = labeled.sparkSession, labeled.schema[key].dataType.simpleString()
+    history, n_labeled, n_pool = [], labeled.count(), pool.count()
+    known, moved, queried = labeled, None, spark.createDataFrame([], f"iteration int, k {kind}")
+    truth = nan_to_null(test).withColumn("y", norm_label(col(label_col))).where("y is not null")
+    for iteration in range(iterations + 1):
+        fitted = fit(known, model, key, label_col, text_col, embedding_col, **fit_options)
+        scores = evaluate(fitted.predict(truth, ["y"]), "y", "y_pred").first()
+        history.append((strategy, iteration, n_labeled, scores["accuracy"], scores["f1"]))
+        if iteration == iterations or n_pool == 0:
+            continue
+        asked = (iteration + 1) * batch_size
+        few = F.broadcast if asked <= BROADCAST_ROWS else lambda keys: keys
+        rest = pool if moved is None else pool.join(few(moved), key, "left_anti")
+        keys = stage(_score_and_query(fitted, rest, strategy, batch_size, key, seed, candidate_sample), "keys")
+        # the batch is staged with its rows: later fits read it and never the pool
+        batch = stage(pool.join(few(keys), key, "left_semi"), "batch")
+        known = known.unionByName(batch)
+        moved = keys if moved is None else moved.unionByName(keys)
+        queried = queried.union(keys.select(F.lit(iteration), col(key)))
+        size = batch.count()
+        n_labeled, n_pool = n_labeled + size, n_pool - size
+    lists = queried.groupBy("iteration").agg(F.array_sort(F.collect_list("k")).alias("queried_keys"))
+    found = spark.createDataFrame(history, HISTORY).join(lists, "iteration", "left")
+    none = F.array().cast(f"array<{kind}>")
+    return found.select(
+        "strategy", "iteration", "n_labeled", "accuracy", "f1", F.coalesce("queried_keys", none).alias("queried_keys")
+    )
+
+
 def run_cycle(
     labeled: DataFrame, pool: DataFrame, test: DataFrame, strategy: str, key: str,
-    label_col: str, text_col: str | None = None, embedding_col: str | None = None,
-    model: str = "logreg", iterations: int = ITERATIONS, batch_size: int = BATCH,
-    seed: int = SEED, candidate_sample: int | None = None, **fit_options,
+    label_col: str, text_col: str | None = None, embedding_col: str | None = None, **cycle,
 ) -> DataFrame:
     """Fit, evaluate, query, move the batch; one history row per iteration.
 
     ``n_labeled`` is the size before the move, and the last iteration queries
-    nothing. What moves is only a list of keys: each iteration writes its batch
-    to the shared folder and reads labeled and pool from their source again, so
-    neither lineage nor memory grows with the iterations.
+    nothing. The three tables are prepared once. An iteration reads the pool to
+    score it and to stage the rows of its batch; a fit reads the labeled rows and
+    the staged batches alone. The keys of a batch stay in tables and appear in
+    its history row. The pool is scored as a whole unless ``candidate_sample``
+    limits that to a random part.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy: {strategy}")
-    if model == "embedding" and candidate_sample is None:
-        candidate_sample = EMBEDDING_CANDIDATES
-    spark = labeled.sparkSession
-    history, moved, n_labeled, n_pool = [], None, labeled.count(), pool.count()
-    shared = [c for c in labeled.columns if c in pool.columns]
-    for iteration in range(iterations + 1):
-        if moved is None:
-            known, rest = labeled, pool
-        else:
-            asked = iteration * batch_size
-            keys = F.broadcast(moved) if asked <= BROADCAST_ROWS else moved
-            known = labeled.select(shared).unionByName(
-                pool.join(keys, key, "left_semi").select(shared)
-            )
-            rest = pool.join(keys, key, "left_anti")
-        fitted = fit(known, model, key, label_col, text_col, embedding_col, **fit_options)
-        truth = nan_to_null(test).withColumn("y", norm_label(col(label_col))).where("y is not null")
-        scores = evaluate(fitted.predict(truth, ["y"]), "y", "y_pred").first()
-        queried: list = []
-        if iteration < iterations and n_pool > 0:
-            batch = stage(
-                _score_and_query(fitted, rest, strategy, batch_size, key, seed, candidate_sample),
-                "batch",
-            )
-            queried = sorted(r[0] for r in batch.collect())
-            moved = batch if moved is None else stage(moved.unionByName(batch), "moved")
-        history.append(
-            (strategy, iteration, n_labeled, scores["accuracy"], scores["f1"], queried)
-        )
-        n_labeled, n_pool = n_labeled + len(queried), n_pool - len(queried)
-    return spark.createDataFrame(
-        history, HISTORY.format(key=labeled.schema[key].dataType.simpleString())
-    )
+    parts = [prepare(df, key, label_col, text_col, embedding_col) for df in (labeled, pool, test)]
+    return _cycle(*parts, strategy, key, label_col, text_col, embedding_col, **cycle)
 
 
 def compare_al_strategies(
     labeled: DataFrame, pool: DataFrame, test: DataFrame,
-    strategies: Sequence[str] = ("entropy", "random"), **cycle,
+    strategies: Sequence[str] = ("entropy", "random"), *, key: str, label_col: str,
+    text_col: str | None = None, embedding_col: str | None = None, **cycle,
 ) -> DataFrame:
-    """Histories of several strategies from the same start."""
+    """Histories of several strategies from the same start, over tables prepared once."""
+    parts = [prepare(df, key, label_col, text_col, embedding_col) for df in (labeled, pool, test)]
     history = None
     for strategy in strategies:
-        run = run_cycle(labeled, pool, test, strategy, **cycle)
+        run = _cycle(*parts, strategy, key, label_col, text_col, embedding_col, **cycle)
         history = run if history is None else history.unionByName(run)
     return history
 

@@ -29,6 +29,7 @@ SEED = 42
 # ------------------------------------------------------------------------------
 
 MAX_DEPTH = 30
+TOLERANCE = 1e-6
 ROWS_PER_PARTITION = 5_000
 MAX_MODEL_CLASSES = 1000
 MODELS = ("logreg", "svm", "rf", "embedding")
@@ -79,19 +80,27 @@ class Classifier:
 def fit(
     labeled: DataFrame, kind: str, key: str, label_col: str, text_col: str | None = None,
     embedding_col: str | None = None, trees: int = TREES, max_depth: int = MAX_DEPTH,
+    max_terms: int | None = None, min_df: int = 1, max_classes: int = MAX_MODEL_CLASSES,
+    rows_per_partition: int = ROWS_PER_PARTITION, tolerance: float = TOLERANCE,
 ) -> Classifier:
-    """Train on the labeled rows; rows without a label take no part."""
+    """Train on the labeled rows; rows without a label take no part.
+
+    The vocabulary has all terms in ``min_df`` texts or more, or the ``max_terms``
+    most frequent of them. More than ``max_classes`` classes are an error.
+    ``rows_per_partition`` sets how many rows a solver's task reads, ``tolerance``
+    when a logistic regression has converged.
+    """
     if kind not in MODELS:
         raise ValueError(f"unknown model: {kind}")
     rows = nan_to_null(labeled).withColumn("__y", norm_label(col(label_col))).where("__y is not null")
-    sizes = rows.groupBy("__y").count().limit(MAX_MODEL_CLASSES + 1).collect()
+    sizes = rows.groupBy("__y").count().limit(max_classes + 1).collect()
     counts = {r["__y"]: r["count"] for r in sorted(sizes, key=lambda r: r["__y"])}
     if len(counts) < 2:
         raise ValueError("training needs at least two classes")
-    if len(counts) > MAX_MODEL_CLASSES:
+    if len(counts) > max_classes:
         raise ValueError("too many classes: is this a label column?")
     classes = list(counts)
-    tfidf = None if kind == "embedding" else tfidf_fit(rows, key, text_col)
+    tfidf = None if kind == "embedding" else tfidf_fit(rows, key, text_col, max_terms, min_df)
     model = Classifier(kind, classes, key, text_col, embedding_col, tfidf)
     weight = balanced_weights(counts)
     position = {c: float(i) for i, c in enumerate(classes)}
@@ -105,10 +114,10 @@ def fit(
     )
     n = sum(counts.values())
     # a few hundred labeled rows are not worth a task per core in each iteration
-    train = train.coalesce(max(1, n // ROWS_PER_PARTITION)).cache()
+    train = train.coalesce(max(1, n // rows_per_partition)).cache()
     try:
         if kind in ("logreg", "embedding"):
-            model.score = _fit_logreg(train, n)
+            model.score = _fit_logreg(train, n, tolerance)
         elif kind == "rf":
             model.score = _fit_forest(train, trees, max_depth)
         else:
@@ -118,10 +127,31 @@ def fit(
     return model
 
 
-def _fit_logreg(train: DataFrame, n: int) -> Callable[[DataFrame], DataFrame]:
+def linear_classifier(
+    classes: Sequence[str], coefficients: Sequence[Sequence[float]], intercepts: Sequence[float], key: str,
+    embedding_col: str,
+) -> Classifier:
+    """A classifier from given coefficients, one row per class: probabilities by softmax of the margins."""
+    weights = F.lit([list(map(float, row)) for row in coefficients])
+    given = F.lit(list(map(float, intercepts)))
+
+    def score(df: DataFrame) -> DataFrame:
+        x = F.col("__x")
+        margins = F.zip_with(weights, given, lambda row, b: b + F.aggregate(
+            F.zip_with(row, x, lambda w, v: w * v), F.lit(0.0), lambda total, v: total + v
+        ))
+        scored = df.withColumn("__x", vector_to_array("features")).withColumn("__m", margins)
+        shares = F.transform("__m", lambda m: F.exp(m - F.array_max("__m")))
+        total = F.aggregate("__e", F.lit(0.0), lambda t, e: t + e)
+        return scored.withColumn("__e", shares).withColumn("proba", F.transform("__e", lambda e: e / total))
+
+    return Classifier("given", list(classes), key, None, embedding_col, score=score)
+
+
+def _fit_logreg(train: DataFrame, n: int, tolerance: float) -> Callable[[DataFrame], DataFrame]:
     fitted = LogisticRegression(
         weightCol="weight", regParam=1.0 / (INVERSE_PENALTY * n), standardization=False,
-        maxIter=MAX_ITERATIONS,
+        maxIter=MAX_ITERATIONS, tol=tolerance,
     ).fit(train)
     return lambda df: fitted.transform(df).withColumn("proba", vector_to_array("probability"))
 

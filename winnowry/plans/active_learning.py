@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from winnowry.operators.columns import find_label_col, find_text_col
-from winnowry.operators.learn import compare_al_strategies, stratified_split
+from winnowry.operators.learn import BASELINE, compare_al_strategies, learning_curve, savings, stratified_split
 from winnowry.sources.files import STAGE_INPUTS, _matches, first_multiclass, scan
 from winnowry.staging import stage
 
@@ -16,8 +16,8 @@ def experiment(
     spark: SparkSession, base: str, key: str, n_start: int = 50,
     strategies: Sequence[str] = ("entropy", "random"), label_col: str | None = None,
     test_size: float = 0.2, path: str | None = None, **cycle,
-) -> DataFrame:
-    """History of every strategy on the first stage table with two classes."""
+) -> dict[str, DataFrame]:
+    """``history`` of every strategy on the first stage table with two classes, its ``savings`` and ``curve``."""
     candidates = [path] if path else [f"{base.rstrip('/')}/{p}" for p in STAGE_INPUTS["active_learning"]]
     tables = {p: scan(spark, p) for p in candidates if _matches(spark, p)}
     _, df = first_multiclass(tables, label_col)
@@ -27,7 +27,8 @@ def experiment(
         stratified_split(df.select(key, text, label), label, key, n_start, test_size), "split"
     )
     part = {s: parts.where(parts["split"] == s).drop("split") for s in ("labeled", "pool", "test")}
-    return compare_al_strategies(
+    history = stage(compare_al_strategies(
         part["labeled"], part["pool"], part["test"], strategies, key=key, label_col=label,
         text_col=text, **cycle,
-    )
+    ), "history")
+    return {"history": history, "savings": savings(history, BASELINE), "curve": learning_curve(history)}
