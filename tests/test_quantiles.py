@@ -23,7 +23,7 @@ def frame():
 @pytest.mark.parametrize("limits", [
     {},                                            # the built-in value map
     {"bounded_rows": 50_000},                     # counted values
-    {"bounded_rows": 200, "sample_rows": 400},     # shrinking brackets
+    {"bounded_rows": 200, "steps": 8},     # shrinking brackets
 ])
 def test_equals_pandas_exactly(spark, frame, limits):
     found = exact_quantiles(spark.createDataFrame(frame).repartition(5), list(frame.columns), PROBS, **limits)

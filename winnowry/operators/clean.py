@@ -221,18 +221,22 @@ def fix_outliers(df: DataFrame, how: str, protected: Iterable[str] = ()) -> Data
     """clip_iqr | clip_zscore | drop | none, on unprotected numeric columns.
 
     Dropping goes column by column in schema order: the bounds of a column come
-    from the rows the columns before it have left.
+    from the rows the columns before it have left. Quartiles take several passes;
+    they are made over the numeric columns alone, written once.
     """
     names = numeric_columns(df, protected)
-    if how == "clip_iqr":
-        return apply_clip(df, outlier_bounds(df, "iqr", names))
     if how == "clip_zscore":
         return apply_clip(df, outlier_bounds(df, "zscore", names))
-    if how == "drop":
-        df = nan_to_null(df)
-        for name in names:
-            for c, bounds in outlier_bounds(df, "iqr", [name]).items():
-                df = df.where(~outside(df, c, bounds))
+    if how not in ("clip_iqr", "drop") or not names:
+        return df
+    numbers = stage(nan_to_null(df).select([col(c) for c in names]), "numbers")
+    if how == "clip_iqr":
+        return apply_clip(df, outlier_bounds(numbers, "iqr", names))
+    df = nan_to_null(df)
+    for name in names:
+        for c, bounds in outlier_bounds(numbers, "iqr", [name]).items():
+            numbers = numbers.where(~outside(numbers, c, bounds))
+            df = df.where(~outside(df, c, bounds))
     return df
 
 

@@ -13,6 +13,7 @@ from winnowry.functions.text import pct_change
 from winnowry.operators.clean import DEFAULT_STRATEGIES, fix
 from winnowry.operators.profile import outlier_bounds, outside, row_fingerprint
 from winnowry.schema import col, is_missing, numeric_columns, user_cols
+from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
 METRICS = ("Rows", "Missing values", "Duplicates", "Outliers (IQR)")
@@ -22,21 +23,26 @@ METRICS = ("Rows", "Missing values", "Duplicates", "Outliers (IQR)")
 def quality_totals(df: DataFrame, key: Iterable[str] = ()) -> dict[str, int]:
     """The four metrics of one frame; key columns take no part.
 
-    Rows, missing cells and duplicates come from one pass: equal rows have
-    equally many missing cells, so a group counts for all of its copies.
+    The frame is read once: a fingerprint, the number of missing cells and the
+    numeric columns of each row are written down, and everything is measured on
+    that narrow table. Equal rows have equally many missing cells, so a group
+    counts for all of its copies.
     """
     df = df.select([col(c) for c in user_cols(df, key)])
     holes = sum(
         (F.when(is_missing(df, c), 1).otherwise(0) for c in df.columns), F.lit(0)
     ).cast("bigint")
-    groups = df.select(*row_fingerprint(df), holes.alias("holes")).groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.max("holes").alias("holes")
+    prints = [h.alias(f"__print{i}") for i, h in enumerate(row_fingerprint(df))]
+    numbers = numeric_columns(df)
+    df = stage(df.select(*prints, holes.alias("__holes"), *[col(c) for c in numbers]), "measured")
+    groups = df.groupBy("__print0", "__print1").agg(
+        F.count(F.lit(1)).alias("n"), F.max("__holes").alias("holes")
     )
     whole = groups.agg(*[
         F.coalesce(F.sum(e), F.lit(0)).cast("bigint")
         for e in (F.col("n"), F.col("n") * F.col("holes"), F.col("n") - 1)
     ]).first()
-    bounds = outlier_bounds(df, "iqr", numeric_columns(df))
+    bounds = outlier_bounds(df, "iqr", numbers)
     outliers = 0
     if bounds:
         outliers = sum(df.agg(*[

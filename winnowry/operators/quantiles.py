@@ -1,19 +1,19 @@
 """Exact quantiles without gathering a column in one task.
 
 The built-in exact ``percentile`` keeps a value map of the whole column in one
-final task. Here the wanted order statistics are bracketed instead: a bounded
-random sample proposes a bracket, one counting pass says where the wanted rank
-really lies, and the bracket shrinks until what is left fits one task. The
-sample only steers the search; the counts make the answer exact.
+final task. Here the wanted order statistics are bracketed instead: a mergeable
+sketch of all rows proposes a bracket, the next pass counts where the wanted
+rank really lies and sketches what is inside, and so on until what is left fits
+one task. The sketch only steers the search; the counts make the answer exact.
+A bracket keeps a few thousandths of its rows, so 1e11 rows take five passes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
-from itertools import count
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,9 +23,9 @@ from winnowry.schema import col, is_missing
 
 BOUNDED_ROWS = 100_000
 ONE_TASK_VALUES = 300_000
-SAMPLE_ROWS = 20_000
+STEPS = 1_000
+ACCURACY = 4  # of a sketch, in its steps
 COLUMNS_PER_PASS = 25
-SAMPLE_SEED = 42
 
 
 @dataclass
@@ -40,6 +40,7 @@ class Bracket:
     below: int = 0
     inside: int = 0
     whole: bool = False
+    grid: tuple = field(default=(), compare=False)
 
     def holds(self, value: Column) -> Column:
         if self.whole:
@@ -66,17 +67,17 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     bounded_rows: int = BOUNDED_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
+    steps: int = STEPS,
 ) -> dict[str, tuple[int, list[float] | None]]:
     """Per column: number of non-missing values and linearly interpolated quantiles."""
     found: dict[str, tuple[int, list[float] | None]] = {}
     for start in range(0, len(columns), COLUMNS_PER_PASS):
         part = list(columns[start:start + COLUMNS_PER_PASS])
-        found.update(_quantiles(df, part, probs, bounded_rows, sample_rows))
+        found.update(_quantiles(df, part, probs, bounded_rows, steps))
     return found
 
 
-def _quantiles(df, columns, probs, bounded_rows, sample_rows):
+def _quantiles(df, columns, probs, bounded_rows, steps):
     values = df.select([
         F.when(~is_missing(df, c), col(c).cast("double")).alias(f"v{i}")
         for i, c in enumerate(columns)
@@ -84,7 +85,10 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
     names = [f"v{i}" for i in range(len(columns))]
     facts = values.agg(*[
         e for v in names
-        for e in (F.count(v).alias(f"n_{v}"), F.min(v).alias(f"lo_{v}"), F.max(v).alias(f"hi_{v}"))
+        for e in (
+            F.count(v).alias(f"n_{v}"), F.min(v).alias(f"lo_{v}"), F.max(v).alias(f"hi_{v}"),
+            _sketch(F.col(v), steps).alias(f"grid_{v}"),
+        )
     ]).first()
 
     targets: dict[tuple[str, int], Target] = {}
@@ -92,7 +96,7 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
         n = facts[f"n_{v}"]
         if n == 0:
             continue
-        whole = Bracket(v, facts[f"lo_{v}"], facts[f"hi_{v}"], inside=n, whole=True)
+        whole = Bracket(v, facts[f"lo_{v}"], facts[f"hi_{v}"], inside=n, whole=True, grid=tuple(facts[f"grid_{v}"]))
         for p in probs:
             at = (n - 1) * p
             for rank in {math.floor(at), math.ceil(at)}:
@@ -101,11 +105,11 @@ def _quantiles(df, columns, probs, bounded_rows, sample_rows):
 
     if bounded_rows == BOUNDED_ROWS and sum(facts[f"n_{v}"] for v in names) <= ONE_TASK_VALUES:
         _read_off(values, [t for t in targets.values() if t.value is None], facts)
-    for attempt in count():
+    while True:
         wide = [t for t in targets.values() if t.value is None and t.bracket.inside > bounded_rows]
         if not wide:
             break
-        _narrow(values, wide, sample_rows, SAMPLE_SEED + attempt)
+        _narrow(values, wide, steps)
     _pick(values, [t for t in targets.values() if t.value is None])
 
     result = {}
@@ -157,37 +161,54 @@ def _neighbours(targets: list[Target]) -> list[list[Target]]:
     return groups
 
 
-def _narrow(values: DataFrame, targets: list[Target], sample_rows: int, seed: int) -> None:
-    """One sampling and one counting pass over all brackets still too wide."""
-    slack = 3.0 / math.sqrt(sample_rows)
+def _sketch(value: Column, steps: int) -> Column:
+    """Values at about every ``1/steps`` of the rows; sketches of partitions are merged."""
+    return F.percentile_approx(value, [i / steps for i in range(steps + 1)], ACCURACY * steps)
+
+
+def _propose(group: list[Target], steps: int) -> tuple[float, float]:
+    """Two values of the bracket's grid that should hold the group's ranks between them."""
+    b = group[0].bracket
+    places = [(t.rank - b.below) / max(b.inside - 1, 1) * steps for t in group]
+    low, high = math.floor(min(places)) - 1, math.ceil(max(places)) + 1
+    return b.grid[max(low, 0)], b.grid[min(high, steps)]
+
+
+def _narrow(values: DataFrame, targets: list[Target], steps: int) -> None:
+    """One pass over all brackets still too wide.
+
+    It counts how the rows lie about the proposed ends, which makes the result
+    exact, and sketches what lies between them for the next proposal.
+    """
     groups = _neighbours(targets)
-    drawn, proposals = [], []
-    for i, group in enumerate(groups):
-        b = group[0].bracket
-        share = min(1.0, sample_rows / b.inside)
-        at = (group[0].rank - b.below) / max(b.inside - 1, 1)
-        drawn.append(b.holds(F.col(b.column)) & (F.col("draw") < share))
-        ends = F.array(F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack)))
-        proposals.append(F.percentile(F.when(drawn[-1], F.col(b.column)), ends).alias(f"t{i}"))
-    # rows no bracket draws are gone before they reach the aggregation
-    sampled = values.withColumn("draw", F.rand(seed)).where(reduce(or_, drawn))
-    ends = sampled.agg(*proposals).first()
-
-    counts, cuts = [], []
+    asked, cuts = [], []
     for i, group in enumerate(groups):
         b = group[0].bracket
         value = F.col(b.column)
-        low, high = ends[f"t{i}"] or (b.low, b.high)
+        if not b.grid:
+            cuts.append(None)
+            asked.append(_sketch(F.when(b.holds(value), value), steps).alias(f"grid_{i}"))
+            continue
+        low, high = _propose(group, steps)
         cuts.append((low, high))
-        counts += [
+        asked.append(_sketch(F.when((value > low) & (value < high), value), steps).alias(f"grid_{i}"))
+        asked += [
             F.count_if(test).alias(f"{name}_{i}") for name, test in (
                 ("lt", value < low), ("le", value <= low), ("lth", value < high), ("leh", value <= high),
             )
         ]
-    seen = values.agg(*counts).first()
-
-    for i, (group, (low, high)) in enumerate(zip(groups, cuts)):
+    seen = values.agg(*asked).first()
+
+    for i, (group, cut) in enumerate(zip(groups, cuts)):
+        grid = tuple(seen[f"grid_{i}"] or ())
+        if cut is None:
+            group[0].bracket.grid = grid
+            for t in group:
+                t.bracket = group[0].bracket
+            continue
+        low, high = cut
         lt, le, lt_high, le_high = (seen[f"{k}_{i}"] for k in ("lt", "le", "lth", "leh"))
+        inner = Bracket(group[0].bracket.column, low, high, False, False, le, lt_high - le, grid=grid)
         for t in group:
             b = t.bracket
             if t.rank < lt:
@@ -195,7 +216,7 @@ def _narrow(values: DataFrame, targets: list[Target], sample_rows: int, seed: in
             elif t.rank < le:
                 t.value = low
             elif t.rank < lt_high:
-                t.bracket = Bracket(b.column, low, high, False, False, le, lt_high - le)
+                t.bracket = inner
             elif t.rank < le_high:
                 t.value = high
             else:
