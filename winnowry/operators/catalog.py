@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnowry.operators.ranking import take_ranked, top_per_group
+from winnowry.staging import stage
 
 # --- fixed values -------------------------------------------------------------
 MIN_SCORE = 4
@@ -118,8 +119,11 @@ def top_tasks(ranked: DataFrame, k: int = TOP_TASKS) -> DataFrame:
 def catalog_summary(ranked: DataFrame, sources: Sequence[str] = ()) -> DataFrame:
     """``(section, item, value)``: totals, sources, limits, tasks, mean score, top three.
 
-    A source asked for in ``sources`` that found nothing gets the limit 0.
+    A source asked for in ``sources`` that found nothing gets the limit 0. The
+    few columns read are written once; everything is counted on that table.
     """
+    ranked = stage(ranked.select("id", "name", "source", "relevance_score", "ml_tasks"), "catalog")
+
     def rows(df: DataFrame, section: str, item: Column, value: Column) -> DataFrame:
         return df.select(
             F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value")
@@ -128,6 +132,7 @@ def catalog_summary(ranked: DataFrame, sources: Sequence[str] = ()) -> DataFrame
     by_source = ranked.groupBy(F.coalesce("source", F.lit("unknown")).alias("source")).agg(
         F.count(F.lit(1)).alias("count")
     )
+    by_source = stage(by_source, "sources")
     totals = ranked.agg(
         F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.avg(score()), F.lit(0.0)), 1).alias("mean")
     )

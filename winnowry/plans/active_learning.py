@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from winnowry.operators.columns import find_label_col, find_text_col
 from winnowry.operators.learn import BASELINE, compare_al_strategies, learning_curve, savings, stratified_split
 from winnowry.sources.files import STAGE_INPUTS, _matches, first_multiclass, scan
-from winnowry.staging import stage
+from winnowry.staging import drop_staged, stage, staged_so_far
 
 
 def experiment(
@@ -23,6 +23,7 @@ def experiment(
     _, df = first_multiclass(tables, label_col)
     label = label_col or find_label_col(df)
     text = find_text_col(df, how="median")
+    since = staged_so_far()
     parts = stage(
         stratified_split(df.select(key, text, label), label, key, n_start, test_size), "split"
     )
@@ -31,4 +32,5 @@ def experiment(
         part["labeled"], part["pool"], part["test"], strategies, key=key, label_col=label,
         text_col=text, **cycle,
     ), "history")
+    drop_staged(spark, since, keep=[history])
     return {"history": history, "savings": savings(history, BASELINE), "curve": learning_curve(history)}

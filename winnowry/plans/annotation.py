@@ -13,6 +13,7 @@ from winnowry.operators.annotate import (
 from winnowry.operators.columns import find_text_col, infer_classes
 from winnowry.operators.ranking import sample_n
 from winnowry.sources.files import LABELED, resolve_input, scan, write_stage
+from winnowry.staging import settle, staged_so_far
 
 TASKS = "data/labeled/labelstudio_import.jsonl"
 
@@ -24,6 +25,7 @@ def annotate(
     human: DataFrame | None = None, human_col: str = "label", path: str | None = None,
 ) -> DataFrame:
     """Label, write the labeled stage and the export, return the quality metrics."""
+    since = staged_so_far()
     df = scan(spark, resolve_input(spark, base, "annotation", path))
     if rows:
         df = sample_n(df, rows, key)
@@ -38,9 +40,9 @@ def annotate(
     labeled = scan(spark, out)
     write_labelstudio(to_labelstudio(labeled, key, text), f"{base.rstrip('/')}/{TASKS}")
     if human is not None:
-        return check_quality(labeled, human, key_col=key, human_col=human_col)
+        return settle(check_quality(labeled, human, key_col=key, human_col=human_col), since)
     runs = consistency(
         labeled, key, labeler, text, n=consistency_rows, passes=passes, task=task,
         classes=classes, batch_size=batch_size,
     )
-    return check_quality(labeled, consistency=runs)
+    return settle(check_quality(labeled, consistency=runs), since)

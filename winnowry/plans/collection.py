@@ -21,14 +21,14 @@ def ranked_catalog(catalogs: Sequence[DataFrame], scores: DataFrame, min_score:
 
 def combine(
     spark: SparkSession, base: str,
-    datasets: Sequence[tuple[str, str, Sequence[str], Mapping[str, str]]],
+    datasets: Sequence[tuple[str, str, Sequence[str], Mapping[str, str]]], **how,
 ) -> DataFrame:
-    """Write the combined raw table from ``(source, id, files, column mapping)``.
+    """Write the combined raw table from ``(source, id, files, column mapping)``; ``how`` goes to ``scan_any``.
 
     Returns the rows per source.
     """
     parts = [
-        unify(tag(scan_any(spark, files), source, dataset_id), mapping)
+        unify(tag(scan_any(spark, files, **how), source, dataset_id), mapping)
         for source, dataset_id, files, mapping in datasets
     ]
     out = f"{base.rstrip('/')}/{RAW}"

@@ -10,12 +10,14 @@ from winnowry.operators.clean import DEFAULT_STRATEGIES, fix
 from winnowry.operators.compare import compare, compare_strategies
 from winnowry.operators.profile import quality_report
 from winnowry.sources.files import CLEAN, resolve_input, scan, write_stage
+from winnowry.staging import settle, staged_so_far
 
 
 def report(
     spark: SparkSession, base: str, label_col: str | None = None, path: str | None = None
 ) -> DataFrame:
-    return quality_report(scan(spark, resolve_input(spark, base, "quality", path)), label_col)
+    since = staged_so_far()
+    return settle(quality_report(scan(spark, resolve_input(spark, base, "quality", path)), label_col), since)
 
 
 def proposals(
@@ -26,7 +28,8 @@ def proposals(
     """Before/After table of every strategy, to choose from."""
     df = scan(spark, resolve_input(spark, base, "quality", path))
     protected = [label_col] if label_col else []
-    return compare_strategies(df, strategies, protected, order_col, key)
+    since = staged_so_far()
+    return settle(compare_strategies(df, strategies, protected, order_col, key), since)
 
 
 def clean(
@@ -38,6 +41,6 @@ def clean(
     df = scan(spark, resolve_input(spark, base, "quality", path))
     chosen = DEFAULT_STRATEGIES[strategy] if isinstance(strategy, str) else strategy
     protected = list(protected_cols) + ([label_col] if label_col else [])
-    out = f"{base.rstrip('/')}/{CLEAN}"
+    out, since = f"{base.rstrip('/')}/{CLEAN}", staged_so_far()
     write_stage(fix(df, chosen, protected, order_col, dedup_key), out)
-    return compare(df, scan(spark, out), key=[dedup_key] if dedup_key else [])
+    return settle(compare(df, scan(spark, out), key=[dedup_key] if dedup_key else []), since)

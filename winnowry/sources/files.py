@@ -34,13 +34,14 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_any(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None,
-    multi_line: bool = True, json_arrays: bool = False,
+    multi_line: bool = False, json_arrays: bool = False,
 ) -> DataFrame:
     """CSV, JSON and Parquet files of one dataset as one table, columns united.
 
-    Pass ``schema`` to spare large text files the extra pass that infers one, and
-    ``multi_line=False`` where no quoted CSV value holds a line break: Spark can
-    then split the file. ``json_arrays`` reads files that hold one JSON array.
+    Pass ``schema`` to spare large text files the extra pass that infers one. CSV
+    files are split among tasks; ``multi_line`` reads files whose quoted values
+    hold line breaks, each in one task. ``json_arrays`` reads files that hold one
+    JSON array.
     """
     by_format: dict[str, list[str]] = {}
     for path in paths:

@@ -32,6 +32,13 @@ def staged_so_far() -> int:
     return len(_written)
 
 
+def settle(df: DataFrame, since: int) -> DataFrame:
+    """A small result held by the driver, after which the tables staged for it are dropped."""
+    rows, schema, spark = df.collect(), df.schema, df.sparkSession
+    drop_staged(spark, since)
+    return spark.createDataFrame(rows, schema)
+
+
 def drop_staged(spark: SparkSession, since: int = 0, keep: Iterable[DataFrame] = ()) -> int:
     """Delete the tables staged by this driver after a mark; returns their number.
 
