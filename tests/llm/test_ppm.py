@@ -63,14 +63,14 @@ def test_scores_equal_the_plain_model(order):
     cells, rows = ppm.cells_at(*ppm.framed(*buffers(texts), order), order)
     found = np.bincount(rows, trie(learned, order).score(cells), len(texts))
     plain = Plain(learned, order)
-    assert np.allclose(found, [plain.text(t) for t in texts])
+    assert np.allclose(found, [plain.text(t) for t in texts], rtol=1e-6)
 
 
 def test_probabilities_of_a_context_sum_to_one():
     model = trie(drawn(9, 40), 3)
     for context in (0x616261, 0x7A7A61, 0x7A7A7A, 0xFEFEFE):
         cells = np.uint64(context << 8) + np.arange(256, dtype=np.uint64)
-        assert math.isclose((10 ** model.score(cells)).sum(), 1, rel_tol=1e-9)
+        assert math.isclose((10 ** model.score(cells)).sum(), 1, rel_tol=1e-6)
 
 
 def test_nothing_learned_is_uniform():
@@ -80,8 +80,8 @@ def test_nothing_learned_is_uniform():
 
 def test_hash_table():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**56, 5000, dtype=np.uint64))
-    table = ppm.HashTable(keys)
-    assert (table.find(keys) == np.arange(len(keys))).all() and (table.find(keys + np.uint64(1 << 60)) == -1).all()
+    table = ppm.HashTable(keys, np.arange(len(keys)))
+    assert (table.get(keys) == np.arange(len(keys))).all() and np.isnan(table.get(keys + np.uint64(1 << 60))).all()
 
 
 def rows_of(df):
@@ -106,7 +106,7 @@ def test_query_against_counters_and_the_plain_model(spark):
         base = sum(math.log10((counts[t] + 1) / (total + kinds + 1)) for t in tokens)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9)
     for i in sorted(texts, key=lambda i: len(texts[i]))[:40]:
-        assert math.isclose(found[i]["score"], plain.text(texts[i]), rel_tol=1e-9)
+        assert math.isclose(found[i]["score"], plain.text(texts[i]), rel_tol=1e-6)
 
 
 def test_held_out_texts_score_above_shuffled_ones(spark):
@@ -128,7 +128,7 @@ def test_parts_and_joined_tokens_give_the_same(spark):
     assert set(whole) == set(cut)
     for i, r in whole.items():
         assert all(r[c] == cut[i][c] for c in ("held_out", "n_tokens", "n_known", "train_tokens"))
-        assert math.isclose(r["score"], cut[i]["score"], rel_tol=1e-9)
+        assert math.isclose(r["score"], cut[i]["score"], rel_tol=1e-6)
         assert math.isclose(r["base_score"], cut[i]["base_score"], rel_tol=1e-9)
 
 

@@ -22,9 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GROUP_CHARS = 2_000_000
-CACHED_PIECES = 400_000
-CACHED_PAIRS = 2_000_000
+from winnowry.llm.common import Codes, ragged
+
+GROUP_CHARS = 500_000
+CACHED_PIECES = 150_000
+CACHED_PAIRS = 300_000
 NEVER = 1 << 62
 BREAK = "Ā"  # in no Latin-1 text
 
@@ -43,7 +45,7 @@ class ByteBpe:
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.parts: dict[int, tuple[int, int]] = {}  # the two tokens that merge into a token
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.shorter: dict[int, int] = {}  # the longest token that is a proper prefix
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
@@ -76,7 +78,7 @@ class ByteBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = Codes()
         self.pool, self.ends = array("i"), array("q", [0])
 
     def _reachable(self, token: int) -> bool:
@@ -114,7 +116,7 @@ class ByteBpe:
                 j += 1
 
     def _compatible(self, left: int, right: int) -> bool:
-        pair = left, right
+        pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
@@ -152,37 +154,31 @@ class ByteBpe:
             if end != last:  # matches that end at one place come longest first
                 longest[end], last = token, end
         base = -2
-        for piece, r in zip(pieces, raw):
+        for r in raw:
             whole = self.ranks.get(r)
             if whole is None:
                 base += len(r) + 1
                 self.pool.extend(self._walk(longest, base, len(r)))
             else:
                 self.pool.append(whole)
-            self.codes[piece] = len(self.ends) - 1
             self.ends.append(len(self.pool))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text begins (one more than texts)."""
         if len(self.codes) > CACHED_PIECES or len(self.pool) > 8 * CACHED_PIECES:
             self._forget()
-        split = [self.pattern.findall(t) for t in texts]
-        new = dict.fromkeys(p for pieces in split for p in pieces if p not in self.codes)
+        codes, begins = self.codes.of([self.pattern.findall(t) for t in texts])
+        new, self.codes.fresh = self.codes.fresh, []
         if new:
-            self._learn(list(new))
-        counts = [len(pieces) for pieces in split]
-        codes = np.fromiter((c for pieces in split for c in map(self.codes.__getitem__, pieces)), np.int64, sum(counts))
+            self._learn(new)
         ends, pool = np.array(self.ends), np.array(self.pool, np.int32)
-        lengths = ends[codes + 1] - ends[codes]
-        stops = np.concatenate(([0], np.cumsum(lengths)))
-        ids = pool[np.repeat(ends[codes] - stops[:-1], lengths) + np.arange(stops[-1])]
-        return ids, stops[np.concatenate(([0], np.cumsum(counts))).astype(np.int64)]
+        places, stops = ragged(ends[codes], ends[codes + 1] - ends[codes])
+        return pool[places], stops[begins]
 
     def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[bytes]:
         """The bytes of each run of ids, read from the table of tokens."""
-        lengths = self.lengths[ids]
-        stops = np.concatenate(([0], np.cumsum(lengths)))
-        flat = self.table[np.repeat(self.offsets[ids] - stops[:-1], lengths) + np.arange(stops[-1])].tobytes()
+        places, stops = ragged(self.offsets[ids], self.lengths[ids])
+        flat = self.table[places].tobytes()
         at = stops[begins].tolist()
         return [flat[a:b] for a, b in zip(at, at[1:])]
 

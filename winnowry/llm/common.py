@@ -10,14 +10,16 @@ longer UTF-8 sequence lies in that range.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 CHUNK = 1 << 20  # bytes of text hashed at a time
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -41,7 +43,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def row_groups(offsets: np.ndarray, size: int = 4 * CHUNK) -> Iterator[tuple[int, int]]:
+def row_groups(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of about ``size`` bytes; a longer row stands alone."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
@@ -106,6 +108,40 @@ def join_hashes(left: np.ndarray, right: np.ndarray, salt: int = 0) -> np.ndarra
     return mix(left * np.uint64(_BASE) + (right ^ np.uint64(0x2545F4914F6CDD1D + salt)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in smaller batches than Spark's default, unless the session has chosen a size.
+
+    A batch of texts is in memory on both sides at once; these are still some megabytes.
+    """
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, "2000")
+
+
+class Codes(dict):
+    """Numbers for keys in the order of their first look-up; ``fresh`` lists the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, key) -> int:
+        self.fresh.append(key)
+        number = self[key] = len(self)
+        return number
+
+    def of(self, groups: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all keys of all groups, and where each group begins (one more than groups)."""
+        begins = np.cumsum([0, *map(len, groups)])
+        found = np.fromiter(map(self.__getitem__, chain.from_iterable(groups)), np.int64, int(begins[-1]))
+        return found, begins
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of runs that begin at ``starts``, one after another, and where each run ends in the result."""
+    stops = np.concatenate(([0], np.cumsum(lengths)))
+    return np.repeat(starts - stops[:-1], lengths) + np.arange(stops[-1]), stops
+
+
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a narrow written table for broadcast if it has few rows; else leave it to a shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

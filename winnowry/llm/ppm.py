@@ -16,7 +16,6 @@ per byte, for all bytes of a batch at once.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -30,7 +29,7 @@ from winnowry.staging import stage
 
 ORDER = 5
 BEFORE, END = 0xFE, 0xFF  # bytes that UTF-8 never has: before a text, and after it
-PART_CELLS = 3_000_000  # cells of the trie sent to the tasks at once
+PART_CELLS = 2_000_000  # cells of the trie sent to the tasks at once
 COMMON_TOKENS = 1_000_000  # no more than so many tokens make up 1/COMMON_TOKENS of all each
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -71,7 +70,7 @@ def count_cells(texts: DataFrame, order: int = ORDER) -> DataFrame:
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(0))
-            for first, last in row_groups(offsets, 1 << 23):
+            for first, last in row_groups(offsets, 1 << 21):
                 low, high = offsets[first], offsets[last]
                 cells, _ = cells_at(*framed(data[low:high], offsets[first : last + 1] - low, order), order)
                 cell, n = np.unique(cells, return_counts=True)
@@ -96,34 +95,36 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class HashTable:
-    """Places of 64-bit keys, looked up for whole arrays: open addressing at most a quarter full."""
+    """Values of 64-bit keys, looked up for whole arrays: open addressing, at most half full."""
 
-    def __init__(self, keys: np.ndarray) -> None:
-        bits = max(8, int(len(keys) * 4 - 1).bit_length() if len(keys) else 8)
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(8, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.place = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        place = np.full(1 << bits, -1, np.int32)
         rest, slot = np.arange(len(keys), dtype=np.int32), self._slots(keys)
         while len(rest):
-            free = self.place[slot] < 0
-            self.place[slot[free]] = rest[free]  # of several for one slot the last one stays
-            missed = self.place[slot] != rest
+            free = place[slot] < 0
+            place[slot[free]] = rest[free]  # of several for one slot the last one stays
+            missed = place[slot] != rest
             rest, slot = rest[missed], (slot[missed] + 1) & self.mask
-        filled = self.place >= 0
-        self.keys[filled] = keys[self.place[filled]]
+        filled = place >= 0
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, np.nan, np.float32)
+        self.keys[filled], self.values[filled] = keys[place[filled]], values[place[filled]]
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values in the order of the keys; NaN where a key is absent."""
         slot = self._slots(keys)
-        found = self.place[slot]
-        wrong = np.flatnonzero((found >= 0) & (self.keys[slot] != keys))
+        found = self.values[slot]
+        wrong = np.flatnonzero((self.keys[slot] != keys) & ~np.isnan(found))
         slot = slot[wrong]
         while len(wrong):
             slot = (slot + 1) & self.mask
-            place = self.place[slot]
-            found[wrong] = place
-            more = (place >= 0) & (self.keys[slot] != keys[wrong])
+            value = self.values[slot]
+            found[wrong] = value
+            more = (self.keys[slot] != keys[wrong]) & ~np.isnan(value)
             wrong, slot = wrong[more], slot[more]
         return found
 
@@ -158,14 +159,15 @@ class Trie:
                 self.shared.append(np.zeros(len(first), np.int64))
         owner = np.repeat(np.arange(len(self.kinds[order])), self.kinds[order])
         seen = self.total[order] + self.kinds[order]
-        self.logs = np.log10(self.counts[order] / seen[owner]) if len(owner) else np.zeros(0)
-        self.table = HashTable(self.cells[order])
+        logs = np.log10(self.counts[order] / seen[owner]) if len(owner) else np.zeros(0)
+        self.table = HashTable(self.cells[order], logs)
+        self.cells[order] = self.counts[order] = np.zeros(0, np.int64)  # all they say is in the table
 
     def score(self, cells: np.ndarray) -> np.ndarray:
         """log10 of the probability of each coded byte in its context."""
-        at = self.table.find(cells)
-        out = np.where(at >= 0, self.logs[at], 0.0) if len(self.logs) else np.zeros(len(cells))
-        rest = np.flatnonzero(at < 0)
+        out = self.table.get(cells).astype(np.float64)
+        rest = np.flatnonzero(np.isnan(out))
+        out[rest] = 0.0
         ruled_counts, ruled_kinds = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int64)
         for k in range(self.order, -1, -1):
             if not len(rest):
@@ -217,29 +219,18 @@ class Model:
         low = self.cells.groupBy(F.col("cell").bitwiseAND(low_bytes(min(3, order))).alias("cell"))
         self.low = _collected(low.agg(F.sum("n").alias("n")))  # at most 256**3 cells
 
-    def part(self, number: int) -> tuple:
+    def part(self, number: int) -> Trie:
         context = F.shiftright("cell", 8).bitwiseAND(0xFFFF)
         chosen = self.cells.where(context * 40503 % 65536 % self.parts == number)
-        return *_collected(chosen), *self.low, self.order
-
-
-_loaded: dict[str, Trie] = {}
-
-
-def _trie(name: str, given: tuple) -> Trie:
-    """One trie per Python worker: the last one asked for."""
-    if name not in _loaded:
-        _loaded.clear()
-        _loaded[name] = Trie(*given)
-    return _loaded[name]
+        return Trie(*_collected(chosen), *self.low, self.order)
 
 
 def _batch_scores(model: Model, number: int, sc) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     """A function from texts to the log10 probability of their bytes whose context is in one part."""
-    given, name, order, parts = sc.broadcast(model.part(number)), uuid.uuid4().hex, model.order, model.parts
+    given, order, parts = sc.broadcast(model.part(number)), model.order, model.parts
 
     def score(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        trie, found = _trie(name, given.value), np.zeros(len(offsets) - 1)
+        trie, found = given.value, np.zeros(len(offsets) - 1)
         for first, last in row_groups(offsets):
             low, high = offsets[first], offsets[last]
             cells, rows = cells_at(*framed(data[low:high], offsets[first : last + 1] - low, order), order)
@@ -297,7 +288,7 @@ def _scored(docs: DataFrame, common: dict[bytes, float], model: Model) -> DataFr
         for batch in batches:
             data, offsets = buffers(batch.column(3))
             scores = score(data, offsets)
-            for first, last in row_groups(offsets, 1 << 22):
+            for first, last in row_groups(offsets, 1 << 21):
                 sizes, sums, rare = [], [], []
                 for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1]):
                     words = data[a:b].tobytes().lower().split()

@@ -249,6 +249,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = classes.join(grouped, F.col("first") == F.col("member"), "left").select(
         *sequence, F.coalesce("component_id", "first").alias("component_id")
     )
+    found = checked_broadcast(stage(found, "found"))
     return printed.join(found, sequence).select("id", "component_id")
 
 
