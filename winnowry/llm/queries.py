@@ -12,13 +12,18 @@ from winnowry.llm import (
     byte_bpe, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam, simhash_dedup,
     substring_dedup, token_files,
 )
+from winnowry.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _register(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -119,3 +124,6 @@ FROM component c LEFT JOIN counted ON c.vec_id = counted.vec_id
 def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return html_blocks.extract(pages, html_blocks.train_labeller(pages))
+
+
+SQL["op10_substring_dedup"] = substring_dedup.SQL

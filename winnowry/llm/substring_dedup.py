@@ -344,3 +344,26 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -
         return F.col(f"`{name}`")
 
     return done.select(*[result(c) for c in docs.columns])
+
+
+SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), runs AS (
+  SELECT doc_id, unnest(range(1, len(ws) - {LENGTH - 2})) AS p, ws FROM w WHERE len(ws) >= {LENGTH}
+), windows AS (
+  SELECT doc_id, p, md5(array_to_string(list_slice(ws, p, p + {LENGTH - 1}), ' ')) AS h FROM runs
+), owners AS (
+  SELECT h, min(doc_id) AS owner FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, p + unnest(range({LENGTH})) AS q FROM windows JOIN owners USING (h) WHERE owner < doc_id
+), words AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS q, unnest(ws) AS word FROM w
+), kept AS (
+  SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.q) AS t, count(*) AS n
+  FROM words a LEFT JOIN gone g ON a.doc_id = g.doc_id AND a.q = g.q WHERE g.q IS NULL GROUP BY a.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
