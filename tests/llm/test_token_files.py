@@ -56,8 +56,11 @@ def test_words_alone_give_the_ids_of_whole_texts(monkeypatch):
     letter = lambda: chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(0x400), rnd.randrange(0xD7FF),
                                      0x301, 0x3A3, 0x1C, 0x85, 0xA0, 32, 32, 10, 0x1F600]))
     texts = ["".join(letter() for _ in range(rnd.randrange(60))) for _ in range(1500)]
-    texts += ["a<|endoftext|>b <|startoftext|>", "it's DON'T 123", "ΌΣΟΣ Σ ΣΑΣ.", "é ́e", ""]
+    texts += ["A<|ENDOFTEXT|>B ABC Abc", "ABC Def.", "J\u030c j\u030c", "a<|endoftext|>b <|startoftext|>", "it's DON'T 123", "ΌΣΟΣ Σ ΣΑΣ.", "é ́e", ""]
+    signs = "abcXYZ019.,;!?|#$%&*()-_+=@'<>/\\ \n~"
+    texts += ["".join(rnd.choice(signs) for _ in range(rnd.randrange(40))) for _ in range(1500)]
     words = tf.WordTokenizer(open(PATH, encoding="utf-8").read())
+    assert words.by_parts
     for part in (texts[:800], texts[800:], texts[:10]):
         ids, begins = words.encode([t.encode() for t in part])
         assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [
@@ -65,6 +68,15 @@ def test_words_alone_give_the_ids_of_whole_texts(monkeypatch):
         ]
 
 
+def test_other_tokenizers_take_the_whole_way():
+    path = vocabularies.path("byte_bpe_50k.json")
+    words = tf.WordTokenizer(open(path, encoding="utf-8").read())
+    library = Tokenizer.from_file(path)
+    ids, begins = words.encode([b"Word", b"12,34!", "é".encode()])
+    assert not words.by_parts
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [library.encode(t).ids for t in ("Word", "12,34!", "é")]
+
+
 def expected_rows(texts, end=2):
     library, start, rows = Tokenizer.from_file(PATH), 0, []
     for i, text in texts:

@@ -14,6 +14,7 @@ ids, ids per block, blocks, words and escaped values; first word of each block
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import checked_broadcast
+from winnowry.llm.common import Codes, checked_broadcast, ragged
 from winnowry.staging import stage
 
 MAGIC = b"S8BLOCKS"
@@ -33,11 +34,17 @@ BLOCK = 128
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 PAYLOAD = np.uint64((1 << 60) - 1)
+_SHORT = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 GROUP_CHARS = 2_000_000
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
+#: ASCII words without marks that a pattern or a special token may join: runs of letters, digits, other signs.
+PLAIN = re.compile(rb"[^\x00-\x20\x7f-\xff'<]+")
+PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or values.max() < 1 << 16:
+        return _SHORT[values.astype(np.uint16)]
     out = np.zeros(values.shape, np.uint8)
     rest = values.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -72,7 +79,9 @@ def pack(values: np.ndarray) -> bytes:
     flat = np.zeros(blocks * BLOCK, np.uint64)
     flat[: len(values)] = values
     padded[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    best = _selectors(_bit_lengths(padded))
+    bits = np.zeros(padded.shape, np.uint8)
+    bits[:, :BLOCK] = _bit_lengths(flat).reshape(blocks, BLOCK)
+    best = _selectors(bits)
     sizes = np.full(blocks, BLOCK)
     if blocks:
         sizes[-1] = len(values) - (blocks - 1) * BLOCK
@@ -145,33 +154,58 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.lowers = '"Lowercase"' in definition
+        self.by_parts = self._treats_parts_alone()
         self._forget()
 
+    def _part_ids(self, word: str) -> list[int]:
+        """Ids of a plain word: each of its parts goes straight to the library's model."""
+        merge = self.tokenizer.model.tokenize
+        return [t.id for part in PARTS.findall(word.lower()) for t in merge(part)]
+
+    def _treats_parts_alone(self) -> bool:
+        """Whether this tokenizer lower-cases plain words and merges within their parts only.
+
+        Asked of the library itself, for every two neighbouring signs.
+        """
+        signs = [chr(c) for c in range(33, 127) if chr(c) not in "'<"]
+        words = [f"{a}{b}" for a in signs for b in signs] + [f"Ab{a}{b}cd" for a in signs for b in signs]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return all(e.ids == self._part_ids(w) for w, e in zip(words, found))
+
+    def _word_ids(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word; what is not plain takes the whole way through the library."""
+        plain = [self.by_parts and PLAIN.fullmatch(w) is not None for w in words]
+        rest = [w.decode() for w, p in zip(words, plain) if not p]
+        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
+        return [self._part_ids(w.decode()) if p else next(encoded).ids for w, p in zip(words, plain)]
+
     def _forget(self) -> None:
-        self.codes: dict[bytes, int] = {}
+        self.codes = Codes()
         self.pool, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
+    def _plain(self, text: bytes) -> bytes:
+        """The text lower-cased where the tokenizer would do just that, so that fewer words differ.
+
+        In other than ASCII texts marks are joined to letters first, and a special
+        token, which may follow ``<``, must keep its case.
+        """
+        return text.lower() if self.lowers and text.isascii() and b"<" not in text else text
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (one more than texts)."""
         if len(self.codes) > CACHED_WORDS:
             self._forget()
-        split = [t.split() for t in texts]
-        codes = self.codes
-        new = list(dict.fromkeys(w for words in split for w in words if w not in codes))
+        code, begins = self.codes.of([self._plain(t).split() for t in texts])
+        new, self.codes.fresh = self.codes.fresh, []
         if new:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            codes.update(zip(new, range(len(codes), len(codes) + len(new))))
+            ids = self._word_ids(new)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(lengths)))
             flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
             self.pool = np.concatenate((self.pool, flat))
-        counts = [len(words) for words in split]
-        code = np.fromiter((c for words in split for c in map(codes.__getitem__, words)), np.int64, sum(counts))
-        lengths = self.ends[code + 1] - self.ends[code]
-        stops = np.concatenate(([0], np.cumsum(lengths)))
-        ids = self.pool[np.repeat(self.ends[code] - stops[:-1], lengths) + np.arange(stops[-1])]
-        return ids, stops[np.concatenate(([0], np.cumsum(counts))).astype(np.int64)]
+        places, stops = ragged(self.ends[code], self.ends[code + 1] - self.ends[code])
+        return self.pool[places], stops[begins]
 
 
 _loaded: dict[str, WordTokenizer] = {}
