@@ -9,6 +9,7 @@ longer UTF-8 sequence lies in that range.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
@@ -117,6 +118,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, "2000")
 
 
+def first_by_hash(keys: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` of the distinct, narrow rows of ``keys``: those first by hash.
+
+    A hash limit that leaves a little over ``rows`` comes before the sort, so what
+    reaches the driver does not grow with the number of tasks.
+    """
+    keys = keys.distinct()
+    h = F.xxhash64(*keys.columns)
+    share = (rows + 6 * math.sqrt(rows) + 20) / max(keys.count(), 1)
+    if share < 1:
+        keys = keys.where(h < F.lit(int(share * 2**64) - 2**63))
+    return keys.orderBy(h, *keys.columns).limit(rows)
+
+
 class Codes(dict):
     """Numbers for keys in the order of their first look-up; ``fresh`` lists the new ones."""
 

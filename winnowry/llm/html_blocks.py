@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import word_hashes, word_spans
+from winnowry.llm.common import first_by_hash, word_hashes, word_spans
 
 SAMPLE_PAGES = 300
 PATH_DIMS, WORD_DIMS, MEASURES = 128, 32, 8
@@ -384,8 +384,11 @@ def varied(pages: list[list[Block]], seed: int = 42) -> list[tuple[list[Block],
 
 def train_labeller(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Labeller:
     """Fit on at most ``rows`` pages, the ones first by hash of their id; without any, on nothing."""
-    known = pages.where("html IS NOT NULL").select("page_id", "html", F.xxhash64("page_id", "html").alias("h"))
-    texts = [r["html"] for r in known.orderBy("h", "page_id", "html").limit(rows).collect()]  # the sample
+    known = pages.where("html IS NOT NULL").select("page_id", "html", F.xxhash64("html").alias("h"))
+    drawn = first_by_hash(known.select(F.col("page_id").alias("id"), F.col("h").alias("k")), rows)
+    # at most the sample is sent, and at most the sample comes back: equal rows are one
+    found = known.join(F.broadcast(drawn), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("k")))
+    texts = sorted(r["html"] for r in found.groupBy("page_id", "h").agg(F.min("html").alias("html")).collect())
     labeller, made = Labeller(), varied([read_blocks(t) for t in texts])
     labeller.train([(block_vectors([blocks]), np.array(y, np.float32)) for blocks, y in made])
     return labeller

@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import _power_tables, buffers, join_hashes, row_groups, text_bytes, word_hashes, word_spans
+from winnowry.llm.common import (
+    _power_tables, buffers, first_by_hash, join_hashes, row_groups, text_bytes, word_hashes, word_spans,
+)
 
 SAMPLE_ROWS = 20_000  # labelled rows used to fit
 BINS = 48
@@ -248,12 +250,12 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Rec
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``rows`` labelled documents, the ones first by hash of their id."""
+    """Features and labels of at most ``rows`` labelled documents, the ones first by hash; a repeated label counts once."""
     spark = docs.sparkSession
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("id"), F.col("quality").cast("int").alias("y")
     )
-    drawn = known.orderBy(F.xxhash64("id"), "id", "y").limit(rows).collect()
+    drawn = first_by_hash(known, rows).collect()
     if not drawn:
         return np.zeros((0, len(FEATURES))), np.zeros(0)
     chosen = F.broadcast(spark.createDataFrame(drawn, "id bigint, y int"))  # at most the sample
