@@ -293,7 +293,7 @@ def split_vectors(spark, d, n_start):
     return [parts.where(F.col("split") == s).drop("split") for s in ("labeled", "pool", "test")]
 
 
-def split_docs(spark, d, n_start=100):
+def split_docs(spark, d, n_start=50):
     parts = stage(learn.stratified_split(labeled_docs(spark, d), "toxic", "doc_id", n_start=n_start), "split")
     return [parts.where(F.col("split") == s).drop("split") for s in ("labeled", "pool", "test")]
 
@@ -321,7 +321,7 @@ def run_cycle_candidates(spark, d):
     return vector_cycle(spark, d, "entropy", candidate_sample=60)
 
 
-@BOOK.add(cycle_sql("labels WHERE toxic IS NOT NULL", 100, "entropy"))
+@BOOK.add(cycle_sql("labels WHERE toxic IS NOT NULL", 50, "entropy"))
 def run_cycle(spark, d):
     """A cycle over texts."""
     return cycle_facts(learn.run_cycle(
@@ -364,25 +364,25 @@ def predict_texts(spark, d, kind, **options):
     return prediction_facts(model.predict(test, ["toxic"]), model)
 
 
-@BOOK.add(split_sql(TOXIC, 100))
+@BOOK.add(split_sql(TOXIC, 50))
 def predict_logreg(spark, d):
     return predict_texts(spark, d, "logreg")
 
 
-@BOOK.add(split_sql(TOXIC, 100))
+@BOOK.add(split_sql(TOXIC, 50))
 def predict_svm(spark, d):
     return predict_texts(spark, d, "svm")
 
 
-@BOOK.add(split_sql(TOXIC, 100))
+@BOOK.add(split_sql(TOXIC, 50))
 def predict_rf(spark, d):
     return predict_texts(spark, d, "rf")
 
 
-@BOOK.add(split_sql(VECTORS, 200))
+@BOOK.add(split_sql(VECTORS, 100))
 def predict_embedding(spark, d):
     """Ten classes from precomputed vectors."""
-    labeled, _, test = split_vectors(spark, d, 200)
+    labeled, _, test = split_vectors(spark, d, 100)
     model = models.fit(labeled, "embedding", "vec_id", "label", embedding_col="embedding")
     return prediction_facts(model.predict(test, ["label"]).withColumnRenamed("vec_id", "doc_id"), model)
 
@@ -393,7 +393,7 @@ def fit_beats_majority(spark, d):
     size = F.char_length("text") + 1
     shares = [F.regexp_count("text", F.lit(p)) / size for p in (r"[#$%&*]", r"\|", "!", "[A-Z]", r"\s")]
     rows = labeled_docs(spark, d).select("doc_id", "quality", F.transform(F.array(*shares), lambda v: v * 20).alias("x"))
-    parts = stage(learn.stratified_split(rows, "quality", "doc_id", n_start=100), "split")
+    parts = stage(learn.stratified_split(rows, "quality", "doc_id", n_start=50), "split")
     model = models.fit(parts.where("split = 'labeled'"), "embedding", "doc_id", "quality", embedding_col="x")
     test = model.predict(parts.where("split = 'test'"), ["quality"])
     right = F.avg((F.col("quality").cast("string") == F.col("y_pred")).cast("int"))
