@@ -136,3 +136,39 @@ def test_one_of_each_edge_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([4, 5, 6, 8, 8, None, 11], key=str)
     assert simhash_dedup.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_near_copies_of_every_kind_of_edit(spark):
+    """No pair of Jaccard similarity 0.8 or more is missed, however the copy was made."""
+    drawn = random.Random(5)
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL").orderBy("doc_id")
+    texts = [w for w in (r["text"].split() for r in given.collect()) if len(w) >= 60][:240]
+    foreign = [f"f{i}" for i in range(100_000)]
+
+    def edited(words, kind):
+        words, n = list(words), len(words)
+        if kind == "replace":
+            for i in drawn.sample(range(n), max(1, n // 60)):
+                words[i] = f"r{i}"
+        elif kind == "append":
+            words += drawn.sample(foreign, drawn.randint(1, n // 4))
+        elif kind == "truncate":
+            words = words[: n - drawn.randint(1, n // 5)]
+        else:
+            cut = drawn.randint(n // 4, 3 * n // 4)
+            words = words[cut:] + words[:cut]
+        return " ".join(words)
+
+    rows, pairs = [], []
+    for n, words in enumerate(texts):
+        kind = ("replace", "append", "truncate", "reorder")[n % 4]
+        made = " ".join(f"{w}_{n}" for w in words), edited([f"{w}_{n}" for w in words], kind)
+        rows += [(2 * n, made[0]), (2 * n + 1, made[1])]
+        x, y = map(shingle_set, made)
+        pairs.append((n, kind, len(x & y) >= 0.8 * len(x | y)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    similar = {kind: [n for n, k, close in pairs if k == kind and close] for _, kind, _ in pairs}
+    assert all(len(ns) >= 20 for ns in similar.values())
+    assert {k: sum(found[2 * n + 1] == 2 * n for n in ns) / len(ns) for k, ns in similar.items()} == dict.fromkeys(similar, 1.0)
+    assert all(found[2 * n + 1] == 2 * n + 1 for n, _, close in pairs if not close)

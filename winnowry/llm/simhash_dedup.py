@@ -5,6 +5,9 @@ every distinct fingerprint emits all variants within half the radius, variants
 are shuffled, and fingerprints that meet on a variant are linked. All that meet
 on one variant lie within the radius of each other, hence a link from each to
 the first of them keeps every group together without making all pairs.
+
+Texts with similar shingle sets (``near_copies``) are found without fingerprints,
+by a prefix-filter join that misses no pair above its threshold.
 """
 
 from __future__ import annotations
@@ -15,12 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import (
-    buffers, checked_broadcast, join_hashes, row_groups, text_bytes,
-)
+from winnowry.llm.common import buffers, checked_broadcast, row_groups, text_bytes
 from winnowry.llm.components import connected_components
 from winnowry.llm.substring_dedup import Words, distinct_in_rows, run_hashes
 from winnowry.staging import stage
@@ -28,7 +29,7 @@ from winnowry.staging import stage
 SEED = 42
 SHINGLE = 5
 SIMILARITY = 0.8
-BITS, TABLES = 40, 5  # of the fingerprints that propose near copies
+SAMPLE, COMMON = 20_000, 200_000  # texts read for common shingles, and how many of these are kept
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -128,46 +129,87 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return printed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def table_prints(words: Words, rows: int) -> np.ndarray:
-    """``(rows, TABLES)`` fingerprints of ``BITS`` bits: votes of each text's distinct words."""
-    kept = distinct_in_rows(words.rows, words.h)
-    terms, row = words.h[kept], words.rows[kept]
-    size = BITS * TABLES
-    ones = np.zeros((rows, size), np.int64)
-    for first in range(0, len(terms), 1 << 15):
-        part, owner = terms[first : first + (1 << 15)], row[first : first + (1 << 15)]
-        salted = [join_hashes(part, part, i) for i in range(-(-size // 64))]
-        bits = np.unpackbits(np.column_stack(salted).view(np.uint8), axis=1)[:, :size]
-        begins = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-        ones[owner[begins]] += np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
-    voted = 2 * ones > np.bincount(row, minlength=rows)[:, None]
-    weights = np.int64(1) << np.arange(BITS, dtype=np.int64)
-    return voted.reshape(rows, TABLES, BITS) @ weights
+def _row_shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and hashes of all runs of ``words.length`` words; repeats stay, a shorter row has none."""
+    return words.rows[words.begins], run_hashes(words.h, words.length)[words.begins]
+
+
+def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found in several of about ``SAMPLE`` texts, sorted, and in how many; the most frequent ``COMMON``.
+
+    They only say which shingles to avoid as keys: the pairs found do not depend on them.
+    """
+    h = F.xxhash64(F.col("doc_id").cast("bigint"))
+    share = SAMPLE / max(docs.count(), 1)
+    drawn = docs.where(h < F.lit(int(share * 2**64) - 2**63)) if share < 1 else docs
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(0))
+            for first, last in row_groups(offsets):
+                low = offsets[first]
+                words = Words(_LOWER[data[low : offsets[last]]], offsets[first : last + 1] - low, SHINGLE)
+                rows, found = _row_shingles(words)
+                found = found[distinct_in_rows(rows, found)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
+    counted = drawn.select(text_bytes()).mapInArrow(per_batch, "shingle bigint").groupBy("shingle").count()
+    # at most COMMON narrow rows reach the driver
+    most = counted.where("count > 1").orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()
+    shingles = most["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], most["count"].to_numpy()[order]
+
 
+def prefixes(
+    words: Words, rows: int, common: tuple[np.ndarray, np.ndarray], similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the rows' shingle sets, hashes of their prefixes, and where each row's prefix begins (rows + 1).
 
-def _copy_prints(docs: DataFrame) -> DataFrame:
-    """``(id, a, b, words, prints)``: 128 bits of the lower-cased word sequence, and table fingerprints."""
+    In one order for all texts, the uncommon first, the prefix of a set of n is
+    its first n - ceil(similarity * n) + 1. Sets that similar share one of them.
+    """
+    row, h = _row_shingles(words)
+    known, often = common
+    rank = np.zeros(len(h), np.int64)
+    if len(known):
+        place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        rank = np.where(known[place] == h, often[place], 0)
+    order = np.lexsort((h, rank, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    row, h = row[new], h[new]
+    sizes = np.bincount(row, minlength=rows)
+    first = np.cumsum(sizes) - sizes
+    lengths = np.minimum(sizes, sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1)
+    kept = np.arange(len(h)) - first[row] < lengths[row]
+    return sizes, h[kept], np.concatenate(([0], np.cumsum(lengths)))
+
+
+def _copy_prints(docs: DataFrame, similarity: float) -> DataFrame:
+    """``(id, a, b, words, size, prefix)``: 128 bits of the lower-cased word sequence, shingles and their prefix."""
+    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             for first, last in row_groups(offsets, 1 << 20):
                 low, high = offsets[first], offsets[last]
-                words = Words(_LOWER[data[low:high]], offsets[first : last + 1] - low, 1)
+                words = Words(_LOWER[data[low:high]], offsets[first : last + 1] - low, SHINGLE)
                 a, b = words.sequence_hashes()
-                prints = table_prints(words, last - first)
-                ends = pa.array(np.arange(last - first + 1, dtype=np.int32) * TABLES)
+                sizes, prefix, ends = prefixes(words, last - first, common.value, similarity)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first), pa.array(a.view(np.int64)),
-                        pa.array(b.view(np.int64)), pa.array(np.diff(words.first)),
-                        pa.ListArray.from_arrays(ends, pa.array(prints.reshape(-1))),
+                        pa.array(b.view(np.int64)), pa.array(np.diff(words.first)), pa.array(sizes),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix.view(np.int64))),
                     ],
-                    names=["id", "a", "b", "words", "prints"],
+                    names=["id", "a", "b", "words", "size", "prefix"],
                 )
 
     return docs.select(F.col("doc_id").cast("bigint"), text_bytes()).mapInArrow(
-        per_batch, "id bigint, a bigint, b bigint, words bigint, prints array<bigint>"
+        per_batch, "id bigint, a bigint, b bigint, words bigint, size bigint, prefix array<bigint>"
     )
 
 
@@ -211,40 +253,80 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return joined.mapInArrow(per_batch, "a bigint, b bigint")
 
 
+def _may_reach(similarity: float, size: Column, at: Column, other: Column, other_at: Column) -> Column:
+    """Whether sets of these sizes, whose first common shingle has these places, can be similar enough."""
+    return (1 + similarity) * F.least(size - at, other - other_at) >= similarity * (size + other) - 1e-6
+
+
+def shingle_links(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` that join all similar texts among those that meet on a key.
+
+    ``shared`` has a row ``(key, id, size, at)`` per shingle of a prefix. A round
+    verifies all on a key against the smallest of them, which then leaves the
+    key: all its pairs are settled. Texts that are connected by now need no
+    link, so a group of copies of any size ends after a few rounds; a key whose
+    texts are all connected is done. Once few pairs are left, or rounds no longer
+    halve them, all that are left are verified.
+    """
+    found, before = None, None
+    shared = shared.withColumn("part", F.col("id"))
+    while True:
+        heads = shared.groupBy("key").agg(F.min(F.struct("id", "size", "at", "part")).alias("head"))
+        headed = shared.join(heads, "key").where(F.col("id") != F.col("head.id"))
+        near = _may_reach(similarity, F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"))
+        pairs = headed.where(near & (F.col("part") != F.col("head.part"))).select(
+            F.col("id").alias("a"), F.col("head.id").alias("b")
+        )
+        links = stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links")
+        found = links if found is None else found.union(links)
+        grouped = stage(connected_components(found).withColumnRenamed("id", "member"), "grouped")
+        rest = stage(
+            headed.select("key", "id", "size", "at")
+            .join(checked_broadcast(grouped), F.col("id") == F.col("member"), "left")
+            .select("key", "id", "size", "at", F.coalesce("component_id", "id").alias("part")), "rest",
+        )
+        crowds = rest.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares")
+        )
+        open_keys = stage(crowds.where("rows * rows > squares"), "open")
+        left, rows = open_keys.agg(F.sum(F.expr("(rows * rows - squares) / 2")), F.sum("rows")).first()
+        if not rows:
+            return found
+        shared = stage(rest.join(checked_broadcast(open_keys.select("key")), "key"), "shared")
+        if left <= 8 * rows or before is not None and 2 * left > before:
+            break
+        before = left
+    other = shared.select("key", *(F.col(c).alias(f"other_{c}") for c in ("id", "size", "at", "part")))
+    near = _may_reach(similarity, *map(F.col, ("size", "at", "other_size", "other_at")))
+    pairs = shared.join(other, "key").where("id > other_id AND part != other_part").where(near).select(
+        F.col("id").alias("a"), F.col("other_id").alias("b")
+    )
+    return found.union(stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links"))
+
+
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(id, component_id)`` per row of ``docs`` with a ``doc_id``: groups of equal or similar texts.
 
-    Texts with the same lower-cased words are one class. Of each class one
-    document emits, in ``TABLES`` tables, all variants within one bit of a
-    fingerprint of its distinct words; on each variant a document is paired with
-    the first and with the one before it. Pairs whose sets of ``SHINGLE``-word
-    shingles have a Jaccard similarity of ``similarity`` or more are linked.
-    Texts without words are copies of each other. A null ``doc_id`` takes no part.
+    Texts with the same lower-cased words are one class. Texts whose sets of
+    ``SHINGLE``-word shingles have a Jaccard similarity of ``similarity`` or more
+    share a shingle of their prefixes; one document of each class emits its
+    prefix, and those that meet on a shingle are verified until every such pair is
+    linked, known to be connected, or known not to be similar. Texts without words
+    are copies of each other. A null ``doc_id`` takes no part.
     """
-    printed = stage(_copy_prints(docs.where("doc_id IS NOT NULL")), "prints")
+    printed = stage(_copy_prints(docs.where("doc_id IS NOT NULL"), similarity), "prints")
     sequence = ["a", "b", "words"]
     classes = stage(
-        printed.groupBy(*sequence).agg(F.min(F.struct("id", "prints")).alias("head"))
-        .select(*sequence, F.col("head.id").alias("first"), F.col("head.prints").alias("prints")), "classes",
-    )
-    tables = classes.where("words > 0").select("first", F.posexplode("prints").alias("table", "fp"))
-    keyed = tables.select("first", (F.shiftleft(F.col("table").cast("bigint"), BITS) + F.col("fp")).alias("key"))
-    equal = keyed.groupBy("key").agg(F.min("first").alias("first"))
-    emitted = with_variants(equal, "key", BITS, 1).select("variant", "first")
-    on = Window.partitionBy("variant")
-    met = emitted.select(
-        F.col("first").alias("a"), F.min("first").over(on).alias("b"),
-        F.lag("first").over(on.orderBy("first")).alias("c"),
-    ).where("a != b")
-    pair = F.explode(F.array_distinct(F.array("b", "c"))).alias("b")
-    same = keyed.join(equal.withColumnRenamed("first", "b"), "key").where("first != b")
-    pairs = stage(
-        met.select("a", pair).where("a != b").union(same.select(F.col("first").alias("a"), "b")).distinct(), "pairs"
+        printed.groupBy(*sequence).agg(F.min(F.struct("id", "size", "prefix")).alias("head"))
+        .select(*sequence, F.col("head.id").alias("first"), "head.size", "head.prefix"), "classes",
     )
-    named = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
+    keyed = classes.select(F.col("first").alias("id"), "size", F.posexplode("prefix").alias("at", "key"))
+    met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
+    shared = stage(keyed.join(checked_broadcast(met), "key").select("key", "id", "size", "at"), "shared")
+    named = stage(shared.select("id").distinct(), "named")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes().alias("text"))
     sets = _shingle_sets(texts.join(checked_broadcast(named), "id")).groupBy("id").agg(F.min("shingles").alias("shingles"))
-    links = _similar(pairs, stage(sets, "shingles"), similarity)
+    links = shingle_links(shared, stage(sets, "shingles"), similarity)
     grouped = connected_components(links).withColumnRenamed("id", "member")
     found = classes.join(grouped, F.col("first") == F.col("member"), "left").select(
         *sequence, F.coalesce("component_id", "first").alias("component_id")
