@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -172,3 +173,50 @@ def test_near_copies_of_every_kind_of_edit(spark):
     assert all(len(ns) >= 20 for ns in similar.values())
     assert {k: sum(found[2 * n + 1] == 2 * n for n in ns) / len(ns) for k, ns in similar.items()} == dict.fromkeys(similar, 1.0)
     assert all(found[2 * n + 1] == 2 * n + 1 for n, _, close in pairs if not close)
+
+
+def test_similar_texts_behind_an_unlike_first(spark):
+    """Texts of the same distinct words, of which the smallest id is unlike the others."""
+    drawn = random.Random(7)
+    words = [f"w{i}" for i in range(200)]
+    base = words + words[:6]
+    rows = [(1, drawn.sample(words, 200)), (2, base), (3, words), (4, drawn.sample(words, 200))]
+    rows += [(i, drawn.sample(base, len(base))) for i in range(5, 30)] + [(30, rows[3][1] + words[:5])]
+    # and a crowd around two texts that share a quarter with the first of all
+    first, second = ([f"{c}{i}" for i in range(90)] for c in "ab")
+    rows += [(100, words[:30] + first), (101, words[:30] + second)]
+    rows += [(110 + 2 * i + n, words[:30] + t + [f"x{i}"]) for i in range(40) for n, t in enumerate((first, second))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    expected = {i: i for i in found} | {3: 2, 30: 4} | {110 + 2 * i + n: 100 + n for i in range(40) for n in range(2)}
+    assert found == expected
+
+
+def test_links_among_all_on_one_key(spark):
+    """Every text meets every other on one key; all similar pairs are joined, whichever is the smallest."""
+    drawn = random.Random(11)
+    sets = {}
+    for i in range(120):
+        near = sets[drawn.randrange(i)] if i % 5 else None
+        sets[i] = {0, *drawn.sample(range(1, 100_000), 40)} if near is None else set(near)
+        if near is not None:
+            for x in drawn.sample(sorted(near - {0}), drawn.randint(1, 6)):
+                sets[i] ^= {x, drawn.randrange(100_000, 200_000)}
+    shared = spark.createDataFrame([(7, i, len(s), 0) for i, s in sets.items()], "key bigint, id bigint, size bigint, at int")
+    packed = [(i, np.array(sorted(s), np.uint32).tobytes()) for i, s in sets.items()]
+    links = simhash_dedup.shingle_links(shared, spark.createDataFrame(packed, "id bigint, shingles binary"), 0.8)
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.connected_components(links).collect()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert {i: found.get(i, i) for i in sets} == {i: find(i) for i in sets}
+    assert len({find(i) for i in sets}) > 24
