@@ -29,6 +29,24 @@ def test_broken_pages(page):
     assert all(t == " ".join(t.split()) and t for t in texts(page))
 
 
+@pytest.mark.parametrize("tag", [
+    '<svg class="icon"/>', "<svg/>", '<svg a="x>y" b=\'/>\' />', "<svg><path d='M0'/><svg/>x</svg>", "<math/>", "<script>a</script >",
+])
+def test_self_closed_and_unread_tags_cut_nothing(tag):
+    page = f"{tag}<article><p>a {tag}b</p>{tag}<p>body text</p></article>{tag}"
+    assert texts(page) == ["a b", "body text"]
+
+
+@pytest.mark.parametrize("name", ["video-player", "object-fit", "template-x", "svg-icon", "script-box", "audio:x"])
+def test_custom_elements_cut_nothing(name):
+    page = f"<{name} id=a><p>in</p></{name}><{name}/><article><p>a</p><{name}>b</{name}><p>body text</p></article>"
+    assert texts(page) == ["in", "a", "b", "body text"]
+
+
+def test_math_is_read_within_its_block():
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup></math> then</p><p>b") == ["if x=2n then", "b"]
+
+
 def test_gradient_equals_differences():
     rng = np.random.default_rng(0)
     labeller = hb.Labeller()

@@ -34,10 +34,13 @@ TOGETHER = 128  # pages read side by side
 PIECE = 60  # blocks of a training page that are read at once
 
 #: Content that is never text, tags that do not end a block, tags without an end.
-UNREAD = "script style noscript template svg math iframe object canvas audio video".split()
+UNREAD = "script style noscript template svg iframe object canvas audio video".split()
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
-    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+    "semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Opening one of these ends an open one of the same group.
@@ -68,7 +71,8 @@ _DECLARED = {w: False for words in OTHER_WORDS.values() for w in words} | {w: Tr
 _ATTRIBUTES = r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*"
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(UNREAD)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<svg(?=[\s/>]){_ATTRIBUTES}(?<=/)>"
+    rf"|<({'|'.join(UNREAD)})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})(?:>|\Z)"
     r"|<[/!?a-z][^>]*(?:>|\Z)",
     re.S | re.I,
