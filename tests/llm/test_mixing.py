@@ -63,3 +63,29 @@ def test_emitted_rows_are_the_copies(spark):
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(docs).collect()}
     emitted = {r["doc_id"]: r["count"] for r in mixing.emit_mix(docs).groupBy("doc_id").count().collect()}
     assert emitted == {i: c for i, c in copies.items() if c}
+
+
+def test_rows_without_or_with_repeated_ids_keep_their_own_copies(spark):
+    """Each row is emitted as the mix decided for it, so the emitted words are the taken ones."""
+    rows = [(None, words(1 + i % 40) + f" n{i}", "abc"[i % 3], "x", i) for i in range(300)]
+    rows += [(i % 9, words(1 + i % 30), "ab"[i % 2], None, i) for i in range(300)]
+    rows += [(5, words(12), "a", "same", 1)] * 50 + [(None, words(7), None, "same", 1)] * 50 + [(None, None, "a", "", 2)] * 20
+    docs = frame(spark, rows)
+    decided = mixing.mix_sources(docs).collect()
+    emitted = mixing.emit_mix(docs).collect()
+
+    def by_size(pairs):
+        found = {}
+        for k, n in pairs:
+            found[k] = found.get(k, 0) + n
+        return {k: n for k, n in found.items() if n}
+
+    assert by_size(((r["doc_id"], r["size"]), r["copies"]) for r in decided) == by_size(
+        ((r["doc_id"], len((r["text"] or "").split())), 1) for r in emitted
+    )
+    assert set(emitted) <= set(docs.collect())
+    assert any(r["copies"] == 0 for r in decided if r["doc_id"] is None)
+    assert sum(len((r["text"] or "").split()) for r in emitted) == sum(r["taken"] for r in decided)
+    counts = by_size((r, 1) for r in emitted if r["doc_id"] is None and r["source"] == "c")
+    copies = sorted(r["copies"] for r in decided if r["doc_id"] is None and r["copies"])
+    assert max(counts.values()) <= 3 and len(copies) >= len(counts)

@@ -84,7 +84,14 @@ def mix_sources(
     have size 0 and take places like any other; a source of size 0 has target 0
     and no copies; rows repeating a ``doc_id`` count and are placed one by one.
     """
-    sizes = docs.select("doc_id", "source", word_count().alias("size"))
+    return _placed(docs, weights, cap, seed).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+def _placed(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: int = 42, more: Sequence[Column] = ()
+) -> DataFrame:
+    """The rows of ``mix_sources`` with their source and the columns ``more``."""
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), *more)
     ranged = sizes.repartitionByRange("source", "size", "doc_id")
     cut = stage(ranged.withColumn("part", F.spark_partition_id()), "sizes")
     targets = source_targets(cut, weights, cap)
@@ -108,24 +115,47 @@ def mix_sources(
     crossed = F.floor(source_offset(seed=seed) + number * F.col("rate")) - F.floor(
         source_offset(seed=seed) + (number - 1) * F.col("rate")
     )
-    return placed.withColumn("copies", F.least(crossed, F.lit(cap))).select(
-        "doc_id", "size", "source_size", "target", "copies",
-        (F.col("size") * F.col("copies")).alias("taken"),
-    )
+    copies = F.least(crossed, F.lit(cap))
+    return placed.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def emit_mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with the same columns.
 
-    Rows that repeat a ``doc_id`` are each emitted as often as the one taken most.
+    A row is known by ``doc_id``, source and a hash of its text. Rows that agree in
+    all three are equally long; if the mix takes them differently often, they are
+    numbered, and as many of them as the mix has decided get each number of copies.
     """
-    copies = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.max("copies").cast("int").alias("__copies")
+    names, row = docs.columns, ["__id", "__source", "__h"]
+    given = docs.withColumns({"__id": F.col("doc_id"), "__source": F.col("source"), "__h": F.xxhash64("text")})
+    key = [F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__h"]
+    counted = _placed(docs, **options, more=[F.xxhash64("text").alias("__h")]).groupBy(
+        *key, F.col("copies").cast("int").alias("__copies")
+    ).agg(F.count("*").alias("__rows"))
+    alike = Window.partitionBy(*row)
+    upto = F.sum("__rows").over(alike.orderBy("__copies"))
+    decided = stage(
+        counted.withColumns({"__kinds": F.count("*").over(alike), "__last": upto})
+        .where("__copies > 0").select(*row, "__copies", "__kinds", "__rows", "__last"), "copies",
+    )
+
+    def taken(rows: DataFrame, copies: DataFrame, *conditions: Column) -> DataFrame:
+        copies = copies.withColumnsRenamed({c: f"{c}_taken" for c in row})
+        same = [rows[c].eqNullSafe(copies[f"{c}_taken"]) for c in row]
+        joined = rows.join(checked_broadcast(copies), [*same, *conditions])
+        return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*names)
+
+    emitted = taken(given, decided.where("__kinds = 1"))
+    several = decided.where("__kinds > 1")
+    if several.isEmpty():
+        return emitted
+    keys = several.select(*(F.col(c).alias(f"{c}_several") for c in row)).distinct()
+    same = [given[c].eqNullSafe(keys[f"{c}_several"]) for c in row]
+    numbered = given.join(checked_broadcast(keys), same, "left_semi").withColumn(
+        "__number", F.row_number().over(alike.orderBy(F.lit(0)))
     )
-    copies = stage(copies.where("__copies > 0"), "copies")
-    names = docs.columns
-    joined = docs.join(checked_broadcast(copies), F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*names)
+    between = (F.col("__number") <= F.col("__last")) & (F.col("__number") > F.col("__last") - F.col("__rows"))
+    return emitted.union(taken(numbered, several, between))
 
 
 SQL = rf"""
