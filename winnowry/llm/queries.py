@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry.llm import (
-    byte_bpe, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam, simhash_dedup,
-    substring_dedup, token_files,
+    byte_bpe, compression_rules, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam,
+    simhash_dedup, substring_dedup, token_files,
 )
 from winnowry.llm.common import small_batches
 
@@ -127,3 +127,8 @@ def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_substring_dedup"] = substring_dedup.SQL
+
+
+@_register
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_rules.quality_rules(_table(spark, sf_dir, "documents"))
