@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from winnowry.llm import (
     byte_bpe, compression_rules, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam,
-    simhash_dedup, substring_dedup, token_files,
+    simhash_dedup, substring_dedup, token_files, whitening,
 )
 from winnowry.llm.common import small_batches
 
@@ -132,3 +132,8 @@ SQL["op10_substring_dedup"] = substring_dedup.SQL
 @_register
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
