@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnowry.llm import (
-    byte_bpe, compression_rules, embedding_dedup, fingerprints, html_blocks, mixing, ppm, quality_gam,
-    simhash_dedup, substring_dedup, token_files, whitening,
+    byte_bpe, compression_rules, conversation_repair, embedding_dedup, fingerprints, html_blocks, mixing, ppm,
+    quality_gam, simhash_dedup, substring_dedup, token_files, whitening,
 )
 from winnowry.llm.common import small_batches
 
@@ -137,3 +137,11 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@_register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(_table(spark, sf_dir, "conversations"))
+
+
+SQL["op11_conversation_repair"] = conversation_repair.SQL
