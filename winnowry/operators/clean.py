@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnowry.operators.profile import missing_counts, outlier_bounds, outside, row_fingerprint
-from winnowry.operators.quantiles import exact_quantiles
+from winnowry.operators.profile import (
+    MIN_VALUES, iqr_bounds, missing_counts, outlier_bounds, outside, row_fingerprint,
+)
+from winnowry.operators.quantiles import exact_quantiles, first_pass, present_values, quantiles_left
 from winnowry.operators.ranking import BUCKET, ROWS_PER_BUCKET, order_bucket, tie_breaker
 from winnowry.schema import (
     col, is_missing, nan_to_null, numeric_columns, protected_columns, string_columns,
@@ -221,25 +223,42 @@ def fix_outliers(df: DataFrame, how: str, protected: Iterable[str] = ()) -> Data
     """clip_iqr | clip_zscore | drop | none, on unprotected numeric columns.
 
     Dropping goes column by column in schema order: the bounds of a column come
-    from the rows the columns before it have left. Quartiles take several passes;
-    they are made over the numeric columns alone, written once.
+    from the rows the columns before it have left.
     """
     names = numeric_columns(df, protected)
     if how == "clip_zscore":
         return apply_clip(df, outlier_bounds(df, "zscore", names))
     if how not in ("clip_iqr", "drop") or not names:
         return df
-    numbers = stage(nan_to_null(df).select([col(c) for c in names]), "numbers")
+    df = nan_to_null(df)
     if how == "clip_iqr":
+        numbers = stage(df.select([col(c) for c in names]), "numbers")
         return apply_clip(df, outlier_bounds(numbers, "iqr", names))
-    df = nan_to_null(df)
-    for name in names:
-        for c, bounds in outlier_bounds(numbers, "iqr", [name]).items():
-            numbers = numbers.where(~outside(numbers, c, bounds))
-            df = df.where(~outside(df, c, bounds))
+    for c, bounds in drop_bounds(df, names).items():
+        df = df.where(~outside(df, c, bounds))
     return df
 
 
+def drop_bounds(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """IQR bounds per column, each from the rows that the columns before it leave.
+
+    All columns are counted by size in one pass. Rows dropped later move ranks by no
+    more than their number, so a column's quartiles are found by one more pass over
+    what is left of the numeric columns, written once.
+    """
+    numbers = stage(present_values(df, names), "numbers")
+    counted, left, dropped, found = first_pass(numbers, len(names)), numbers, 0, {}
+    for i, name in enumerate(names):
+        n, quartiles, buckets = quantiles_left(left, i, counted.get((0, i), []), dropped, [0.25, 0.75])
+        if n < MIN_VALUES:
+            continue
+        low, high = found[name] = iqr_bounds(*quartiles)
+        v = F.col(f"v{i}")
+        left = left.where(v.isNull() | v.between(low, high))
+        dropped += sum(b.rows for b in buckets if b.low < low or b.high > high)
+    return found
+
+
 # --- all together -------------------------------------------------------------
 
 def fix(

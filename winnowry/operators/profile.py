@@ -118,6 +118,10 @@ def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 
 # --- outliers -----------------------------------------------------------------
 
+def iqr_bounds(q1: float, q3: float) -> tuple[float, float]:
+    return q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1)
+
+
 def outlier_bounds(
     df: DataFrame, method: str = "iqr", columns: Sequence[str] | None = None
 ) -> dict[str, tuple[float, float]]:
@@ -129,8 +133,7 @@ def outlier_bounds(
     if method == "iqr":
         for name, (n, quartiles) in exact_quantiles(df, names, [0.25, 0.75]).items():
             if n >= MIN_VALUES:
-                q1, q3 = quartiles
-                bounds[name] = (q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1))
+                bounds[name] = iqr_bounds(*quartiles)
     elif method == "zscore":
         for start in range(0, len(names), COLUMNS_PER_PASS):
             part = names[start:start + COLUMNS_PER_PASS]

@@ -1,260 +1,259 @@
-"""Exact quantiles without gathering a column in one task.
-
-The built-in exact ``percentile`` keeps a value map of the whole column in one
-final task. Here the wanted order statistics are bracketed instead: a mergeable
-sketch of all rows proposes a bracket, the next pass counts where the wanted
-rank really lies and sketches what is inside, and so on until what is left fits
-one task. The sketch only steers the search; the counts make the answer exact.
-A bracket keeps a few thousandths of its rows, so 1e11 rows take five passes.
+"""Exact quantiles by descent through counted buckets.
+
+One pass counts the rows of each column in buckets of a logarithmic scale, with
+the least and the greatest value of every bucket. The wanted rank lies in one of
+them; the next pass counts that bucket alone, cut evenly between its own least and
+greatest value, until a bucket holds one value or the rank is its first or last
+one. Where a bucket ends is decided by any non-decreasing function of the value,
+so rounding in it does no harm: counts, least and greatest values are exact.
+
+A count by bucket is generated code and combined before the shuffle: a pass sends
+bucket counts and never values, and the driver sees at most ``CUTS`` of them per
+bucket it asked about. A logarithmic bucket holds numbers of one size, of which
+there are some 2**48: so there are at most six passes, whatever the data, and two
+or three on real columns.
+
+Frames may be measured together: ``part`` names a column of small whole numbers
+that tells their rows apart.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.schema import col, is_missing
 
-BOUNDED_ROWS = 100_000
-ONE_TASK_VALUES = 300_000
-STEPS = 1_000
-ACCURACY = 4  # of a sketch, in its steps
+PER_OCTAVE = 16
+CUTS = 4096
 COLUMNS_PER_PASS = 25
 
+_OFFSET = 2_000  # more than the exponent of any double
 
-@dataclass
-class Bracket:
-    """Rows of one column between two values, each end included or not."""
 
-    column: str
+@dataclass(frozen=True)
+class Bucket:
+    """Rows of one part and column between two values; ``below`` lie before them."""
+
+    part: int
+    column: int
     low: float
     high: float
-    low_in: bool = True
-    high_in: bool = True
     below: int = 0
-    inside: int = 0
-    whole: bool = False
-    grid: tuple = field(default=(), compare=False)
+    rows: int = 0
 
-    def holds(self, value: Column) -> Column:
-        if self.whole:
-            return value.isNotNull()
-        left = value >= self.low if self.low_in else value > self.low
-        right = value <= self.high if self.high_in else value < self.high
-        return left & right
+    def known(self, rank: int) -> float | None:
+        """The value at a rank, if it is the first, the last or the only one."""
+        if rank == self.below:
+            return self.low
+        return self.high if rank == self.below + self.rows - 1 or self.low == self.high else None
 
-    def key(self) -> tuple:
-        return (self.column, self.low, self.high, self.low_in, self.high_in)
 
+Buckets = dict[tuple[int, int], list[Bucket]]
 
-@dataclass
-class Target:
-    """One wanted order statistic (0-based rank among the non-missing values)."""
 
-    rank: int
-    bracket: Bracket
-    value: float | None = None
+def present_values(df: DataFrame, columns: Sequence[str], part: str | None = None) -> DataFrame:
+    """The columns as doubles ``v0, v1, ...``, null where missing, and ``part``."""
+    parts = F.lit(0) if part is None else F.col(part).cast("int")
+    return df.select(parts.alias("part"), *[
+        F.when(~is_missing(df, c), col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)
+    ])
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    bounded_rows: int = BOUNDED_ROWS,
-    steps: int = STEPS,
-) -> dict[str, tuple[int, list[float] | None]]:
-    """Per column: number of non-missing values and linearly interpolated quantiles."""
-    found: dict[str, tuple[int, list[float] | None]] = {}
-    for start in range(0, len(columns), COLUMNS_PER_PASS):
-        part = list(columns[start:start + COLUMNS_PER_PASS])
-        found.update(_quantiles(df, part, probs, bounded_rows, steps))
+def _size_digit(value: Column, per_octave: int) -> Column:
+    """Place of a value on the logarithmic scale: negative values below zero, zero, positive values above."""
+    size = F.floor((F.least(F.log2(F.abs(value)), F.lit(_OFFSET - 1.0)) + _OFFSET) * per_octave)
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
+def _counted(cells: DataFrame) -> dict[tuple, list[tuple[int, float, float]]]:
+    """Per part and group the ``(rows, low, high)`` of its digits, in order."""
+    table = cells.groupBy("part", "group", "digit").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).toArrow()
+    part, group, digit, rows, low, high = (table.column(c).to_numpy() for c in table.column_names)
+    found = defaultdict(list)
+    for i in np.lexsort((digit, group, part)).tolist():
+        found[int(part[i]), int(group[i])].append((int(rows[i]), float(low[i]), float(high[i])))
     return found
 
 
-def _quantiles(df, columns, probs, bounded_rows, steps):
-    values = df.select([
-        F.when(~is_missing(df, c), col(c).cast("double")).alias(f"v{i}")
-        for i, c in enumerate(columns)
-    ])
-    names = [f"v{i}" for i in range(len(columns))]
-    facts = values.agg(*[
-        e for v in names
-        for e in (
-            F.count(v).alias(f"n_{v}"), F.min(v).alias(f"lo_{v}"), F.max(v).alias(f"hi_{v}"),
-            _sketch(F.col(v), steps).alias(f"grid_{v}"),
-        )
-    ]).first()
-
-    targets: dict[tuple[str, int], Target] = {}
-    for v in names:
-        n = facts[f"n_{v}"]
-        if n == 0:
-            continue
-        whole = Bracket(v, facts[f"lo_{v}"], facts[f"hi_{v}"], inside=n, whole=True, grid=tuple(facts[f"grid_{v}"]))
-        for p in probs:
-            at = (n - 1) * p
-            for rank in {math.floor(at), math.ceil(at)}:
-                known = {0: whole.low, n - 1: whole.high}.get(rank)
-                targets.setdefault((v, rank), Target(rank, whole, known))
+def _cells(values: DataFrame, columns: Sequence[int]) -> DataFrame:
+    """One row ``(part, column, v)`` per present value."""
+    long = values.unpivot(["part"], [f"v{i}" for i in columns], "name", "v").where("v IS NOT NULL")
+    return long.select("part", F.substring("name", 2, 9).cast("int").alias("column"), "v")
+
+
+def first_pass(values: DataFrame, columns: int, per_octave: int = PER_OCTAVE) -> Buckets:
+    """All values by size: the buckets of each part and column, in order."""
+    cells = _cells(values, range(columns)).select(
+        "part", F.col("column").alias("group"), _size_digit(F.col("v"), per_octave).alias("digit"), "v"
+    )
+    return {at: _in_order(Bucket(*at, 0, 0), parts) for at, parts in _counted(cells).items()}
+
+
+def _in_order(home: Bucket, parts: list[tuple[int, float, float]]) -> list[Bucket]:
+    buckets, below = [], home.below
+    for rows, low, high in parts:
+        buckets.append(Bucket(home.part, home.column, low, high, below, rows))
+        below += rows
+    return buckets
+
+
+def next_pass(values: DataFrame, wanted: Sequence[Bucket], cuts: int = CUTS) -> dict[Bucket, list[Bucket]]:
+    """The wanted buckets, which share no value, cut evenly between their least and greatest value."""
+    by_column = defaultdict(list)
+    for number, b in enumerate(wanted):
+        by_column[b.column].append((number, b))
+
+    def inside(b: Bucket, v: Column) -> Column:
+        return (F.col("part") == b.part) & (v >= b.low) & (v <= b.high)
+
+    def chosen(i: int) -> Column:
+        test = F.lit(False)
+        for _, b in by_column[i]:
+            test = test | inside(b, F.col(f"v{i}"))
+        return F.when(test, F.col(f"v{i}")).alias(f"v{i}")
+
+    cells = _cells(values.select("part", *[chosen(i) for i in by_column]), list(by_column))
+    group = digit = None
+    for i, own in by_column.items():
+        for number, b in own:
+            test = (F.col("column") == i) & inside(b, F.col("v"))
+            # halves, so that the distance cannot overflow
+            place = F.floor((F.col("v") / 2 - b.low / 2) / (b.high / 2 - b.low / 2) * cuts) if b.high / 2 > b.low / 2 else F.col("v") > b.low
+            place = place.cast("bigint")
+            group = F.when(test, number) if group is None else group.when(test, number)
+            digit = F.when(test, place) if digit is None else digit.when(test, place)
+    counted = _counted(cells.select("part", group.alias("group"), digit.alias("digit"), "v"))
+    return {b: _in_order(b, counted[b.part, number]) for number, b in enumerate(wanted)}
+
+
+def holding(buckets: Sequence[Bucket], rank: int) -> Bucket:
+    """The bucket with the row at a rank."""
+    return next(b for b in buckets if rank < b.below + b.rows)
 
-    if bounded_rows == BOUNDED_ROWS and sum(facts[f"n_{v}"] for v in names) <= ONE_TASK_VALUES:
-        _read_off(values, [t for t in targets.values() if t.value is None], facts)
+
+Targets = dict[tuple[int, int, int], Bucket]
+
+
+def descend(values: DataFrame, targets: Targets, cuts: int = CUTS) -> dict[tuple[int, int, int], float]:
+    """The value at each ``(part, column, rank)``, given a bucket that holds it."""
+    found: dict[tuple[int, int, int], float] = {}
     while True:
-        wide = [t for t in targets.values() if t.value is None and t.bracket.inside > bounded_rows]
-        if not wide:
-            break
-        _narrow(values, wide, steps)
-    _pick(values, [t for t in targets.values() if t.value is None])
+        open_ones: Targets = {}
+        for target, bucket in targets.items():
+            value = bucket.known(target[2])
+            if value is None:
+                open_ones[target] = bucket
+            else:
+                found[target] = value
+        if not open_ones:
+            return found
+        cut = next_pass(values, list(dict.fromkeys(open_ones.values())), cuts)
+        targets = {t: holding(cut[b], t[2]) for t, b in open_ones.items()}
 
-    result = {}
-    for v, name in zip(names, columns):
-        n = facts[f"n_{v}"]
-        if n == 0:
-            result[name] = (0, None)
-            continue
-        quantiles = []
-        for p in probs:
-            at = (n - 1) * p
-            low = targets[v, math.floor(at)].value
-            high = targets[v, math.ceil(at)].value
-            quantiles.append(interpolate(low, high, at - math.floor(at)))
-        result[name] = (n, quantiles)
-    return result
+
+# --- quantiles ------------------------------------------------------------------
+
+def ranks_of(n: int, p: float) -> tuple[int, int, float]:
+    """The two ranks (from 0) between which a quantile lies, and how far it is from the first."""
+    at = (n - 1) * p
+    return math.floor(at), math.ceil(at), at - math.floor(at)
 
 
 def interpolate(low: float, high: float, share: float) -> float:
     """Linear interpolation measured from the nearer end, which rounds evenly."""
+    if low == high or share == 0:
+        return low
     gap = high - low
     return low + gap * share if share < 0.5 else high - gap * (1 - share)
 
 
-def _read_off(values: DataFrame, targets: list[Target], facts) -> None:
-    """Few values in all: the built-in value map may hold them in one task."""
-    if not targets:
-        return
-    row = values.agg(*[
-        F.expr(
-            f"percentile_disc({(t.rank + 0.5) / facts['n_' + t.bracket.column]!r}D) "
-            f"WITHIN GROUP (ORDER BY {t.bracket.column})"
-        ).alias(f"t{i}")
-        for i, t in enumerate(targets)
-    ]).first()
-    for i, t in enumerate(targets):
-        t.value = row[f"t{i}"]
-
-
-def _neighbours(targets: list[Target]) -> list[list[Target]]:
-    """Adjacent ranks of one bracket share their sample and their counts."""
-    groups: list[list[Target]] = []
-    for t in sorted(targets, key=lambda t: (t.bracket.key(), t.rank)):
-        last = groups[-1][0] if groups else None
-        if last and last.bracket.key() == t.bracket.key() and t.rank - last.rank <= 1:
-            groups[-1].append(t)
-        else:
-            groups.append([t])
-    return groups
-
-
-def _sketch(value: Column, steps: int) -> Column:
-    """Values at about every ``1/steps`` of the rows; sketches of partitions are merged."""
-    return F.percentile_approx(value, [i / steps for i in range(steps + 1)], ACCURACY * steps)
+def quantiles_by_part(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], part: str | None = None,
+    per_octave: int = PER_OCTAVE, cuts: int = CUTS,
+) -> dict[tuple[int, str], tuple[int, list[float]]]:
+    """Per part and column with values: their number and their quantiles."""
+    result = {}
+    for start in range(0, len(columns), COLUMNS_PER_PASS):
+        names = list(columns[start:start + COLUMNS_PER_PASS])
+        values = present_values(df, names, part)
+        buckets = first_pass(values, len(names), per_octave)
+        sizes = {at: sum(b.rows for b in found) for at, found in buckets.items()}
+        wanted = {at: [ranks_of(n, p) for p in probs] for at, n in sizes.items()}
+        found = descend(values, {
+            (*at, rank): holding(buckets[at], rank)
+            for at, quantiles in wanted.items() for low, high, _ in quantiles for rank in (low, high)
+        }, cuts)
+        for (p, c), quantiles in wanted.items():
+            result[p, names[c]] = sizes[p, c], [
+                interpolate(found[p, c, low], found[p, c, high], share) for low, high, share in quantiles
+            ]
+    return result
 
 
-def _propose(group: list[Target], steps: int) -> tuple[float, float]:
-    """Two values of the bracket's grid that should hold the group's ranks between them."""
-    b = group[0].bracket
-    places = [(t.rank - b.below) / max(b.inside - 1, 1) * steps for t in group]
-    low, high = math.floor(min(places)) - 1, math.ceil(max(places)) + 1
-    return b.grid[max(low, 0)], b.grid[min(high, steps)]
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+    per_octave: int = PER_OCTAVE, cuts: int = CUTS,
+) -> dict[str, tuple[int, list[float] | None]]:
+    """Per column: number of non-missing values and linearly interpolated quantiles."""
+    found = quantiles_by_part(df, columns, probs, None, per_octave, cuts)
+    return {c: found.get((0, c), (0, None)) for c in columns}
+
+
+# --- quantiles of what is left --------------------------------------------------
+
+def _recounted(values: DataFrame, column: int, spans: Sequence[tuple[float, float]], cuts: int) -> list[Bucket]:
+    """All values of a column in order: one bucket per stretch outside the spans, the spans cut evenly."""
+    v = F.col("v")
+    group, digit = F.lit(2 * len(spans)), F.lit(0).cast("bigint")
+    for i, (low, high) in reversed(list(enumerate(spans))):
+        place = F.floor((v / 2 - low / 2) / (high / 2 - low / 2) * cuts) if high / 2 > low / 2 else (v > low).cast("bigint")
+        group = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(group)
+        digit = F.when(v < low, F.lit(0).cast("bigint")).when(v <= high, place.cast("bigint")).otherwise(digit)
+    name = f"v{column}"
+    cells = values.where(F.col(name).isNotNull()).select("part", F.col(name).alias("v")).select(
+        "part", group.alias("group"), digit.alias("digit"), "v"
+    )
+    counted = _counted(cells)
+    return _in_order(Bucket(0, column, 0, 0), [b for at in sorted(counted) for b in counted[at]])
 
 
-def _narrow(values: DataFrame, targets: list[Target], steps: int) -> None:
-    """One pass over all brackets still too wide.
+def quantiles_left(
+    values: DataFrame, column: int, before: Sequence[Bucket], dropped: int, probs: Sequence[float], cuts: int = CUTS,
+) -> tuple[int, list[float] | None, list[Bucket]]:
+    """Number of values, quantiles and buckets of a column after rows were dropped.
 
-    It counts how the rows lie about the proposed ends, which makes the result
-    exact, and sketches what lies between them for the next proposal.
+    ``before`` are its buckets over all rows, ``dropped`` is at least the number of rows
+    gone since, and ``values`` holds the rows left. However the dropped rows lay,
+    they move a rank by no more than their number: so the buckets say between which
+    values the quantile now lies, and one pass counts what is left there.
     """
-    groups = _neighbours(targets)
-    asked, cuts = [], []
-    for i, group in enumerate(groups):
-        b = group[0].bracket
-        value = F.col(b.column)
-        if not b.grid:
-            cuts.append(None)
-            asked.append(_sketch(F.when(b.holds(value), value), steps).alias(f"grid_{i}"))
-            continue
-        low, high = _propose(group, steps)
-        cuts.append((low, high))
-        asked.append(_sketch(F.when((value > low) & (value < high), value), steps).alias(f"grid_{i}"))
-        asked += [
-            F.count_if(test).alias(f"{name}_{i}") for name, test in (
-                ("lt", value < low), ("le", value <= low), ("lth", value < high), ("leh", value <= high),
-            )
-        ]
-    seen = values.agg(*asked).first()
-
-    for i, (group, cut) in enumerate(zip(groups, cuts)):
-        grid = tuple(seen[f"grid_{i}"] or ())
-        if cut is None:
-            group[0].bracket.grid = grid
-            for t in group:
-                t.bracket = group[0].bracket
-            continue
-        low, high = cut
-        lt, le, lt_high, le_high = (seen[f"{k}_{i}"] for k in ("lt", "le", "lth", "leh"))
-        inner = Bracket(group[0].bracket.column, low, high, False, False, le, lt_high - le, grid=grid)
-        for t in group:
-            b = t.bracket
-            if t.rank < lt:
-                t.bracket = Bracket(b.column, b.low, low, b.low_in, False, b.below, lt - b.below)
-            elif t.rank < le:
-                t.value = low
-            elif t.rank < lt_high:
-                t.bracket = inner
-            elif t.rank < le_high:
-                t.value = high
+    n, buckets = sum(b.rows for b in before), list(before)
+    if dropped and n:
+        places = []
+        for p in probs:
+            low, high = max(0, math.floor((n - dropped - 1) * p)), min(n - 1, math.ceil((n - 1) * p) + dropped)
+            places.append([buckets.index(holding(buckets, rank)) for rank in (low, high)])
+        merged: list[list[int]] = []
+        for first, last in sorted(places):
+            if merged and first <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], last)
             else:
-                left = b.below + b.inside - le_high
-                t.bracket = Bracket(b.column, high, b.high, False, b.high_in, le_high, left)
-
-
-def _pick(values: DataFrame, targets: list[Target]) -> None:
-    """Read the remaining ranks off the counted values of their small brackets."""
-    if not targets:
-        return
-    brackets = {t.bracket.key(): t.bracket for t in targets}
-    number = {k: i for i, k in enumerate(brackets)}
-    names = sorted({b.column for b in brackets.values()})
-
-    def held(name: str, value: Column) -> Column:
-        return reduce(or_, [b.holds(value) for b in brackets.values() if b.column == name])
-
-    cells = F.explode(F.array_compact(F.array(*[
-        F.when(held(c, F.col(c)), F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in names
-    ])))
-    distinct = (
-        values.where(reduce(or_, [held(c, F.col(c)) for c in names])).select(cells.alias("cell"))
-        .groupBy(F.col("cell.c").alias("c"), F.col("cell.v").alias("v")).count()
-    )
-    # from here on there are counted values only, at most bounded_rows per bracket
-    homes = F.explode(F.array_compact(F.array(*[
-        F.when((F.col("c") == b.column) & b.holds(F.col("v")), F.lit(number[k]))
-        for k, b in brackets.items()
-    ])))
-    counted = distinct.select("v", "count", homes.alias("b"))
-    running = F.sum("count").over(Window.partitionBy("b").orderBy("v"))
-    row = counted.withColumn("upto", running).agg(*[
-        F.min(F.when(
-            (F.col("b") == number[t.bracket.key()]) & (F.col("upto") > t.rank - t.bracket.below),
-            F.col("v"),
-        )).alias(f"t{i}")
-        for i, t in enumerate(targets)
-    ]).first()
-    for i, t in enumerate(targets):
-        t.value = row[f"t{i}"]
+                merged.append([first, last])
+        buckets = _recounted(values, column, [(buckets[a].low, buckets[b].high) for a, b in merged], cuts)
+        n = sum(b.rows for b in buckets)
+    if n == 0:
+        return 0, None, buckets
+    ranks = [ranks_of(n, p) for p in probs]
+    found = descend(values, {
+        (0, column, rank): holding(buckets, rank) for low, high, _ in ranks for rank in (low, high)
+    }, cuts)
+    return n, [interpolate(found[0, column, low], found[0, column, high], share) for low, high, share in ranks], buckets
