@@ -154,6 +154,9 @@ def test_compare_totals_equal_the_single_operators(spark):
     )
     totals = cmp.quality_totals(df)
     assert totals == {"Rows": 8, "Missing values": 5, "Duplicates": 2, "Outliers (IQR)": 1}
+    other = df.select("s", (F.col("x") * 2).cast("int").alias("x"), F.lit("k").alias("key"))
+    frames = [df, df.limit(0), other, df.where("x < 2").select("s")]
+    assert cmp.totals_of(frames, ["key"]) == [cmp.quality_totals(f, ["key"]) for f in frames]
     table = {r["metric"]: r for r in cmp.compare(df, df.limit(0)).collect()}
     assert table["Rows"]["change"] == "-100.0%" and table["Rows"]["delta"] == -8
     zero = {r["metric"]: r["change"] for r in cmp.compare(df.limit(0), df).collect()}

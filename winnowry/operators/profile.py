@@ -216,18 +216,21 @@ def few_distinct(df: DataFrame, columns: Sequence[str], at_most: int) -> dict[st
     return {c: exact[f"d{i}"] for i, c in enumerate(narrow) if exact[f"d{i}"] <= at_most}
 
 
-def imbalance_column(df: DataFrame) -> str | None:
-    """First string column with 2 to 20 values, else first numeric one with 2 to 10."""
-    for columns, at_most in (
-        (string_columns(df), STRING_CLASSES), (numeric_columns(df), NUMERIC_CLASSES),
-    ):
-        counts = few_distinct(df, columns, at_most)
+def _first_with_classes(df: DataFrame, kinds: Sequence[Sequence[str]], shown: dict[str, str]) -> str | None:
+    """First string column with 2 to 20 values, else first numeric one with 2 to 10, in two passes over all."""
+    counts = few_distinct(df, [c for columns in kinds for c in columns], STRING_CLASSES)
+    for columns, at_most in zip(kinds, (STRING_CLASSES, NUMERIC_CLASSES)):
         for c in columns:
-            if counts.get(c, 0) >= 2:
-                return c
+            if 2 <= counts.get(c, 0) <= at_most:
+                return shown[c]
     return None
 
 
+def imbalance_column(df: DataFrame) -> str | None:
+    """First string column with 2 to 20 values, else first numeric one with 2 to 10."""
+    return _first_with_classes(df, (string_columns(df), numeric_columns(df)), {c: c for c in df.columns})
+
+
 def class_counts(df: DataFrame, label_col: str) -> DataFrame:
     present = df.where(~is_missing(df, label_col))
     return present.groupBy(col(label_col).cast("string").alias("value")).agg(
@@ -248,17 +251,48 @@ def imbalance(df: DataFrame, label_col: str | None = None) -> DataFrame:
 
 # --- report -------------------------------------------------------------------
 
-def quality_report(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    """All four detections as one long table ``(section, column, metric, value)``.
+def _report_parts(df: DataFrame, label_col: str | None):
+    """Rows and gaps per column, copies, outliers and the class column, from one reading of the frame.
 
-    The parts run side by side and each reads the data once; what they return
-    is a few numbers per column.
+    Written down per row: its fingerprint, which cells are missing, its numbers, and
+    a hash of each text. Everything is measured on that narrow table, side by side.
     """
+    numbers, texts = numeric_columns(df), string_columns(df)
+    gaps = F.concat(*[F.when(is_missing(df, c), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
+    table = stage(df.select(
+        *[h.alias(f"print{i}") for i, h in enumerate(row_fingerprint(df))], gaps.alias("gaps"),
+        *[F.when(~is_missing(df, c), col(c)).alias(f"n{i}") for i, c in enumerate(numbers)],
+        *[F.when(col(c).isNotNull(), F.xxhash64(col(c))).alias(f"t{i}") for i, c in enumerate(texts)],
+    ), "measured")
+    narrow = {c: f"n{i}" for i, c in enumerate(numbers)} | {c: f"t{i}" for i, c in enumerate(texts)}
+
+    def gap_counts() -> tuple[int, dict[str, int]]:
+        row = table.agg(F.count(F.lit(1)), *[
+            F.count_if(F.substring("gaps", i + 1, 1) == "1") for i in range(len(df.columns))
+        ]).first()
+        return row[0], dict(zip(df.columns, row[1:]))
+
+    def copies() -> int:
+        groups = table.groupBy("print0", "print1").agg(F.count(F.lit(1)).alias("n"))
+        return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")).first()[0]
+
+    def outliers() -> list[dict]:
+        shown = {short: name for name, short in narrow.items()}
+        own = table.select([F.col(narrow[c]) for c in numbers])
+        return [r.asDict() | {"column": shown[r["column"]]} for r in outlier_profile(own).collect()]
+
+    def class_column() -> str | None:
+        return label_col or _first_with_classes(table, ([narrow[c] for c in texts], [narrow[c] for c in numbers]), {
+            short: name for name, short in narrow.items()
+        })
+
+    return side_by_side(df.sparkSession, [gap_counts, copies, outliers, class_column])
+
+
+def quality_report(df: DataFrame, label_col: str | None = None) -> DataFrame:
+    """All four detections as one long table ``(section, column, metric, value)``."""
     spark = df.sparkSession
-    (rows, counts), copies, outliers, name = side_by_side(spark, [
-        lambda: missing_counts(df), lambda: duplicate_count(df).first()[0],
-        lambda: outlier_profile(df).collect(), lambda: label_col or imbalance_column(df),
-    ])
+    (rows, counts), copies, outliers, name = _report_parts(df, label_col)
     missing = {c: n for c, n in counts.items() if n}
     report = [("duplicates", "", "duplicates", copies)]
     for c, n in missing.items():
