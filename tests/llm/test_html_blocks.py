@@ -1,5 +1,7 @@
 """Blocks by hand, gradients by differences, and held-out accuracy of the labeller."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -37,6 +39,16 @@ def test_self_closed_and_unread_tags_cut_nothing(tag):
     assert texts(page) == ["a b", "body text"]
 
 
+@pytest.mark.parametrize("tag", [
+    "<canvas>", "<video controls>", "<audio src=x>", "<object data=x>", "<object data=x/>", "<iframe src=x/>", "<iframe src='x'>", "<template>",
+    "<canvas>none</canvas>", "<video><source src=x>no <b>video</b></video>", "<object data='x'><param name=a>none</object>", "<noscript>",
+    "<iframe src=x></iframe>", "<noscript><img src=x>none</noscript>", "<style>p>a</style>", "<script>if (a<b) x</script>",
+])
+def test_unclosed_and_stand_in_elements_cut_nothing(tag):
+    page = f"{tag}<article><p>a</p>{tag}<p>body text</p></article><div>{tag}<p>end</p></div>"
+    assert texts(page) == ["a", "body text", "end"]
+
+
 @pytest.mark.parametrize("name", ["video-player", "object-fit", "template-x", "svg-icon", "script-box", "audio:x"])
 def test_custom_elements_cut_nothing(name):
     page = f"<{name} id=a><p>in</p></{name}><{name}/><article><p>a</p><{name}>b</{name}><p>body text</p></article>"
@@ -95,6 +107,45 @@ def test_unseen_layouts(labeller):
     assert all(len(words(t) ^ words(expected)) <= 6 for t in found)
 
 
+def moved(page, names):
+    """The page with its regions in plain elements, marked by the given classes or by none."""
+    for tag, name in names.items():
+        page = re.sub(rf"<{tag}(?=[\s>])[^>]*>", f'<div class="{name}">' if name else "<div>", page).replace(f"</{tag}>", "</div>")
+    return re.sub(r'class="ad"', 'class="werbung"' if names["nav"] else "", page)
+
+
+@pytest.mark.parametrize("names", [
+    {"nav": "menue", "article": "inhalt", "footer": "fuss", "aside": "rand", "header": "kopf"},
+    {"nav": "", "article": "", "footer": "", "aside": "", "header": ""},
+])
+def test_tables_that_declare_nothing(spark, names):
+    """No page has a word of the lists: the made-up pages alone teach the labeller."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").where("page_id % 5 = 1").collect()
+    pages = spark.createDataFrame([(r["page_id"], "u", moved(r["html"], names)) for r in rows], "page_id bigint, url string, html string")
+    found = {r["page_id"]: set(r["text"].split("\n")) for r in hb.extract(pages, hb.train_labeller(pages)).collect()}
+    shared = []
+    for r in rows:
+        expected = {b.text for b in hb.read_blocks(r["html"]) if "article" in b.path}
+        shared.append(len(expected & found[r["page_id"]]) / len(expected | found[r["page_id"]]))
+    assert min(map(len, found.values())) > 0 and sum(shared) / len(shared) >= 0.93
+
+
+def test_one_page_in_another_language(spark):
+    story = "".join(f"<p>В начале {w} было слово, и слово стало делом для всех. Потом {w} пришёл вечер.</p>" for w in "дня года века".split())
+    html = (f"<html><head><title>Имя</title></head><body><div class='verh'><ul><li><a href=a>Дом</a></li><li><a href=b>Мир</a></li></ul></div>"
+            f"<div class='telo'>{story}</div><div class='niz'>© Имя</div></body></html>")
+    pages = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    assert hb.extract(pages, hb.train_labeller(pages)).first()["text"] == "\n".join(b.text for b in hb.read_blocks(story))
+
+
+def test_made_up_pages_are_reproducible_and_varied():
+    pages = hb.made_up(60)
+    same = hb.made_up(60)
+    assert [([b.text for b in p], y) for p, y in pages] == [([b.text for b in p], y) for p, y in same]
+    declares = [any(hb.declared(b) is not None for b in p) for p, _ in pages]
+    assert 10 < sum(declares) and all(any(y) for _, y in pages) and any(not any(b.path[2:-1] for b in p) for p, _ in pages)
+
+
 def test_batching_does_not_matter(spark, labeller):
     pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").limit(40).collect()]
     assert hb.main_texts(labeller, pages) == [hb.main_texts(labeller, [p])[0] for p in pages]

@@ -4,9 +4,12 @@ A page is cut into blocks of text at block-level tags. A bidirectional LSTM, in
 numpy, reads the blocks in order, each as a vector of its tag path (hashed tags
 and class words), of its hashed words and of a few measures, and labels every
 block as main text or not from what it has read on both sides. It is trained
-here, on a bounded sample of the pages: the regions that tags and class words
-declare give the labels, and the sample is varied (regions renamed, bared or
-moved in from other pages), so that no single clue is enough.
+here, always on made-up pages (``made_up``: usual layouts in invented words, with
+regions that known tags or classes declare, that unknown classes mark, or that
+nothing marks), and besides on a bounded sample of the pages: the regions that
+tags and class words declare give the labels, and the sample is varied (regions
+renamed, bared or moved in from other pages), so that no single clue is enough.
+A table whose pages declare nothing is read by what the made-up pages taught.
 """
 
 from __future__ import annotations
@@ -23,18 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import first_by_hash, word_hashes, word_spans
+from winnowry.llm.common import Codes, first_by_hash, word_hashes, word_spans
 
 SAMPLE_PAGES = 300
-PATH_DIMS, WORD_DIMS, MEASURES = 128, 32, 8
+MADE_UP_PAGES = 800
+PATH_DIMS, WORD_DIMS, MEASURES = 128, 32, 11
 DIMS = PATH_DIMS + WORD_DIMS + MEASURES
 HIDDEN = 16
 EPOCHS = 16
 TOGETHER = 128  # pages read side by side
 PIECE = 60  # blocks of a training page that are read at once
 
-#: Content that is never text, tags that do not end a block, tags without an end.
-UNREAD = "script style noscript template svg iframe object canvas audio video".split()
+#: Content that is never text (beside script and style); content shown only where an element cannot be;
+#: tags that do not end a block, tags without an end.
+UNREAD_IF_CLOSED = "noscript template svg iframe".split()
+STAND_IN = "object canvas audio video".split()
+STRUCTURE = "html body main article section div p ul ol table form header footer nav aside h1 h2 h3 h4 h5 h6".split()
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
     "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
@@ -42,7 +49,10 @@ INLINE = frozenset(
     "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
     "semantics".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset(
+    "area base br col embed hr img input link meta param source track wbr "
+    "noscript template svg iframe object canvas audio video".split()  # where no end was found: they hold nothing
+)
 #: Opening one of these ends an open one of the same group.
 SIBLINGS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -71,8 +81,10 @@ _DECLARED = {w: False for words in OTHER_WORDS.values() for w in words} | {w: Tr
 _ATTRIBUTES = r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*"
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<svg(?=[\s/>]){_ATTRIBUTES}(?<=/)>"
-    rf"|<({'|'.join(UNREAD)})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<(?:{'|'.join(UNREAD_IF_CLOSED + STAND_IN)})(?=[\s/>]){_ATTRIBUTES}(?<=/)>"
+    r"|<script(?=[\s/>])[^>]*>.*?(?:</script\s*>|\Z)|<style(?=[\s/>])[^>]*>.*?(?:</style\s*>|\Z)"
+    rf"|<({'|'.join(UNREAD_IF_CLOSED)})(?=[\s/>])[^>]*>.*?</\1\s*>"
+    rf"|<({'|'.join(STAND_IN)})(?=[\s/>])[^>]*>(?:[^<]|<(?!/?(?:{'|'.join(STRUCTURE)})[\s/>]))*?</\2\s*>"
     rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES})(?:>|\Z)"
     r"|<[/!?a-z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -127,19 +139,19 @@ def read_blocks(page: str) -> list[Block]:
     at = 0
     for m in TAG.finditer(page):
         add(page[at : m.start()])
-        at, tag = m.end(), m[3]
+        at, tag = m.end(), m[4]
         if not tag:
             continue
         tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if m[2] else 1
+                in_link = 0 if m[3] else 1
             elif tag == "br":
                 parts.append(" ")
             continue
         end_block()
         in_link = 0
-        if m[2]:
+        if m[3]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
@@ -153,7 +165,7 @@ def read_blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in LISTS:
                     break
-            stack.append(_element(tag, m[4]))
+            stack.append(_element(tag, m[5]))
     add(page[at:])
     end_block()
     return blocks
@@ -179,6 +191,17 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return found
 
 
+def _among_siblings(blocks: list[Block], page: list[int], size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Share of a page's text under the block's parents, whether they begin or end with it."""
+    homes = Codes()
+    home, _ = homes.of([[(p, b.path[:-1]) for p, b in zip(page, blocks)]])
+    total = np.bincount(page, size)[page]
+    share = np.bincount(home, size)[home] / np.maximum(total, 1)
+    fresh = np.ones(len(blocks))
+    fresh[1:] = home[1:] != home[:-1]
+    return share, fresh, np.append(fresh[1:], 1.0)
+
+
 def block_vectors(pages: list[list[Block]]) -> np.ndarray:
     """One row per block of all pages: path, words, measures."""
     blocks = [b for page in pages for b in page]
@@ -200,10 +223,12 @@ def block_vectors(pages: list[list[Block]]) -> np.ndarray:
     stops = np.bincount(rows, np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)), len(blocks))
     sizes = np.array([len(p) for p in pages])
     order = np.arange(len(blocks)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    page = np.repeat(np.arange(len(pages)), sizes).tolist()
+    share, fresh, ahead = _among_siblings(blocks, page, size)
     out[:, PATH_DIMS + WORD_DIMS :] = np.column_stack([
         np.log1p(words) / 4, np.log1p(size) / 6, [b.linked for b in blocks], np.log1p(size / np.maximum(words, 1)) / 2,
         np.minimum(stops / np.maximum(words, 1) * 5, 2), order / np.repeat(np.maximum(sizes, 1), sizes), [b.heading for b in blocks],
-        np.ones(len(blocks)),
+        share, fresh, ahead, np.ones(len(blocks)),
     ])
     return out
 
@@ -386,14 +411,109 @@ def varied(pages: list[list[Block]], seed: int = 42) -> list[tuple[list[Block],
     return [([b for b, _ in page], [y for _, y in page]) for page in pieces]
 
 
+def _writer(rnd: random.Random):
+    """Made-up words, and sentences of them, in an alphabet of their own."""
+    letters = rnd.choice(["etaoinshrdlucmfw", "eainrstulodmpbgv", "аеиностврлкдмпуя", "αειοστνρλκπδμυγθ", "的一是不了人我在有他这中大来上国", "ابتدرسعفقكلمنهوي"])
+    parts = ["".join(rnd.choices(letters, k=rnd.randint(1, 3))) for _ in range(60)]
+    words = ["".join(rnd.choices(parts, k=rnd.randint(1, 4))) for _ in range(200)]
+
+    def phrase(least: int, most: int) -> str:
+        return " ".join(rnd.choices(words, k=rnd.randint(least, most))).capitalize()
+
+    def prose(sentences: int) -> str:
+        return " ".join(phrase(3, 18) + rnd.choice(["...", ".", ".", ".", "!", "?"])[-1] for _ in range(max(1, sentences)))
+
+    return phrase, prose
+
+
+def made_up(count: int = MADE_UP_PAGES, seed: int = 7) -> list[tuple[list[Block], list[bool]]]:
+    """Invented pages with their labels.
+
+    A page marks its regions in one way: by known tags and classes, by unknown
+    classes (one per kind of region), or not at all. Around the article, in the usual
+    order, some of these: title, header, menu, notice, advert, side bar, comments,
+    form, footer.
+    """
+    rnd, pages = random.Random(seed), []
+    for _ in range(count):
+        phrase, prose = _writer(rnd)
+        marks = rnd.choice(["known", "unknown", "unknown", "none"])
+        invented = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9))) for _ in range(20)]
+        outer = rnd.choice([("html", "body"), ("html", "body"), ("body",), ()])
+        outer = (*outer, *rnd.choice([(), (), ("div",), ("div", invented[0]), ("div", invented[0], "div")]))
+        blocks: list[tuple[Block, bool]] = []
+
+        def wrapper(kind: str) -> tuple[str, ...]:
+            if marks == "known":
+                return _region(rnd, kind == "main")
+            if marks == "none":
+                return rnd.choice([(), ("div",)])
+            return (rnd.choice(["div", "div", "section", "td"]), invented[1 + ["main", *sorted(OTHER_WORDS)].index(kind)])
+
+        def add(kind: str, tails: list[tuple[str, ...]], texts: list[tuple[str, float]]) -> None:
+            where, heads = (*outer, *wrapper(kind)), ("h1", "h2", "h3")
+            for tail, (text, linked) in zip(tails, texts):
+                blocks.append((Block((*where, *tail), text, linked, bool(tail) and tail[-1] in heads), kind == "main"))
+
+        def links(kind: str, least: int, most: int) -> None:
+            n, tail = rnd.randint(least, most), rnd.choice([("ul", "li"), ("ul", "li"), ("p",), ("div",), ("li",)])
+            add(kind, [tail] * n, [(phrase(1, 4), 1.0) for _ in range(n)])
+
+        if rnd.random() < 0.7:
+            title = phrase(2, 12)
+            blocks.append((Block(("html", "head", "title"), title, 0.0), False))
+        if rnd.random() < 0.5:
+            linked = rnd.choice([0.0, 1.0]) if marks != "none" else 1.0
+            add("header", [rnd.choice([("h1",), ("h2",), ("div",), ("p",)]), ("p",)], [(phrase(1, 3), linked), (phrase(2, 7), 0.0)][: rnd.randint(1, 2)])
+        if rnd.random() < 0.85:
+            links("menu", 2, 9)
+        if rnd.random() < 0.35:
+            add("notice", [rnd.choice([("p",), ()]), ("button",)], [(prose(rnd.randint(1, 2)), rnd.choice([0.0, 0.2])), (phrase(1, 2), 0.0)][: rnd.randint(1, 2)])
+        if rnd.random() < 0.5:
+            add("advert", [rnd.choice([(), ("p",), ("div",)])], [(prose(1), rnd.choice([0.0, 0.0, 1.0]))])
+        before = rnd.random() < 0.3
+        if before:
+            links("sidebar", 2, 7)
+        n = rnd.choice([1, 2, 3, 4, 5, 6, 8, 12, 25])
+        tails, texts = [("p",)] * n, [(prose(rnd.choice([1, 1, 2, 3, 5, 9])), rnd.choice([0.0, 0.0, 0.0, 0.15])) for _ in range(n)]
+        for i in range(n):
+            if rnd.random() < 0.15:
+                tails[i], texts[i] = rnd.choice([("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("table", "tr", "td"), ("pre",)]), (phrase(2, 9), 0.0)
+        if rnd.random() < 0.8:
+            tails, texts = [rnd.choice([("h1",), ("h1",), ("h2",)]), *tails], [(phrase(2, 12), 0.0), *texts]
+        add("main", tails, texts)
+        if not before and rnd.random() < 0.3:
+            links("sidebar", 2, 7)
+        if rnd.random() < 0.35 and marks != "none":
+            n = rnd.randint(1, 6)
+            tail = rnd.choice([("ul", "li"), ("div",), ("div", "p"), ("ol", "li"), ("p",)])
+            named = rnd.random() < 0.7
+            some = [(phrase(1, 4), rnd.choice([0.0, 1.0])) if named and i % 2 else (prose(rnd.randint(1, 3)), 0.0) for i in range(1, 2 * n + 1)]
+            head = [(("h3",), (phrase(1, 3), 0.0))] if rnd.random() < 0.6 else []
+            add("comments", [t for t, _ in head] + [tail] * len(some), [x for _, x in head] + some)
+        if rnd.random() < 0.3:
+            add("form", [("label",), ("button",)], [(phrase(1, 4), 0.0), (phrase(1, 2), 0.0)])
+        if rnd.random() < 0.85:
+            rights = "© " + phrase(1, 5) + rnd.choice(["", ".", " · " + prose(rnd.randint(1, 3))])
+            add("footer", [rnd.choice([(), (), ("p",), ("div",)])], [(rights if rnd.random() < 0.6 else phrase(1, 6), rnd.choice([0.0, 0.0, 0.5]))])
+            if rnd.random() < 0.4:
+                links("footer", 1, 5)
+        pages.append(([b for b, _ in blocks], [y for _, y in blocks]))
+    return pages
+
+
 def train_labeller(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Labeller:
-    """Fit on at most ``rows`` pages, the ones first by hash of their id; without any, on nothing."""
+    """Fit on the made-up pages, and on at most ``rows`` of the table: the ones first by hash of their id.
+
+    A page without declared regions teaches nothing, and neither do null and empty pages; the
+    made-up pages are enough for an answer.
+    """
     known = pages.where("html IS NOT NULL").select("page_id", "html", F.xxhash64("html").alias("h"))
     drawn = first_by_hash(known.select(F.col("page_id").alias("id"), F.col("h").alias("k")), rows)
     # at most the sample is sent, and at most the sample comes back: equal rows are one
     found = known.join(F.broadcast(drawn), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("k")))
     texts = sorted(r["html"] for r in found.groupBy("page_id", "h").agg(F.min("html").alias("html")).collect())
-    labeller, made = Labeller(), varied([read_blocks(t) for t in texts])
+    labeller, made = Labeller(), made_up() + varied([read_blocks(t) for t in texts])
     labeller.train([(block_vectors([blocks]), np.array(y, np.float32)) for blocks, y in made])
     return labeller
 
