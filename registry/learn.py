@@ -293,35 +293,35 @@ def split_vectors(spark, d, n_start):
     return [parts.where(F.col("split") == s).drop("split") for s in ("labeled", "pool", "test")]
 
 
-def split_docs(spark, d, n_start=50):
+def split_docs(spark, d, n_start=100):
     parts = stage(learn.stratified_split(labeled_docs(spark, d), "toxic", "doc_id", n_start=n_start), "split")
     return [parts.where(F.col("split") == s).drop("split") for s in ("labeled", "pool", "test")]
 
 
 def vector_cycle(spark, d, strategy, **how):
     return cycle_facts(learn.run_cycle(
-        *split_vectors(spark, d, 50), strategy, "vec_id", "label", embedding_col="embedding",
+        *split_vectors(spark, d, 100), strategy, "vec_id", "label", embedding_col="embedding",
         model="embedding", iterations=2, batch_size=20, **how,
     ))
 
 
-@BOOK.add(cycle_sql("embeddings", 50, "random"))
+@BOOK.add(cycle_sql("embeddings", 100, "random"))
 def run_cycle_sizes(spark, d):
     return vector_cycle(spark, d, "random")
 
 
-@BOOK.add(cycle_sql("embeddings", 50, "entropy"))
+@BOOK.add(cycle_sql("embeddings", 100, "entropy"))
 def run_cycle_entropy(spark, d):
     return vector_cycle(spark, d, "entropy")
 
 
-@BOOK.add(cycle_sql("embeddings", 50, "entropy"))
+@BOOK.add(cycle_sql("embeddings", 100, "entropy"))
 def run_cycle_candidates(spark, d):
     """A caller's limit: only so many random rows of the pool are scored."""
     return vector_cycle(spark, d, "entropy", candidate_sample=60)
 
 
-@BOOK.add(cycle_sql("labels WHERE toxic IS NOT NULL", 50, "entropy"))
+@BOOK.add(cycle_sql("labels WHERE toxic IS NOT NULL", 100, "entropy"))
 def run_cycle(spark, d):
     """A cycle over texts."""
     return cycle_facts(learn.run_cycle(
@@ -329,10 +329,10 @@ def run_cycle(spark, d):
     ))
 
 
-@BOOK.add(cycle_sql("embeddings", 50, "entropy", "margin", "random"))
+@BOOK.add(cycle_sql("embeddings", 100, "entropy", "margin", "random"))
 def compare_al_strategies(spark, d):
     return cycle_facts(learn.compare_al_strategies(
-        *split_vectors(spark, d, 50), ["entropy", "margin", "random"], key="vec_id", label_col="label",
+        *split_vectors(spark, d, 100), ["entropy", "margin", "random"], key="vec_id", label_col="label",
         embedding_col="embedding", model="embedding", iterations=2, batch_size=20,
     ))
 
@@ -359,32 +359,61 @@ VECTORS = "SELECT vec_id AS doc_id, CAST(label AS VARCHAR) AS y FROM embeddings
 
 
 def predict_texts(spark, d, kind, **options):
-    labeled, _, test = split_docs(spark, d)
-    model = models.fit(labeled, kind, "doc_id", "toxic", "text", **options)
-    return prediction_facts(model.predict(test, ["toxic"]), model)
+    """Predictions for the test part from a model of all other rows."""
+    labeled, pool, test = split_docs(spark, d)
+    model = models.fit(labeled.unionByName(pool), kind, "doc_id", "toxic", "text", **options)
+    return model.predict(test, ["toxic"]), model
 
 
-@BOOK.add(split_sql(TOXIC, 50))
+def predict_vectors(spark, d):
+    """The same for ten classes from precomputed vectors."""
+    labeled, pool, test = split_vectors(spark, d, 100)
+    model = models.fit(labeled.unionByName(pool), "embedding", "vec_id", "label", embedding_col="embedding")
+    return model.predict(test, ["label"]).withColumnRenamed("vec_id", "doc_id"), model
+
+
+@BOOK.add(split_sql(TOXIC, 100))
 def predict_logreg(spark, d):
-    return predict_texts(spark, d, "logreg")
+    return prediction_facts(*predict_texts(spark, d, "logreg"))
 
 
-@BOOK.add(split_sql(TOXIC, 50))
+@BOOK.add(split_sql(TOXIC, 100))
 def predict_svm(spark, d):
-    return predict_texts(spark, d, "svm")
+    return prediction_facts(*predict_texts(spark, d, "svm"))
 
 
-@BOOK.add(split_sql(TOXIC, 50))
+@BOOK.add(split_sql(TOXIC, 100))
 def predict_rf(spark, d):
-    return predict_texts(spark, d, "rf")
+    return prediction_facts(*predict_texts(spark, d, "rf"))
 
 
 @BOOK.add(split_sql(VECTORS, 100))
 def predict_embedding(spark, d):
-    """Ten classes from precomputed vectors."""
-    labeled, _, test = split_vectors(spark, d, 100)
-    model = models.fit(labeled, "embedding", "vec_id", "label", embedding_col="embedding")
-    return prediction_facts(model.predict(test, ["label"]).withColumnRenamed("vec_id", "doc_id"), model)
+    return prediction_facts(*predict_vectors(spark, d))
+
+
+def _rows(predicted, kind: str, truth: str):
+    return predicted.select(
+        F.lit(kind).alias("model"), "doc_id", F.col(truth).cast("string").alias("y"), "y_pred",
+        F.transform("proba", lambda p: F.round(p, 4)).alias("proba"),
+    )
+
+
+@BOOK.add()
+def predictions(spark, d):
+    """Labels and probabilities of every model for its test part: they depend on the solver, so no SQL says them."""
+    parts = [_rows(predict_texts(spark, d, kind)[0], kind, "toxic") for kind in ("logreg", "rf")]
+    return parts[0].unionByName(parts[1]).unionByName(_rows(predict_vectors(spark, d)[0], "embedding", "label"))
+
+
+@BOOK.add()
+def cycle_scores(spark, d):
+    """Accuracy and macro-F1 per iteration of a whole run."""
+    history = learn.run_cycle(
+        *split_vectors(spark, d, 100), "margin", "vec_id", "label", embedding_col="embedding", model="embedding",
+        iterations=2, batch_size=20,
+    )
+    return history.select("strategy", "iteration", "n_labeled", F.round("accuracy", 4).alias("accuracy"), F.round("f1", 4).alias("f1"))
 
 
 @BOOK.add("SELECT count(*) > 0 AS better FROM labels")
@@ -393,8 +422,8 @@ def fit_beats_majority(spark, d):
     size = F.char_length("text") + 1
     shares = [F.regexp_count("text", F.lit(p)) / size for p in (r"[#$%&*]", r"\|", "!", "[A-Z]", r"\s")]
     rows = labeled_docs(spark, d).select("doc_id", "quality", F.transform(F.array(*shares), lambda v: v * 20).alias("x"))
-    parts = stage(learn.stratified_split(rows, "quality", "doc_id", n_start=50), "split")
-    model = models.fit(parts.where("split = 'labeled'"), "embedding", "doc_id", "quality", embedding_col="x")
+    parts = stage(learn.stratified_split(rows, "quality", "doc_id", n_start=100), "split")
+    model = models.fit(parts.where("split <> 'test'"), "embedding", "doc_id", "quality", embedding_col="x")
     test = model.predict(parts.where("split = 'test'"), ["quality"])
     right = F.avg((F.col("quality").cast("string") == F.col("y_pred")).cast("int"))
     return test.agg((right > F.greatest(F.avg("quality"), 1 - F.avg("quality"))).alias("better"))
