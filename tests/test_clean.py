@@ -193,3 +193,37 @@ def test_cleaning_a_stream_with_frozen_numbers(spark, folder):
     query.processAllAvailable()
     query.stop()
     assert rows(spark.table("cleaned")) == rows(clean_rows(df, fills, bounds))
+
+
+def shuffles(df):
+    """Output columns of the plan's exchanges of rows."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("position", [None, c.FILE_POSITION])
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_copies_without_a_key(spark, folder, monkeypatch, position, few):
+    """Rows are told apart by number or by place in their files, whatever the copies are sent with."""
+    monkeypatch.setattr(c, "BROADCAST_ROWS", few)
+    data = [(i % 7, None if i % 3 else float(i % 5), "t" * (i % 4), {"a": i % 2}) for i in range(500)]
+    data += [(9, float("nan"), None, None), (9, None, None, None)]
+    spark.createDataFrame(data, "a int, b double, s string, m map<string,int>").repartition(6).write.parquet(f"{folder}/in.parquet")
+    df = spark.read.parquet(f"{folder}/in.parquet")
+    out = c.dedup(df, position=position)
+    expected = {(a, None if b != b else b, s, str(m)) for a, b, s, m in data}
+    found = [(r["a"], r["b"], r["s"], str(r["m"])) for r in out.collect()]
+    assert len(found) == len(expected) and set(found) == expected and out.columns == df.columns
+    if few:
+        assert not shuffles(out)
+    filtered = c.dedup(df.where("a < 3").select("s", "a"), position=position)
+    assert rows(filtered) == rows(df.where("a < 3").select("s", "a").distinct())
+
+
+def test_cleaning_a_parquet_stage_shuffles_no_text(spark):
+    from registry.base import docs
+
+    body = docs(spark, "/root/testdata/sf0.001").drop("doc_id")
+    for strategy in ("strict", "medium"):
+        assert not any("text" in line for line in shuffles(c.fix(body, c.DEFAULT_STRATEGIES[strategy])))
+    assert not any("text" in line for line in shuffles(c.dedup(body)))

@@ -7,6 +7,8 @@ bounds), then apply them as plain column expressions.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,38 +39,55 @@ BROADCAST_ROWS = 200_000
 
 # --- duplicates ---------------------------------------------------------------
 
+#: Where a row lies in the Parquet files it was read from: for frames that are filters
+#: and projections of files, and only for those.
+FILE_POSITION = ("_metadata.file_path", "_metadata.row_index")
+
+
 def dedup(
     df: DataFrame, keep: str = "drop", order_col: str | None = None,
-    subset: Sequence[str] | None = None,
+    subset: Sequence[str] | None = None, position: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep one row of each group of equal rows.
 
-    Without ``order_col`` the rows of a group are identical, so any will do.
-    With it (a unique key, left out of the comparison) the first or last row of
-    each group survives, and only fingerprints and keys are shuffled.
+    With ``order_col`` (a unique key, left out of the comparison) the first or last row
+    of each group survives. Without it the rows of a group are identical, so any
+    will do: rows are told apart by ``position`` (``FILE_POSITION``), or are numbered
+    in the order in which they are written to a table. Only fingerprints and keys
+    are shuffled either way; rows meet the keys of the copies where they are, unless
+    there are more than ``BROADCAST_ROWS`` copies.
     """
     if keep == "none":
         return df
     df = nan_to_null(df)
-    if order_col is None:
-        if subset:
-            raise ValueError("a subset needs order_col to say which row survives")
-        return df.dropDuplicates()
-    names = list(subset or [c for c in df.columns if c != order_col])
-    narrow = stage(
-        df.select(*row_fingerprint(df, names), col(order_col).alias("k")), "fingerprints"
-    )
-    chosen = F.max("k") if keep == "keep_last" else F.min("k")
-    winners = narrow.groupBy("h1", "h2").agg(chosen.alias("k"))
+    shown = [col(c) for c in df.columns]
+    if order_col is not None:
+        names = list(subset or [c for c in df.columns if c != order_col])
+        rows, keys = df, [col(order_col)]
+        marks = row_fingerprint(df, names)
+    elif subset:
+        raise ValueError("a subset needs order_col to say which row survives")
+    elif position is not None:
+        rows = df.select("*", *[F.col(p).alias(f"__at{i}") for i, p in enumerate(position)])
+        keys = [F.col(f"__at{i}") for i in range(len(position))]
+        marks = row_fingerprint(df)
+    else:
+        marks = [h.alias(f"__{i}") for i, h in enumerate(row_fingerprint(df))]
+        rows = stage(df.select("*", *marks, F.monotonically_increasing_id().alias("__row")), "numbered")
+        keys, marks = [F.col("__row")], [F.col("__0").alias("h1"), F.col("__1").alias("h2")]
+    names = [f"k{i}" for i in range(len(keys))]
+    narrow = rows.select(*marks, *[k.alias(n) for k, n in zip(keys, names)])
+    if order_col is not None or position is not None:
+        narrow = stage(narrow, "fingerprints")  # else they were written with the rows
+    key = F.struct(*names)
+    chosen = F.max(key) if keep == "keep_last" else F.min(key)
+    winners = narrow.groupBy("h1", "h2").agg(chosen.alias("k")).select("k.*")
     # joined on the unique key, not on the fingerprint: no hot group can form
-    losers = stage(
-        narrow.select("k").join(winners.select("k"), "k", "left_anti")
-        .select(F.col("k").alias(order_col)),
-        "duplicates",
-    )
-    if losers.count() <= BROADCAST_ROWS:
-        losers = F.broadcast(losers)
-    return df.join(losers, order_col, "left_anti").select([col(c) for c in df.columns])
+    losers = stage(narrow.select(names).join(winners, names, "left_anti"), "duplicates")
+    few = losers.count() <= BROADCAST_ROWS
+    same = reduce(and_, [k == losers[n] for k, n in zip(keys, names)])
+    left = rows.join(F.broadcast(losers) if few else losers, same, "left_anti").select(shown)
+    return left if few else stage(left, "deduplicated")
 
 
 # --- missing values -----------------------------------------------------------
@@ -264,16 +283,12 @@ def drop_bounds(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, f
 def fix(
     df: DataFrame, strategy: Mapping[str, str], protected_cols: Iterable[str] | None = None,
     order_col: Sequence[str] | str | None = None, dedup_key: str | None = None,
+    position: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Apply a strategy; a step missing from it is skipped."""
+    """Apply a strategy; a step missing from it is skipped. ``position`` is handed to ``dedup``."""
     protected = protected_columns(df, protected_cols)
     missing, outliers = strategy.get("missing"), strategy.get("outliers")
-    if strategy.get("duplicates", "none") != "none":
-        df = dedup(df, strategy["duplicates"], dedup_key)
-        learns = missing not in (None, "drop") or outliers not in (None, "none")
-        if learns and dedup_key is None:
-            # the statistics below read this result several times
-            df = stage(df, "deduplicated")
+    df = dedup(df, strategy.get("duplicates", "none"), dedup_key, position=position)
     if missing is not None:
         df = fix_missing(df, missing, protected, order_col)
     if outliers is not None:

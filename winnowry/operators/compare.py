@@ -111,7 +111,7 @@ def compare_strategies(
 
     how = [h for h in dict.fromkeys(map(copies, strategies.values())) if h != "none"]
     unique = dict(zip(how, jobs.side_by_side(spark, [
-        lambda h=h: stage(dedup(body, h), "deduplicated") for h in how
+        lambda h=h: dedup(body, h) for h in how
     ])))
 
     def after(strategy: Mapping[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnowry.operators.clean import DEFAULT_STRATEGIES, fix
+from winnowry.operators.clean import DEFAULT_STRATEGIES, FILE_POSITION, fix
 from winnowry.operators.compare import compare, compare_strategies
 from winnowry.operators.profile import quality_report
 from winnowry.sources.files import CLEAN, resolve_input, scan, write_stage
@@ -38,9 +38,12 @@ def clean(
     dedup_key: str | None = None, protected_cols: Iterable[str] = (), path: str | None = None,
 ) -> DataFrame:
     """Apply a strategy, write the clean stage, return its Before/After table."""
-    df = scan(spark, resolve_input(spark, base, "quality", path))
+    given = resolve_input(spark, base, "quality", path)
+    df = scan(spark, given)
+    # rows of Parquet files are told apart by where they lie: nothing but fingerprints is written for copies
+    position = FILE_POSITION if dedup_key is None and given.endswith(".parquet") else None
     chosen = DEFAULT_STRATEGIES[strategy] if isinstance(strategy, str) else strategy
     protected = list(protected_cols) + ([label_col] if label_col else [])
     out, since = f"{base.rstrip('/')}/{CLEAN}", staged_so_far()
-    write_stage(fix(df, chosen, protected, order_col, dedup_key), out)
+    write_stage(fix(df, chosen, protected, order_col, dedup_key, position), out)
     return settle(compare(df, scan(spark, out), key=[dedup_key] if dedup_key else []), since)
