@@ -68,3 +68,20 @@ def test_edge_rows(spark):
     assert kept.schema == docs.schema and sorted(kept.collect(), key=str) == sorted(docs.collect(), key=str)
     assert gam.accepted(docs, model, 1.1).count() == 0
     assert gam.score_quality(docs.limit(0), gam.fit_quality(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_rows_without_an_id_are_not_held_out(spark, folder):
+    docs = spark.createDataFrame([(None, "some words"), (4, "more words here"), (5, None)], "doc_id bigint, text string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(4, 1, 0), (5, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    found = {r["doc_id"]: r["held_out"] for r in queries.op7_quality_gam(spark, folder).collect()}
+    assert found == {None: False, 4: zlib.crc32(b"4") % 3 == 1, 5: zlib.crc32(b"5") % 3 == 1}
+
+
+def test_score_equals_a_loop_over_the_tables():
+    """Scores by hand: table entries of bins and of pairs of coarse bins, added up."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (400, 3))
+    model = gam.fit(x[:300], (x[:300, 0] > x[:300, 1]).astype(float))
+    again = np.array([model.score(row[None])[0] for row in x])
+    assert np.allclose(model.score(x), again) and (model.score(x) >= 0).all() and (model.score(x) <= 1).all()

@@ -61,7 +61,7 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_gam.fit_quality(docs, labels_to_learn(spark, sf_dir))
     return quality_gam.score_quality(docs, model).select(
-        "doc_id", (quality_gam.fold() == 1).alias("held_out"), "score",
+        "doc_id", F.coalesce(quality_gam.fold() == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
