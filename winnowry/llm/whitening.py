@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import Matrices
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -139,10 +140,15 @@ def deviation(x: str, n: int, sums: list[int]) -> Column:
 
 
 def block_rows(rows: DataFrame, n: int, dims: int) -> BlockMatrix:
-    """Rows ``(index, values)`` as a matrix of blocks."""
+    """Rows ``(index, values)`` as a matrix of blocks, kept on disk where the blocks were made.
+
+    A product reads both of its sides, and one matrix takes part in two: blocks that
+    are kept are not put together again. Those of a lost executor are.
+    """
     vectors = rows.select("index", array_to_vector("values").alias("vector"))
     matrix = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "vector"), n, dims)
-    return matrix.toBlockMatrix(max(BLOCK_ROWS, -(-n // MOST_BLOCKS)), min(dims, BLOCK_COLUMNS))
+    blocks = matrix.toBlockMatrix(max(BLOCK_ROWS, -(-n // MOST_BLOCKS)), min(dims, BLOCK_COLUMNS))
+    return blocks.persist(StorageLevel.DISK_ONLY)
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
