@@ -177,3 +177,35 @@ def test_ranked_catalog(spark):
     two = spark.createDataFrame([("z", "cats")], "id string, name string").withColumn("downloads", F.lit(5))
     scores = spark.createDataFrame([("a", 8.0), ("z", 8.0), ("b", 3.0)], "id string, relevance_score double")
     assert [r["id"] for r in collection.ranked_catalog([one, two], scores).collect()] == ["z"]
+
+
+def search_rows(spark):
+    names = ["Cat pictures", "dogs, cats", None, "été 😀 set", "a", "", "aaaa", "CATALOG"]
+    rows = [(f"id/{i % 40}", names[i % len(names)], i % 7) for i in range(80)] + [(None, "cat", 3), ("x", None, None)]
+    return spark.createDataFrame(rows, "id string, name string, downloads long")
+
+
+def test_indexed_search_finds_what_testing_every_text_finds(spark):
+    df = search_rows(spark)
+    terms = ["cat", "CAT", "cat", "a", "aa", "aaa", "aaaaa", "é", "😀", "😀 s", "dogs, c", "nothing", "id/3", "/1", " "]
+    for limit in (1, 3, 100):
+        inline = cat.search_catalog(df, terms, limit)
+        indexed = cat.search_catalog(df, terms, limit, inline_terms=0)
+        assert indexed.columns == inline.columns
+        assert sorted(map(str, indexed.collect())) == sorted(map(str, inline.collect()))
+    assert cat.search_catalog(df.limit(0), terms, 3, inline_terms=0).count() == 0
+    with_empty = [cat.search_catalog(df, ["", "cat"], 5, n).collect() for n in (0, 9)]
+    assert sorted(map(str, with_empty[0])) == sorted(map(str, with_empty[1]))
+
+
+def test_a_common_text_and_a_hot_run_of_characters(spark, monkeypatch):
+    """Copies of one text are looked up once; the plan does not grow with the terms."""
+    from winnowry.operators import joins
+    monkeypatch.setattr(joins, "HOT_KEYS", 10)
+    df = spark.range(3000).selectExpr("'same' AS id", "'one name of all' AS name", "id AS downloads").unionByName(
+        spark.range(300).selectExpr("'d' || id AS id", "'name ' || id AS name", "id AS downloads"))
+    terms = ["name " + str(i) for i in range(200)] + ["one name"]
+    found = cat.search_catalog(df, terms, 2)
+    want = cat.search_catalog(df, terms, 2, inline_terms=1000)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert "name 137" not in found._jdf.queryExecution().analyzed().toString()

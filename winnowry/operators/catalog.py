@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from winnowry.operators.joins import left_join_hot
 from winnowry.operators.ranking import take_ranked, top_per_group
 from winnowry.staging import stage
 
@@ -18,6 +19,10 @@ TOP_TASKS = 5
 TOP_DATASETS = 3
 # ------------------------------------------------------------------------------
 
+INLINE_TERMS = 64  # so few terms are tested on every text
+GRAM = 3
+BROADCAST_TERMS = 100_000
+
 
 def score() -> Column:
     return F.coalesce(F.col("relevance_score"), F.lit(0))
@@ -62,9 +67,9 @@ def pick(df: DataFrame, choice: str) -> DataFrame:
     return top.where(F.col("__place").isin(places)).drop("__place")
 
 
-def search_catalog(catalog: DataFrame, terms: Sequence[str], limit: int = SEARCH_LIMIT) -> DataFrame:
-    """Per term the most downloaded matches, each dataset under the first term that found it."""
-    text = F.lower(F.concat_ws(" ", "id", "name"))
+def _inline_hits(catalog: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """``catalog`` and ``__hits``: every text is tested for every term."""
+    text = searched_text()
     hits = F.filter(
         F.array(*[
             F.when(
@@ -75,8 +80,68 @@ def search_catalog(catalog: DataFrame, terms: Sequence[str], limit: int = SEARCH
         ]),
         lambda h: h.isNotNull(),
     )
+    return catalog.withColumn("__hits", hits)
+
+
+def searched_text() -> Column:
+    return F.lower(F.concat_ws(" ", "id", "name"))
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """The distinct runs of so many characters in a text."""
+    chars = F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1))
+
+    def runs(n: int) -> Column:
+        joined = F.transform(chars, lambda _, i: F.array_join(F.slice(chars, i + 1, F.lit(n)), ""))
+        return F.slice(joined, F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(0)))
+
+    return F.array_distinct(F.concat(*[runs(n) for n in sizes]))
+
+
+def _indexed_hits(catalog: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """``catalog`` and ``__hits``, through an inverted index of runs of three characters.
+
+    A term is looked up by one of its runs, the one in the fewest texts (terms of
+    one or two characters are such a run themselves), and tested on the texts that
+    have it. Runs of a text that no term is looked up by go nowhere.
+    """
+    rows = [(i, t, t.lower(), min(len(t.lower()), GRAM)) for i, t in enumerate(terms)]
+    asked = catalog.sparkSession.createDataFrame(rows, "term_no int, term string, lowered string, size int")
+    few = F.broadcast if len(terms) <= BROADCAST_TERMS else lambda df: df
+    texts = stage(
+        catalog.groupBy(searched_text().alias("__text")).agg(F.count(F.lit(1)).alias("__copies")), "searched"
+    )
+    sizes = sorted({size for *_, size in rows})
+    posted = texts.select("__text", F.explode(_grams(F.col("__text"), sizes)).alias("gram"))
+    runs = F.when(F.col("size") == 1, _grams(F.col("lowered"), [1])).when(
+        F.col("size") == 2, _grams(F.col("lowered"), [2])
+    ).otherwise(_grams(F.col("lowered"), [GRAM]))
+    candidates = asked.select("term_no", F.explode(runs).alias("gram"))
+    counted = posted.join(few(candidates.select("gram").distinct()), "gram").groupBy("gram").count()
+    rarest = candidates.join(counted, "gram", "left").groupBy("term_no").agg(
+        F.min_by("gram", F.struct(F.coalesce("count", F.lit(0)), F.col("gram"))).alias("gram")
+    )
+    index = stage(asked.join(rarest, "term_no"), "lookups")
+    found = posted.join(few(index), "gram").where(F.contains("__text", F.col("lowered")))
+    hits = texts.join(
+        found.groupBy("__text").agg(F.array_sort(F.collect_list(F.struct("term_no", "term"))).alias("__hits")), "__text"
+    )
+    joined = left_join_hot(catalog.withColumn("__text", searched_text()), stage(hits, "hits"), ["__text"], "__copies")
+    return joined.select(*catalog.columns, "__hits")
+
+
+def search_catalog(
+    catalog: DataFrame, terms: Sequence[str], limit: int = SEARCH_LIMIT, inline_terms: int = INLINE_TERMS
+) -> DataFrame:
+    """Per term the most downloaded matches, each dataset under the first term that found it.
+
+    More than ``inline_terms`` terms are looked up in an inverted index of the
+    catalog, so a text is tested only for terms that share a rare run of
+    characters with it. A repeated term finds nothing new, an empty one finds all.
+    """
+    indexed = len(terms) > inline_terms and all(terms)
     # a dataset landed many times is one dataset: its copies meet before the shuffle
-    matched = catalog.withColumn("__hits", hits).where(F.size("__hits") > 0)
+    matched = (_indexed_hits if indexed else _inline_hits)(catalog, terms).where(F.size("__hits") > 0)
     order = ["downloads"] + [c for c in matched.columns if c not in ("downloads", "id")]
     once = matched.groupBy("id").agg(F.max(F.struct(*order)).alias("r")).select("id", "r.*")
     found = once.select(*catalog.columns, F.explode("__hits").alias("hit")).select(
