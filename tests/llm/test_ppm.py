@@ -120,16 +120,25 @@ def test_held_out_texts_score_above_shuffled_ones(spark):
     assert all(found[i]["score"] > found[i + 10**6]["score"] for i, _, h in rows if h)
 
 
-def test_parts_and_joined_tokens_give_the_same(spark):
+@pytest.mark.parametrize("parts", [7, 300])
+def test_a_trie_that_stays_in_the_cluster_gives_the_same(spark, parts, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    held = "doc_id % 5 = 0"
-    whole = rows_of(ppm.language_scores(docs, held))
-    cut = rows_of(ppm.language_scores(docs, held, part_cells=20_000, common_tokens=50))
+    foreign = [(10**6 + i, "щё ~ новый " * 40, True) for i in range(30)]  # often held out, never learned
+    docs = docs.selectExpr("doc_id", "text", "doc_id % 5 = 0 AS h").unionByName(
+        spark.createDataFrame(foreign, "doc_id bigint, text string, h boolean"))
+    whole = rows_of(ppm.language_scores(docs, "h"))
+    size = ppm.Model(docs.where("NOT h").select(ppm.text_bytes())).size
+    collected = []
+    real = ppm._collected
+    monkeypatch.setattr(ppm, "_collected", lambda *a: collected.append(real(*a)) or collected[-1])
+    cut = rows_of(ppm.language_scores(docs, "h", part_cells=-(-size // parts), common_tokens=50))
     assert set(whole) == set(cut)
     for i, r in whole.items():
         assert all(r[c] == cut[i][c] for c in ("held_out", "n_tokens", "n_known", "train_tokens"))
         assert math.isclose(r["score"], cut[i]["score"], rel_tol=1e-6)
         assert math.isclose(r["base_score"], cut[i]["base_score"], rel_tol=1e-9)
+    low, common = (len(cells) for cells, _ in collected)  # nothing else of the trie comes to the driver
+    assert common <= -(-size // parts) and low < size
 
 
 @pytest.mark.parametrize("part_cells", [3_000_000, 5])

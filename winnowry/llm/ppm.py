@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnowry.llm.common import buffers, row_groups, text_bytes
+from winnowry.llm.common import CHUNK, buffers, row_groups, text_bytes
+from winnowry.operators.joins import left_join_hot
 from winnowry.staging import stage
 
 ORDER = 5
 BEFORE, END = 0xFE, 0xFF  # bytes that UTF-8 never has: before a text, and after it
-PART_CELLS = 2_000_000  # cells of the trie sent to the tasks at once
+PART_CELLS = 2_000_000  # no more cells of the trie are sent to the tasks
+TASK_CELLS = 500_000  # cells of a larger trie that meet in one task
 COMMON_TOKENS = 1_000_000  # no more than so many tokens make up 1/COMMON_TOKENS of all each
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -133,7 +135,7 @@ class Trie:
     """Counts of all levels from the cells of the longest contexts.
 
     ``low`` are cells of two-byte contexts over the whole corpus; ``cells`` may
-    be one part of the trie, all contexts with certain last two bytes.
+    be one part of the trie, all contexts with certain last three bytes.
     """
 
     def __init__(self, cells: np.ndarray, n: np.ndarray, low: np.ndarray, low_n: np.ndarray, order: int) -> None:
@@ -192,72 +194,118 @@ class Trie:
         return out
 
 
-def part_of(cell, parts: int):
-    """The part of the trie a cell belongs to, by the last two bytes of its context."""
-    return (cell >> 8 & 0xFFFF) * 40503 % 65536 % parts
-
-
-def _collected(cells: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = cells.toArrow()
-    return table.column("cell").to_numpy().view(np.uint64), table.column("n").to_numpy()
+def _collected(cells: DataFrame, name: str = "n") -> tuple[np.ndarray, np.ndarray]:
+    table = cells.select("cell", name).toArrow()
+    return table.column("cell").to_numpy().view(np.uint64), table.column(name).to_numpy()
 
 
 class Model:
-    """A trie counted over a corpus, sent to the tasks in parts of bounded size.
+    """A trie counted over a corpus, as a written table of its longest contexts.
 
-    With more than ``part_cells`` cells there are several parts, and a corpus is
-    scored once for each, only at bytes whose context is in the part; sums over the
-    parts are the same as with one part.
+    ``low`` are the cells of two-byte contexts, at most 256**3. A trie of at most
+    ``part_cells`` cells is sent to the tasks; of a larger one only cells that each
+    make up 1/``part_cells`` of the corpus are, so never more than that.
     """
 
     def __init__(self, texts: DataFrame, order: int = ORDER, part_cells: int = PART_CELLS) -> None:
         if not 1 <= order <= 6:
             raise ValueError("a cell must fit 56 bits: the order is 1 to 6")
-        self.order = order
+        self.order, self.part_cells = order, part_cells
         self.cells = stage(count_cells(texts, order), "cells")
-        self.parts = max(1, -(-self.cells.count() // part_cells))
+        self.size = self.cells.count()
+        self.whole = self.size <= part_cells
         low = self.cells.groupBy(F.col("cell").bitwiseAND(low_bytes(min(3, order))).alias("cell"))
-        self.low = _collected(low.agg(F.sum("n").alias("n")))  # at most 256**3 cells
-
-    def part(self, number: int) -> Trie:
-        context = F.shiftright("cell", 8).bitwiseAND(0xFFFF)
-        chosen = self.cells.where(context * 40503 % 65536 % self.parts == number)
-        return Trie(*_collected(chosen), *self.low, self.order)
-
-
-def _batch_scores(model: Model, number: int, sc) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """A function from texts to the log10 probability of their bytes whose context is in one part."""
-    given, order, parts = sc.broadcast(model.part(number)), model.order, model.parts
+        self.low = _collected(low.agg(F.sum("n").alias("n")))
+
+    def trie(self) -> Trie:
+        """The whole trie; only where it has at most ``part_cells`` cells."""
+        return Trie(*_collected(self.cells), *self.low, self.order)
+
+    def common(self) -> HashTable:
+        """log10 of the probability of the most frequent cells."""
+        total = self.cells.agg(F.sum("n")).first()[0]
+        contexts = self.cells.groupBy(F.shiftright("cell", 8).alias("context")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds")
+        )
+        often = self.cells.where(F.col("n") * self.part_cells >= F.lit(total))
+        often = often.withColumn("context", F.shiftright("cell", 8)).join(contexts, "context")
+        log = F.log10(F.col("n") / (F.col("total") + F.col("kinds")))
+        return HashTable(*_collected(often.select("cell", log.alias("log")), "log"))
+
+    def scored(self, asked: DataFrame) -> DataFrame:
+        """``(cell, copies, log)`` of distinct cells ``(cell, copies)``, seen in training or not.
+
+        Asked cells meet the trie by the last three bytes of their context, with
+        ``low`` beside: all that their chain of shorter contexts can ask for. A group
+        of such contexts holds some ``TASK_CELLS`` cells, and one context of three
+        bytes alone at most 256**3.
+        """
+        low, order = asked.sparkSession.sparkContext.broadcast(self.low), self.order
+        groups = max(1, -(-self.size // min(self.part_cells, TASK_CELLS)))
+        suffix = F.shiftright("cell", 8).bitwiseAND(low_bytes(min(3, order)))
+        group = F.pmod(F.xxhash64(suffix), F.lit(groups)).alias("part")
+
+        def score(wanted: pa.Table, known: pa.Table) -> pa.Table:
+            found = [known.column(c).to_numpy() for c in ("cell", "n")]
+            trie = Trie(found[0].view(np.uint64), found[1], *low.value, order)
+            cells = wanted.column("cell").to_numpy()
+            logs = [trie.score(cells[i : i + CHUNK].view(np.uint64)) for i in range(0, len(cells), CHUNK)]
+            return pa.table({
+                "cell": wanted.column("cell"), "copies": wanted.column("copies"),
+                "log": pa.array(np.concatenate([np.zeros(0), *logs])),
+            })
+
+        return asked.select("*", group).groupBy("part").cogroup(
+            self.cells.select("*", group).groupBy("part")
+        ).applyInArrow(score, "cell bigint, copies bigint, log double")
+
+
+Scorer = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, pa.Array, pa.Array]]
+
+
+def _batch_scores(model: Model, sc) -> Scorer:
+    """A function from texts to the log10 probability of their bytes, as far as the tasks can tell.
+
+    Per text also the distinct cells they cannot tell, and how often it has each:
+    none if the whole trie is there.
+    """
+    sent = sc.broadcast(model.trie() if model.whole else model.common())
+    order, whole = model.order, model.whole
 
-    def score(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        trie, found = given.value, np.zeros(len(offsets) - 1)
+    def score(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        table, found = sent.value, np.zeros(len(offsets) - 1)
+        sizes, rare, times = np.zeros(len(offsets), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for first, last in row_groups(offsets):
             low, high = offsets[first], offsets[last]
             cells, rows = cells_at(*framed(data[low:high], offsets[first : last + 1] - low, order), order)
-            if parts > 1:
-                chosen = part_of(cells, parts) == number
-                cells, rows = cells[chosen], rows[chosen]
-            found[first:last] = np.bincount(rows, trie.score(cells), last - first)
-        return found
+            logs = table.score(cells) if whole else table.get(cells).astype(np.float64)
+            if not whole:
+                unknown = np.flatnonzero(np.isnan(logs))
+                logs[unknown] = 0.0
+                places = unknown[np.lexsort((cells[unknown], rows[unknown]))]
+                cell, row = cells[places], rows[places]
+                new = np.ones(len(places), bool)
+                new[1:] = (cell[1:] != cell[:-1]) | (row[1:] != row[:-1])
+                starts = np.flatnonzero(new)
+                rare.append(cell[starts].view(np.int64))
+                times.append(np.diff(np.append(starts, len(places))))
+                sizes[first + 1 : last + 1] = np.bincount(row[starts], minlength=last - first)
+            found[first:last] = np.bincount(rows, logs, last - first)
+        begins = pa.array(np.cumsum(sizes), pa.int32())
+        lists = [pa.ListArray.from_arrays(begins, pa.array(np.concatenate(v), pa.int64())) for v in (rare, times)]
+        return found, *lists
 
     return score
 
 
-def _further_parts(docs: DataFrame, model: Model) -> DataFrame:
-    """``(key, more)``: what the parts of the trie after the first add; equal rows have one key."""
-    found = None
-    for number in range(1, model.parts):
-        score = _batch_scores(model, number, docs.sparkSession.sparkContext)
-
-        def per_batch(batches: Iterator[pa.RecordBatch], score=score) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sums = score(*buffers(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums)], names=["key", "more"])
-
-        part = docs.select("key", text_bytes()).mapInArrow(per_batch, "key string, more double")
-        part = part.groupBy("key").agg(F.min("more").alias("more"))
-        found = part if found is None else found.union(part)
-    return found.groupBy("key").agg(F.sum("more").alias("more"))
+def _rare_sums(read: DataFrame, model: Model) -> DataFrame:
+    """``(row, more)``: what the cells that the tasks could not tell add to a row's score."""
+    asked = read.select("row", F.explode(F.arrays_zip("cells", "times")).alias("t")).select("row", "t.cells", "t.times")
+    asked = asked.withColumnRenamed("cells", "cell")
+    distinct = asked.groupBy("cell").agg(F.count("*").alias("copies"))
+    logs = stage(model.scored(distinct), "cell_scores")
+    met = left_join_hot(asked, logs, ["cell"], "copies")
+    return met.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("more"))
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -278,16 +326,16 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def _scored(docs: DataFrame, common: dict[bytes, float], model: Model) -> DataFrame:
-    """Per row its number of words, what is known of their log sum, the words not common, and the byte score."""
+    """Per row its number of words, what is known of their log sum, the words not common; the same for bytes."""
     sc = docs.sparkSession.sparkContext
     given = sc.broadcast(common)  # at most COMMON_TOKENS
-    score = _batch_scores(model, 0, sc)
+    score = _batch_scores(model, sc)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = given.value
         for batch in batches:
-            data, offsets = buffers(batch.column(3))
-            scores = score(data, offsets)
+            data, offsets = buffers(batch.column(2))
+            scores, cells, times = score(data, offsets)
             for first, last in row_groups(offsets, 1 << 21):
                 sizes, sums, rare = [], [], []
                 for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1]):
@@ -295,18 +343,18 @@ def _scored(docs: DataFrame, common: dict[bytes, float], model: Model) -> DataFr
                     sizes.append(len(words))
                     rare.append([w for w in words if w not in logs])
                     sums.append(math.fsum(logs[w] for w in words if w in logs))
-                kept = [batch.column(i).slice(first, last - first) for i in range(3)]
+                kept = [batch.column(i).slice(first, last - first) for i in range(2)]
                 made = [
                     pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(scores[first:last]),
+                    pa.array(scores[first:last]), *[v.slice(first, last - first) for v in (cells, times)],
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, *made], names=["key", "doc_id", "held_out", "words", "common", "rare", "score"]
-                )
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
 
-    return docs.select("key", "doc_id", "held_out", text_bytes()).mapInArrow(
+    names = ["doc_id", "held_out", "words", "common", "rare", "score", "cells", "times"]
+    return docs.select("doc_id", "held_out", text_bytes()).mapInArrow(
         per_batch,
-        "key string, doc_id bigint, held_out boolean, words bigint, common double, rare array<binary>, score double",
+        "doc_id bigint, held_out boolean, words bigint, common double, rare array<binary>, score double, "
+        "cells array<bigint>, times array<bigint>",
     )
 
 
@@ -322,13 +370,13 @@ def language_scores(
     a ``doc_id`` count as often as they occur, and nothing to learn from leaves
     N = V = 0 and a uniform byte model.
 
+    A trie of more than ``part_cells`` cells stays in the cluster: the texts are
+    read once, their rarer cells are scored where the trie is and summed per row.
     Tokens that each make up 1/``common_tokens`` of all training tokens, so at
     most that many, go to every task; the others are joined to their counts.
     """
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     keyed = docs.select(
-        F.concat_ws(":", id_text, F.sha2(text_bytes(), 256)).alias("key"), F.col("doc_id").cast("bigint"),
-        F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"), "text",
+        F.col("doc_id").cast("bigint"), F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"), "text"
     )
     learned = keyed.where("NOT held_out").select(text_bytes())
     tokens = stage(token_counts(learned), "tokens")
@@ -338,11 +386,7 @@ def language_scores(
     often = tokens.where(F.col("c") * common_tokens >= F.lit(total)).toArrow()
     common = dict(zip(often.column("token").to_pylist(), np.log10(often.column("c").to_numpy() + 1.0).tolist()))
     model = Model(learned, order, part_cells)
-    read = _scored(keyed, common, model)
-    if model.parts > 1:
-        more = _further_parts(keyed, model)
-        read = read.join(more, "key").withColumn("score", F.col("score") + F.col("more"))
-    read = stage(read.withColumn("row", F.monotonically_increasing_id()), "scored")
+    read = stage(_scored(keyed, common, model).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = read.select("row", F.explode("rare").alias("token"))
     summed = rare.join(tokens, "token").groupBy("row").agg(
         F.sum(F.log10(F.col("c") + 1)).alias("rare_sum"), F.count("*").alias("rare_known")
@@ -350,8 +394,13 @@ def language_scores(
     n_tokens = F.col("words") + 1
     known = n_tokens - F.size("rare") + F.coalesce("rare_known", F.lit(0)) - (0 if n_docs else 1)
     logs = F.col("common") + F.coalesce("rare_sum", F.lit(0.0)) + math.log10(n_docs + 1)
-    return read.join(summed, "row", "left").select(
+    rows = read.join(summed, "row", "left")
+    score = F.col("score")
+    if not model.whole:
+        rows = rows.join(_rare_sums(read, model), "row", "left")
+        score = (score + F.coalesce("more", F.lit(0.0))).alias("score")
+    return rows.select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"), known.cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
-        (logs - n_tokens * math.log10(total + kinds + 1)).alias("base_score"), "score",
+        (logs - n_tokens * math.log10(total + kinds + 1)).alias("base_score"), score,
     )
