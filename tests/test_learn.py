@@ -183,6 +183,50 @@ def test_cycle_moves_rows_from_pool_to_labeled(spark, strategy):
     assert all(r["accuracy"] > 0.6 for r in history)
 
 
+def plain_cycle(labeled, pool, strategy, n, iterations, **how):
+    """One strategy by itself, a query on the frames at a time."""
+    keys = []
+    for _ in range(iterations):
+        scored = models.fit(labeled, key="k", label_col="label", **how).predict(pool)
+        keys.append(sorted(r["k"] for r in learn.query(scored, strategy, n, "k").collect()))
+        batch = pool.where(F.col("k").isin(keys[-1]))
+        pool, labeled = pool.where(~F.col("k").isin(keys[-1])), learn.append_batch(labeled, batch)
+    return keys
+
+
+@pytest.mark.parametrize("how", [
+    {"embedding_col": "v", "kind": "embedding"}, {"text_col": "text", "kind": "logreg"},
+])
+def test_strategies_in_lockstep_ask_as_each_would_alone(spark, how, monkeypatch):
+    scans = []
+    plain = learn.predict_all
+    monkeypatch.setattr(learn, "predict_all", lambda *a: scans.append(len(a[0])) or plain(*a))
+    df = points(spark, 60).withColumn("text", F.concat_ws(" ", F.transform("v", lambda x: F.round(x).cast("string")), "label"))
+    labeled, pool, test = df.where("k < 8"), df.where("k >= 8 and k < 40"), df.where("k >= 40")
+    strategies = ["entropy", "margin", "random"]
+    history = learn.compare_al_strategies(
+        labeled, pool, test, strategies, key="k", label_col="label", iterations=2, batch_size=5,
+        **{k: v for k, v in how.items() if k != "kind"}, model=how["kind"],
+    ).collect()
+    assert scans == [2, 2] and len(history) == 9
+    for s in strategies:
+        got = sorted((r["iteration"], r["queried_keys"]) for r in history if r["strategy"] == s)
+        assert [k for _, k in got] == [*plain_cycle(labeled, pool, s, 5, 2, **how), []]
+    assert len({(r["accuracy"], r["f1"]) for r in history if r["iteration"] == 0}) == 1
+
+
+def test_lockstep_with_repeated_and_missing_keys(spark):
+    df = points(spark, 40)
+    pool = df.where("k >= 10 and k < 20").unionByName(df.where("k = 15")).unionByName(df.where("k = 16").withColumn("k", F.lit(None).cast("int")))
+    history = learn.compare_al_strategies(
+        df.where("k < 10"), pool, df.where("k >= 20"), ["margin", "random"], key="k", label_col="label",
+        embedding_col="v", model="embedding", iterations=3, batch_size=6,
+    ).collect()
+    for s in ("margin", "random"):
+        runs = sorted((r["iteration"], r["n_labeled"]) for r in history if r["strategy"] == s)
+        assert [n for _, n in runs] == sorted(n for _, n in runs) and runs[-1][1] <= 21
+
+
 HISTORY = "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double"
 
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.functions.scores import entropy, margin
 from winnowry.functions.text import norm_label
+from winnowry.jobs import side_by_side
 from winnowry.operators.agreement import evaluate
 from winnowry.operators.clean import BROADCAST_ROWS
 from winnowry.operators.features import term_counts
-from winnowry.operators.models import Classifier, fit
-from winnowry.operators.ranking import MAX_CLASSES, hash_cutoffs, sample_n, seeded_hash
+from winnowry.operators.models import Classifier, fit, predict_all
+from winnowry.operators.ranking import MAX_CLASSES, hash_cutoffs, sample_n, seeded_hash, top_per_group
 from winnowry.schema import col, nan_to_null
 from winnowry.staging import stage
 
@@ -134,51 +136,116 @@ def prepare(
     return stage(df.select(col(key), col(label_col), col(embedding_col)), "vectors")
 
 
-def _score_and_query(
-    model: Classifier, pool: DataFrame, strategy: str, n: int, key: str, seed: int,
-    candidate_sample: int | None,
+def _few(rows: int):
+    return F.broadcast if rows <= BROADCAST_ROWS else lambda keys: keys
+
+
+def _ask_candidates(
+    runs: Sequence[str], models: Sequence[Classifier], rests: Sequence[DataFrame], sizes: Sequence[int], n: int,
+    key: str, seed: int, candidate_sample: int,
 ) -> DataFrame:
-    if strategy == BASELINE:
-        return query(pool, strategy, n, key, seed=seed).select(col(key))
-    if candidate_sample is not None:
-        size = pool.count()
-        if size > candidate_sample:
-            pool = sample_n(pool, candidate_sample, key, seed + size)
-    return query(model.predict(pool), strategy, n, key, seed=seed).select(col(key))
+    """``(__run, key)``: as ``_ask``, every strategy scoring its own random part of what is left."""
+    found = []
+    for run, strategy in enumerate(runs):
+        rest = rests[run]
+        if strategy != BASELINE:
+            if sizes[run] > candidate_sample:
+                rest = sample_n(rest, candidate_sample, key, seed + sizes[run])
+            rest = models[run].predict(rest)
+        found.append(query(rest, strategy, n, key, seed=seed).select(F.lit(run).alias("__run"), col(key)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _ask(
+    runs: Sequence[str], models: Sequence[Classifier], pool: DataFrame, moved: DataFrame | None, sizes: Sequence[int],
+    asked: int, n: int, key: str, seed: int,
+) -> DataFrame:
+    """``(__run, key)``: the ``n`` rows that each strategy asks for next, from one reading of the pool.
+
+    Every row gets its place in the order of each strategy that has not moved it
+    yet; per strategy only the first ``n`` rows of a slice are shuffled.
+    """
+    keep = []
+    if moved is not None:
+        taken = moved.groupBy(col(key)).agg(F.collect_set("__run").alias("__taken"))
+        pool, keep = pool.join(_few(asked)(taken), key, "left"), ["__taken"]
+    learned = [run for run, strategy in enumerate(runs) if strategy != BASELINE]
+    if learned:
+        scored = predict_all([models[run] for run in learned], pool, keep)
+    else:
+        scored = pool.select(col(key), *keep)
+    places = []
+    for run, strategy in enumerate(runs):
+        score, drawn = F.lit(0.0), F.lit("")
+        if strategy == BASELINE:
+            drawn = seeded_hash(key, seed + sizes[run])
+        else:
+            p = F.col(f"proba_{learned.index(run)}")
+            score = -entropy(p) if strategy == "entropy" else margin(p)
+        place = F.struct(F.lit(run).alias("__run"), score.alias("__score"), drawn.alias("__drawn"))
+        places.append(place if moved is None else F.when(
+            ~F.array_contains(F.coalesce("__taken", F.array().cast("array<int>")), run), place
+        ))
+    rows = scored.select(col(key), F.explode(F.array(*places)).alias("p")).where("p is not null").select(col(key), "p.*")
+    first = top_per_group(
+        rows, ["__run"], [F.asc("__score"), F.asc("__drawn"), col(key).asc()], key, n, "__place", rows=sum(sizes)
+    )
+    return first.select("__run", col(key))
 
 
-def _cycle(
-    labeled: DataFrame, pool: DataFrame, test: DataFrame, strategy: str, key: str, label_col: str,
+def _cycles(
+    labeled: DataFrame, pool: DataFrame, test: DataFrame, strategies: Sequence[str], key: str, label_col: str,
     text_col: str | None = None, embedding_col: str | None = None, model: str = "logreg",
     iterations: int = ITERATIONS, batch_size: int = BATCH, seed: int = SEED,
     candidate_sample: int | None = None, **fit_options,
 ) -> DataFrame:
-    """``run_cycle`` on prepared tables."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy: {strategy}")
+    """``compare_al_strategies`` on prepared tables: all strategies take one step, then all the next.
+
+    The start is the same, so it is fitted once; later models are fitted side by
+    side. An iteration reads the pool once to score it with all models and once
+    to stage the rows of all batches.
+    """
+    runs = list(strategies)
     spark, kind = labeled.sparkSession, labeled.schema[key].dataType.simpleString()
-    history, n_labeled, n_pool = [], labeled.count(), pool.count()
-    known, moved, queried = labeled, None, spark.createDataFrame([], f"iteration int, k {kind}")
+    labeled_rows, pool_rows = labeled.count(), pool.count()
+    n_labeled, n_pool = [labeled_rows] * len(runs), [pool_rows] * len(runs)
+    history, moved, batches = [], None, None
+    queried = spark.createDataFrame([], f"iteration int, __run int, k {kind}")
     truth = nan_to_null(test).withColumn("y", norm_label(col(label_col))).where("y is not null")
-    for iteration in range(iterations + 1):
+
+    def learn(known: DataFrame):
         fitted = fit(known, model, key, label_col, text_col, embedding_col, **fit_options)
-        scores = evaluate(fitted.predict(truth, ["y"]), "y", "y_pred").first()
-        history.append((strategy, iteration, n_labeled, scores["accuracy"], scores["f1"]))
-        if iteration == iterations or n_pool == 0:
+        return fitted, evaluate(fitted.predict(truth, ["y"]), "y", "y_pred").first()
+
+    for iteration in range(iterations + 1):
+        if batches is None:
+            steps = [learn(labeled)] * len(runs)
+        else:
+            known = [labeled.unionByName(batches.where(F.col("__run") == r).drop("__run")) for r in range(len(runs))]
+            steps = side_by_side(spark, [partial(learn, rows) for rows in known])
+        for run, (_, scores) in enumerate(steps):
+            history.append((run, runs[run], iteration, n_labeled[run], scores["accuracy"], scores["f1"]))
+        if iteration == iterations or not any(n_pool):
             continue
-        asked = (iteration + 1) * batch_size
-        few = F.broadcast if asked <= BROADCAST_ROWS else lambda keys: keys
-        rest = pool if moved is None else pool.join(few(moved), key, "left_anti")
-        keys = stage(_score_and_query(fitted, rest, strategy, batch_size, key, seed, candidate_sample), "keys")
-        # the batch is staged with its rows: later fits read it and never the pool
-        batch = stage(pool.join(few(keys), key, "left_semi"), "batch")
-        known = known.unionByName(batch)
+        models, asked = [fitted for fitted, _ in steps], (iteration + 1) * batch_size * len(runs)
+        if candidate_sample is None:
+            keys = _ask(runs, models, pool, moved, n_pool, asked, batch_size, key, seed)
+        else:
+            rests = [pool if moved is None else pool.join(
+                _few(asked)(moved.where(F.col("__run") == r)), key, "left_anti"
+            ) for r in range(len(runs))]
+            keys = _ask_candidates(runs, models, rests, n_pool, batch_size, key, seed, candidate_sample)
+        keys = stage(keys, "keys")
+        # the batches are staged with their rows: later fits read them and never the pool
+        batch = stage(pool.join(_few(asked)(keys.distinct()), key).select(*pool.columns, "__run"), "batch")
+        batches = batch if batches is None else batches.unionByName(batch)
         moved = keys if moved is None else moved.unionByName(keys)
-        queried = queried.union(keys.select(F.lit(iteration), col(key)))
-        size = batch.count()
-        n_labeled, n_pool = n_labeled + size, n_pool - size
-    lists = queried.groupBy("iteration").agg(F.array_sort(F.collect_list("k")).alias("queried_keys"))
-    found = spark.createDataFrame(history, HISTORY).join(lists, "iteration", "left")
+        queried = queried.union(keys.select(F.lit(iteration), "__run", col(key)))
+        for row in batch.groupBy("__run").count().collect():
+            n_labeled[row["__run"]] += row["count"]
+            n_pool[row["__run"]] -= row["count"]
+    lists = queried.groupBy("iteration", "__run").agg(F.array_sort(F.collect_list("k")).alias("queried_keys"))
+    found = spark.createDataFrame(history, f"__run int, {HISTORY}").join(lists, ["iteration", "__run"], "left")
     none = F.array().cast(f"array<{kind}>")
     return found.select(
         "strategy", "iteration", "n_labeled", "accuracy", "f1", F.coalesce("queried_keys", none).alias("queried_keys")
@@ -198,10 +265,10 @@ def run_cycle(
     its history row. The pool is scored as a whole unless ``candidate_sample``
     limits that to a random part.
     """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy: {strategy}")
-    parts = [prepare(df, key, label_col, text_col, embedding_col) for df in (labeled, pool, test)]
-    return _cycle(*parts, strategy, key, label_col, text_col, embedding_col, **cycle)
+    return compare_al_strategies(
+        labeled, pool, test, [strategy], key=key, label_col=label_col, text_col=text_col,
+        embedding_col=embedding_col, **cycle,
+    )
 
 
 def compare_al_strategies(
@@ -209,13 +276,16 @@ def compare_al_strategies(
     strategies: Sequence[str] = ("entropy", "random"), *, key: str, label_col: str,
     text_col: str | None = None, embedding_col: str | None = None, **cycle,
 ) -> DataFrame:
-    """Histories of several strategies from the same start, over tables prepared once."""
-    parts = [prepare(df, key, label_col, text_col, embedding_col) for df in (labeled, pool, test)]
-    history = None
+    """Histories of several strategies from the same start, over tables prepared once.
+
+    The strategies advance in lockstep, so a comparison reads the pool no more
+    often than one run does.
+    """
     for strategy in strategies:
-        run = _cycle(*parts, strategy, key, label_col, text_col, embedding_col, **cycle)
-        history = run if history is None else history.unionByName(run)
-    return history
+        if strategy not in STRATEGIES:
+            raise ValueError(f"unknown strategy: {strategy}")
+    parts = [prepare(df, key, label_col, text_col, embedding_col) for df in (labeled, pool, test)]
+    return _cycles(*parts, strategies, key, label_col, text_col, embedding_col, **cycle)
 
 
 # --- learning curves ----------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from winnowry.functions.text import norm_label
 from winnowry.jobs import side_by_side
-from winnowry.operators.features import TfidfModel, tfidf_fit, tfidf_transform
+from winnowry.operators.features import COUNTS, TERMS, TfidfModel, tfidf_fit, tfidf_transform
 from winnowry.operators.ranking import seeded_hash
 from winnowry.schema import col, nan_to_null
 from winnowry.staging import stage
@@ -77,6 +77,26 @@ class Classifier:
         )
 
 
+def predict_all(models: Sequence[Classifier], df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, keep…, proba_0, proba_1…)``: the probabilities of several models from one reading of ``df``.
+
+    The models share key and input columns; text models read a frame that has its
+    terms already (``term_counts``), which pass from model to model.
+    """
+    names, found = [col(c) for c in (models[0].key, *keep)], []
+    inputs = [TERMS, COUNTS] if models[0].tfidf is not None else [models[0].embedding_col]
+    carried = [f"__carried_{i}" for i in range(len(inputs))]
+    for number, model in enumerate(models):
+        given = df.withColumns({c: col(name) for c, name in zip(carried, inputs)})
+        scored = model.score(model.features(given, [*keep, *found, *carried]))
+        df = scored.select(
+            *names, *found, F.col("proba").alias(f"proba_{number}"),
+            *[F.col(c).alias(name) for c, name in zip(carried, inputs)],
+        )
+        found.append(f"proba_{number}")
+    return df.select(*names, *found)
+
+
 def fit(
     labeled: DataFrame, kind: str, key: str, label_col: str, text_col: str | None = None,
     embedding_col: str | None = None, trees: int = TREES, max_depth: int = MAX_DEPTH,

@@ -173,15 +173,16 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, take_rows: int = T
 
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], salt_key: str, k: int,
-    name: str = "rank", rows_per_slice: int = ROWS_PER_BUCKET,
+    name: str = "rank", rows_per_slice: int = ROWS_PER_BUCKET, rows: int | None = None,
 ) -> DataFrame:
     """The first ``k`` rows of each group with their rank.
 
     A hot group is first cut down inside salted slices, so the last ranking sees
     at most ``k`` rows per slice. There are slices enough that one holds about
-    ``rows_per_slice`` rows even if all rows are one group.
+    ``rows_per_slice`` rows even if all rows are one group. Rows that are dear to
+    make are not made to be counted if their number is given as ``rows``.
     """
-    salts = max(SALTS, math.ceil(df.count() / rows_per_slice))
+    salts = max(SALTS, math.ceil((df.count() if rows is None else rows) / rows_per_slice))
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(col(salt_key)), F.lit(salts)))
     inner = Window.partitionBy(*[col(g) for g in group], "__salt").orderBy(*order)
     outer = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
