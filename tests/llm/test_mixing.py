@@ -89,3 +89,18 @@ def test_rows_without_or_with_repeated_ids_keep_their_own_copies(spark):
     counts = by_size((r, 1) for r in emitted if r["doc_id"] is None and r["source"] == "c")
     copies = sorted(r["copies"] for r in decided if r["doc_id"] is None and r["copies"])
     assert max(counts.values()) <= 3 and len(copies) >= len(counts)
+
+
+def test_numbers_of_alike_rows_are_read_from_a_written_table(spark):
+    """Rows alike in id, source and text but not in another column: each decided number of copies is given once."""
+    docs = spark.range(60).selectExpr("1L AS doc_id", "'a' AS source", "'one two' AS text", "id AS other").unionByName(
+        spark.range(200).selectExpr("id + 10 AS doc_id", "'b' AS source", "'three' AS text", "id AS other"))
+    emitted = mixing.emit_mix(docs)
+    decided = [("a" if r["doc_id"] == 1 else "b", r["taken"] // r["size"]) for r in mixing.mix_sources(docs).collect()]
+    counts = lambda s: sorted(n for source, n in decided if source == s and n)
+    found = {}
+    for r in emitted.collect():
+        found[r["source"], r["other"]] = found.get((r["source"], r["other"]), 0) + 1
+    for s in "ab":
+        assert sorted(n for (source, _), n in found.items() if source == s) == counts(s)
+    assert any("numbered" in f for f in emitted.inputFiles())

@@ -151,9 +151,10 @@ def emit_mix(docs: DataFrame, **options) -> DataFrame:
         return emitted
     keys = several.select(*(F.col(c).alias(f"{c}_several") for c in row)).distinct()
     same = [given[c].eqNullSafe(keys[f"{c}_several"]) for c in row]
-    numbered = given.join(checked_broadcast(keys), same, "left_semi").withColumn(
+    # alike rows have no order of their own: their numbers are written, so that a lost executor renumbers none
+    numbered = stage(given.join(checked_broadcast(keys), same, "left_semi").withColumn(
         "__number", F.row_number().over(alike.orderBy(F.lit(0)))
-    )
+    ), "numbered")
     between = (F.col("__number") <= F.col("__last")) & (F.col("__number") > F.col("__last") - F.col("__rows"))
     return emitted.union(taken(numbered, several, between))
 
