@@ -220,3 +220,73 @@ def test_links_among_all_on_one_key(spark):
                 root[b] = a
     assert {i: found.get(i, i) for i in sets} == {i: find(i) for i in sets}
     assert len({find(i) for i in sets}) > 24
+
+
+@pytest.fixture
+def verified(monkeypatch):
+    """Nothing is known of common shingles beforehand; counts the pairs that are verified."""
+    counts, similar = [], simhash_dedup._similar
+
+    def counted(pairs, sets, similarity):
+        counts.append(pairs.count())
+        return similar(pairs, sets, similarity)
+
+    monkeypatch.setattr(simhash_dedup, "_common_shingles", lambda docs: (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    monkeypatch.setattr(simhash_dedup, "_similar", counted)
+    return counts
+
+
+def all_pairs_components(texts, similarity=0.8):
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if both and both >= similarity * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_a_passage_in_thousands_of_unlike_texts(spark, verified):
+    """Unlike texts that meet on a shared passage are not verified pair by pair; near copies among them are found."""
+    drawn = random.Random(3)
+    passage = [f"p{i}" for i in range(12)]
+    words = {i: passage + [f"u{drawn.randrange(10**9)}" for _ in range(30)] for i in range(3000)}
+    for i in range(0, 3000, 30):
+        words[3000 + i] = [*words[i], "tail"]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    assert found == {i: i - 3000 if i >= 3000 else i for i in words}
+    assert sum(verified) < 100_000
+
+
+def test_texts_made_of_crowded_shingles(spark, verified, monkeypatch):
+    """Texts whose prefixes stay crowded meet on two shingles; no similar pair is missed, none is made up."""
+    monkeypatch.setattr(simhash_dedup, "CROWD", 3)
+    monkeypatch.setattr(simhash_dedup, "LEVELS", 2)
+    paired = []
+    with_second = simhash_dedup.Order.paired
+    monkeypatch.setattr(simhash_dedup.Order, "paired", lambda *a: paired.append(with_second(*a)) or paired[-1])
+    drawn = random.Random(4)
+    lines = [[f"l{n}_{i}" for i in range(40)] for n in range(24)]
+    texts = {}
+    for i in range(240):
+        chosen = drawn.sample(lines, 6)
+        if i % 8 == 7:
+            texts[i] = " ".join([*texts[i - drawn.randint(1, 7)].split(), *(f"e{i}_{k}" for k in range(drawn.randint(1, 70)))])
+        else:
+            texts[i] = " ".join(w for line in chosen for w in line)
+    texts |= {300 + i: "one short line of five"[: 22 - i % 2] for i in range(6)} | {400: "one short line of five words"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    exact = all_pairs_components(texts)
+    assert found == exact and sum(i != c for i, c in exact.items()) > 15
+    assert paired and paired[0].count() > 0

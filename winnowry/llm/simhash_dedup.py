@@ -13,23 +13,31 @@ by a prefix-filter join that misses no pair above its threshold.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnowry.llm.common import buffers, checked_broadcast, row_groups, text_bytes
 from winnowry.llm.components import connected_components
 from winnowry.llm.substring_dedup import Words, distinct_in_rows, run_hashes
+from winnowry.operators.joins import left_join_hot
 from winnowry.staging import stage
 
 SEED = 42
 SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLE, COMMON = 20_000, 200_000  # texts read for common shingles, and how many of these are kept
+HOT_ROWS = 256  # a key with more rows is sent to them, not they to its task
+CROWD = 32  # a key with more unsettled pairs than so many per row is crowded
+LEVELS = 4  # how often prefixes are made anew without their crowded keys
+DEMOTED = 1 << 40  # ranks above those of any key that was not counted
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -162,12 +170,13 @@ def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(
-    words: Words, rows: int, common: tuple[np.ndarray, np.ndarray], similarity: float
+    words: Words, rows: int, common: tuple[np.ndarray, np.ndarray], similarity: float, shared: int = 1
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sizes of the rows' shingle sets, hashes of their prefixes, and where each row's prefix begins (rows + 1).
 
     In one order for all texts, the uncommon first, the prefix of a set of n is
-    its first n - ceil(similarity * n) + 1. Sets that similar share one of them.
+    its first n - ceil(similarity * n) + ``shared``. Sets that similar have
+    ``shared`` of them in common, if they have so many in common at all.
     """
     row, h = _row_shingles(words)
     known, often = common
@@ -182,14 +191,13 @@ def prefixes(
     row, h = row[new], h[new]
     sizes = np.bincount(row, minlength=rows)
     first = np.cumsum(sizes) - sizes
-    lengths = np.minimum(sizes, sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1)
+    lengths = np.minimum(sizes, sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + shared)
     kept = np.arange(len(h)) - first[row] < lengths[row]
     return sizes, h[kept], np.concatenate(([0], np.cumsum(lengths)))
 
 
-def _copy_prints(docs: DataFrame, similarity: float) -> DataFrame:
+def _copy_prints(docs: DataFrame, common: Broadcast, similarity: float) -> DataFrame:
     """``(id, a, b, words, size, prefix)``: 128 bits of the lower-cased word sequence, shingles and their prefix."""
-    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,6 +221,110 @@ def _copy_prints(docs: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def _held_shingles(texts: DataFrame) -> DataFrame:
+    """``(id, key)``: the distinct shingles of each row of ``(id, text)``."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(1))
+            for first, last in row_groups(offsets):
+                low = offsets[first]
+                words = Words(_LOWER[data[low : offsets[last]]], offsets[first : last + 1] - low, SHINGLE)
+                rows, found = _row_shingles(words)
+                new = distinct_in_rows(rows, found)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(rows[new] + first)), pa.array(found[new].view(np.int64))],
+                    names=["id", "key"],
+                )
+
+    return texts.mapInArrow(per_batch, "id bigint, key bigint")
+
+
+def _ranked_prefixes(texts: DataFrame, common: Broadcast, similarity: float, shared: int) -> DataFrame:
+    """``(key, id, size, at)``: prefixes of rows ``(id, text, keys, ranks)``, whose ``keys`` come last, by ``ranks``."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ranks = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3))
+            known, often = common.value
+            merged = np.concatenate((keys.astype(np.int64).view(np.uint64), known))
+            merged, at = np.unique(merged, return_index=True)  # a key of the rows goes before a sampled one
+            order = merged, np.concatenate((ranks.astype(np.int64) + DEMOTED, often))[at]
+            data, offsets = buffers(batch.column(1))
+            for first, last in row_groups(offsets, 1 << 20):
+                low = offsets[first]
+                words = Words(_LOWER[data[low : offsets[last]]], offsets[first : last + 1] - low, SHINGLE)
+                sizes, prefix, ends = prefixes(words, last - first, order, similarity, shared)
+                row = np.repeat(np.arange(last - first), np.diff(ends))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(prefix.view(np.int64)), batch.column(0).take(pa.array(row + first)),
+                        pa.array(sizes[row].astype(np.int64)), pa.array((np.arange(len(row)) - ends[row]).astype(np.int32)),
+                    ],
+                    names=["key", "id", "size", "at"],
+                )
+
+    return texts.select("id", "text", "keys", "ranks").mapInArrow(per_batch, "key bigint, id bigint, size bigint, at int")
+
+
+@dataclass(frozen=True)
+class Order:
+    """The order of the shingles in prefixes: crowded keys, found by counting, come last.
+
+    A pair of similar texts whose first common shingle is crowded has it in both
+    prefixes. So only texts with a crowded key in their prefix get a new one, and
+    need to meet only each other on it. A key that stays in a prefix although it
+    comes last leads a text made of crowded shingles: such texts meet on two keys.
+    """
+
+    texts: DataFrame
+    common: Broadcast
+    similarity: float
+    demoted: DataFrame | None = None
+    level: int = 0
+
+    def fresh(self, crowded: DataFrame) -> DataFrame:
+        """Those of the crowded keys that can still be put last."""
+        if self.level == LEVELS:
+            return crowded.limit(0)
+        return crowded if self.demoted is None else crowded.join(self.demoted.select("key"), "key", "left_anti")
+
+    def after(self, crowded: DataFrame) -> Order:
+        demoted = crowded if self.demoted is None else stage(self.demoted.union(crowded), "demoted")
+        return replace(self, demoted=demoted, level=self.level + 1)
+
+    def prefixes(self, hit: DataFrame, shared: int = 1) -> DataFrame:
+        """``(key, id, size, at)`` for the ids of ``hit``, on keys that several of them have."""
+        texts = self.texts.join(checked_broadcast(hit), "id")
+        if self.demoted is None:
+            none = F.array().cast("array<bigint>")
+            ranked = texts.withColumns({"keys": none, "ranks": none})
+        else:
+            last = _held_shingles(texts).join(checked_broadcast(self.demoted), "key").groupBy("id").agg(
+                F.collect_set(F.struct("key", "rank")).alias("last")
+            )
+            ranked = texts.join(last, "id", "left").select(
+                "id", "text", *(F.coalesce(F.col(f"last.{c}"), F.array().cast("array<bigint>")).alias(f"{c}s") for c in ("key", "rank"))
+            )
+        found = _ranked_prefixes(ranked, self.common, self.similarity, shared)
+        keyed = stage(found.groupBy("key", "id").agg(F.min(F.struct("at", "size")).alias("r")).select("key", "id", "r.size", "r.at"), "keyed")
+        met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
+        return stage(keyed.join(checked_broadcast(met), "key"), "shared")
+
+    def paired(self, stuck: DataFrame) -> DataFrame:
+        """``(key, id, size, at)`` of texts ``(key, id)`` on a key that stays crowded: with a second shingle each.
+
+        Similar sets of two or more shingles have two in common, both among the
+        first n - ceil(similarity * n) + 2 of either. A place of 0 rules out nothing but sizes.
+        """
+        longer = self.prefixes(stage(stuck.select("id").distinct(), "hit"), 2).select("id", "size", F.col("key").alias("second"))
+        both = longer.join(stuck, "id").where("key != second")
+        key = F.xxhash64(F.least("key", "second"), F.greatest("key", "second"))
+        keyed = stage(both.select(key.alias("key"), "id", "size", F.lit(0).alias("at")).distinct(), "paired")
+        met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
+        return stage(keyed.join(checked_broadcast(met), "key"), "shared")
+
+
 def _shingle_sets(texts: DataFrame) -> DataFrame:
     """``(id, shingles)``: sorted distinct 32-bit hashes of runs of ``SHINGLE`` words, as bytes.
 
@@ -258,21 +370,45 @@ def _may_reach(similarity: float, size: Column, at: Column, other: Column, other
     return (1 + similarity) * F.least(size - at, other - other_at) >= similarity * (size + other) - 1e-6
 
 
-def shingle_links(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _with_part(shared: DataFrame, grouped: DataFrame | None) -> DataFrame:
+    """``(key, id, size, at, part)``: each row with the component of its text so far."""
+    columns = ["key", "id", "size", "at"]
+    if grouped is None:
+        return shared.select(*columns, F.col("id").alias("part"))
+    named = shared.select(*columns).join(checked_broadcast(grouped), F.col("id") == F.col("member"), "left")
+    return named.select(*columns, F.coalesce("component_id", "id").alias("part"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, frames)
+
+
+def _unsettled(keys: DataFrame) -> tuple[int, int]:
+    """Pairs of unconnected texts on ``(key, rows, squares)``, and rows."""
+    return keys.agg(F.coalesce(F.sum(F.expr("(rows * rows - squares) / 2")), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+
+
+def shingle_links(
+    shared: DataFrame, sets: DataFrame, similarity: float, order: Order | None = None,
+    found: DataFrame | None = None, grouped: DataFrame | None = None,
+) -> DataFrame:
     """Links ``(a, b)`` that join all similar texts among those that meet on a key.
 
     ``shared`` has a row ``(key, id, size, at)`` per shingle of a prefix. A round
     verifies all on a key against the smallest of them, which then leaves the
     key: all its pairs are settled. Texts that are connected by now need no
     link, so a group of copies of any size ends after a few rounds; a key whose
-    texts are all connected is done. Once few pairs are left, or rounds no longer
+    texts are all connected is done. A key on which many unlike texts remain is
+    crowded: with an ``order`` it is given up, and its texts meet on other prefixes, without
+    it or on pairs of keys. Once few pairs are left, or rounds no longer
     halve them, all that are left are verified.
     """
-    found, before = None, None
-    shared = shared.withColumn("part", F.col("id"))
+    before, given_up, stuck_rows = None, [], []
+    shared = _with_part(shared, grouped)
     while True:
-        heads = shared.groupBy("key").agg(F.min(F.struct("id", "size", "at", "part")).alias("head"))
-        headed = shared.join(heads, "key").where(F.col("id") != F.col("head.id"))
+        head = F.min(F.struct("size", "id", "at", "part")).alias("head")
+        heads = stage(shared.groupBy("key").agg(head, F.count("*").alias("n")), "heads")
+        headed = left_join_hot(shared, heads, ["key"], "n", HOT_ROWS).where(F.col("id") != F.col("head.id"))
         near = _may_reach(similarity, F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"))
         pairs = headed.where(near & (F.col("part") != F.col("head.part"))).select(
             F.col("id").alias("a"), F.col("head.id").alias("b")
@@ -280,28 +416,44 @@ def shingle_links(shared: DataFrame, sets: DataFrame, similarity: float) -> Data
         links = stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links")
         found = links if found is None else found.union(links)
         grouped = stage(connected_components(found).withColumnRenamed("id", "member"), "grouped")
-        rest = stage(
-            headed.select("key", "id", "size", "at")
-            .join(checked_broadcast(grouped), F.col("id") == F.col("member"), "left")
-            .select("key", "id", "size", "at", F.coalesce("component_id", "id").alias("part")), "rest",
-        )
+        rest = stage(_with_part(headed, grouped), "rest")
         crowds = rest.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
             F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares")
         )
         open_keys = stage(crowds.where("rows * rows > squares"), "open")
-        left, rows = open_keys.agg(F.sum(F.expr("(rows * rows - squares) / 2")), F.sum("rows")).first()
+        left, rows = _unsettled(open_keys)
+        if order is not None and rows:
+            crowded = stage(open_keys.where(f"rows * rows - squares > {2 * CROWD} * rows"), "crowded")
+            many, members = _unsettled(crowded)
+            if members:
+                left, rows = left - many, rows - members
+                fresh = stage(order.fresh(crowded.select("key", F.col("rows").alias("rank"))), "fresh")
+                stuck = crowded.join(checked_broadcast(fresh), "key", "left_anti")
+                on_keys = stage(rest.join(checked_broadcast(crowded.select("key")), "key").select("key", "id"), "on_keys")
+                given_up.append((fresh, on_keys.join(checked_broadcast(fresh), "key").select("id")))
+                stuck_rows.append(on_keys.join(checked_broadcast(stage(stuck.select("key"), "stuck")), "key"))
+                open_keys = open_keys.join(checked_broadcast(crowded.select("key")), "key", "left_anti")
         if not rows:
-            return found
+            break
         shared = stage(rest.join(checked_broadcast(open_keys.select("key")), "key"), "shared")
         if left <= 8 * rows or before is not None and 2 * left > before:
+            other = shared.select("key", *(F.col(c).alias(f"other_{c}") for c in ("id", "size", "at", "part")))
+            near = _may_reach(similarity, *map(F.col, ("size", "at", "other_size", "other_at")))
+            pairs = shared.join(other, "key").where("id > other_id AND part != other_part").where(near).select(
+                F.col("id").alias("a"), F.col("other_id").alias("b")
+            )
+            found = found.union(stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links"))
             break
         before = left
-    other = shared.select("key", *(F.col(c).alias(f"other_{c}") for c in ("id", "size", "at", "part")))
-    near = _may_reach(similarity, *map(F.col, ("size", "at", "other_size", "other_at")))
-    pairs = shared.join(other, "key").where("id > other_id AND part != other_part").where(near).select(
-        F.col("id").alias("a"), F.col("other_id").alias("b")
-    )
-    return found.union(stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links"))
+    if given_up:
+        hit = stage(_union([ids for _, ids in given_up]).distinct(), "hit")
+        if not hit.isEmpty():
+            later = order.after(stage(_union([keys for keys, _ in given_up]), "demoted"))
+            found = shingle_links(later.prefixes(hit), sets, similarity, later, found, grouped)
+        stuck = stage(_union(stuck_rows), "stuck")
+        if not stuck.isEmpty():
+            found = shingle_links(order.paired(stuck), sets, similarity, None, found, grouped)
+    return found
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -314,7 +466,9 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     linked, known to be connected, or known not to be similar. Texts without words
     are copies of each other. A null ``doc_id`` takes no part.
     """
-    printed = stage(_copy_prints(docs.where("doc_id IS NOT NULL"), similarity), "prints")
+    docs = docs.where("doc_id IS NOT NULL")
+    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs))
+    printed = stage(_copy_prints(docs, common, similarity), "prints")
     sequence = ["a", "b", "words"]
     classes = stage(
         printed.groupBy(*sequence).agg(F.min(F.struct("id", "size", "prefix")).alias("head"))
@@ -326,7 +480,9 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     named = stage(shared.select("id").distinct(), "named")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes().alias("text"))
     sets = _shingle_sets(texts.join(checked_broadcast(named), "id")).groupBy("id").agg(F.min("shingles").alias("shingles"))
-    links = shingle_links(shared, stage(sets, "shingles"), similarity)
+    # below 0.5 similar sets of two shingles may have one in common: no second key leads to them
+    order = Order(texts, common, similarity) if similarity > 0.5 else None
+    links = shingle_links(shared, stage(sets, "shingles"), similarity, order)
     grouped = connected_components(links).withColumnRenamed("id", "member")
     found = classes.join(grouped, F.col("first") == F.col("member"), "left").select(
         *sequence, F.coalesce("component_id", "first").alias("component_id")
