@@ -43,8 +43,14 @@ def test_query_equals_plain_loop(spark):
     sf = "/root/testdata/sf0.001"
     texts = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     found = queries.op6_simhash_fingerprints(spark, sf)
-    assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
-    assert sorted(tuple(r) for r in found.select(*COLUMNS).collect()) == expected(texts)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for df in (found, fp.edited_fingerprints(docs), fp.near_counts(fp.fingerprints(docs))):
+        assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
+    rows = found.collect()
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in rows) == expected(texts)
+    prints = {r["doc_id"]: int(r["fingerprint"], 16) for r in rows}
+    near = {i: sum((p ^ q).bit_count() <= 3 for q in prints.values()) - 1 for i, p in prints.items()}
+    assert {r["doc_id"]: r["n_near"] for r in rows} == near
 
 
 def test_edited_texts_are_nearer_than_others(spark):
@@ -93,3 +99,23 @@ def test_block_tables_find_all_pairs(spark, radius, blocks):
     mask = (1 << 64) - 1
     pairs = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= radius}
     assert sorted(tuple(r) for r in found.collect()) == sorted(pairs)
+
+
+@pytest.mark.parametrize("radius,blocks,crowd", [(0, 1, 1000), (2, 4, 4), (3, 6, 1), (3, 6, 1000)])
+def test_near_rows_are_counted_once(spark, radius, blocks, crowd):
+    """Equal rows, pairs that meet in many tables, and crowded keys of far fingerprints."""
+    rnd, prints = random.Random(radius), [1 << i for i in range(20)]
+    for i in range(120):
+        p = rnd.getrandbits(64) if i % 5 == 0 else rnd.choice(prints)
+        for _ in range(rnd.randint(0, radius + 2)):
+            p ^= 1 << rnd.randrange(64)
+        prints.append(p)
+    prints += [prints[-1]] * 5 + [rnd.getrandbits(20) for _ in range(40)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    docs = spark.createDataFrame([(i, p) for i, p in enumerate(signed + [None])], "doc_id bigint, fp bigint")
+    found = {r["doc_id"]: r["n_near"] for r in fp.with_near_counts(docs, radius, blocks).collect()} if blocks == 6 else None
+    counts = {r["fp"]: (r["copies"], r["n_near"]) for r in fp.near_counts(docs, radius, blocks, crowd).collect()}
+    near = [sum((p ^ q).bit_count() <= radius for q in prints) - 1 for p in prints]
+    assert counts == {p: (signed.count(p), n) for p, n in zip(signed, near)}
+    assert found is None or found == dict(enumerate(near)) | {len(prints): None}
+    assert fp.near_counts(docs.limit(0), radius, blocks).count() == 0

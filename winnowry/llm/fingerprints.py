@@ -13,7 +13,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from winnowry.operators.joins import left_join_hot
 from winnowry.operators.ranking import BUCKET, order_bucket
+from winnowry.staging import stage
 
 BITS = 64
 LANES = 32
@@ -21,6 +23,8 @@ LANE = (1 << 32) - 1
 BOTH = 1 | 1 << 32  # one bit in each lane
 LONGEST = 16  # longer words weigh no more than this many characters
 ROWS_PER_BUCKET = 2_000
+HOT_ROWS = 256  # a key of more fingerprints is sent to them, not they to its task
+CROWD = 1_000  # fingerprints on one key, above which the bits outside the key are cut into blocks too
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -70,7 +74,7 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     Rows are ordered by (doc_id, text), a null id first; the last is followed by the
     first. The order is cut into buckets; the rows that begin a bucket also end
     the bucket before it, as ghosts, so that every row finds its follower in its
-    own bucket. Buckets are bounded up to 10,000 of them; beyond, the window of a
+    own bucket. Buckets are bounded up to 100,000 of them; beyond, the window of a
     task sorts and spills more rows.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
@@ -163,3 +167,57 @@ def near_fingerprints(prints: DataFrame, radius: int = 3, blocks: int = 6) -> Da
     left, right = keyed.withColumnRenamed("fp", "a"), keyed.withColumnRenamed("fp", "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     return left.join(right, ["table", "key"]).where(F.col("a") < F.col("b")).where(close).select("a", "b").distinct()
+
+
+def _blocks_outside(mask: int, radius: int, blocks: int) -> list[int]:
+    """Masks of further tables for fingerprints that agree on ``mask``, over the bits outside it."""
+    outside = [i for i in range(BITS) if not mask >> i & 1]
+    if len(outside) < blocks:
+        return [0]
+    edges = [round(i * len(outside) / blocks) for i in range(blocks + 1)]
+    kept = [sum(1 << i for i in outside[low:high]) for low, high in zip(edges, edges[1:])]
+    return [_signed(sum(c)) for c in combinations(kept, blocks - radius)]
+
+
+def near_counts(prints: DataFrame, radius: int = 3, blocks: int = 6, crowd: int = CROWD) -> DataFrame:
+    """``(fp, copies, n_near)`` per distinct ``fp``: its rows, and the other rows within ``radius`` bits.
+
+    Fingerprints meet in the permuted block tables. A pair counts in the first
+    table it meets in, so no list of pairs is kept: sums are made where pairs
+    are found. A key of more than ``crowd`` different fingerprints is met by the blocks
+    of its other bits as well. Equal fingerprints are one with a count; null ones take no part.
+    """
+    masks = block_masks(radius, blocks)
+    counted = stage(prints.where("fp IS NOT NULL").groupBy("fp").agg(F.count("*").alias("copies")), "fingerprints")
+    keyed = counted.select("fp", "copies", F.posexplode(F.lit(masks)).alias("table", "mask"))
+    keyed = keyed.select("fp", "copies", "table", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+    shared = stage(keyed.groupBy("table", "key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    met = stage(left_join_hot(keyed, shared, ["table", "key"], "n", HOT_ROWS).where("n > 1"), "met")
+
+    outside = [_blocks_outside(m & (1 << BITS) - 1, radius, blocks) for m in masks]
+    finer = F.element_at(F.array(*map(F.lit, outside)), F.col("table") + 1)
+    many = met.where(F.col("n") > crowd).select("fp", "copies", "table", "key", F.posexplode(finer).alias("part", "mask"))
+    many = many.select("fp", "copies", "table", "part", F.col("key").bitwiseOR(F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    first = F.coalesce(*(F.when(differ.bitwiseAND(F.lit(m)) == 0, i) for i, m in enumerate(masks))) == F.col("table")
+    first_part = F.array_position(F.transform(finer, lambda m: differ.bitwiseAND(m) == 0), True) == F.col("part") + 1
+
+    def near(rows: DataFrame, keys: list[str], once: Column) -> DataFrame:
+        left, right = rows.select(*keys, F.col("fp").alias("a")), rows.select(*keys, F.col("fp").alias("b"), "copies")
+        close = (F.col("a") != F.col("b")) & (F.bit_count(differ) <= radius)
+        return left.join(right, keys).where(close).where(once).select("a", "copies")
+
+    pairs = near(met.where(F.col("n") <= crowd), ["table", "key"], first).union(
+        near(many, ["table", "part", "key"], first & first_part)
+    )
+    others = pairs.groupBy(F.col("a").alias("fp")).agg(F.sum("copies").alias("others"))
+    return counted.join(others, "fp", "left").select(
+        "fp", "copies", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_near")
+    )
+
+
+def with_near_counts(rows: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """``rows`` with ``n_near``: how many other rows have a fingerprint ``fp`` within ``radius`` bits."""
+    counts = stage(near_counts(rows, radius, blocks), "near")
+    return left_join_hot(rows, counts, ["fp"], "copies").drop("copies")

@@ -13,6 +13,7 @@ from winnowry.llm import (
     quality_gam, simhash_dedup, substring_dedup, token_files, whitening,
 )
 from winnowry.llm.common import small_batches
+from winnowry.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,12 +86,12 @@ def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op6_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
-    return found.select(
+    found = stage(fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents")), "edited")
+    return fingerprints.with_near_counts(found).select(
         "doc_id", "n_chars", "edited_sha256", fingerprints.hex_digits("fp").alias("fingerprint"),
         fingerprints.hex_digits("edited_fp").alias("edited_fingerprint"),
         fingerprints.likeness("fp", "edited_fp").alias("near_edited"),
-        fingerprints.likeness("fp", "next_fp").alias("near_next"),
+        fingerprints.likeness("fp", "next_fp").alias("near_next"), "n_near",
     )
 
 
