@@ -344,7 +344,9 @@ def box_stats(df: DataFrame, limit: int | None = None) -> DataFrame:
 def histogram(df: DataFrame, name: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between minimum and maximum, ``(bin, low, high, count)``.
 
-    A column with a single value gets the range half a unit around it.
+    A column with a single value gets the range half a unit around it. A value on
+    an edge belongs to the bin that begins there: the quotient that tells the bin
+    is rounded, so it is set right against the edges, as numpy does.
     """
     present = df.where(~is_missing(df, name)).select(col(name).cast("double").alias("x"))
     ends = present.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
@@ -354,8 +356,13 @@ def histogram(df: DataFrame, name: str, bins: int = HISTOGRAM_BINS) -> DataFrame
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    number = F.least(
-        F.width_bucket("x", F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins).cast("bigint")
+    place = F.floor((F.col("x") - low) / (high - low) * bins)
+    at = F.least(place, F.lit(bins - 1).cast("bigint"))
+    edge = lambda k: F.lit(low) + k * F.lit(width)
+    number = (
+        F.when((at > 0) & (F.col("x") < edge(at)), at)
+        .when((at < bins - 1) & (F.col("x") >= edge(at + 1)), at + 2)
+        .otherwise(at + 1)
     )
     return present.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("count")).select(
         "bin",
