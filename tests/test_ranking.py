@@ -77,3 +77,17 @@ def test_left_join_hot(spark):
     plain = left.join(right, ["k"], "left")
     split = left_join_hot(left, right, ["k"], "copies", hot_rows=100)
     assert sorted(map(tuple, split.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_wide_rows_make_more_buckets(spark, monkeypatch):
+    """A bucket is bounded by its bytes too: whole texts of few rows are not one task's."""
+    from winnowry.operators import ranking
+
+    monkeypatch.setattr(ranking, "BUCKET_BYTES", 100_000)
+    df = spark.range(0, 400).select("id", F.repeat(F.lit("x"), F.lit(5_000)).alias("text"), F.array(F.lit(None).cast("string")).alias("a"))
+    bucketed, n = order_bucket(df, ["id"])
+    sizes = [r["count"] for r in bucketed.groupBy(BUCKET).count().collect()]
+    assert 15 <= n <= 25 and max(sizes) < 80
+    ranked = {r["id"]: r["rank"] for r in global_rank(df, ["id"]).select("id", "rank").collect()}
+    assert ranked == {i: i + 1 for i in range(400)}
+    assert order_bucket(df.limit(0), ["id"])[1] == 1 and order_bucket(df.select("id"), ["id"])[1] == 1
