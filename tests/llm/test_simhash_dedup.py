@@ -290,3 +290,18 @@ def test_texts_made_of_crowded_shingles(spark, verified, monkeypatch):
     exact = all_pairs_components(texts)
     assert found == exact and sum(i != c for i, c in exact.items()) > 15
     assert paired and paired[0].count() > 0
+
+
+def test_near_copies_are_linked_by_fingerprints_first(spark, monkeypatch):
+    """Texts within two bits and similar are one component before any shingle is compared; the others stay apart."""
+    texts = {i: " ".join(f"w{i}_{k}" for k in range(3000)) for i in range(6)}
+    texts |= {10 + i: texts[i].replace(f"w{i}_299", "x") for i in range(6)} | {20: "a b c d e f", 21: "a b c d e f", 22: ""}
+    prints = {i: brute_fingerprint(t, 5) for i, t in texts.items()}
+    close = {i: (prints[i] ^ prints[10 + i]).bit_count() <= 2 for i in range(6)}
+    assert sum(close.values()) >= 2
+    monkeypatch.setattr(simhash_dedup, "shingle_links", lambda shared, sets, similarity, order, grouped: simhash_dedup._stars(grouped))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    assert found == {i: 20 if i == 21 else i - 10 if 10 <= i < 16 and close[i - 10] else i for i in texts}
+    pairs = spark.createDataFrame([(1, 7), (2, 7), (3, 6), (4, -1)], "first bigint, fp bigint")
+    assert sorted(map(tuple, simhash_dedup.fingerprint_pairs(pairs).distinct().collect())) in ([(2, 1), (3, 1)], [(1, 3), (2, 1)], [(2, 1), (1, 3)])

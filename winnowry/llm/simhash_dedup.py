@@ -6,8 +6,9 @@ are shuffled, and fingerprints that meet on a variant are linked. All that meet
 on one variant lie within the radius of each other, hence a link from each to
 the first of them keeps every group together without making all pairs.
 
-Texts with similar shingle sets (``near_copies``) are found without fingerprints,
-by a prefix-filter join that misses no pair above its threshold.
+Texts with similar shingle sets (``near_copies``) meet by their fingerprints in
+the same way, and each such link is verified on the sets. Pairs above the threshold
+whose fingerprints lie further apart are found by a prefix-filter join, which misses none.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from winnowry.staging import stage
 SEED = 42
 SHINGLE = 5
 SIMILARITY = 0.8
+RADIUS = 2
 SAMPLE, COMMON = 20_000, 200_000  # texts read for common shingles, and how many of these are kept
 HOT_ROWS = 256  # a key with more rows is sent to them, not they to its task
 CROWD = 32  # a key with more unsettled pairs than so many per row is crowded
@@ -197,7 +199,7 @@ def prefixes(
 
 
 def _copy_prints(docs: DataFrame, common: Broadcast, similarity: float) -> DataFrame:
-    """``(id, a, b, words, size, prefix)``: 128 bits of the lower-cased word sequence, shingles and their prefix."""
+    """``(id, a, b, words, fp, size, prefix)``: 128 bits of the lower-cased word sequence, SimHash, shingles, prefix."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,18 +208,20 @@ def _copy_prints(docs: DataFrame, common: Broadcast, similarity: float) -> DataF
                 low, high = offsets[first], offsets[last]
                 words = Words(_LOWER[data[low:high]], offsets[first : last + 1] - low, SHINGLE)
                 a, b = words.sequence_hashes()
+                prints = [majority(shingle_hashes(t.as_py(), SHINGLE)) for t in batch.column(1).slice(first, last - first)]
                 sizes, prefix, ends = prefixes(words, last - first, common.value, similarity)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first), pa.array(a.view(np.int64)),
-                        pa.array(b.view(np.int64)), pa.array(np.diff(words.first)), pa.array(sizes),
+                        pa.array(b.view(np.int64)), pa.array(np.diff(words.first)),
+                        pa.array(prints, pa.int64()), pa.array(sizes),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix.view(np.int64))),
                     ],
-                    names=["id", "a", "b", "words", "size", "prefix"],
+                    names=["id", "a", "b", "words", "fp", "size", "prefix"],
                 )
 
     return docs.select(F.col("doc_id").cast("bigint"), text_bytes()).mapInArrow(
-        per_batch, "id bigint, a bigint, b bigint, words bigint, size bigint, prefix array<bigint>"
+        per_batch, "id bigint, a bigint, b bigint, words bigint, fp bigint, size bigint, prefix array<bigint>"
     )
 
 
@@ -388,12 +392,32 @@ def _unsettled(keys: DataFrame) -> tuple[int, int]:
     return keys.agg(F.coalesce(F.sum(F.expr("(rows * rows - squares) / 2")), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
 
 
+def _grouped(links: DataFrame) -> DataFrame:
+    """``(member, component_id)`` of all ids on the links."""
+    return stage(connected_components(links).withColumnRenamed("id", "member"), "grouped")
+
+
+def _stars(grouped: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that stand for all of a component: later components need few rounds."""
+    return grouped.select(F.col("member").alias("a"), F.col("component_id").alias("b")).where("a != b")
+
+
+def fingerprint_pairs(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(first, fp)`` that SimHash links: of one fingerprint, or within ``radius`` bits."""
+    heads = stage(classes.groupBy("fp").agg(F.min("first").alias("head"), F.count("*").alias("n")), "fingerprints")
+    same = left_join_hot(classes.select("first", "fp"), heads, ["fp"], "n", HOT_ROWS)
+    same = same.where(F.col("first") != F.col("head")).select(F.col("first").alias("a"), F.col("head").alias("b"))
+    return same.union(fingerprint_links(heads.select("fp", F.col("head").alias("first")), radius))
+
+
 def shingle_links(
     shared: DataFrame, sets: DataFrame, similarity: float, order: Order | None = None,
-    found: DataFrame | None = None, grouped: DataFrame | None = None,
+    grouped: DataFrame | None = None,
 ) -> DataFrame:
     """Links ``(a, b)`` that join all similar texts among those that meet on a key.
 
+    What is ``grouped`` before, ``(member, component_id)``, is connected by the links too.
+
     ``shared`` has a row ``(key, id, size, at)`` per shingle of a prefix. A round
     verifies all on a key against the smallest of them, which then leaves the
     key: all its pairs are settled. Texts that are connected by now need no
@@ -414,8 +438,8 @@ def shingle_links(
             F.col("id").alias("a"), F.col("head.id").alias("b")
         )
         links = stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links")
-        found = links if found is None else found.union(links)
-        grouped = stage(connected_components(found).withColumnRenamed("id", "member"), "grouped")
+        if grouped is None or not links.isEmpty():
+            grouped = _grouped(links if grouped is None else _stars(grouped).union(links))
         rest = stage(_with_part(headed, grouped), "rest")
         crowds = rest.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
             F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares")
@@ -442,24 +466,28 @@ def shingle_links(
             pairs = shared.join(other, "key").where("id > other_id AND part != other_part").where(near).select(
                 F.col("id").alias("a"), F.col("other_id").alias("b")
             )
-            found = found.union(stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links"))
+            links = stage(_similar(stage(pairs.distinct(), "pairs"), sets, similarity), "links")
+            if not links.isEmpty():
+                grouped = _grouped(_stars(grouped).union(links))
             break
         before = left
     if given_up:
         hit = stage(_union([ids for _, ids in given_up]).distinct(), "hit")
         if not hit.isEmpty():
             later = order.after(stage(_union([keys for keys, _ in given_up]), "demoted"))
-            found = shingle_links(later.prefixes(hit), sets, similarity, later, found, grouped)
+            grouped = _grouped(shingle_links(later.prefixes(hit), sets, similarity, later, grouped))
         stuck = stage(_union(stuck_rows), "stuck")
         if not stuck.isEmpty():
-            found = shingle_links(order.paired(stuck), sets, similarity, None, found, grouped)
-    return found
+            return shingle_links(order.paired(stuck), sets, similarity, None, grouped)
+    return _stars(grouped)
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(id, component_id)`` per row of ``docs`` with a ``doc_id``: groups of equal or similar texts.
 
-    Texts with the same lower-cased words are one class. Texts whose sets of
+    Texts with the same lower-cased words are one class. Classes whose SimHash
+    fingerprints lie within ``RADIUS`` bits are linked as in ``near_duplicates``,
+    if their shingle sets are similar. The rest is exact: texts whose sets of
     ``SHINGLE``-word shingles have a Jaccard similarity of ``similarity`` or more
     share a shingle of their prefixes; one document of each class emits its
     prefix, and those that meet on a shingle are verified until every such pair is
@@ -471,18 +499,21 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     printed = stage(_copy_prints(docs, common, similarity), "prints")
     sequence = ["a", "b", "words"]
     classes = stage(
-        printed.groupBy(*sequence).agg(F.min(F.struct("id", "size", "prefix")).alias("head"))
-        .select(*sequence, F.col("head.id").alias("first"), "head.size", "head.prefix"), "classes",
+        printed.groupBy(*sequence).agg(F.min(F.struct("id", "fp", "size", "prefix")).alias("head"))
+        .select(*sequence, F.col("head.id").alias("first"), "head.fp", "head.size", "head.prefix"), "classes",
     )
+    near = stage(fingerprint_pairs(classes).distinct(), "pairs")
     keyed = classes.select(F.col("first").alias("id"), "size", F.posexplode("prefix").alias("at", "key"))
     met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
     shared = stage(keyed.join(checked_broadcast(met), "key").select("key", "id", "size", "at"), "shared")
-    named = stage(shared.select("id").distinct(), "named")
+    named = stage(shared.select("id").union(near.select("a")).union(near.select("b")).distinct(), "named")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes().alias("text"))
     sets = _shingle_sets(texts.join(checked_broadcast(named), "id")).groupBy("id").agg(F.min("shingles").alias("shingles"))
     # below 0.5 similar sets of two shingles may have one in common: no second key leads to them
     order = Order(texts, common, similarity) if similarity > 0.5 else None
-    links = shingle_links(shared, stage(sets, "shingles"), similarity, order)
+    sets = stage(sets, "shingles")
+    linked = _grouped(stage(_similar(near, sets, similarity), "links"))
+    links = shingle_links(shared, sets, similarity, order, linked)
     grouped = connected_components(links).withColumnRenamed("id", "member")
     found = classes.join(grouped, F.col("first") == F.col("member"), "left").select(
         *sequence, F.coalesce("component_id", "first").alias("component_id")
