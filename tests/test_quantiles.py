@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from winnowry.operators import quantiles
 from winnowry.operators.quantiles import exact_quantiles
+from winnowry.staging import staged_so_far
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 
@@ -102,3 +103,24 @@ def test_quantiles_after_drops(spark, frame, monkeypatch, cuts):
             rest = frame[~mask][c]
             assert (n, found or []) == (rest.count(), rest.quantile([0.25, 0.75]).tolist() if n else []), c
             assert sum(b.rows for b in buckets) == n and (cuts < 9 or len(passes) <= 2)
+
+
+def test_many_passes_read_few_rows(spark, monkeypatch):
+    """Buckets cut in two: values outside the open ones are not read in every pass."""
+    rng = np.random.default_rng(7)
+    rows = 20_000
+    data = {"x": rng.normal(50, 9, rows), "y": rng.integers(0, 10**9, rows).astype(float)}
+    df = spark.createDataFrame(list(zip(*(v.tolist() for v in data.values()))), "x double, y double")
+    read, passes = [], quantiles.next_pass
+
+    def counting(values, wanted, cuts):
+        read.append(values.count())
+        return passes(values, wanted, cuts)
+
+    monkeypatch.setattr(quantiles, "next_pass", counting)
+    staged = staged_so_far()
+    found = exact_quantiles(df, ["x", "y"], [0.25, 0.5, 0.999], per_octave=1, cuts=2)
+    for c, v in data.items():
+        assert found[c][0] == rows and np.allclose(found[c][1], np.quantile(v, [0.25, 0.5, 0.999]), rtol=1e-14)
+    assert len(read) > 10 and sum(read) < 8 * rows
+    assert staged_so_far() == staged

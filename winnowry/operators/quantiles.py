@@ -29,11 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnowry.schema import col, is_missing
+from winnowry.session import folder_of
+from winnowry.staging import drop, stage
 
 PER_OCTAVE = 16
 CUTS = 4096
 COLUMNS_PER_PASS = 25
 
+WORTH = 4  # open values are written when they are so many times fewer
+
 _OFFSET = 2_000  # more than the exponent of any double
 
 
@@ -106,32 +110,28 @@ def _in_order(home: Bucket, parts: list[tuple[int, float, float]]) -> list[Bucke
     return buckets
 
 
+def _inside(values: DataFrame, wanted: Sequence[Bucket]) -> DataFrame:
+    """``(part, column, v, number, low, high)``: the values in the wanted buckets, from a row per row or per value.
+
+    Buckets are a small table, not a condition: one of many buckets is too long to be compiled.
+    """
+    columns = sorted({b.column for b in wanted})
+    cells = values if "v" in values.columns else _cells(values, columns)
+    table = values.sparkSession.createDataFrame(
+        [(b.part, b.column, number, b.low, b.high) for number, b in enumerate(wanted)],
+        "part int, column int, number int, low double, high double",
+    )
+    held = cells.join(F.broadcast(table), ["part", "column"])
+    return held.where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+
+
 def next_pass(values: DataFrame, wanted: Sequence[Bucket], cuts: int = CUTS) -> dict[Bucket, list[Bucket]]:
     """The wanted buckets, which share no value, cut evenly between their least and greatest value."""
-    by_column = defaultdict(list)
-    for number, b in enumerate(wanted):
-        by_column[b.column].append((number, b))
-
-    def inside(b: Bucket, v: Column) -> Column:
-        return (F.col("part") == b.part) & (v >= b.low) & (v <= b.high)
-
-    def chosen(i: int) -> Column:
-        test = F.lit(False)
-        for _, b in by_column[i]:
-            test = test | inside(b, F.col(f"v{i}"))
-        return F.when(test, F.col(f"v{i}")).alias(f"v{i}")
-
-    cells = _cells(values.select("part", *[chosen(i) for i in by_column]), list(by_column))
-    group = digit = None
-    for i, own in by_column.items():
-        for number, b in own:
-            test = (F.col("column") == i) & inside(b, F.col("v"))
-            # halves, so that the distance cannot overflow
-            place = F.floor((F.col("v") / 2 - b.low / 2) / (b.high / 2 - b.low / 2) * cuts) if b.high / 2 > b.low / 2 else F.col("v") > b.low
-            place = place.cast("bigint")
-            group = F.when(test, number) if group is None else group.when(test, number)
-            digit = F.when(test, place) if digit is None else digit.when(test, place)
-    counted = _counted(cells.select("part", group.alias("group"), digit.alias("digit"), "v"))
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    # halves, so that the distance cannot overflow
+    place = F.floor((v / 2 - low / 2) / (high / 2 - low / 2) * cuts)
+    digit = F.when(high / 2 > low / 2, place).otherwise((v > low).cast("bigint"))
+    counted = _counted(_inside(values, wanted).select("part", F.col("number").alias("group"), digit.alias("digit"), "v"))
     return {b: _in_order(b, counted[b.part, number]) for number, b in enumerate(wanted)}
 
 
@@ -144,8 +144,14 @@ Targets = dict[tuple[int, int, int], Bucket]
 
 
 def descend(values: DataFrame, targets: Targets, cuts: int = CUTS) -> dict[tuple[int, int, int], float]:
-    """The value at each ``(part, column, rank)``, given a bucket that holds it."""
+    """The value at each ``(part, column, rank)``, given a bucket that holds it.
+
+    Where several more passes are to come, values in open buckets are written once they
+    are a quarter of those read so far: all passes together read little more than the first ones.
+    """
     found: dict[tuple[int, int, int], float] = {}
+    reads, written = 0, None
+    narrow = folder_of(values.sparkSession) is not None
     while True:
         open_ones: Targets = {}
         for target, bucket in targets.items():
@@ -155,8 +161,18 @@ def descend(values: DataFrame, targets: Targets, cuts: int = CUTS) -> dict[tuple
             else:
                 found[target] = value
         if not open_ones:
+            if written is not None:
+                drop(written)
             return found
-        cut = next_pass(values, list(dict.fromkeys(open_ones.values())), cuts)
+        wanted = list(dict.fromkeys(open_ones.values()))
+        rows = sum(b.rows for b in wanted)
+        reads = reads or rows
+        if narrow and max(b.rows for b in wanted) > cuts and WORTH * rows <= reads:
+            values, before = stage(_inside(values, wanted).select("part", "column", "v"), "open"), written
+            reads, written = rows, values
+            if before is not None:
+                drop(before)
+        cut = next_pass(values, wanted, cuts)
         targets = {t: holding(cut[b], t[2]) for t, b in open_ones.items()}
 
 
