@@ -105,3 +105,18 @@ def test_frames_and_edge_rows(spark, monkeypatch):
     ids = {r["doc_id"]: r["ids"] for r in tf.read_ids(shards).collect()}
     assert ids == {i: library.encode(t or "", add_special_tokens=False).ids + [2] for i, t in ordered}
     assert tf.id_digests(tf.write_ids(docs.limit(0), PATH, 2)).count() == 0
+
+
+def test_encoding_is_not_interrupted_by_the_collector():
+    import gc
+
+    with open(vocabularies.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        tokenizer = tf.WordTokenizer(definition.read())
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)).encode() for i in range(200)]
+    seen = []
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        tokenizer.encode(texts)
+    finally:
+        gc.callbacks.pop()
+    assert not seen and gc.isenabled()

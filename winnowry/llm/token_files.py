@@ -13,10 +13,12 @@ ids, ids per block, blocks, words and escaped values; first word of each block
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -146,6 +148,18 @@ def unpack(shard: bytes) -> np.ndarray:
     return out
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without the collector of cycles: words, codes and ids form none, and it would walk all of them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class WordTokenizer:
     """Ids of texts whose tokens never span white space: each distinct word is encoded once."""
 
@@ -192,6 +206,7 @@ class WordTokenizer:
         """
         return text.lower() if self.lowers and text.isascii() and b"<" not in text else text
 
+    @_uncollected()
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (one more than texts)."""
         if len(self.codes) > CACHED_WORDS:
