@@ -305,3 +305,19 @@ def test_near_copies_are_linked_by_fingerprints_first(spark, monkeypatch):
     assert found == {i: 20 if i == 21 else i - 10 if 10 <= i < 16 and close[i - 10] else i for i in texts}
     pairs = spark.createDataFrame([(1, 7), (2, 7), (3, 6), (4, -1)], "first bigint, fp bigint")
     assert sorted(map(tuple, simhash_dedup.fingerprint_pairs(pairs).distinct().collect())) in ([(2, 1), (3, 1)], [(1, 3), (2, 1)], [(2, 1), (1, 3)])
+
+
+def test_shingle_sets_leave_in_small_batches():
+    """What a task holds of shingle sets is that of some texts, not of a whole batch of rows."""
+    import pyarrow as pa
+
+    class Rows:
+        def mapInArrow(self, per_batch, schema):  # noqa: N802
+            return per_batch
+
+    texts = [b" ".join(b"w%d" % (i * 7 + j) for j in range(2_000)) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts, pa.binary())], names=["id", "text"])
+    found = list(simhash_dedup._shingle_sets(Rows())(iter([batch])))
+    assert len(found) > 2 and max(b.nbytes for b in found) < 2 << 20
+    assert [i for b in found for i in b.column(0).to_pylist()] == list(range(400))
+    assert all(len(v.as_buffer()) == 4 * 1_996 for b in found for v in b.column(1))

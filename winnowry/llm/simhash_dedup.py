@@ -339,14 +339,15 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            found = []
             for first, last in row_groups(offsets):
+                found = []
                 low = offsets[first]
                 words = Words(_LOWER[data[low : offsets[last]]], offsets[first : last + 1] - low, SHINGLE)
                 for s, e in zip(words.first, words.first[1:]):
                     runs = run_hashes(words.h[s:e], min(SHINGLE, e - s)) if e > s else words.h[:0]
                     found.append(np.unique(runs.astype(np.uint32)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+                ids = batch.column(0).slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], names=["id", "shingles"])
 
     return texts.mapInArrow(per_batch, "id bigint, shingles binary")
 
