@@ -113,7 +113,7 @@ def _in_order(home: Bucket, parts: list[tuple[int, float, float]]) -> list[Bucke
 def _inside(values: DataFrame, wanted: Sequence[Bucket]) -> DataFrame:
     """``(part, column, v, number, low, high)``: the values in the wanted buckets, from a row per row or per value.
 
-    Buckets are a small table, not a condition: one of many buckets is too long to be compiled.
+    Buckets are a small table, not a condition that tries each of them on every value.
     """
     columns = sorted({b.column for b in wanted})
     cells = values if "v" in values.columns else _cells(values, columns)
