@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from winnowry.llm import byte_bpe, mixing, quality_gam, simhash_dedup, substring_dedup
 from winnowry.llm.common import small_batches
-from winnowry.session import small_buffers, use_local_folder
+from winnowry.session import short_shuffles, small_buffers, use_local_folder
 from winnowry.staging import stage
 
 Step = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -51,11 +51,12 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _with_folder(step: Step) -> Step:
-    """The stage, with small batches and buffers of texts, and with a folder for tables where the session names none."""
+    """The stage, with small batches and buffers of texts and short-lived shuffle files, and with a folder for tables where the session names none."""
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         use_local_folder(spark)
         small_batches(spark)
         small_buffers(spark)
+        short_shuffles(spark)
         return step(spark, docs, sf_dir)
 
     return run_stage

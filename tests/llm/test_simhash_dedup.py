@@ -321,3 +321,52 @@ def test_shingle_sets_leave_in_small_batches():
     assert len(found) > 2 and max(b.nbytes for b in found) < 2 << 20
     assert [i for b in found for i in b.column(0).to_pylist()] == list(range(400))
     assert all(len(v.as_buffer()) == 4 * 1_996 for b in found for v in b.column(1))
+
+
+def edited_copies(n, seed=9):
+    """Copies of one text, of which each has up to a seventh of its words marked."""
+    drawn = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    share = [drawn.random() / 7 for _ in range(n)]
+    return {i: " ".join(f"{w}x" if drawn.random() < share[i] else w for w in base) for i in range(n)}
+
+
+def test_a_crowd_of_edited_copies_is_compared_in_blocks(spark, verified, monkeypatch):
+    """Copies of one text whose edits put many of them apart are not verified pair by pair; none is missed."""
+    monkeypatch.setattr(simhash_dedup, "BLOCK_TEXTS", 64, raising=False)
+    monkeypatch.setattr(simhash_dedup, "CROWD", 4)
+    texts = edited_copies(500)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.near_copies(docs).collect()}
+    exact = all_pairs_components(texts)
+    assert found == exact and 50 < sum(i != c for i, c in exact.items()) < 450
+    assert sum(verified) < 15_000
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_blocks_of_a_crowd_join_all_similar_texts(spark, monkeypatch, block):
+    """Links of two crowds, whatever the size of blocks and of matrices; texts of different crowds stay apart."""
+    monkeypatch.setattr(simhash_dedup, "BLOCK_TEXTS", block)
+    monkeypatch.setattr(simhash_dedup, "COLUMNS", 16)
+    texts = edited_copies(40)
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    number = {s: n for n, s in enumerate(sorted(set().union(*sets.values())))}
+    packed = [(i, np.array(sorted(number[s] for s in v), np.uint32).tobytes()) for i, v in sets.items()]
+    packed += [(1000 + i, v) for i, v in packed] + [(2000, b"")]
+    packed = spark.createDataFrame(packed, "id bigint, shingles binary")
+    crowds = spark.createDataFrame([(i, i // 1000) for i in [*texts, *(1000 + i for i in texts)]], "id bigint, crowd bigint")
+    links = simhash_dedup._all_similar(crowds, packed, 0.8)
+    found = {r["id"]: r["component_id"] for r in simhash_dedup.connected_components(links).collect()}
+    exact = all_pairs_components(texts)
+    assert {i: found.get(i, i) for i in texts} == exact
+    assert {i: found.get(1000 + i, 1000 + i) for i in texts} == {i: 1000 + c for i, c in exact.items()}
+
+
+def test_rows_meet_the_heads_of_their_keys(spark, monkeypatch):
+    """Keys with many rows and with few: each row has its head, once."""
+    monkeypatch.setattr(simhash_dedup, "HOT_ROWS", 3)
+    rows = [(k, i, 5, 0) for k in range(1, 7) for i in range(k)]
+    shared = simhash_dedup._shared(spark.createDataFrame(rows, "key bigint, id bigint, size bigint, at int"))
+    heads = shared.groupBy("key").agg(F.min("id").alias("head"), F.max("n").alias("n"))
+    found = simhash_dedup._with_heads(shared, heads).collect()
+    assert sorted((r["key"], r["id"], r["n"], r["head"]) for r in found) == [(k, i, k, 0) for k in range(2, 7) for i in range(k)]

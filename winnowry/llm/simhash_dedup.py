@@ -40,6 +40,9 @@ HOT_ROWS = 256  # a key with more rows is sent to them, not they to its task
 CROWD = 32  # a key with more unsettled pairs than so many per row is crowded
 LEVELS = 4  # how often prefixes are made anew without their crowded keys
 DEMOTED = 1 << 40  # ranks above those of any key that was not counted
+DENSE = 1 / 3  # a crowd is compared as a whole if one key holds so much of it
+BLOCK_TEXTS, BLOCK_BYTES = 256, 4 << 20  # texts, and bytes of their shingle sets, in a block of a crowd
+COLUMNS = 1 << 12  # shingles counted at a time between two blocks
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -298,7 +301,7 @@ class Order:
         return replace(self, demoted=demoted, level=self.level + 1)
 
     def prefixes(self, hit: DataFrame, shared: int = 1) -> DataFrame:
-        """``(key, id, size, at)`` for the ids of ``hit``, on keys that several of them have."""
+        """``(key, id, size, at, n)`` for the ids of ``hit``, on keys that several of them have."""
         texts = self.texts.join(checked_broadcast(hit), "id")
         if self.demoted is None:
             none = F.array().cast("array<bigint>")
@@ -311,12 +314,10 @@ class Order:
                 "id", "text", *(F.coalesce(F.col(f"last.{c}"), F.array().cast("array<bigint>")).alias(f"{c}s") for c in ("key", "rank"))
             )
         found = _ranked_prefixes(ranked, self.common, self.similarity, shared)
-        keyed = stage(found.groupBy("key", "id").agg(F.min(F.struct("at", "size")).alias("r")).select("key", "id", "r.size", "r.at"), "keyed")
-        met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
-        return stage(keyed.join(checked_broadcast(met), "key"), "shared")
+        return _shared(stage(found.groupBy("key", "id").agg(F.min(F.struct("at", "size")).alias("r")).select("key", "id", "r.size", "r.at"), "keyed"))
 
     def paired(self, stuck: DataFrame) -> DataFrame:
-        """``(key, id, size, at)`` of texts ``(key, id)`` on a key that stays crowded: with a second shingle each.
+        """``(key, id, size, at, n)`` of texts ``(key, id)`` on a key that stays crowded: with a second shingle each.
 
         Similar sets of two or more shingles have two in common, both among the
         first n - ceil(similarity * n) + 2 of either. A place of 0 rules out nothing but sizes.
@@ -324,9 +325,7 @@ class Order:
         longer = self.prefixes(stage(stuck.select("id").distinct(), "hit"), 2).select("id", "size", F.col("key").alias("second"))
         both = longer.join(stuck, "id").where("key != second")
         key = F.xxhash64(F.least("key", "second"), F.greatest("key", "second"))
-        keyed = stage(both.select(key.alias("key"), "id", "size", F.lit(0).alias("at")).distinct(), "paired")
-        met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
-        return stage(keyed.join(checked_broadcast(met), "key"), "shared")
+        return _shared(stage(both.select(key.alias("key"), "id", "size", F.lit(0).alias("at")).distinct(), "paired"))
 
 
 def _shingle_sets(texts: DataFrame) -> DataFrame:
@@ -375,9 +374,113 @@ def _may_reach(similarity: float, size: Column, at: Column, other: Column, other
     return (1 + similarity) * F.least(size - at, other - other_at) >= similarity * (size + other) - 1e-6
 
 
+def _shared(keyed: DataFrame) -> DataFrame:
+    """Rows ``(key, id, size, at)`` on keys that several have, with their number ``n``."""
+    met = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "met")
+    return stage(keyed.join(checked_broadcast(met), "key").select("key", "id", "size", "at", "n"), "shared")
+
+
+def _with_heads(shared: DataFrame, heads: DataFrame) -> DataFrame:
+    """Each row with the head of its key. Heads of keys with many rows are sent to the rows, others meet by shuffle."""
+    hot = f"n > {HOT_ROWS}"
+    sent = checked_broadcast(stage(heads.where(hot).drop("n"), "hot"))
+    cold = shared.where(f"NOT {hot}").join(heads.where(f"NOT {hot}").drop("n"), "key")
+    return shared.where(hot).join(sent, "key").unionByName(cold)
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """``(key, rows, squares)`` of keys on which several components meet: rows in all, and squared by component."""
+    crowds = rows.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares")
+    )
+    return stage(crowds.where("rows * rows > squares"), "open")
+
+
+def _on(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows on keys ``(key, rows)``, with the number of them now."""
+    counted = checked_broadcast(keys.select("key", F.col("rows").alias("n")))
+    return rows.drop("n").join(counted, "key").select("key", "id", "size", "at", "n", "part")
+
+
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``x`` shares with each of ``y``: products of 0-1 matrices, some columns at a time."""
+    both = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    sides = []
+    for sets in (x, y):
+        values, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        held = np.isin(values, both)
+        at = np.searchsorted(both, values[held])
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], rows[held][order], len(sets)))
+    out = np.zeros((len(x), len(y)), np.float32)
+    for first in range(0, len(both), COLUMNS):
+        made = []
+        for at, rows, n in sides:
+            low, high = np.searchsorted(at, [first, first + COLUMNS])
+            matrix = np.zeros((n, COLUMNS), np.float32)
+            matrix[rows[low:high], at[low:high] - first] = 1
+            made.append(matrix)
+        out += made[0] @ made[1].T
+    return out
+
+
+def _all_similar(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` that join all similar ones of the texts ``(id, crowd)`` of each crowd.
+
+    Every text is compared with every other: crowds are dealt out in blocks, and a
+    task holds two blocks of bounded size at a time, whatever the crowd. Its links
+    are a star for each of the groups it finds, not all pairs.
+    """
+    held = stage(texts.join(sets, "id"), "held")
+    sizes = held.groupBy("crowd").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum(F.length("shingles")) / BLOCK_BYTES)).alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = held.join(checked_broadcast(stage(sizes, "blocks")), "crowd").withColumn("block", block)
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("id", "shingles", "crowd", "block", other).select(
+        "id", "shingles", "crowd", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block"
+    )
+
+    def per_pair(table: pa.Table) -> pa.Table:
+        block, low, high = (table[c].to_numpy() for c in ("block", "low", "high"))
+        ids = table["id"].to_numpy()
+        found = [np.frombuffer(v.as_buffer(), np.uint32) for c in table["shingles"].chunks for v in c]
+        x, y = (np.flatnonzero(block == c[0]) for c in (low, high))
+        if not len(x) or not len(y):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        shared = _overlaps([found[i] for i in x], [found[i] for i in y])
+        n = np.array([len(f) for f in found])
+        near = shared >= similarity * (n[x][:, None] + n[y][None, :] - shared)
+        group = np.arange(len(ids))
+        while True:  # the smallest index of each group is passed on over links
+            least = group.copy()
+            np.minimum.at(least, x, np.where(near, group[y][None, :], len(ids)).min(axis=1))
+            np.minimum.at(least, y, np.where(near, least[x][:, None], len(ids)).min(axis=0))
+            if (least == group).all():
+                break
+            group = least
+        linked = np.flatnonzero(group != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[linked]), "b": pa.array(ids[group[linked]])})
+
+    return dealt.groupBy("crowd", "low", "high").applyInArrow(per_pair, "a bigint, b bigint")
+
+
+def _dense(rows: DataFrame) -> DataFrame:
+    """``(key, crowd)`` of keys ``(key, id)`` among whose texts one key holds ``DENSE`` or more of all that hang together."""
+    heads = stage(rows.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")), "heads")
+    stars = rows.join(checked_broadcast(heads.select("key", "head")), "key").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    crowds = stage(connected_components(stars), "crowds")
+    sizes = crowds.groupBy("component_id").agg(F.count("*").alias("texts"))
+    keys = heads.join(checked_broadcast(crowds), F.col("head") == F.col("id")).select("key", "n", F.col("component_id").alias("crowd"))
+    most = stage(keys.groupBy("crowd").agg(F.max("n").alias("most")), "most")
+    dense = most.join(sizes, F.col("crowd") == F.col("component_id")).where(F.col("most") >= DENSE * F.col("texts")).select("crowd")
+    return stage(keys.join(checked_broadcast(stage(dense, "dense")), "crowd").select("key", "crowd"), "dense_keys")
+
+
 def _with_part(shared: DataFrame, grouped: DataFrame | None) -> DataFrame:
-    """``(key, id, size, at, part)``: each row with the component of its text so far."""
-    columns = ["key", "id", "size", "at"]
+    """``(key, id, size, at, n, part)``: each row with the component of its text so far."""
+    columns = ["key", "id", "size", "at", "n"]
     if grouped is None:
         return shared.select(*columns, F.col("id").alias("part"))
     named = shared.select(*columns).join(checked_broadcast(grouped), F.col("id") == F.col("member"), "left")
@@ -425,15 +528,16 @@ def shingle_links(
     link, so a group of copies of any size ends after a few rounds; a key whose
     texts are all connected is done. A key on which many unlike texts remain is
     crowded: with an ``order`` it is given up, and its texts meet on other prefixes, without
-    it or on pairs of keys. Once few pairs are left, or rounds no longer
-    halve them, all that are left are verified.
+    it or on pairs of keys. Crowds that stay together on new prefixes are alike but
+    for some edits: these are compared block by block. Once few pairs are left, or rounds no
+    longer halve them, all that are left are verified.
     """
     before, given_up, stuck_rows = None, [], []
-    shared = _with_part(shared, grouped)
+    shared = _with_part(shared if "n" in shared.columns else _shared(shared), grouped)
     while True:
         head = F.min(F.struct("size", "id", "at", "part")).alias("head")
-        heads = stage(shared.groupBy("key").agg(head, F.count("*").alias("n")), "heads")
-        headed = left_join_hot(shared, heads, ["key"], "n", HOT_ROWS).where(F.col("id") != F.col("head.id"))
+        heads = stage(shared.groupBy("key").agg(head, F.max("n").alias("n")), "heads")
+        headed = _with_heads(shared, heads).where(F.col("id") != F.col("head.id"))
         near = _may_reach(similarity, F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"))
         pairs = headed.where(near & (F.col("part") != F.col("head.part"))).select(
             F.col("id").alias("a"), F.col("head.id").alias("b")
@@ -442,25 +546,30 @@ def shingle_links(
         if grouped is None or not links.isEmpty():
             grouped = _grouped(links if grouped is None else _stars(grouped).union(links))
         rest = stage(_with_part(headed, grouped), "rest")
-        crowds = rest.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares")
-        )
-        open_keys = stage(crowds.where("rows * rows > squares"), "open")
+        open_keys = _open(rest)
         left, rows = _unsettled(open_keys)
         if order is not None and rows:
-            crowded = stage(open_keys.where(f"rows * rows - squares > {2 * CROWD} * rows"), "crowded")
+            crowd = f"rows * rows - squares > {2 * CROWD} * rows"
+            crowded = stage(open_keys.where(crowd), "crowded")
             many, members = _unsettled(crowded)
             if members:
                 left, rows = left - many, rows - members
+                open_keys = open_keys.where(f"NOT ({crowd})")
+                on_keys = stage(_on(rest, crowded).select("key", "id"), "on_keys")
+                if order.level:
+                    dense = _dense(on_keys)
+                    texts = stage(on_keys.join(checked_broadcast(dense), "key").select("id", "crowd").distinct(), "texts")
+                    links = stage(_all_similar(texts, sets, similarity), "links")
+                    if not links.isEmpty():
+                        grouped = _grouped(_stars(grouped).union(links))
+                    crowded = stage(crowded.join(checked_broadcast(dense.select("key")), "key", "left_anti"), "crowded")
                 fresh = stage(order.fresh(crowded.select("key", F.col("rows").alias("rank"))), "fresh")
                 stuck = crowded.join(checked_broadcast(fresh), "key", "left_anti")
-                on_keys = stage(rest.join(checked_broadcast(crowded.select("key")), "key").select("key", "id"), "on_keys")
                 given_up.append((fresh, on_keys.join(checked_broadcast(fresh), "key").select("id")))
                 stuck_rows.append(on_keys.join(checked_broadcast(stage(stuck.select("key"), "stuck")), "key"))
-                open_keys = open_keys.join(checked_broadcast(crowded.select("key")), "key", "left_anti")
         if not rows:
             break
-        shared = stage(rest.join(checked_broadcast(open_keys.select("key")), "key"), "shared")
+        shared = stage(_on(rest, open_keys), "shared")
         if left <= 8 * rows or before is not None and 2 * left > before:
             other = shared.select("key", *(F.col(c).alias(f"other_{c}") for c in ("id", "size", "at", "part")))
             near = _may_reach(similarity, *map(F.col, ("size", "at", "other_size", "other_at")))
@@ -505,8 +614,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     near = stage(fingerprint_pairs(classes).distinct(), "pairs")
     keyed = classes.select(F.col("first").alias("id"), "size", F.posexplode("prefix").alias("at", "key"))
-    met = stage(keyed.groupBy("key").count().where("count > 1").select("key"), "met")
-    shared = stage(keyed.join(checked_broadcast(met), "key").select("key", "id", "size", "at"), "shared")
+    shared = _shared(keyed)
     named = stage(shared.select("id").union(near.select("a")).union(near.select("b")).distinct(), "named")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes().alias("text"))
     sets = _shingle_sets(texts.join(checked_broadcast(named), "id")).groupBy("id").agg(F.min("shingles").alias("shingles"))
