@@ -120,3 +120,23 @@ def test_encoding_is_not_interrupted_by_the_collector():
     finally:
         gc.callbacks.pop()
     assert not seen and gc.isenabled()
+
+
+def test_words_with_latin_letters_take_the_short_way():
+    """Words with accents are plain, and have the ids that the library gives them, as a whole text has."""
+    import random
+
+    import public_tokenizers
+    from winnowry.llm import token_files
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        tokenizer = token_files.WordTokenizer(definition.read())
+    drawn = random.Random(1)
+    signs = [*"abzABZ019.,-_\"(", *token_files.LATIN]
+    words = ["".join(drawn.choices(signs, k=drawn.randint(1, 9))) for _ in range(4000)]
+    words += ["étréoi", "ÜBER-groß", "señ1or", "Þing", "ÿ", "cœur", "éte", "2×3÷4", "l'été", "<s>é", "naïve²"]
+    plain = [token_files.PLAIN.fullmatch(w.encode()) is not None for w in words]
+    assert tokenizer.by_parts and all(plain[:4005]) and not any(plain[4005:])
+    expected = [e.ids for e in tokenizer.tokenizer.encode_batch(words, add_special_tokens=False)]
+    ids, begins = tokenizer.encode([w.encode() for w in words])
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == expected
