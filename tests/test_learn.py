@@ -101,6 +101,30 @@ def test_joined_vocabularies_give_the_same_vectors(spark):
     assert all(np.allclose(sent[k].toArray(), joined[k].toArray()) for k in sent)
 
 
+@pytest.mark.parametrize("alike", [False, True])
+def test_terms_meet_a_joined_vocabulary_in_slices(spark, monkeypatch, alike):
+    """Many slices and buckets, also with one first fingerprint for all: no cell is a row of an exchange."""
+    monkeypatch.setattr(feat, "SLICE", 30)
+    monkeypatch.setattr(feat, "BUCKET_TERMS", 7)
+    if alike:
+        monkeypatch.setattr(feat, "_short_print", lambda t: (F.lit(5).cast("bigint"), F.shiftright(F.xxhash64(t), 32).cast("int")))
+    rng = np.random.default_rng(2)
+    rows = [(i % 50, i, " ".join(f"w{j}" for j in rng.integers(0, 30, i % 9))) for i in range(90)] + [(None, 90, None), (7, 91, "w1 w1 new")]
+    df = spark.createDataFrame(rows, "k int, n int, text string").repartition(3)
+    model = feat.tfidf_fit(df.where("n < 80"), "k", "text")
+    vocabulary = model.vocabulary.orderBy("idx").collect()
+    assert [r["term"] for r in vocabulary] == sorted(r["term"] for r in vocabulary) and model.size == len(vocabulary)
+    assert [r["idx"] for r in vocabulary] == list(range(model.size))
+    found = [feat.tfidf_weights(df, model, "k", "text", ["n"], most) for most in (10_000, 0)]
+    sent, joined = [{(r["k"], r["n"], r["idx"], r["term"]): r["weight"] for r in f.collect()} for f in found]
+    assert sent.keys() == joined.keys() and all(abs(sent[c] - joined[c]) < 1e-12 for c in sent)
+    assert found[1].count() == len(sent)
+    vectors = feat.tfidf_transform(df, model, "k", "text", ["n"], 0)
+    plan = vectors._jdf.queryExecution().toString()
+    assert "explode" not in plan and "collect_list" not in plan and vectors.count() == 92
+    assert feat.tfidf_transform(df.limit(0), model, "k", "text", [], 0).count() == 0
+
+
 @pytest.mark.parametrize("kind", ["logreg", "svm"])
 def test_alike_terms_share_a_feature(spark, kind, monkeypatch):
     """One feature for terms with the same weights in all labeled rows: fewer features, the same probabilities."""
