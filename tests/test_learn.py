@@ -181,6 +181,27 @@ def test_a_fit_reads_no_pool(spark, monkeypatch):
     assert len(seen) == 3 and all(not pool & set(files) for files in seen)
 
 
+def test_predictions_are_those_of_every_model(spark, folder, monkeypatch):
+    """Each kind of model gives labels and probabilities for its whole test part; terms are counted once."""
+    import __spark_entry__ as entry
+
+    rows = [(i, f"{'good fine' if i % 3 else 'bad poor'} other{i % 7} own{i}") for i in range(140)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 3 > 0)) for i in range(140)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    points(spark, 140).select(
+        F.col("k").cast("bigint").alias("vec_id"), F.col("v").alias("embedding"), F.substring("label", 2, 1).cast("int").alias("label")
+    ).write.parquet(f"{folder}/embeddings.parquet")
+    counted = []
+    plain = feat.numbered
+    monkeypatch.setattr(feat, "numbered", lambda counts: counted.append(1) or plain(counts))
+    monkeypatch.setattr(models, "FOLDS", 2)
+    out = entry.queries()["predictions"](spark, folder).collect()
+    sizes = {kind: sum(r["model"] == kind for r in out) for kind in models.MODELS}
+    assert sizes == dict.fromkeys(models.MODELS, 28) and len(out) == 4 * 28 and len(counted) == 2
+    assert all(abs(sum(r["proba"]) - 1) < 1e-3 for r in out)
+    assert all(r["y"] == r["y_pred"] for r in out if r["model"] in ("logreg", "svm"))
+
+
 def test_encoder_sees_each_text_once(spark):
     df = spark.createDataFrame([(i, "hot" if i % 3 else f"t{i}") for i in range(30)] + [(99, None)], "k int, text string")
 
